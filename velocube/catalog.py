@@ -473,3 +473,232 @@ def q_marker_scale(spark, d):
     m = ST.marker_scale(A.station_geo(_clean(spark, d), 500))
     return m.select("start_station_name", "count", F.round("ratio", 9).alias("ratio"), "color",
                     F.round("radius", 9).alias("radius"))
+
+
+# ======================================================================= forecasting
+from velocube.operators import evaluation as EV  # noqa: E402
+from velocube.operators import forecast as FC  # noqa: E402
+from velocube.operators import serving as SV  # noqa: E402
+from velocube.operators import drift as DR  # noqa: E402
+
+# Fixed parameters of the registered forecast queries (a linear demand model).
+FORECAST_SPEC = FC.LinearSpec(intercept=0.2, lag_w=[0.35, 0.15, 0.1] + [0.0] * 20 + [0.2] + [0.0] * 4,
+                              hour_w=0.01, dow_w=-0.02, weekend_w=0.05, month_w=0.0, rank_w=-0.1)
+
+
+def _forecast(spark, d, mode="reference", bridge=False):
+    st = FE.latest_state(_features(spark, d))
+    return FC.forecast_linear(st, FORECAST_SPEC, AS_OF, mode=mode, emit_bridge=bridge)
+
+
+def _fc_out(df):
+    return df.select("station_id", "station_rank", F.col("step").cast("int").alias("step"), "target_hour",
+                     r6("predicted_trips").alias("predicted_trips"))
+
+
+FC_BODY = ("SELECT station_id, station_rank, cast(step AS INTEGER) AS step, target_hour, "
+           "round(predicted_trips, 6) AS predicted_trips FROM preds")
+
+
+@register("forecast", O.forecast_sql(FORECAST_SPEC, AS_OF, FC_BODY))
+def q_forecast(spark, d):
+    return _fc_out(_forecast(spark, d))
+
+
+@register("forecast_aligned", O.forecast_sql(FORECAST_SPEC, AS_OF, FC_BODY, mode="aligned"))
+def q_forecast_aligned(spark, d):
+    return _fc_out(_forecast(spark, d, "aligned"))
+
+
+@register("bridge", O.forecast_sql(FORECAST_SPEC, AS_OF, FC_BODY, bridge=True))
+def q_bridge(spark, d):
+    return _fc_out(_forecast(spark, d, bridge=True))
+
+
+WIDE_BODY = """, p AS (SELECT station_rank, target_hour, floor(predicted_trips * 10 + 0.5) / 10 AS v FROM preds),
+wide AS (
+  SELECT target_hour, max(CASE WHEN station_rank = 0 THEN v END) AS station_0,
+         max(CASE WHEN station_rank = 1 THEN v END) AS station_1, max(CASE WHEN station_rank = 2 THEN v END) AS station_2,
+         floor(sum(v) * 10 + 0.5) / 10 AS total_trips,
+         timezone('America/New_York', timezone('UTC', target_hour)) AS target_hour_et
+  FROM p GROUP BY target_hour)
+"""
+
+
+def _wide(spark, d):
+    return SV.forecast_wide(_forecast(spark, d), 3)
+
+
+def _wsql(body):
+    return O.forecast_sql(FORECAST_SPEC, AS_OF, "") .rstrip() + WIDE_BODY + body
+
+
+NOW_SERVE = "2024-02-19 18:00:00"
+
+
+@register("forecast_wide", _wsql("SELECT * FROM wide"))
+def q_forecast_wide(spark, d):
+    return _wide(spark, d)
+
+
+@register("upcoming", _wsql(f"SELECT * FROM wide WHERE target_hour >= TIMESTAMP '{NOW_SERVE}'"))
+def q_upcoming(spark, d):
+    return SV.upcoming(_wide(spark, d), NOW_SERVE)
+
+
+@register("rush_hours", _wsql("SELECT * FROM wide WHERE total_trips > 1.25 * (SELECT avg(total_trips) FROM wide)"))
+def q_rush_hours(spark, d):
+    return SV.rush_hours(_wide(spark, d))
+
+
+@register("rush_window", _wsql("""SELECT min(target_hour) AS rush_start, max(target_hour) AS rush_end,
+  count(*) AS rush_hours FROM wide WHERE total_trips > 1.25 * (SELECT avg(total_trips) FROM wide)"""))
+def q_rush_window(spark, d):
+    return SV.rush_window(_wide(spark, d))
+
+
+@register("forecast_summary", _wsql("""SELECT (SELECT total_trips FROM wide ORDER BY target_hour LIMIT 1) AS live,
+  max(total_trips) AS peak,
+  (SELECT target_hour FROM wide ORDER BY total_trips DESC, target_hour LIMIT 1) AS peak_hour,
+  floor(avg(total_trips) * 10 + 0.5) / 10 AS avg_demand FROM wide"""))
+def q_forecast_summary(spark, d):
+    return SV.forecast_summary(_wide(spark, d))
+
+
+@register("label_stations", O.forecast_sql(FORECAST_SPEC, AS_OF, """
+SELECT p.station_id, cast(p.step AS INTEGER) AS step, coalesce(n.station_name, p.station_id) AS station_name
+FROM preds p LEFT JOIN (
+  SELECT start_station_id AS station_id,
+         first(start_station_name ORDER BY year(started_at) * 100 + month(started_at) DESC, started_at, ride_id)
+           AS station_name
+  FROM trips WHERE start_station_id IS NOT NULL AND start_station_name IS NOT NULL GROUP BY 1) n
+  USING (station_id)"""))
+def q_label_stations(spark, d):
+    names = A.station_names(_trips(spark, d))
+    return SV.label_stations(_forecast(spark, d), names).select(
+        "station_id", F.col("step").cast("int").alias("step"), "station_name")
+
+
+# ======================================================================= evaluation
+def _split(spark, d):
+    s = FE.chrono_split(_features(spark, d))
+    return s.filter("split = 'train'"), s.filter("split = 'test'")
+
+
+@register("baseline_hour_mean", O.Sp("""
+SELECT start_hour, station_id, total_trips, hour, round(predicted, 6) AS predicted FROM scored"""))
+def q_baseline(spark, d):
+    tr, te = _split(spark, d)
+    s = EV.baseline_hour_mean(tr, te)
+    return s.select("start_hour", "station_id", "total_trips", "hour", r6("predicted").alias("predicted"))
+
+
+def _metrics_cols(df):
+    return df.select(*[r6(c).alias(c) for c in ("mae", "rmse", "wmape")], "n")
+
+
+@register("mae_rmse_wmape", O.Sp("""
+SELECT round(avg(abs(total_trips - predicted)), 6) AS mae, round(sqrt(avg(pow(total_trips - predicted, 2))), 6) AS rmse,
+       round(sum(abs(total_trips - predicted)) / nullif(sum(total_trips), 0) * 100, 6) AS wmape, count(*) AS n
+FROM scored"""))
+def q_metrics(spark, d):
+    tr, te = _split(spark, d)
+    return _metrics_cols(EV.error_metrics(EV.baseline_hour_mean(tr, te)))
+
+
+LAG_MEAN = "(" + " + ".join(f"lag_{k}" for k in range(1, 29)) + ") / 28.0"
+MODELS_SQL = f"""
+SELECT model_name, round(avg(abs(total_trips - p)), 6) AS mae, round(sqrt(avg(pow(total_trips - p, 2))), 6) AS rmse,
+       round(sum(abs(total_trips - p)) / nullif(sum(total_trips), 0) * 100, 6) AS wmape, count(*) AS n
+FROM (SELECT 'hour_mean' AS model_name, total_trips, predicted AS p FROM scored
+      UNION ALL SELECT 'persistence', total_trips, cast(lag_1 AS DOUBLE) FROM test
+      UNION ALL SELECT 'lag_mean', total_trips, {LAG_MEAN} FROM test) x
+GROUP BY model_name"""
+
+
+def _models(spark, d):
+    tr, te = _split(spark, d)
+    lag_mean = sum(F.col(f"lag_{k}") for k in range(1, 29)) / F.lit(28.0)
+    runs = [EV.error_metrics(EV.baseline_hour_mean(tr, te)).withColumn("model_name", F.lit("hour_mean")),
+            EV.error_metrics(te.withColumn("predicted", F.col("lag_1").cast("double")))
+            .withColumn("model_name", F.lit("persistence")),
+            EV.error_metrics(te.withColumn("predicted", lag_mean)).withColumn("model_name", F.lit("lag_mean"))]
+    out = runs[0].unionByName(runs[1]).unionByName(runs[2])
+    return out.select("model_name", *[r6(c).alias(c) for c in ("mae", "rmse", "wmape")], "n")
+
+
+@register("compare_runs", O.Sp(MODELS_SQL))
+def q_compare_runs(spark, d):
+    return EV.runs_table(_models(spark, d))
+
+
+@register("best_model", O.Sp(f"SELECT * FROM ({MODELS_SQL}) r ORDER BY mae, model_name LIMIT 1"))
+def q_best_model(spark, d):
+    return EV.best_model(_models(spark, d))
+
+
+@register("promote", O.Sp(f"""
+SELECT c.mae AS challenger_mae, p.mae AS champion_mae,
+       CASE WHEN p.mae IS NULL OR c.mae < p.mae THEN 'Promoted' ELSE 'Rejected' END AS promotion_status
+FROM (SELECT * FROM ({MODELS_SQL}) r WHERE model_name = 'hour_mean') c,
+     (SELECT * FROM ({MODELS_SQL}) r WHERE model_name = 'persistence') p"""))
+def q_promote(spark, d):
+    m = _models(spark, d)
+    return EV.promote(m.filter("model_name = 'hour_mean'"), m.filter("model_name = 'persistence'"))
+
+
+@register("importance_share", O.Fe("""
+SELECT feature, round_even(importance / (sum(importance) OVER ()) * 100, 1) AS share FROM (
+  SELECT * FROM (""" + " UNION ALL ".join(
+    f"SELECT '{c}' AS feature, round(abs(corr(cast({c} AS DOUBLE), cast(total_trips AS DOUBLE))), 9) AS importance "
+    f"FROM features" for c in CORR_COLS if c != "month") + """) x
+  ORDER BY importance DESC, feature LIMIT 10) t"""))
+def q_importance_share(spark, d):
+    imp = ST.corr_scan(_features(spark, d), "total_trips", [c for c in CORR_COLS if c != "month"])
+    imp = imp.select("feature", F.round(F.abs("corr"), 9).alias("importance"))
+    return EV.importance_share(imp, 10)
+
+
+# ======================================================================= drift
+DRIFT_COLS = [f"lag_{k}" for k in range(1, 29)] + ["total_trips"]
+
+
+def _long_sql():
+    parts = []
+    for c in DRIFT_COLS:
+        parts.append(f"SELECT '{c}' AS feature, cast({c} AS DOUBLE) AS v, split = 'train' AS is_ref FROM split")
+    return "long AS (" + " UNION ALL ".join(parts) + ")"
+
+
+@register("drift_ks", O.with_ctes("""
+SELECT feature, round(max(abs(cr / n_ref - cc / n_cur)), 9) AS ks_stat,
+       round(1.358 * sqrt((n_ref + n_cur) / (n_ref * n_cur)), 9) AS critical,
+       max(abs(cr / n_ref - cc / n_cur)) > 1.358 * sqrt((n_ref + n_cur) / (n_ref * n_cur)) AS drift
+FROM (SELECT feature, sum(c_ref) OVER w AS cr, sum(c_cur) OVER w AS cc,
+             sum(c_ref) OVER (PARTITION BY feature) AS n_ref, sum(c_cur) OVER (PARTITION BY feature) AS n_cur
+      FROM (SELECT feature, v, count(*) FILTER (WHERE is_ref) AS c_ref, count(*) FILTER (WHERE NOT is_ref) AS c_cur
+            FROM long GROUP BY 1, 2) dd
+      WINDOW w AS (PARTITION BY feature ORDER BY v)) x
+GROUP BY feature, n_ref, n_cur""", O.TRIPS, O.FEATURES, O.SPLIT, _long_sql()))
+def q_drift_ks(spark, d):
+    tr, te = _split(spark, d)
+    k = DR.drift_ks(tr, te, DRIFT_COLS)
+    return k.select("feature", F.round("ks_stat", 9).alias("ks_stat"), F.round("critical", 9).alias("critical"),
+                    "drift")
+
+
+@register("drift_psi", O.with_ctes("""
+SELECT feature, round(sum((a - e) * ln(a / e)), 9) AS psi, sum((a - e) * ln(a / e)) >= 0.2 AS drift FROM (
+  SELECT feature, greatest(n_ref / t_ref, 1e-6) AS e, greatest(n_cur / t_cur, 1e-6) AS a FROM (
+    SELECT feature, bin, count(*) FILTER (WHERE is_ref) AS n_ref, count(*) FILTER (WHERE NOT is_ref) AS n_cur,
+           sum(count(*) FILTER (WHERE is_ref)) OVER (PARTITION BY feature) AS t_ref,
+           sum(count(*) FILTER (WHERE NOT is_ref)) OVER (PARTITION BY feature) AS t_cur
+    FROM (SELECT l.feature, l.is_ref, len(list_filter(q.edges, lambda x: x < l.v)) AS bin
+          FROM long l JOIN (SELECT feature, quantile_cont(v, [0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9]) AS edges
+                            FROM long WHERE is_ref GROUP BY 1) q USING (feature)) b
+    GROUP BY feature, bin) c) p
+GROUP BY feature""", O.TRIPS, O.FEATURES, O.SPLIT, _long_sql()))
+def q_drift_psi(spark, d):
+    tr, te = _split(spark, d)
+    p = DR.drift_psi(tr, te, DRIFT_COLS)
+    return p.select("feature", F.round("psi", 9).alias("psi"), "drift")

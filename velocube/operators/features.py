@@ -36,9 +36,14 @@ def station_hourly(counts: DataFrame, top: DataFrame) -> DataFrame:
     ``station_hour_counts``; ``top`` the k-row top-station table (broadcast:
     bounded by k)."""
     ranked = F.broadcast(top.select("station_id", "station_rank"))
-    return (counts.filter("complete").join(ranked, "station_id", "inner")
+    # the 'complete' rule is applied inside the sum (not as a filter) so the
+    # counts subtree stays identical to the popularity branch and its
+    # exchange is reused: the trips are scanned and shuffled once.
+    total = F.sum(F.when(F.col("complete"), F.col("count")))
+    return (counts.join(ranked, "station_id", "inner")
             .groupBy("start_hour", "station_id", "station_rank")
-            .agg(F.sum("count").alias("total_trips")))
+            .agg(total.alias("total_trips"))
+            .filter(F.col("total_trips").isNotNull()))
 
 
 def build_features(trips: DataFrame, k: int = 3, n: int = schemas.N_LAGS,

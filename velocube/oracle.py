@@ -67,3 +67,62 @@ def C(body: str) -> str:
 
 def Fe(body: str) -> str:
     return with_ctes(body, TRIPS, FEATURES)
+
+
+# ---------------------------------------------------------------- forecasting
+def linear_expr(spec, lags: str = "lags", h: str = "h", d: str = "d", wk: str = "wk", m: str = "m",
+                rank: str = "cast(station_rank AS DOUBLE)") -> str:
+    """The linear model as SQL, same operation order as the Spark fold."""
+    acc = f"cast({float(spec.intercept)!r} AS DOUBLE)"
+    for k, w in enumerate(spec.lag_w, start=1):
+        acc = f"({acc} + cast({float(w)!r} AS DOUBLE) * {lags}[{k}])"
+    for w, c in ((spec.hour_w, h), (spec.dow_w, d), (spec.weekend_w, wk), (spec.month_w, m), (spec.rank_w, rank)):
+        acc = f"({acc} + cast({float(w)!r} AS DOUBLE) * {c})"
+    return f"greatest(cast(0.0 AS DOUBLE), {acc})"
+
+
+def forecast_ctes(spec, as_of: str, mode: str = "reference", horizon: int = 24, bridge: bool = False) -> str:
+    """CTEs ``st`` (last state per station) and ``fold`` (the recursive walk);
+    use with ``WITH RECURSIVE`` after TRIPS and FEATURES."""
+    lags0 = "[" + ", ".join(f"cast(lag_{k} AS DOUBLE)" for k in range(1, 29)) + "]"
+    if mode == "aligned":
+        lags0 = "[cast(total_trips AS DOUBLE), " + ", ".join(f"cast(lag_{k} AS DOUBLE)" for k in range(1, 28)) + "]"
+    t = "base + to_hours(cast(j + 1 AS BIGINT))"
+    cal_t = (f"cast(hour({t}) AS DOUBLE)", f"cast(isodow({t}) - 1 AS DOUBLE)",
+             f"CASE WHEN isodow({t}) IN (6, 7) THEN 1.0 ELSE 0.0 END", f"cast(month({t}) AS DOUBLE)")
+    pn = linear_expr(spec) if mode == "reference" else linear_expr(spec, "lags", *cal_t)
+    limit = "B" if bridge else f"B + {horizon}"
+    return f"""st AS (
+  SELECT *, greatest(G, 0) AS B, start_hour + to_hours(cast(least(G, 0) AS BIGINT)) AS base FROM (
+    SELECT *, cast(trunc(date_diff('microsecond', start_hour, TIMESTAMP '{as_of}') / 3600000000.0) AS INTEGER) AS G
+    FROM features QUALIFY row_number() OVER (PARTITION BY station_id ORDER BY start_hour DESC) = 1) s),
+fold AS (
+  SELECT station_id, station_rank, B, base, 0 AS j, {lags0} AS lags,
+         cast(hour AS DOUBLE) AS h, cast(day_of_week AS DOUBLE) AS d, cast(is_weekend AS DOUBLE) AS wk,
+         cast(month AS DOUBLE) AS m, cast(NULL AS DOUBLE) AS p
+  FROM st
+  UNION ALL
+  SELECT station_id, station_rank, B, base, j + 1, list_concat([{pn}], lags[1:27]),
+         {cal_t[0]}, {cal_t[1]}, {cal_t[2]}, {cal_t[3]}, {pn}
+  FROM fold WHERE j < {limit}),
+preds AS (
+  SELECT station_id, station_rank, j AS step, base + to_hours(cast(j AS BIGINT)) AS target_hour, p AS predicted_trips
+  FROM fold WHERE {"j >= 1 AND j <= B" if bridge else "j > B"})"""
+
+
+def forecast_sql(spec, as_of: str, body: str, mode: str = "reference", bridge: bool = False) -> str:
+    return "WITH RECURSIVE " + ",\n".join([TRIPS, FEATURES, forecast_ctes(spec, as_of, mode, bridge=bridge)]) + "\n" + body
+
+
+# ---------------------------------------------------------------- split-based evaluation
+SPLIT = """split AS (
+  SELECT *, CASE WHEN row_number() OVER (ORDER BY start_hour, station_rank) - 1 < floor(count(*) OVER () * 0.8)
+                 THEN 'train' ELSE 'test' END AS split FROM features),
+train AS (SELECT * FROM split WHERE split = 'train'),
+test AS (SELECT * FROM split WHERE split = 'test'),
+hm AS (SELECT hour, avg(total_trips) AS predicted FROM train GROUP BY hour),
+scored AS (SELECT t.*, hm.predicted FROM test t LEFT JOIN hm USING (hour))"""
+
+
+def Sp(body: str) -> str:
+    return with_ctes(body, TRIPS, FEATURES, SPLIT)
