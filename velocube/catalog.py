@@ -702,3 +702,208 @@ def q_drift_psi(spark, d):
     tr, te = _split(spark, d)
     p = DR.drift_psi(tr, te, DRIFT_COLS)
     return p.select("feature", F.round("psi", 9).alias("psi"), "drift")
+
+
+# ======================================================================= models (rows-only checks)
+import uuid  # noqa: E402
+
+from velocube import schemas  # noqa: E402
+from velocube.operators import models as M  # noqa: E402
+from velocube.plans.report import monthly_report, report_json  # noqa: E402
+from velocube.session import scratch_path  # noqa: E402
+
+GBT_ROUNDS = 10  # registered-query setting; the training plan defaults to 50
+
+
+def _gbt(spark, d):
+    tr, te = _split(spark, d)
+    model, rounds = M.train_gbt(tr, te, max_iter=GBT_ROUNDS, depth=4)
+    return model, rounds, tr, te
+
+
+@register("train_gbt")
+def q_train_gbt(spark, d):
+    from velocube.plans.training import metrics_record
+    from datetime import datetime, timezone
+    model, rounds, tr, te = _gbt(spark, d)
+    errors = EV.error_metrics(M.score(model, te, schemas.MODEL_INPUTS))
+    decision = EV.promote(errors, None)
+    split = FE.chrono_split(_features(spark, d))
+    imp = M.importances(model, schemas.MODEL_INPUTS)
+    return metrics_record(errors, decision, split, imp, rounds, len(schemas.MODEL_INPUTS),
+                          datetime.now(timezone.utc))
+
+
+@register("score")
+def q_score(spark, d):
+    model, _, _, te = _gbt(spark, d)
+    return M.score(model, te, schemas.MODEL_INPUTS).select("start_hour", "station_id", "total_trips", "predicted")
+
+
+@register("forecast_gbt")
+def q_forecast_gbt(spark, d):
+    from velocube.plans.inference import forecast_with_model
+    model, _, _, _ = _gbt(spark, d)
+    return forecast_with_model(model, _features(spark, d), AS_OF)
+
+
+@register("monthly_report")
+def q_monthly_report(spark, d):
+    clean = _clean(spark, d)
+    names = A.station_names(_trips(spark, d))
+    return report_json(monthly_report(clean, names, "202401-tripdata.csv"))
+
+
+@register("sample_head")
+def q_sample_head(spark, d):
+    return _trips(spark, d).limit(100000)
+
+
+@register("sample_n")
+def q_sample_n(spark, d):
+    """Random sample of min(10000, n) cleaned trips (seeded)."""
+    return _clean(spark, d).orderBy(F.rand(42)).limit(10000)
+
+
+# ======================================================================= sources and sinks
+TRIP_COLS = ["ride_id", "started_at", "ended_at", "member_casual", "rideable_type", "start_station_id",
+             "start_station_name", "end_station_name", "start_lat", "start_lng"]
+
+
+@register("read_trips_csv", O.T("SELECT * FROM trips"))
+def q_read_trips_csv(spark, d):
+    """Trips written as CSV (header) and scanned back with the declared schema."""
+    from velocube.sources.trips import read_trips
+    from velocube.sources.tables import write_csv
+    path = scratch_path(spark, f"trips-csv-{uuid.uuid4().hex}")
+    write_csv(_trips(spark, d), path)
+    return read_trips(spark, path).select(*TRIP_COLS)
+
+
+@register("read_trips_by_header", O.T(
+    "SELECT ride_id, started_at, ended_at, member_casual, rideable_type, start_station_id, "
+    "NULL::VARCHAR AS start_station_name, end_station_name, start_lat, start_lng FROM trips"))
+def q_read_trips_by_header(spark, d):
+    """An export without the station-name column: the name comes back as typed NULLs."""
+    from velocube.sources.trips import read_trips_by_header
+    from velocube.sources.tables import write_csv
+    path = scratch_path(spark, f"trips-csv-noname-{uuid.uuid4().hex}")
+    write_csv(_trips(spark, d).drop("start_station_name"), path)
+    return read_trips_by_header(spark, [path]).select(*TRIP_COLS)
+
+
+@register("coerce_numeric", """
+SELECT event_id, try_cast(cast(value AS VARCHAR) AS DOUBLE) AS value_s, try_cast(props AS DOUBLE) AS props,
+       try_cast(event_type AS DOUBLE) AS event_type FROM events""")
+def q_coerce_numeric(spark, d):
+    from velocube.sources.tables import coerce_numeric
+    ev = adapters.load_table(spark, d, "events")
+    return coerce_numeric(ev.select("event_id", F.col("value").cast("string").alias("value_s"), "props",
+                                    "event_type"))
+
+
+FEATURE_COLS = ["start_hour", "station_id", "total_trips", "station_rank"] + [f"lag_{k}" for k in range(1, 29)] + \
+    ["hour", "day_of_week", "is_weekend", "month"]
+
+
+@register("upsert", O.Fe("""
+SELECT start_hour, station_id, CASE WHEN day_of_week = 0 THEN total_trips + 1000 ELSE total_trips END AS total_trips,
+       station_rank, """ + O.LAG_COLS + """, hour, day_of_week, is_weekend, month FROM features
+UNION ALL
+SELECT start_hour + INTERVAL 365 DAY, station_id, total_trips, station_rank, """ + O.LAG_COLS + """,
+       hour, day_of_week, is_weekend, month FROM features WHERE hour = 3"""))
+def q_upsert(spark, d):
+    """Keyed upsert into a month-partitioned table: changed rows replace
+    their keys, new keys are added; only touched months are rewritten."""
+    from velocube.sources.tables import upsert
+    feats = _features(spark, d)
+    path = scratch_path(spark, f"features-{uuid.uuid4().hex}")
+    keyed = lambda df: df.withColumn("month_key", F.date_format("start_hour", "yyyyMM"))
+    keyed(feats).write.partitionBy("month_key").parquet(path)
+    changed = feats.filter("day_of_week = 0").withColumn("total_trips", F.col("total_trips") + 1000)
+    added = feats.filter("hour = 3").withColumn("start_hour", F.timestamp_add("DAY", F.lit(365), "start_hour"))
+    out = upsert(spark, path, keyed(changed.unionByName(added)), ["start_hour", "station_id"], "start_hour",
+                 "month_key")
+    return out.select(*FEATURE_COLS)
+
+
+@register("publish_latest", O.forecast_sql(FORECAST_SPEC, AS_OF, """
+SELECT station_id, station_rank, target_hour, round(predicted_trips, 6) AS predicted_trips,
+       TIMESTAMP '2024-02-19 13:00:00' AS prediction_generated_at FROM preds"""))
+def q_publish_latest(spark, d):
+    """Two timestamped snapshots appended; the reader sees only the newest."""
+    from velocube.sources.tables import latest, publish
+    root = scratch_path(spark, f"predictions-{uuid.uuid4().hex}")
+    pred = _forecast(spark, d)
+    publish(FC.with_generated_at(pred.withColumn("predicted_trips", F.col("predicted_trips") * 2),
+                                 "2024-02-19 12:00:00"), root)
+    publish(FC.with_generated_at(pred, "2024-02-19 13:00:00"), root)
+    out = latest(spark, root)
+    return out.select("station_id", "station_rank", F.col("target_hour").cast("timestamp_ntz").alias("target_hour"),
+                      r6("predicted_trips").alias("predicted_trips"),
+                      F.col("prediction_generated_at").cast("timestamp_ntz").alias("prediction_generated_at"))
+
+
+@register("read_stats_json", O.C("""
+SELECT count(*) AS totalTrips, round_even(avg(duration_min), 1) AS avgDuration,
+       round_even(avg(CASE WHEN member_casual = 'member' THEN 1.0 ELSE 0.0 END) * 100, 1) AS memberRatio,
+       (SELECT hour FROM clean GROUP BY hour ORDER BY count(*) DESC, hour LIMIT 1) AS peakHour,
+       (SELECT count(*) FROM (SELECT DISTINCT hour, member_casual FROM clean)) AS n_density,
+       (SELECT count(*) FROM (SELECT route FROM (SELECT coalesce(start_station_name, '') || ' → ' ||
+          coalesce(end_station_name, '') AS route FROM clean) r WHERE route <> ' → ' GROUP BY 1 LIMIT 10)) AS n_routes
+FROM clean"""))
+def q_read_stats_json(spark, d):
+    """Monthly report written as one JSON document and read back with the
+    declared schema."""
+    from velocube.sources.tables import read_json_doc, write_json_doc
+    path = scratch_path(spark, f"monthly-stats-{uuid.uuid4().hex}")
+    write_json_doc(monthly_report(_clean(spark, d), None, "202401-tripdata.csv"), path)
+    doc = read_json_doc(spark, path, schemas.MONTHLY_STATS)
+    return doc.select("summary.totalTrips", "summary.avgDuration", "summary.memberRatio", "summary.peakHour",
+                      F.size("hourlyDensity").cast("bigint").alias("n_density"),
+                      F.size("topRoutes").cast("bigint").alias("n_routes"))
+
+
+# ======================================================================= other tables (generality)
+@register("order_cube", """
+SELECT date_trunc('month', o_orderdate) AS month, o_orderpriority, o_orderstatus, count(*) AS count,
+       round(sum(o_totalprice), 2) AS revenue
+FROM orders WHERE o_orderdate IS NOT NULL AND o_orderpriority IS NOT NULL AND o_orderstatus IS NOT NULL
+GROUP BY 1, 2, 3""")
+def q_order_cube(spark, d):
+    o = adapters.load_table(spark, d, "orders")
+    keys = [F.date_trunc("month", "o_orderdate").cast("timestamp_ntz").alias("month"), "o_orderpriority",
+            "o_orderstatus"]
+    return (o.filter(F.col("o_orderdate").isNotNull() & F.col("o_orderpriority").isNotNull()
+                     & F.col("o_orderstatus").isNotNull())
+            .groupBy(*keys).agg(F.count(F.lit(1)).alias("count"), F.round(F.sum("o_totalprice"), 2).alias("revenue")))
+
+
+@register("top_parts", """
+SELECT l_partkey, sum(l_quantity) AS qty, cast(row_number() OVER (ORDER BY sum(l_quantity) DESC, l_partkey) - 1
+       AS INTEGER) AS part_rank
+FROM lineitem WHERE l_partkey IS NOT NULL GROUP BY 1 ORDER BY qty DESC, l_partkey LIMIT 10""")
+def q_top_parts(spark, d):
+    li = adapters.load_table(spark, d, "lineitem")
+    g = li.filter(F.col("l_partkey").isNotNull()).groupBy("l_partkey").agg(F.sum("l_quantity").alias("qty"))
+    return A.rank_top(A.top_k(g, "qty", "l_partkey", 10), "qty", "l_partkey", "part_rank")
+
+
+SEG_LAGS = ", ".join(f"lag(orders, {k}) OVER (PARTITION BY c_mktsegment ORDER BY day) AS lag_{k}" for k in range(1, 8))
+
+
+@register("segment_lags", f"""
+SELECT *, {SEG_LAGS} FROM (
+  SELECT c_mktsegment, date_trunc('day', o_orderdate) AS day, count(*) AS orders
+  FROM orders JOIN customer ON o_custkey = c_custkey
+  WHERE c_mktsegment IS NOT NULL AND o_orderdate IS NOT NULL GROUP BY 1, 2) s""")
+def q_segment_lags(spark, d):
+    """Daily orders per market segment with 7 lags (dimension join left to
+    the planner: AQE broadcasts the customer side only when it is small)."""
+    o = adapters.load_table(spark, d, "orders")
+    c = adapters.load_table(spark, d, "customer")
+    daily = (o.join(c, o.o_custkey == c.c_custkey)
+             .filter(F.col("c_mktsegment").isNotNull() & F.col("o_orderdate").isNotNull())
+             .groupBy("c_mktsegment", F.date_trunc("day", "o_orderdate").cast("timestamp_ntz").alias("day"))
+             .agg(F.count(F.lit(1)).alias("orders")))
+    return FE.add_lags(daily, ["c_mktsegment"], "day", "orders", 7)

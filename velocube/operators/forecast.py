@@ -203,7 +203,7 @@ def forecast_trees(state: DataFrame, arr: dict, category_maps: dict, as_of, hori
             if mode == "aligned":
                 lags = [float(r.total_trips)] + lags[:-1]
             cal = [r.hour, r.day_of_week, r.is_weekend, r.month]
-            base, B = pd.Timestamp(r._base), int(r._B)
+            base, B = pd.Timestamp(r.gap_base), int(r.gap_steps)
             for j in range(1, B + horizon + 1):
                 t = base + pd.Timedelta(hours=j)
                 tcal = [t.hour, t.weekday(), int(t.weekday() >= 5), t.month]
@@ -216,8 +216,8 @@ def forecast_trees(state: DataFrame, arr: dict, category_maps: dict, as_of, hori
                 cal = tcal
         return pd.DataFrame(rows, columns=[f.name for f in FORECAST_OUT.fields])
 
-    cols = ["station_id", "station_rank", "total_trips", "_base", "_B"] + \
-        [f"lag_{k}" for k in range(1, n + 1)] + cat_names[:-1]
+    cols = ["station_id", "station_rank", "total_trips", F.col("_base").alias("gap_base"),
+            F.col("_B").alias("gap_steps")] + [f"lag_{k}" for k in range(1, n + 1)] + cat_names[:-1]
     return s.select(*cols).groupBy("station_id").applyInPandas(run, FORECAST_OUT)
 
 

@@ -73,8 +73,15 @@ def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = (),
     w.parquet(path)
 
 
+CSV_TS_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
+
+
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    df.write.mode(mode).option("header", True).csv(path)
+    """CSV with a header; timestamps keep microseconds (Spark's default
+    writes milliseconds)."""
+    (df.write.mode(mode).option("header", True)
+       .option("timestampNTZFormat", CSV_TS_FORMAT).option("timestampFormat", CSV_TS_FORMAT)
+       .csv(path))
 
 
 def write_json_doc(doc: DataFrame, path: str) -> None:
