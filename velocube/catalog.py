@@ -907,3 +907,70 @@ def q_segment_lags(spark, d):
              .groupBy("c_mktsegment", F.date_trunc("day", "o_orderdate").cast("timestamp_ntz").alias("day"))
              .agg(F.count(F.lit(1)).alias("orders")))
     return FE.add_lags(daily, ["c_mktsegment"], "day", "orders", 7)
+
+
+# ======================================================================= streaming
+from velocube.streaming import jobs as SJ  # noqa: E402
+
+WM = "10 minutes"
+CLOSED = f"""closed AS (
+  SELECT max(started_at) - INTERVAL {WM} AS wm FROM trips
+  WHERE start_station_id IS NOT NULL AND member_casual IS NOT NULL AND rideable_type IS NOT NULL)"""
+
+
+def _stream_hourly_to(spark, d, root):
+    ev = SJ.events_stream(spark, d)
+    hourly = SJ.hourly_counts(adapters.trips_from_events(ev), WM)
+    sink = f"{root}/hourly"
+    SJ.run_available_now(hourly, None, f"{root}/ckpt-hourly",
+                         foreach_batch=SJ.upsert_sink(sink, ["start_hour", "station_id"], "start_hour"))
+    return sink
+
+
+@register("stream_hourly", O.with_ctes("""
+SELECT date_trunc('hour', started_at) AS start_hour, start_station_id AS station_id, count(*) AS total_trips
+FROM trips, closed
+WHERE start_station_id IS NOT NULL AND member_casual IS NOT NULL AND rideable_type IS NOT NULL
+  AND date_trunc('hour', started_at) + INTERVAL 1 HOUR <= wm
+GROUP BY 1, 2""", O.TRIPS, CLOSED))
+def q_stream_hourly(spark, d):
+    """Watermarked hourly window counts per station, upserted per micro-batch."""
+    root = scratch_path(spark, f"stream-{uuid.uuid4().hex}")
+    sink = _stream_hourly_to(spark, d, root)
+    return spark.read.parquet(sink).select("start_hour", "station_id", "total_trips")
+
+
+@register("stream_popularity", O.T("""
+SELECT start_station_id AS station_id, count(*) AS trips FROM trips WHERE start_station_id IS NOT NULL GROUP BY 1"""))
+def q_stream_popularity(spark, d):
+    root = scratch_path(spark, f"stream-{uuid.uuid4().hex}")
+    ev = SJ.events_stream(spark, d)
+    pop = SJ.popularity(adapters.trips_from_events(ev))
+
+    def overwrite(batch, epoch_id):
+        batch.write.mode("overwrite").parquet(f"{root}/popularity")
+    SJ.run_available_now(pop, None, f"{root}/ckpt-pop", mode="complete", foreach_batch=overwrite)
+    return spark.read.parquet(f"{root}/popularity")
+
+
+STREAM_LAGS = ", ".join(f"lag(total_trips, {k}) OVER (PARTITION BY station_id ORDER BY start_hour) AS lag_{k}"
+                        for k in range(1, 29))
+
+
+@register("stream_lags", O.with_ctes(f"""
+SELECT * FROM (SELECT *, {STREAM_LAGS} FROM hourly) l WHERE {O.LAG_NN}""", O.TRIPS, CLOSED, """hourly AS (
+  SELECT date_trunc('hour', started_at) AS start_hour, start_station_id AS station_id, count(*) AS total_trips
+  FROM trips, closed
+  WHERE start_station_id IS NOT NULL AND member_casual IS NOT NULL AND rideable_type IS NOT NULL
+    AND date_trunc('hour', started_at) + INTERVAL 1 HOUR <= wm
+  GROUP BY 1, 2)"""))
+def q_stream_lags(spark, d):
+    """Second stage: the hourly table is read as a file stream and a
+    per-station state of the last 28 counts emits feature rows."""
+    root = scratch_path(spark, f"stream-{uuid.uuid4().hex}")
+    sink = _stream_hourly_to(spark, d, root)
+    hourly = (spark.readStream.schema(spark.read.parquet(sink).schema).parquet(sink)
+              .select("start_hour", "station_id", "total_trips"))
+    lags = SJ.rolling_lags(hourly)
+    SJ.run_available_now(lags, f"{root}/lags", f"{root}/ckpt-lags")
+    return spark.read.parquet(f"{root}/lags")
