@@ -78,7 +78,9 @@ def chrono_split(df: DataFrame, order: Sequence[str] = ("start_hour", "station_r
     rows are 'train', the rest 'test'.  The global position comes from the
     distributed rank (no single-task sort)."""
     ranked = with_global_rank(df, list(order), rank_col="_pos")
-    n = df.agg(F.floor(F.count(F.lit(1)) * F.lit(frac)).alias("_cut"))
+    # n = max position + 1, read from the (checkpointed) ranked rows rather
+    # than by recomputing the input
+    n = ranked.agg(F.floor((F.max("_pos") + 1) * F.lit(frac)).alias("_cut"))
     return (attach_group_stats(ranked, n, [])
             .withColumn(col, F.when(F.col("_pos") < F.col("_cut"), "train").otherwise("test"))
             .drop("_pos", "_cut"))

@@ -128,7 +128,8 @@ def exact_quantiles(df: DataFrame, value: str, qs: Sequence[float],
     dist = (df.filter(v.isNotNull()).groupBy(*g, value)
             .agg(F.count(F.lit(1)).alias("_vc_c")))
     cum = prefix_sums(dist, [value], ["_vc_c"], g, num_partitions)
-    n = dist.groupBy(*g).agg(F.sum("_vc_c").alias("_vc_n"))
+    # group sizes from the running counts (materialised input, no recompute)
+    n = cum.groupBy(*g).agg(F.max("_vc_c_cum").alias("_vc_n"))
     rows = attach_group_stats(cum, n, g)
     lo = F.col("_vc_c_cum") - F.col("_vc_c")
     hi = F.col("_vc_c_cum") - 1
