@@ -26,22 +26,20 @@ def _typed(raw: DataFrame) -> DataFrame:
 
 
 def read_trips(spark: SparkSession, paths: str | Sequence[str],
-               cols: Sequence[str] | None = None,
-               optional: Sequence[str] = ("start_station_name", "end_station_name",
-                                          "start_lat", "start_lng", "ride_id")) -> DataFrame:
-    """Scan trip CSVs with a declared schema.
-
-    Columns are bound by header name, so files that lack an optional column
-    (older exports) yield typed NULLs for it instead of failing; the scan is a
-    single distributed read over all files.
+               cols: Sequence[str] | None = None) -> DataFrame:
+    """Scan trip CSVs sharing one header layout in a single distributed read.
+
+    Columns are bound by header name (every value read as text, no schema
+    inference pass), so column order may differ from the declared schema;
+    wanted columns missing from the header become typed NULLs.  Text is
+    typed afterwards and unparsable values become NULL.  Exports whose
+    layouts differ from each other go through ``read_trips_by_header``.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
-    raw = (spark.read
-           .option("header", True)
-           .option("enforceSchema", False)   # bind by header name, not position
-           .option("mode", "PERMISSIVE")
-           .schema(schemas.TRIPS_RAW)
-           .csv(paths))
+    raw = spark.read.option("header", True).option("mode", "PERMISSIVE").csv(paths)
+    present = set(raw.columns)
+    raw = raw.select(*[F.col(f.name) if f.name in present else F.lit(None).cast("string").alias(f.name)
+                       for f in schemas.TRIPS_RAW.fields])
     df = _typed(raw)
     if cols:
         df = df.select(*cols)
