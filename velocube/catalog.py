@@ -974,3 +974,58 @@ def q_stream_lags(spark, d):
     lags = SJ.rolling_lags(hourly)
     SJ.run_available_now(lags, f"{root}/lags", f"{root}/ckpt-lags")
     return spark.read.parquet(f"{root}/lags")
+
+
+# ======================================================================= remaining small operators
+@register("time_labels", O.T("""
+SELECT DISTINCT date_trunc('hour', started_at) AS start_hour,
+       strftime(date_trunc('hour', started_at), '%I:%M %p') AS label_12h,
+       strftime(date_trunc('hour', started_at), '%I %p') AS label_hour,
+       strftime(date_trunc('hour', started_at), '%Y-%m-%dT%H:%M:%SZ') AS label_iso,
+       strftime(date_trunc('hour', started_at), '%Y%m%d_%H%M') AS label_stamp FROM trips"""))
+def q_time_labels(spark, d):
+    h = _trips(spark, d).select(VF.hour_bucket("started_at").alias("start_hour")).distinct()
+    return h.select("start_hour", VF.time_label("start_hour", "12h").alias("label_12h"),
+                    VF.time_label("start_hour", "hour").alias("label_hour"),
+                    VF.time_label("start_hour", "iso_z").alias("label_iso"),
+                    VF.time_label("start_hour", "stamp").alias("label_stamp"))
+
+
+@register("nonzero_coords", O.C("""
+SELECT start_station_name, start_lat AS lat, start_lng AS lng, count(*) AS count FROM clean
+WHERE start_station_name IS NOT NULL AND start_lat IS NOT NULL AND start_lng IS NOT NULL
+  AND start_lat <> 0 AND start_lng <> 0 GROUP BY 1, 2, 3"""))
+def q_nonzero_coords(spark, d):
+    g = A.geo_points(_clean(spark, d)).select("start_station_name", F.col("start_lat").alias("lat"),
+                                              F.col("start_lng").alias("lng"), "count")
+    return CL.nonzero_coords(g)
+
+
+@register("hour_mean", O.Fe("SELECT hour, round(avg(total_trips), 6) AS hour_mean FROM features GROUP BY 1"))
+def q_hour_mean(spark, d):
+    return A.hour_mean(_features(spark, d)).select("hour", r6("hour_mean").alias("hour_mean"))
+
+
+@register("volume_series", O.Fe("SELECT start_hour, sum(total_trips)::BIGINT AS total_trips FROM series GROUP BY 1"))
+def q_volume_series(spark, d):
+    counts = A.station_hour_counts(_trips(spark, d))
+    pop = counts.groupBy("station_id").agg(F.sum("count").alias("trips"))
+    s = FE.station_hourly(counts, A.top_stations(pop, 3))
+    return A.rollup_sum(s, ["start_hour"], "total_trips", "total_trips").orderBy("start_hour")
+
+
+@register("train_gbt_lags")
+def q_train_gbt_lags(spark, d):
+    """Lag-only regressor (no calendar inputs), scored on the test split."""
+    tr, te = _split(spark, d)
+    model, _ = M.train_gbt(tr, None, cats=(), max_iter=GBT_ROUNDS, depth=4, early_stop=False)
+    return EV.error_metrics(M.score(model, te, schemas.LAG_COLS))
+
+
+@register("train_reduced")
+def q_train_reduced(spark, d):
+    """Feature-reduced regressor on the 10 most important lags."""
+    tr, te = _split(spark, d)
+    full, _ = M.train_gbt(tr, None, cats=(), max_iter=GBT_ROUNDS, depth=4, early_stop=False)
+    reduced, keep = M.train_reduced(full, tr, None, 10, max_iter=GBT_ROUNDS, depth=4)
+    return EV.error_metrics(M.score(reduced, te, keep)).withColumn("features", F.lit(",".join(keep)))

@@ -105,3 +105,16 @@ def ensemble_nodes(model: PipelineModel) -> tuple[list[dict], list[float], dict]
         for j, m in idx[0].categoryMaps.items():
             cat_maps[n_lags + j] = {float(k): float(v) for k, v in m.items()}
     return nodes, list(gbt.treeWeights), cat_maps
+
+
+def train_reduced(model: PipelineModel, train: DataFrame, valid: DataFrame | None = None, k: int = 10,
+                  candidates: Sequence[str] = schemas.LAG_COLS, y: str = "total_trips",
+                  max_iter: int = 50, depth: int = 5, seed: int = 42) -> tuple[PipelineModel, list[str]]:
+    """Refit on the ``k`` most important of ``candidates`` (importances of
+    a fitted model whose first inputs are the lags, in order)."""
+    imp = model.stages[-1].featureImportances.toArray().tolist()
+    ranked = sorted(range(len(candidates)), key=lambda i: (-imp[i], i))[:k]
+    keep = [candidates[i] for i in sorted(ranked)]
+    reduced, _ = train_gbt(train, valid, lags=keep, cats=(), y=y, max_iter=max_iter, depth=depth, seed=seed,
+                           early_stop=False)
+    return reduced, keep
