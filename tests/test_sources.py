@@ -46,7 +46,7 @@ def test_zip_skips_macosx(spark):
     with zipfile.ZipFile(buf, "w") as zf:
         zf.writestr("__MACOSX/._a.csv", "garbage")
         zf.writestr("a.csv", HEADER + "\n" + ROW + "\n")
-    with open(os.path.join(d, "202401-citibike-tripdata.zip"), "wb") as f:
+    with open(os.path.join(d, "202401-tripdata.zip"), "wb") as f:
         f.write(buf.getvalue())
     rows = read_trip_archives(spark, d).collect()
     assert len(rows) == 1 and rows[0].ride_id == "r1" and rows[0].start_lng == -74.0

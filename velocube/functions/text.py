@@ -39,5 +39,5 @@ def short_label(s, max_len: int = LABEL_MAX, keep: int = LABEL_KEEP) -> Column:
 
 
 def month_from_path(path) -> Column:
-    """'yyyyMM' taken from a file name such as '202401-citibike-tripdata.csv'."""
+    """'yyyyMM' taken from a file name such as '202401-tripdata.csv'."""
     return F.regexp_extract(col(path), r"(\d{6})[^/]*$", 1)
