@@ -71,3 +71,16 @@ def test_parse_ts_lenient(spark):
     df = spark.createDataFrame([("2024-01-01 10:00:00",), ("bad",)], "s string")
     out = [r.t for r in df.select(VF.parse_ts("s").alias("t")).collect()]
     assert out == [datetime(2024, 1, 1, 10), None]
+
+
+def test_hour_bucket_ignores_session_zone(spark):
+    """Wall-clock buckets must not move with the session zone (DST gap hour)."""
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        df = spark.createDataFrame([(datetime(2024, 3, 10, 2, 30),)], "ts timestamp_ntz")
+        r = df.select(VF.hour_bucket("ts").alias("h"), VF.trunc_ntz("ts", "day").alias("d"),
+                      VF.trunc_ntz("ts", "month").alias("m")).first()
+        assert r.h == datetime(2024, 3, 10, 2) and r.d == datetime(2024, 3, 10) and r.m == datetime(2024, 3, 1)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)

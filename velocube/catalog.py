@@ -872,7 +872,7 @@ FROM orders WHERE o_orderdate IS NOT NULL AND o_orderpriority IS NOT NULL AND o_
 GROUP BY 1, 2, 3""")
 def q_order_cube(spark, d):
     o = adapters.load_table(spark, d, "orders")
-    keys = [F.date_trunc("month", "o_orderdate").cast("timestamp_ntz").alias("month"), "o_orderpriority",
+    keys = [VF.trunc_ntz("o_orderdate", "month").alias("month"), "o_orderpriority",
             "o_orderstatus"]
     return (o.filter(F.col("o_orderdate").isNotNull() & F.col("o_orderpriority").isNotNull()
                      & F.col("o_orderstatus").isNotNull())
@@ -904,7 +904,7 @@ def q_segment_lags(spark, d):
     c = adapters.load_table(spark, d, "customer")
     daily = (o.join(c, o.o_custkey == c.c_custkey)
              .filter(F.col("c_mktsegment").isNotNull() & F.col("o_orderdate").isNotNull())
-             .groupBy("c_mktsegment", F.date_trunc("day", "o_orderdate").cast("timestamp_ntz").alias("day"))
+             .groupBy("c_mktsegment", VF.trunc_ntz("o_orderdate", "day").alias("day"))
              .agg(F.count(F.lit(1)).alias("orders")))
     return FE.add_lags(daily, ["c_mktsegment"], "day", "orders", 7)
 

@@ -25,9 +25,20 @@ def duration_min(start, end) -> Column:
     return F.timestamp_diff("MICROSECOND", col(start), col(end)) / F.lit(60000000.0)
 
 
+def trunc_ntz(ts, unit: str = "hour") -> Column:
+    """Floor a wall-clock timestamp to 'hour', 'day' or 'month' as
+    TIMESTAMP_NTZ, built from its fields so the session time zone (and its
+    DST gaps) never enters."""
+    t = col(ts)
+    zero = F.lit(0)
+    day = F.lit(1) if unit == "month" else F.dayofmonth(t)
+    hour = F.hour(t) if unit == "hour" else zero
+    return F.make_timestamp_ntz(F.year(t), F.month(t), day, hour, zero, zero)
+
+
 def hour_bucket(ts) -> Column:
     """Floor to the hour, result TIMESTAMP_NTZ."""
-    return F.date_trunc("hour", col(ts)).cast("timestamp_ntz")
+    return trunc_ntz(ts, "hour")
 
 
 def hour_of_day(ts) -> Column:

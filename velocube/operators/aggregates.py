@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window, functions as F
 
 from velocube.functions import bin_label, duration_bin, hour_bucket, route, route_strict
+from velocube.functions.text import ROUTE_SEP, ROUTE_SEP_STRICT
 from velocube.functions import round_py
 
 
@@ -94,12 +95,11 @@ def duration_hist(clean: DataFrame, width: int = 5, cap: int = 60) -> DataFrame:
 def route_counts(clean: DataFrame, strict: bool = False, sep: str | None = None) -> DataFrame:
     """Counts per route.  Default: a missing end becomes '' and only routes
     missing both ends are dropped; ``strict``: any missing end drops the row."""
+    a, b = "start_station_name", "end_station_name"
     if strict:
-        r = route_strict("start_station_name", "end_station_name", *( [sep] if sep else []))
-        return value_counts(clean.withColumn("route", r), "route")
-    r = route("start_station_name", "end_station_name", *([sep] if sep else []))
-    empty = (sep or " → ")
-    return value_counts(clean.withColumn("route", r).filter(F.col("route") != empty), "route")
+        return value_counts(clean.withColumn("route", route_strict(a, b, sep or ROUTE_SEP_STRICT)), "route")
+    sep = sep or ROUTE_SEP
+    return value_counts(clean.withColumn("route", route(a, b, sep)).filter(F.col("route") != sep), "route")
 
 
 def top_routes(clean: DataFrame, n: int = 10) -> DataFrame:

@@ -59,6 +59,6 @@ def importance_share(importances: DataFrame, k: int = 10, feature: str = "featur
     return top.select(feature, round_py(F.col(value) / denom * 100, 1).alias("share"))
 
 
-def runs_table(models: DataFrame, version_col: str = "version") -> DataFrame:
-    """Comparison table of evaluated models (O-M15 shape)."""
+def runs_table(models: DataFrame) -> DataFrame:
+    """Comparison table of evaluated models, best first."""
     return models.orderBy("mae", "model_name")

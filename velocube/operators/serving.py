@@ -6,7 +6,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from velocube.functions import round_js, to_eastern
+from velocube.functions import hour_bucket, round_js, to_eastern
 from velocube.operators.ordering import attach_group_stats
 
 RUSH_FACTOR = 1.25  # fixed value: rush = demand above 1.25 x the mean
@@ -34,7 +34,7 @@ def upcoming(df: DataFrame, as_of, ts: str = "target_hour", n: int = 24, floor_h
     The fallback is a top-n (bounded), the emptiness test a one-row aggregate."""
     now = F.lit(as_of).cast("timestamp_ntz") if not isinstance(as_of, Column) else as_of
     if floor_hour:
-        now = F.date_trunc("hour", now).cast("timestamp_ntz")
+        now = hour_bucket(now)
     future = df.filter(F.col(ts) >= now)
     flag = df.agg(F.max((F.col(ts) >= now).cast("int")).alias("_any"))
     tail = df.orderBy(F.col(ts).desc()).limit(n)
