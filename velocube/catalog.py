@@ -839,9 +839,9 @@ def q_publish_latest(spark, d):
                                  "2024-02-19 12:00:00"), root)
     publish(FC.with_generated_at(pred, "2024-02-19 13:00:00"), root)
     out = latest(spark, root)
-    return out.select("station_id", "station_rank", F.col("target_hour").cast("timestamp_ntz").alias("target_hour"),
+    return out.select("station_id", "station_rank", VF.as_naive("target_hour").alias("target_hour"),
                       r6("predicted_trips").alias("predicted_trips"),
-                      F.col("prediction_generated_at").cast("timestamp_ntz").alias("prediction_generated_at"))
+                      VF.as_naive("prediction_generated_at").alias("prediction_generated_at"))
 
 
 @register("read_stats_json", O.C("""

@@ -69,7 +69,8 @@ def as_utc(ts) -> Column:
 
 
 def as_naive(ts) -> Column:
-    """Drop the zone of a TIMESTAMP, keeping its UTC wall clock."""
+    """TIMESTAMP instant -> its UTC wall clock as TIMESTAMP_NTZ (whatever the
+    session zone)."""
     return F.convert_timezone(F.current_timezone(), F.lit("UTC"), col(ts).cast("timestamp_ntz"))
 
 
