@@ -86,3 +86,12 @@ def test_coerce_numeric(spark):
     df = spark.createDataFrame([("1.5", "x", 2)], "a string, b string, c int")
     r = tables.coerce_numeric(df).first()
     assert r.a == 1.5 and r.b is None and r.c == 2
+
+
+def test_upsert_unpartitioned_table(spark):
+    path = os.path.join(_tmp(), "flat")
+    s = "k string, v long, t timestamp_ntz"
+    tables.upsert(spark, path, spark.createDataFrame([("a", 1, datetime(2024, 1, 1))], s), ["k"], "t", None)
+    out = tables.upsert(spark, path, spark.createDataFrame([("a", 2, datetime(2024, 1, 2)),
+                                                            ("b", 3, datetime(2024, 1, 2))], s), ["k"], "t", None)
+    assert sorted((r.k, r.v) for r in out.collect()) == [("a", 2), ("b", 3)]

@@ -44,6 +44,8 @@ def train_gbt(train: DataFrame, valid: DataFrame | None = None,
               y: str = "total_trips", max_iter: int = 50, step: float = 0.05, depth: int = 5,
               seed: int = 42, early_stop: bool = True) -> tuple[PipelineModel, int]:
     """Fit the boosted-tree pipeline; returns (model, rounds kept)."""
+    from velocube.session import checkpoint_dir
+    checkpoint_dir(train.sparkSession)  # lets the boosting loop cut lineage every 10 rounds
     cols = list(lags) + list(cats)
     tr = cast_inputs(train, cols, y)
     gbt = GBTRegressor(featuresCol="features", labelCol=y, maxIter=max_iter, stepSize=step,

@@ -3,6 +3,7 @@ latest-pointer publishing, month selection."""
 from __future__ import annotations
 
 import os
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
@@ -94,9 +95,10 @@ def upsert(spark: SparkSession, target_path: str, new: DataFrame, keys: Sequence
            event_time: str, partition_col: str | None = "month_key") -> DataFrame:
     """Keyed upsert into a Parquet table: the newer row of a key wins.
 
-    Only partitions touched by ``new`` are rewritten (dynamic partition
-    overwrite).  The touched slice of the old table is first materialised in
-    the shared checkpoint folder, so the job never reads the files it is
+    With ``partition_col`` only the partitions touched by ``new`` are
+    rewritten (dynamic partition overwrite); without it the table is
+    rewritten whole.  The old rows being replaced are first materialised in
+    the shared checkpoint folder, so the job never reads files it is
     overwriting and survives executor loss.
     """
     if partition_col and partition_col not in new.columns:
@@ -104,24 +106,24 @@ def upsert(spark: SparkSession, target_path: str, new: DataFrame, keys: Sequence
     new = new.withColumn("_src", F.lit(1))
     try:
         old = spark.read.parquet(target_path)
-        exists = True
-    except Exception:  # first write
-        exists = False
-    if exists:
-        touched = new.select(partition_col).distinct()
-        old_slice = old.join(touched, partition_col, "left_semi").withColumn("_src", F.lit(0))
-        stage = scratch_path(spark, f"upsert-{abs(hash((target_path, id(new))))}")
-        old_slice.write.mode("overwrite").parquet(stage)
-        old_slice = spark.read.parquet(stage)
-        both = old_slice.unionByName(new, allowMissingColumns=True)
+    except Exception:  # noqa: BLE001 - first write: no table yet
+        old = None
+    if old is not None:
+        if partition_col:
+            old = old.join(new.select(partition_col).distinct(), partition_col, "left_semi")
+        stage = scratch_path(spark, f"upsert-stage-{uuid.uuid4().hex}")
+        old.withColumn("_src", F.lit(0)).write.parquet(stage)
+        both = spark.read.parquet(stage).unionByName(new, allowMissingColumns=True)
     else:
         both = new
+    # keys are (nearly) unique: each window partition holds at most the old
+    # and the new row of one key
     w = Window.partitionBy(*keys).orderBy(F.col("_src").desc())
-    merged = (both.withColumn("_rn", F.row_number().over(w))
-              .filter("_rn = 1").drop("_rn", "_src"))
-    (merged.write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic")
-     .partitionBy(partition_col).parquet(target_path))
+    merged = both.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn", "_src")
+    writer = merged.write.mode("overwrite")
+    if partition_col:
+        writer = writer.option("partitionOverwriteMode", "dynamic").partitionBy(partition_col)
+    writer.parquet(target_path)
     return spark.read.parquet(target_path)
 
 
