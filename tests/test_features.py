@@ -78,3 +78,27 @@ def test_distributed_lags_cross_blocks(spark):
     for k in (1, 5):
         exp = pdf["y"].shift(k)
         assert ((out[f"lag_{k}"].isna() & exp.isna()) | (out[f"lag_{k}"] == exp)).all()
+
+
+def test_rank_keeps_null_group(spark):
+    pdf = pd.DataFrame({"g": [None, None, "a", "a", None], "v": [3.0, 1.0, 2.0, 1.0, 2.0]})
+    out = with_global_rank(spark.createDataFrame(pdf, "g string, v double"), ["v"], ["g"]).toPandas()
+    assert len(out) == 5
+    assert sorted(out[out.g.isna()].row_idx.tolist()) == [0, 1, 2]
+
+
+from hypothesis import given, settings, strategies as st  # noqa: E402
+
+
+@settings(max_examples=8, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from(["hot", "hot", "hot", "x", "y"]), st.integers(0, 30)),
+                min_size=1, max_size=120),
+       st.sampled_from([0.0, 0.25, 0.5, 0.9, 1.0]))
+def test_exact_quantiles_property(spark, rows, q):
+    pdf = pd.DataFrame(rows, columns=["g", "v"]).astype({"v": float})
+    out = exact_quantiles(spark.createDataFrame(pdf), "v", [q], ["g"], num_partitions=3).toPandas()
+    exp = pdf.groupby("g")["v"].quantile(q)
+    got = out.set_index("g")["q0"]
+    assert set(got.index) == set(exp.index)
+    for g in exp.index:
+        assert abs(got[g] - exp[g]) < 1e-9

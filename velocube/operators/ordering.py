@@ -55,9 +55,11 @@ def prefix_sums(df: DataFrame, order_cols: Sequence[str], sum_cols: Sequence[str
     totals = r.groupBy(*part, _PID).agg(*[F.sum(c).alias(f"_tot_{c}") for c in sum_cols])
     w_off = (Window.partitionBy(*part).orderBy(_PID)
              .rowsBetween(Window.unboundedPreceding, -1))
-    offsets = totals.select(*part, _PID, *[
+    offsets = totals.select(*[F.col(c).alias(f"_o_{c}") for c in part], F.col(_PID).alias("_o_pid"), *[
         F.coalesce(F.sum(f"_tot_{c}").over(w_off), F.lit(0)).alias(f"_off_{c}") for c in sum_cols])
-    out = local.join(offsets, part + [_PID], "inner")
+    # null-safe keys: a NULL group is a group too
+    cond = [local[c].eqNullSafe(offsets[f"_o_{c}"]) for c in part] + [local[_PID] == offsets["_o_pid"]]
+    out = local.join(offsets, cond, "inner")
     return out.select(*df.columns, *[
         (F.col(f"_off_{c}") + F.col(f"_loc_{c}")).alias(f"{c}{suffix}") for c in sum_cols])
 
