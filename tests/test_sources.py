@@ -95,3 +95,36 @@ def test_upsert_unpartitioned_table(spark):
     out = tables.upsert(spark, path, spark.createDataFrame([("a", 2, datetime(2024, 1, 2)),
                                                             ("b", 3, datetime(2024, 1, 2))], s), ["k"], "t", None)
     assert sorted((r.k, r.v) for r in out.collect()) == [("a", 2), ("b", 3)]
+
+
+def test_month_from_file_name(spark):
+    from velocube.functions import month_from_path
+    d = _tmp()
+    with open(os.path.join(d, "202403-tripdata.csv"), "w") as f:
+        f.write(HEADER + "\n" + ROW + "\n")
+    r = spark.read.option("header", True).csv(d).select(
+        month_from_path(F.col("_metadata.file_path")).alias("m")).first()
+    assert r.m == "202403"
+
+
+def test_zip_all_members(spark):
+    d = _tmp()
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w") as zf:
+        zf.writestr("a.csv", HEADER + "\n" + ROW + "\n")
+        zf.writestr("b.csv", HEADER + "\n" + ROW.replace("r1,", "r2,") + "\n")
+    with open(os.path.join(d, "202402-tripdata.zip"), "wb") as f:
+        f.write(buf.getvalue())
+    assert read_trip_archives(spark, d).count() == 1
+    assert sorted(r.ride_id for r in read_trip_archives(spark, d, all_members=True).collect()) == ["r1", "r2"]
+
+
+def test_versioned_features_and_predictions_by_name(spark):
+    root = _tmp()
+    df = spark.createDataFrame([(1.5, datetime(2024, 1, 1, 1), "S1", 0, datetime(2024, 1, 1))],
+                               "predicted_trips double, target_hour timestamp, station_id string, "
+                               "station_rank int, prediction_generated_at timestamp")
+    df.write.parquet(os.path.join(root, "v=2"))
+    assert tables.load_features(spark, root, 2).count() == 1
+    p = tables.read_predictions(spark, os.path.join(root, "v=2"))
+    assert p.columns[:4] == ["station_id", "station_rank", "target_hour", "predicted_trips"]
