@@ -97,10 +97,17 @@ def upsert_sink(path: str, keys: Sequence[str], event_time: str, partition_col:
     return write
 
 
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
 def run_available_now(stream: DataFrame, sink_path: str, checkpoint: str, mode: str = "append",
-                      foreach_batch=None, fmt: str = "parquet") -> None:
+                      foreach_batch=None, fmt: str = "parquet", rocksdb: bool = True) -> None:
     """Process everything available, then stop (idempotent restarts from
-    the checkpoint)."""
+    the checkpoint).  State lives in RocksDB (off-heap, spills to local
+    disk, snapshots to the checkpoint) rather than on the executor heap; the
+    provider is recorded in the checkpoint, so restarts keep it."""
+    if rocksdb:
+        stream.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     w = stream.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).trigger(availableNow=True)
     if foreach_batch is not None:
         q = w.foreachBatch(foreach_batch).start()
