@@ -1029,3 +1029,27 @@ def q_train_reduced(spark, d):
     full, _ = M.train_gbt(tr, None, cats=(), max_iter=GBT_ROUNDS, depth=4, early_stop=False)
     reduced, keep = M.train_reduced(full, tr, None, 10, max_iter=GBT_ROUNDS, depth=4)
     return EV.error_metrics(M.score(reduced, te, keep)).withColumn("features", F.lit(",".join(keep)))
+
+
+BRONZE_AS_OF = "2024-02-15"
+
+
+@register("bronze_last_months", O.T("""
+SELECT strftime(started_at, '%Y%m') AS ym, start_station_id, count(*) AS trips,
+       round(sum(date_diff('microsecond', started_at, ended_at) / cast(60000000 AS DOUBLE)), 6) AS minutes
+FROM trips WHERE strftime(started_at, '%Y%m') IN (""" + ", ".join(
+    f"'{m}'" for m in __import__("velocube.sources.tables", fromlist=["x"]).months_before(BRONZE_AS_OF, 12))
+    + """) AND start_station_id IS NOT NULL AND member_casual = 'member'
+GROUP BY 1, 2"""))
+def q_bronze_last_months(spark, d):
+    """Trips landed once as month-partitioned Parquet, then the last 12
+    months before ``as_of`` read back with partition pruning and a pushed
+    filter (member trips per station and month)."""
+    from velocube.sources.tables import months_before, read_bronze, write_bronze
+    path = scratch_path(spark, f"bronze-{uuid.uuid4().hex}")
+    write_bronze(_trips(spark, d), path)
+    t = read_bronze(spark, path, months_before(BRONZE_AS_OF, 12))
+    t = t.filter((F.col("member_casual") == "member") & F.col("start_station_id").isNotNull())
+    return t.groupBy("ym", "start_station_id").agg(
+        F.count(F.lit(1)).alias("trips"),
+        r6(F.sum(VF.duration_min("started_at", "ended_at"))).alias("minutes"))

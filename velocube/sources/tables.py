@@ -145,3 +145,35 @@ def latest(spark: SparkSession, root: str) -> DataFrame:
     snaps = spark.read.parquet(root)
     newest = snaps.agg(F.max("generated_at").alias("generated_at"))
     return snaps.join(F.broadcast(newest), "generated_at", "left_semi")  # 1-row side
+
+
+# ---------------------------------------------------------------- bronze layout
+def months_before(as_of: str, n: int = 12) -> list[str]:
+    """The ``n`` whole months before ``as_of`` ('yyyy-mm-dd...') as 'yyyyMM',
+    newest first - pure calendar arithmetic, so it can become a literal
+    partition filter."""
+    y, m = int(as_of[:4]), int(as_of[5:7])
+    out = []
+    for _ in range(n):
+        m -= 1
+        if m == 0:
+            y, m = y - 1, 12
+        out.append(f"{y:04d}{m:02d}")
+    return out
+
+
+def write_bronze(trips: DataFrame, path: str, ts: str = "started_at") -> None:
+    """Land trips once as Parquet partitioned by month ('ym'); later scans
+    prune months and push filters into the files."""
+    (trips.withColumn("ym", F.coalesce(F.date_format(F.col(ts), "yyyyMM"), F.lit("unknown")))
+          .write.mode("overwrite").partitionBy("ym").parquet(path))
+
+
+def read_bronze(spark: SparkSession, path: str, months: Sequence[str] | None = None) -> DataFrame:
+    """Bronze trips with the declared schema ('ym' stays text, no partition
+    type inference); ``months`` becomes a partition filter (only those
+    folders are listed and read)."""
+    from velocube import schemas
+    schema = T.StructType(schemas.TRIPS.fields + [T.StructField("ym", T.StringType())])
+    df = spark.read.schema(schema).parquet(path)
+    return df.filter(F.col("ym").isin(list(months))) if months else df
