@@ -112,24 +112,24 @@ def attach_group_stats(df: DataFrame, stats: DataFrame, group_cols: Sequence[str
               .join(F.broadcast(stats.withColumn(k, F.lit(0))), k, "inner").drop(k))
 
 
-def exact_quantiles(df: DataFrame, value: str, qs: Sequence[float],
-                    group_cols: Sequence[str] = (), num_partitions: int | None = None,
-                    names: Sequence[str] | None = None) -> DataFrame:
-    """Exact linearly interpolated quantiles (NumPy/pandas 'linear', DuckDB
-    ``quantile_cont``, Spark ``percentile``) per group, without gathering a
-    group into one task.
+def value_rank_table(df: DataFrame, value: str, group_cols: Sequence[str] = (),
+                     num_partitions: int | None = None) -> DataFrame:
+    """Distinct (group, value) with ``_vc_c`` = count and ``_vc_c_cum`` =
+    running count in value order (the value covers 0-based ranks
+    [cum - c, cum - 1]).  Duplicates collapse map-side; the result is
+    materialised (``prefix_sums``), so several statistics can read it
+    without rescanning the input."""
+    g = list(group_cols)
+    dist = (df.filter(F.col(value).isNotNull()).groupBy(*g, value)
+            .agg(F.count(F.lit(1)).alias("_vc_c")))
+    return prefix_sums(dist, [value], ["_vc_c"], g, num_partitions)
 
-    Values collapse map-side to (group, value, count); running counts give
-    every distinct value its 0-based rank range [cum-c, cum-1]; each distinct
-    value row looks up its group's target ranks (one stats row per group) and
-    a distributed aggregate picks the values at floor/ceil of q*(n-1).
-    """
+
+def quantiles_from_ranks(cum: DataFrame, value: str, qs: Sequence[float], group_cols: Sequence[str] = (),
+                         names: Sequence[str] | None = None) -> DataFrame:
     g = list(group_cols)
     names = list(names or [f"q{i}" for i in range(len(qs))])
     v = F.col(value)
-    dist = (df.filter(v.isNotNull()).groupBy(*g, value)
-            .agg(F.count(F.lit(1)).alias("_vc_c")))
-    cum = prefix_sums(dist, [value], ["_vc_c"], g, num_partitions)
     # group sizes from the running counts (materialised input, no recompute)
     n = cum.groupBy(*g).agg(F.max("_vc_c_cum").alias("_vc_n"))
     rows = attach_group_stats(cum, n, g)
@@ -146,3 +146,16 @@ def exact_quantiles(df: DataFrame, value: str, qs: Sequence[float],
     return picked.select(*g, *[
         (F.col(f"_v0_{i}") + (F.col(f"_v1_{i}") - F.col(f"_v0_{i}")) * F.col(f"_fr_{i}")).alias(names[i])
         for i in range(len(qs))])
+
+
+def exact_quantiles(df: DataFrame, value: str, qs: Sequence[float],
+                    group_cols: Sequence[str] = (), num_partitions: int | None = None,
+                    names: Sequence[str] | None = None) -> DataFrame:
+    """Exact linearly interpolated quantiles (NumPy/pandas 'linear', DuckDB
+    ``quantile_cont``, Spark ``percentile``) per group, without gathering a
+    group into one task: the distinct-value rank table gives every value its
+    rank range, each value row looks up its group's target ranks (one stats
+    row per group) and a distributed aggregate picks the values at
+    floor/ceil of q*(n-1)."""
+    cum = value_rank_table(df, value, group_cols, num_partitions)
+    return quantiles_from_ranks(cum, value, qs, group_cols, names)

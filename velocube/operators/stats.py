@@ -8,32 +8,48 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from velocube.operators.ordering import attach_group_stats, exact_quantiles
+from velocube.operators.ordering import attach_group_stats, quantiles_from_ranks, value_rank_table
+
+
+def _moments(cum: DataFrame, group: Sequence[str], x: str) -> DataFrame:
+    """count, mean and sample std from (value, count) rows - two passes over
+    the small distinct-value table (mean first, then squared deviations) for
+    the numerical stability of a streaming variance."""
+    g = list(group)
+    c, v = F.col("_vc_c"), F.col(x)
+    first = cum.groupBy(*g).agg(F.sum(c).alias("count"), (F.sum(c * v) / F.sum(c)).alias("mean"))
+    dev = attach_group_stats(cum, first, g)
+    second = dev.groupBy(*g).agg(F.sum(c * F.pow(v - F.col("mean"), 2)).alias("_ss"))
+    out = first.join(second, g, "inner") if g else attach_group_stats(first, second, [])
+    return out.select(*g, "count", "mean",
+                      F.sqrt(F.try_divide(F.col("_ss"), F.col("count") - 1)).alias("std"))
 
 
 def describe_by(df: DataFrame, group: Sequence[str], x: str) -> DataFrame:
-    """count, mean, median (exact, linear) and sample std of ``x`` per group."""
+    """count, mean, median (exact, linear) and sample std of ``x`` per group;
+    one scan: everything comes from the materialised distinct-value table."""
     g = list(group)
-    base = df.filter(F.col(x).isNotNull()).groupBy(*g).agg(
-        F.count(x).alias("count"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("std"))
-    med = exact_quantiles(df, x, [0.5], g, names=["median"])
-    return base.join(med, g, "inner") if g else attach_group_stats(base, med, [])
+    cum = value_rank_table(df, x, g)
+    med = quantiles_from_ranks(cum, x, [0.5], g, names=["median"])
+    mom = _moments(cum, g, x)
+    return mom.join(med, g, "inner") if g else attach_group_stats(mom, med, [])
 
 
 def box_stats(df: DataFrame, group: Sequence[str], x: str, whis: float = 1.5) -> DataFrame:
     """Quartiles, IQR, whiskers (most extreme values within whis*IQR of the
-    box) and number of outliers per group."""
+    box) and number of outliers per group; one scan (distinct-value table)."""
     g = list(group)
-    qs = exact_quantiles(df, x, [0.25, 0.5, 0.75], g, names=["q1", "median", "q3"])
+    cum = value_rank_table(df, x, g)
+    qs = quantiles_from_ranks(cum, x, [0.25, 0.5, 0.75], g, names=["q1", "median", "q3"])
     qs = qs.withColumn("iqr", F.col("q3") - F.col("q1"))
-    rows = attach_group_stats(df.filter(F.col(x).isNotNull()).select(*g, x), qs, g)
+    rows = attach_group_stats(cum, qs, g)
     lo = F.col("q1") - whis * F.col("iqr")
     hi = F.col("q3") + whis * F.col("iqr")
     v = F.col(x)
     agg = rows.groupBy(*g).agg(
         F.min(F.when(v >= lo, v)).alias("whisker_lo"),
         F.max(F.when(v <= hi, v)).alias("whisker_hi"),
-        F.count(F.when((v < lo) | (v > hi), 1)).alias("n_outliers"))
+        F.sum(F.when((v < lo) | (v > hi), F.col("_vc_c")).otherwise(0)).alias("n_outliers"))
     return qs.join(agg, g, "inner") if g else attach_group_stats(qs, agg, [])
 
 
