@@ -5,7 +5,7 @@ import os
 import tempfile
 
 from velocube.plans.inference import run_inference
-from velocube.plans.pipeline import run_features
+from velocube.plans.feature_job import run_features
 from velocube.plans.training import run_training
 from velocube.sources import adapters
 from tests.conftest import SF0001
