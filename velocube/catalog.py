@@ -347,8 +347,8 @@ def q_pivot_counts(spark, d):
 
 
 @register("widen", O.C("""
-SELECT hour, sum(CASE WHEN member_casual = 'member' THEN c END) AS member,
-       sum(CASE WHEN member_casual = 'casual' THEN c END) AS casual
+SELECT hour, cast(sum(CASE WHEN member_casual = 'member' THEN c END) AS BIGINT) AS member,
+       cast(sum(CASE WHEN member_casual = 'casual' THEN c END) AS BIGINT) AS casual
 FROM (SELECT hour, member_casual, count(*) AS c FROM clean WHERE member_casual IS NOT NULL GROUP BY 1, 2) h
 GROUP BY 1"""))
 def q_widen(spark, d):

@@ -132,45 +132,55 @@ def forecast_linear(state: DataFrame, spec: LinearSpec, as_of, horizon: int = HO
 # ------------------------------------------------------------------ tree ensembles
 def ensemble_arrays(nodes: "list[dict]", tree_weights: Sequence[float]) -> dict:
     """Flatten saved tree nodes (treeID, id, prediction, leftChild, rightChild,
-    featureIndex, threshold, leftCategories, numCategories) to numpy arrays."""
+    featureIndex, leftCategoriesOrThreshold, numCategories) to dense
+    [tree, node] arrays; categorical splits become a [tree, node, category]
+    'goes left' mask."""
     n_trees = len(tree_weights)
-    per = [[r for r in nodes if r["treeID"] == t] for t in range(n_trees)]
-    width = max(max(r["id"] for r in p) + 1 for p in per)
+    width = max(r["id"] for r in nodes) + 1
     shape = (n_trees, width)
-    arr = {k: np.zeros(shape, dtype=float) for k in ("pred", "thr")}
-    for k in ("left", "right", "feat", "ncat"):
-        arr[k] = np.full(shape, -1, dtype=np.int64)
-    cats = [[None] * width for _ in range(n_trees)]
-    for t, p in enumerate(per):
-        for r in p:
-            i = r["id"]
-            arr["pred"][t, i] = r["prediction"]
-            arr["left"][t, i] = r["leftChild"]
-            arr["right"][t, i] = r["rightChild"]
-            arr["feat"][t, i] = r["featureIndex"]
-            arr["ncat"][t, i] = r["numCategories"]
-            if r["numCategories"] == -1:
-                arr["thr"][t, i] = r["leftCategoriesOrThreshold"][0] if r["leftCategoriesOrThreshold"] else 0.0
-            else:
-                cats[t][i] = set(r["leftCategoriesOrThreshold"])
-    arr["cats"] = cats
+    arr = {"pred": np.zeros(shape), "thr": np.zeros(shape),
+           "left": np.full(shape, -1, dtype=np.int64), "right": np.full(shape, -1, dtype=np.int64),
+           "feat": np.zeros(shape, dtype=np.int64), "cat": np.zeros(shape, dtype=bool)}
+    max_cat = max([int(r["numCategories"]) for r in nodes] + [1])
+    arr["left_cats"] = np.zeros((n_trees, width, max_cat + 1), dtype=bool)
+    for r in nodes:
+        t, i = r["treeID"], r["id"]
+        arr["pred"][t, i] = r["prediction"]
+        arr["left"][t, i] = r["leftChild"]
+        arr["right"][t, i] = r["rightChild"]
+        arr["feat"][t, i] = max(r["featureIndex"], 0)
+        split = r["leftCategoriesOrThreshold"] or [0.0]
+        if r["numCategories"] == -1:
+            arr["thr"][t, i] = split[0]
+        else:
+            arr["cat"][t, i] = True
+            arr["left_cats"][t, i, [int(c) for c in r["leftCategoriesOrThreshold"]]] = True
     arr["w"] = np.asarray(tree_weights, dtype=float)
     return arr
 
 
 def predict_ensemble(arr: dict, x: np.ndarray) -> float:
-    total = 0.0
-    for t in range(len(arr["w"])):
-        i = 0
-        while arr["left"][t, i] >= 0:
-            f = arr["feat"][t, i]
-            if arr["ncat"][t, i] == -1:
-                go_left = x[f] <= arr["thr"][t, i]
-            else:
-                go_left = x[f] in arr["cats"][t][i]
-            i = arr["left"][t, i] if go_left else arr["right"][t, i]
-        total += arr["w"][t] * arr["pred"][t, i]
-    return total
+    """Weighted sum of the trees' leaf values for one input row: all trees
+    step down one level at a time (vectorised over trees); continuous splits
+    go left when x <= threshold, categorical ones when the category is in the
+    left set (an unseen category goes right)."""
+    rows = np.arange(len(arr["w"]))
+    node = np.zeros(len(rows), dtype=np.int64)
+    n_cat = arr["left_cats"].shape[2]
+    for _ in range(arr["left"].shape[1]):
+        left = arr["left"][rows, node]
+        inner = left >= 0
+        if not inner.any():
+            break
+        f = arr["feat"][rows, node]
+        v = x[f]
+        cont_left = v <= arr["thr"][rows, node]
+        ci = np.clip(v.astype(np.int64), 0, n_cat - 1)
+        cat_left = arr["left_cats"][rows, node, ci] & (v >= 0) & (v < n_cat)
+        go_left = np.where(arr["cat"][rows, node], cat_left, cont_left)
+        nxt = np.where(go_left, left, arr["right"][rows, node])
+        node = np.where(inner, nxt, node)
+    return float(np.dot(arr["w"], arr["pred"][rows, node]))
 
 
 FORECAST_OUT = T.StructType([
