@@ -124,9 +124,18 @@ def upsert(spark: SparkSession, target_path: str, new: DataFrame, keys: Sequence
     if partition_col:
         writer = writer.option("partitionOverwriteMode", "dynamic").partitionBy(partition_col)
     writer.parquet(target_path)
+    if old is not None:
+        delete_path(spark, stage)  # our own uniquely named staging copy
     return spark.read.parquet(target_path)
 
 
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Remove a folder through the Hadoop FileSystem of its URI (works for
+    HDFS/S3/local alike)."""
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)  # noqa: SLF001
+    jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jvm_path, True)  # noqa: SLF001
+
+
 def merge_newest(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The upsert rule as a pure DataFrame function: rows of ``new`` replace
     rows of ``old`` with the same key (anti join + union, no window)."""
