@@ -93,3 +93,27 @@ def test_tree_forecast_matches_spark_transform(spark):
             v = float(getattr(r, c))
             x.append(m.get(v, len(m)) if m is not None else v)
         assert abs(FC.predict_ensemble(arr, np.array(x, dtype=float)) - r.predicted) < 1e-9
+
+
+def test_fold_first_step_equals_spark_ml_transform(spark):
+    """With no gap, step 1 of the fold scores the last feature row itself:
+    it must equal the fitted Spark ML linear model's own prediction."""
+    from velocube.operators import models as M
+    rng = np.random.default_rng(5)
+    rows = []
+    for i in range(200):
+        t = L + timedelta(hours=i)
+        lags = rng.integers(0, 20, 28)
+        rows.append({"start_hour": t, "station_id": "S1", "total_trips": int(lags[0] + lags[23] + 2),
+                     "station_rank": 0, "hour": t.hour, "day_of_week": t.weekday(),
+                     "is_weekend": int(t.weekday() >= 5), "month": t.month,
+                     **{f"lag_{k}": int(v) for k, v in enumerate(lags, start=1)}})
+    df = spark.createDataFrame(rows, schemas.FEATURES)
+    lr = M.train_linear(df)
+    spec = FC.LinearSpec.from_model(lr.stages[-1].coefficients.toArray(), lr.stages[-1].intercept)
+    last = df.orderBy(F.col("start_hour").desc()).limit(1)
+    expected = max(0.0, M.score(lr, last, schemas.MODEL_INPUTS).first().predicted)
+    last_hour = rows[-1]["start_hour"]
+    out = FC.forecast_linear(last, spec, last_hour + timedelta(minutes=30)).orderBy("step").first()
+    assert out.target_hour == last_hour + timedelta(hours=1)
+    assert abs(out.predicted_trips - expected) < 1e-9

@@ -1053,3 +1053,13 @@ def q_bronze_last_months(spark, d):
     return t.groupBy("ym", "start_station_id").agg(
         F.count(F.lit(1)).alias("trips"),
         r6(F.sum(VF.duration_min("started_at", "ended_at"))).alias("minutes"))
+
+
+@register("forecast_linear_model")
+def q_forecast_linear_model(spark, d):
+    """Linear regression fitted with Spark ML on the training split, then
+    bridged and forecast by the JVM fold (no Python per step)."""
+    tr, _ = _split(spark, d)
+    lr = M.train_linear(tr)
+    spec = FC.LinearSpec.from_model(lr.stages[-1].coefficients.toArray(), lr.stages[-1].intercept)
+    return _fc_out(FC.forecast_linear(FE.latest_state(_features(spark, d)), spec, AS_OF))
