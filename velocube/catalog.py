@@ -3,6 +3,7 @@
 SQL for every SQL-expressible one (``velocube.oracle``)."""
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -14,6 +15,16 @@ from velocube.operators import clean as CL
 from velocube.operators import features as FE
 from velocube.operators import stats as ST
 from velocube.sources import adapters
+from velocube.sources.tables import months_before
+from velocube import schemas
+from velocube.operators import drift as DR
+from velocube.operators import evaluation as EV
+from velocube.operators import forecast as FC
+from velocube.operators import models as M
+from velocube.operators import serving as SV
+from velocube.plans.report import monthly_report, report_json
+from velocube.session import scratch_path
+from velocube.streaming import jobs as SJ
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -476,10 +487,6 @@ def q_marker_scale(spark, d):
 
 
 # ======================================================================= forecasting
-from velocube.operators import evaluation as EV  # noqa: E402
-from velocube.operators import forecast as FC  # noqa: E402
-from velocube.operators import serving as SV  # noqa: E402
-from velocube.operators import drift as DR  # noqa: E402
 
 # Fixed parameters of the registered forecast queries (a linear demand model).
 FORECAST_SPEC = FC.LinearSpec(intercept=0.2, lag_w=[0.35, 0.15, 0.1] + [0.0] * 20 + [0.2] + [0.0] * 4,
@@ -705,12 +712,7 @@ def q_drift_psi(spark, d):
 
 
 # ======================================================================= models (rows-only checks)
-import uuid  # noqa: E402
 
-from velocube import schemas  # noqa: E402
-from velocube.operators import models as M  # noqa: E402
-from velocube.plans.report import monthly_report, report_json  # noqa: E402
-from velocube.session import scratch_path  # noqa: E402
 
 GBT_ROUNDS = 10  # registered-query setting; the training plan defaults to 50
 
@@ -910,7 +912,6 @@ def q_segment_lags(spark, d):
 
 
 # ======================================================================= streaming
-from velocube.streaming import jobs as SJ  # noqa: E402
 
 WM = "10 minutes"
 CLOSED = f"""closed AS (
@@ -1038,14 +1039,14 @@ BRONZE_AS_OF = "2024-02-15"
 SELECT strftime(started_at, '%Y%m') AS ym, start_station_id, count(*) AS trips,
        round(sum(date_diff('microsecond', started_at, ended_at) / cast(60000000 AS DOUBLE)), 6) AS minutes
 FROM trips WHERE strftime(started_at, '%Y%m') IN (""" + ", ".join(
-    f"'{m}'" for m in __import__("velocube.sources.tables", fromlist=["x"]).months_before(BRONZE_AS_OF, 12))
+    f"'{m}'" for m in months_before(BRONZE_AS_OF, 12))
     + """) AND start_station_id IS NOT NULL AND member_casual = 'member'
 GROUP BY 1, 2"""))
 def q_bronze_last_months(spark, d):
     """Trips landed once as month-partitioned Parquet, then the last 12
     months before ``as_of`` read back with partition pruning and a pushed
     filter (member trips per station and month)."""
-    from velocube.sources.tables import months_before, read_bronze, write_bronze
+    from velocube.sources.tables import read_bronze, write_bronze
     path = scratch_path(spark, f"bronze-{uuid.uuid4().hex}")
     write_bronze(_trips(spark, d), path)
     t = read_bronze(spark, path, months_before(BRONZE_AS_OF, 12))
