@@ -28,3 +28,15 @@ def test_bronze_scan_prunes_partitions_and_pushes_filters(spark):
 def test_linear_forecast_stays_in_the_jvm(spark):
     plan = final_plan(QUERIES["forecast"](spark, SF0001))
     assert not re.search(r"ArrowEvalPython|FlatMapGroupsInPandas|BatchEvalPython", plan)
+
+
+def test_popularity_over_bronze_reads_one_column(spark, tmp_path):
+    """O-S6: the count pass over landed trips reads only the station id."""
+    from velocube.operators.aggregates import station_popularity
+    from velocube.sources import adapters
+    from velocube.sources.tables import read_bronze, write_bronze
+    path = str(tmp_path / "bronze")
+    write_bronze(adapters.trips(spark, SF0001), path)
+    plan = final_plan(station_popularity(read_bronze(spark, path)))
+    assert set(re.findall(r"ReadSchema: (struct<[^>]*>)", plan)) == {"struct<start_station_id:string>"}
+    assert "IsNotNull(start_station_id)" in plan
