@@ -33,3 +33,10 @@ def test_forecast_wide_totals(spark):
                                  "predicted_trips double")
     r = SV.forecast_wide(pred).first()
     assert (r.station_0, r.station_1, r.station_2, r.total_trips) == (1.3, 2.0, 0.0, 3.3)
+
+
+def test_upcoming_floor_hour_variant(spark):
+    df = wide(spark, range(10))
+    now = T0 + timedelta(hours=5, minutes=30)
+    assert SV.upcoming(df, now).count() == 4                    # API rule: strictly from now
+    assert SV.upcoming(df, now, floor_hour=True).count() == 5   # dashboard rule: from the current hour
