@@ -85,10 +85,12 @@ def _unzip_csv(all_members: bool, chunk_rows: int = 65536):
 def read_trip_archives(spark: SparkSession, directory: str, all_members: bool = False) -> DataFrame:
     """Trips from ``*.zip`` archives, skipping macOS ``__MACOSX`` entries.
 
-    Archives are listed by Spark's binary-file source (one task per archive);
-    each task streams its member CSV through pandas in fixed-size chunks, so
-    memory per task is bounded by the chunk, not the archive.  Only the first
-    CSV member is used unless ``all_members``.  Typing happens in Spark.
+    Archives are listed by Spark's binary-file source (one task per archive;
+    the task holds the compressed bytes, which the source caps at 2 GB); the
+    member CSV is decompressed and parsed as a stream in fixed-size chunks, so
+    the uncompressed text is never materialised whole.  Only the first CSV
+    member is used unless ``all_members``.  Typing happens in Spark.  For
+    repeated scans, land the data once as Parquet (``tables.write_bronze``).
     """
     bins = (spark.read.format("binaryFile").option("pathGlobFilter", "*.zip")
             .load(directory).select("content"))
