@@ -1064,3 +1064,40 @@ def q_forecast_linear_model(spark, d):
     lr = M.train_linear(tr)
     spec = FC.LinearSpec.from_model(lr.stages[-1].coefficients.toArray(), lr.stages[-1].intercept)
     return _fc_out(FC.forecast_linear(FE.latest_state(_features(spark, d)), spec, AS_OF))
+
+
+@register("monthly_report_flat", O.C("""
+SELECT 'summary' AS section, 'totalTrips' AS k1, NULL::VARCHAR AS k2, count(*) AS count, NULL::DOUBLE AS x,
+       NULL::DOUBLE AS y FROM clean
+UNION ALL SELECT 'summary', 'avgDuration', NULL, NULL, round_even(avg(duration_min), 1), NULL FROM clean
+UNION ALL SELECT 'summary', 'memberRatio', NULL, NULL,
+       round_even(avg(CASE WHEN member_casual = 'member' THEN 1.0 ELSE 0.0 END) * 100, 1), NULL FROM clean
+UNION ALL SELECT 'summary', 'peakHour', NULL,
+       (SELECT hour FROM clean GROUP BY hour ORDER BY count(*) DESC, hour LIMIT 1), NULL, NULL
+UNION ALL SELECT 'hourlyDensity', cast(hour AS VARCHAR), member_casual, count(*), NULL, NULL FROM clean
+  WHERE member_casual IS NOT NULL GROUP BY hour, member_casual
+UNION ALL SELECT 'rideableData', rideable_type, NULL, count(*), NULL, NULL FROM clean
+  WHERE rideable_type IS NOT NULL GROUP BY rideable_type
+UNION ALL SELECT 'durationData', cast(bin AS VARCHAR) || '-' || cast(bin + 5 AS VARCHAR), member_casual, count(*),
+       NULL, NULL FROM (SELECT cast(least(floor(duration_min / 5) * 5, 60) AS INTEGER) AS bin, member_casual
+                        FROM clean) b WHERE member_casual IS NOT NULL GROUP BY bin, member_casual
+UNION ALL SELECT 'topRoutes', route, NULL, count, NULL, NULL FROM (
+  SELECT route, count(*) AS count FROM (SELECT coalesce(start_station_name, '') || ' → ' ||
+         coalesce(end_station_name, '') AS route FROM clean) r
+  WHERE route <> ' → ' GROUP BY 1 ORDER BY count DESC, route LIMIT 10) t
+UNION ALL SELECT 'geoData', start_station_name, NULL, count, lat, lng FROM (
+  SELECT * FROM (
+    SELECT start_station_name,
+           first(start_lat ORDER BY started_at, ride_id) FILTER (WHERE start_lat IS NOT NULL) AS lat,
+           first(start_lng ORDER BY started_at, ride_id) FILTER (WHERE start_lng IS NOT NULL) AS lng,
+           count(started_at) AS count
+    FROM clean WHERE start_station_name IS NOT NULL GROUP BY 1) g
+  WHERE lat IS NOT NULL AND lng IS NOT NULL ORDER BY count DESC, start_station_name LIMIT 500) gg
+UNION ALL SELECT 'topStations', start_station_name, NULL, count, NULL, NULL FROM (
+  SELECT start_station_name, count(*) AS count FROM clean WHERE start_station_name IS NOT NULL
+  GROUP BY 1 ORDER BY count DESC, 1 LIMIT 10) s"""))
+def q_monthly_report_flat(spark, d):
+    """The whole assembled report (one GROUPING SETS pass), flattened."""
+    from velocube.plans.report import flatten_report
+    report = monthly_report(_clean(spark, d), None, "202401-tripdata.csv")
+    return flatten_report(report.checkpoint(eager=True))  # one row, read by seven branches

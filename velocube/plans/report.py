@@ -104,3 +104,37 @@ def monthly_report(clean: DataFrame, top_station_names: DataFrame | None = None,
 
 def report_json(report: DataFrame) -> DataFrame:
     return report.select(F.to_json(F.struct(*report.columns)).alias("json"))
+
+
+def flatten_report(report: DataFrame) -> DataFrame:
+    """The report row as a long table (section, k1, k2, count, x, y): one
+    row per array element plus the summary fields - for checks and tabular
+    consumers."""
+    def arr(col: str, k1, k2=None, count="count", x=None, y=None) -> DataFrame:
+        e = report.select(F.explode(col).alias("e"))
+        return e.select(F.lit(col).alias("section"), k1.cast("string").alias("k1"),
+                        (k2 if k2 is not None else F.lit(None)).cast("string").alias("k2"),
+                        F.col(f"e.{count}").cast("long").alias("count"),
+                        (x if x is not None else F.lit(None)).cast("double").alias("x"),
+                        (y if y is not None else F.lit(None)).cast("double").alias("y"))
+    s = report.select("summary.*")
+    def field(name, count=None, x=None):
+        return F.struct(F.lit(name).alias("k1"),
+                        (count if count is not None else F.lit(None)).cast("long").alias("count"),
+                        (x if x is not None else F.lit(None)).cast("double").alias("x"))
+    summary = s.select(F.inline(F.array(
+        field("totalTrips", count=F.col("totalTrips")), field("avgDuration", x=F.col("avgDuration")),
+        field("memberRatio", x=F.col("memberRatio")), field("peakHour", count=F.col("peakHour")))))
+    summary = summary.select(F.lit("summary").alias("section"), "k1", F.lit(None).cast("string").alias("k2"),
+                             "count", "x", F.lit(None).cast("double").alias("y"))
+    parts = [summary,
+             arr("hourlyDensity", F.col("e.hour"), F.col("e.type")),
+             arr("rideableData", F.col("e.type")),
+             arr("durationData", F.col("e.binLabel"), F.col("e.type")),
+             arr("topRoutes", F.col("e.route")),
+             arr("geoData", F.col("e.station"), None, "count", F.col("e.lat"), F.col("e.lng")),
+             arr("topStations", F.col("e.station"))]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
