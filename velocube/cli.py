@@ -26,6 +26,8 @@ def main(argv=None) -> None:
     f.add_argument("--features", required=True)
     f.add_argument("--report")
     f.add_argument("--report-month", help="yyyyMM of the report (default: newest month)")
+    f.add_argument("--months", type=int, help="keep the N whole months before --as-of (US/Eastern now)")
+    f.add_argument("--as-of", help="ISO date for --months (default: now on the US/Eastern clock)")
     t = sub.add_parser("train")
     t.add_argument("--features", required=True)
     t.add_argument("--runs", required=True)
@@ -43,12 +45,21 @@ def main(argv=None) -> None:
         from pyspark.sql import functions as F
         from velocube.plans.feature_job import run_features
         from velocube.sources import adapters, tables, trips as T
+        months = None
+        if a.months:
+            as_of = a.as_of or spark.range(1).select(tables.eastern_now().cast("string")).first()[0]
+            months = tables.months_before(as_of, a.months)
         if a.format == "csv":
             trips = T.read_trips(spark, a.trips)
         elif a.format == "bronze":
-            trips = tables.read_bronze(spark, a.trips).drop("ym")
+            trips = tables.read_bronze(spark, a.trips, months).drop("ym")  # partition pruning
         else:
             trips = adapters.trips_from_events(spark.read.parquet(a.trips))
+        if months and a.format != "bronze":
+            trips = trips.filter(F.date_format("started_at", "yyyyMM").isin(months))
+        if trips.isEmpty():  # nothing landed for the window: abort without touching the tables
+            print(json.dumps({"job": "features", "rows": 0, "status": "no data"}))
+            return
         month = a.report_month
         if a.report and not month:
             month = trips.agg(F.date_format(F.max("started_at"), "yyyyMM")).first()[0]

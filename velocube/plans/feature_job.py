@@ -19,6 +19,8 @@ from velocube.sources import tables
 def run_features(spark: SparkSession, trips: DataFrame, features_path: str, report_path: str | None = None,
                  report_month: str | None = None, k: int = 3, n: int = 28) -> DataFrame:
     feats = FE.build_features(trips, k, n)
+    if feats.isEmpty():  # no station has more than n hours: leave the table as it is
+        return feats
     keyed = feats.withColumn("month_key", F.date_format("start_hour", "yyyyMM"))
     tables.upsert(spark, features_path, keyed, ["start_hour", "station_id"], "start_hour", "month_key")
     if report_path:
