@@ -17,7 +17,7 @@ def load_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def trips_from_events(events: DataFrame) -> DataFrame:
     """Map the ``events`` table onto the trip schema (see SURVEY §7.2)."""
-    k = F.get_json_object("props", "$.k").cast("int")
+    k = F.get_json_object("props", "$.k").try_cast("int")  # malformed props -> NULL, not a failed job
     uid = F.col("user_id") % N_STATIONS
     sid = F.lpad(uid.cast("string"), 2, "0")
     end_sid = F.lpad((F.col("_k") % N_STATIONS).cast("string"), 2, "0")
