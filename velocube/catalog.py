@@ -1101,3 +1101,17 @@ def q_monthly_report_flat(spark, d):
     from velocube.plans.report import flatten_report
     report = monthly_report(_clean(spark, d), None, "202401-tripdata.csv")
     return flatten_report(report.checkpoint(eager=True))  # one row, read by seven branches
+
+
+@register("clean_counts", O.T("""
+SELECT count(*) AS rows_loaded,
+       count(*) FILTER (WHERE date_diff('microsecond', started_at, ended_at) / cast(60000000 AS DOUBLE) > 1
+                          AND date_diff('microsecond', started_at, ended_at) / cast(60000000 AS DOUBLE) < 240
+                          AND started_at IS NOT NULL) AS rows_clean
+FROM trips"""))
+def q_clean_counts(spark, d):
+    """Rows loaded and rows kept by the cleaning rule, in one pass."""
+    t = CL.with_duration(_trips(spark, d))
+    d_ = F.col("duration_min")
+    keep = (d_ > CL.MIN_DURATION) & (d_ < CL.MAX_DURATION) & F.col("started_at").isNotNull()
+    return t.agg(F.count(F.lit(1)).alias("rows_loaded"), F.count_if(keep).alias("rows_clean"))
