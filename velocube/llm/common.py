@@ -60,6 +60,19 @@ def bytes_of(column) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(column.buffers()[2], np.uint8)[ends[0]:ends[-1]], ends - ends[0]
 
 
+def parts_of(batches, limit: int = 4 << 20):
+    """Arrow batches cut where their texts (the binary column 1) pass so many bytes, so that arrays stay small."""
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        _, offsets = bytes_of(batch.column(1))
+        at = 0
+        while at < batch.num_rows:
+            stop = max(at + 1, int(np.searchsorted(offsets, offsets[at] + limit, side="right")) - 1)
+            yield batch.slice(at, stop - at)
+            at = stop
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """Finaliser of a 64-bit hash (uint64 in, uint64 out)."""
     x = x ^ (x >> np.uint64(33))
@@ -90,25 +103,32 @@ def powers(base: np.uint64, n: int) -> np.ndarray:
     return out[:n]
 
 
-def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the ASCII-lower-cased, white-space separated words, and the offsets of each row's words.
-
-    A word's hash is a polynomial over its bytes, so it depends on the word alone.
-    """
-    rows = len(offsets) - 1
+def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the white-space separated words of all rows."""
     if not len(data):
-        return np.zeros(0, np.uint64), np.zeros(rows + 1, np.int64)
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
     inside = ~_SPACE[data]
-    # a row's first byte starts a word, if it isn't white space
+    # a row's first byte starts a word, and its last byte ends one, if they aren't white space
+    full = offsets[:-1] < offsets[1:]
     first = inside.copy()
     first[1:] &= ~inside[:-1]
-    heads = offsets[:-1][offsets[:-1] < offsets[1:]]
+    heads = offsets[:-1][full]
     first[heads] = inside[heads]
     last = inside.copy()
     last[:-1] &= ~inside[1:]
-    tails = offsets[1:][offsets[:-1] < offsets[1:]] - 1
+    tails = offsets[1:][full] - 1
     last[tails] = inside[tails]
-    starts, ends = np.flatnonzero(first), np.flatnonzero(last) + 1
+    return np.flatnonzero(first), np.flatnonzero(last) + 1
+
+
+def word_hashes(data: np.ndarray, offsets: np.ndarray, spans=None) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the ASCII-lower-cased, white-space separated words, and the offsets of each row's words.
+
+    A word's hash is a polynomial over its bytes, so it depends on the word alone.
+    """
+    if not len(data):
+        return np.zeros(0, np.uint64), np.zeros(len(offsets), np.int64)
+    starts, ends = spans or word_spans(data, offsets)
     out = np.empty(len(starts), np.uint64)
     values = _BYTE_VALUE[_LOWERED]
     up, down = _power_tables()

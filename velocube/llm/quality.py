@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from velocube.llm.common import bytes_of, documents, with_bytes
+from velocube.llm.common import bytes_of, documents, parts_of, with_bytes
 
 #: Labelled documents of each class that training may see.
 PER_CLASS = 1500
@@ -195,7 +195,7 @@ def score(docs: DataFrame, model: dict) -> DataFrame:
 
     def run(batches):
         model = shared.value
-        for batch in batches:
+        for batch in parts_of(batches):
             data, offsets = bytes_of(batch.column(1))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores(model, data, offsets), pa.float64())], names=["doc_id", "score"])
 

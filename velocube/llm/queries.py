@@ -4,9 +4,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from velocube.llm import neardup, quality
+from velocube.llm import decontam, lm, neardup, pieces, quality, secrets
 from velocube.llm.common import table
 
+PIECE_MODEL, WORD_MODEL = "piece_bpe_32k.model", "word_bpe_49k.json"
+
+
+def tokenizer(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
 
 def remainder(doc_id, by: int):
     """crc32 of doc_id as text, modulo ``by``; null ids count as held in (remainder -1)."""
@@ -21,14 +29,55 @@ def op1_quality(spark, sf_dir) -> DataFrame:
     return scored.select("doc_id", (remainder(F.col("doc_id"), 4) == 2).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
+def op2_positional_index(spark, sf_dir) -> DataFrame:
+    found = decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+
+
+def op5_blob_ledger(spark, sf_dir) -> DataFrame:
+    history = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("long").alias("path"), "text")
+    found = secrets.scan(history, secrets.new_ledger(spark))
+    base = F.filter("spans", lambda s: s["kind"] < 3)
+    counts = [secrets.count(F.col("spans"), k).alias(f"n_{k}") for k in ("assign", "access", "hex")]
+    return found.select(F.col("path").alias("doc_id"), *counts, F.sha2(secrets.digest(base), 256).alias("base_sha256"), secrets.digest(F.col("spans")).alias("spans"))
+
+
 def op6_hyperminhash(spark, sf_dir) -> DataFrame:
     groups = neardup.classes(table(spark, sf_dir, "documents"), k=3, num=85, den=100)
     return groups.withColumn("kept", F.col("doc_id") == F.col("component_id"))
 
 
+def op7_sentencepiece(spark, sf_dir) -> DataFrame:
+    return pieces.digests(table(spark, sf_dir, "documents"), tokenizer(PIECE_MODEL))
+
+
+def op9_log_bilinear(spark, sf_dir) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    scored = lm.scores(docs, docs.where(remainder(F.col("doc_id"), 10) != 0))
+    return scored.withColumn("held_out", remainder(F.col("doc_id"), 10) == 0)
+
+
 QUERIES = {
     "op1_quality": op1_quality,
+    "op2_positional_index": op2_positional_index,
+    "op5_blob_ledger": op5_blob_ledger,
     "op6_hyperminhash": op6_hyperminhash,
+    "op7_sentencepiece": op7_sentencepiece,
+    "op9_log_bilinear": op9_log_bilinear,
 }
 
-ORACLE: dict[str, str] = {}
+# Words, windows and hits of op2 in DuckDB, by hashing every window of ten (or fewer) words.
+_OP2 = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents WHERE doc_id IS NOT NULL),
+b AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+bw AS (SELECT DISTINCT item_id, least(10, len(w)) AS n, array_to_string(w[k:k + least(10, len(w)) - 1], ' ') AS g FROM b, unnest(generate_series(1, greatest(1, len(w) - 9))) AS t(k) WHERE len(w) > 0),
+sizes AS (SELECT DISTINCT n FROM bw),
+dw AS (SELECT doc_id, n, k, array_to_string(w[k:k + n - 1], ' ') AS g FROM d, sizes, unnest(generate_series(1, len(w) - n + 1)) AS t(k)),
+hit AS (SELECT DISTINCT doc_id, k, dw.n, item_id FROM dw JOIN bw ON dw.g = bw.g AND dw.n = bw.n),
+pos AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM hit, unnest(generate_series(k, k + n - 1)) AS t(p) GROUP BY doc_id),
+its AS (SELECT doc_id, count(*) AS n_items, string_agg(i, ',' ORDER BY i) AS items FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS i FROM hit) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN pos USING (doc_id) LEFT JOIN its USING (doc_id)
+"""
+
+ORACLE: dict[str, str] = {"op2_positional_index": _OP2}
