@@ -4,7 +4,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from velocube.llm import decontam, lm, neardup, pieces, quality, secrets
+from velocube.llm import decontam, lm, neardup, pieces, quality, secrets, substrings
 from velocube.llm.common import table
 
 PIECE_MODEL, WORD_MODEL = "piece_bpe_32k.model", "word_bpe_49k.json"
@@ -57,6 +57,10 @@ def op9_log_bilinear(spark, sf_dir) -> DataFrame:
     return scored.withColumn("held_out", remainder(F.col("doc_id"), 10) == 0)
 
 
+def op10_suffix_array(spark, sf_dir) -> DataFrame:
+    return substrings.removals(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_quality": op1_quality,
     "op2_positional_index": op2_positional_index,
@@ -64,6 +68,7 @@ QUERIES = {
     "op6_hyperminhash": op6_hyperminhash,
     "op7_sentencepiece": op7_sentencepiece,
     "op9_log_bilinear": op9_log_bilinear,
+    "op10_suffix_array": op10_suffix_array,
 }
 
 # Words, windows and hits of op2 in DuckDB, by hashing every window of ten (or fewer) words.
