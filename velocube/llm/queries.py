@@ -4,7 +4,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from velocube.llm import decontam, lm, neardup, pieces, quality, secrets, substrings
+from velocube.llm import decontam, lm, nearest, neardup, pieces, quality, secrets, substrings, tokenfiles, unigram
 from velocube.llm.common import table
 
 PIECE_MODEL, WORD_MODEL = "piece_bpe_32k.model", "word_bpe_49k.json"
@@ -34,6 +34,16 @@ def op2_positional_index(spark, sf_dir) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
 
 
+def op3_multi_index(spark, sf_dir) -> DataFrame:
+    return nearest.neighbours(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+def op4_repair_files(spark, sf_dir) -> DataFrame:
+    path = tokenfiles.new_path(spark)
+    tokenfiles.write(table(spark, sf_dir, "documents"), tokenizer(WORD_MODEL), path)
+    return tokenfiles.read(spark, path)
+
+
 def op5_blob_ledger(spark, sf_dir) -> DataFrame:
     history = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("long").alias("path"), "text")
     found = secrets.scan(history, secrets.new_ledger(spark))
@@ -51,6 +61,10 @@ def op7_sentencepiece(spark, sf_dir) -> DataFrame:
     return pieces.digests(table(spark, sf_dir, "documents"), tokenizer(PIECE_MODEL))
 
 
+def op8_unigram_counts(spark, sf_dir) -> DataFrame:
+    return unigram.counts(table(spark, sf_dir, "documents"), tokenizer(PIECE_MODEL))
+
+
 def op9_log_bilinear(spark, sf_dir) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     scored = lm.scores(docs, docs.where(remainder(F.col("doc_id"), 10) != 0))
@@ -64,9 +78,12 @@ def op10_suffix_array(spark, sf_dir) -> DataFrame:
 QUERIES = {
     "op1_quality": op1_quality,
     "op2_positional_index": op2_positional_index,
+    "op3_multi_index": op3_multi_index,
+    "op4_repair_files": op4_repair_files,
     "op5_blob_ledger": op5_blob_ledger,
     "op6_hyperminhash": op6_hyperminhash,
     "op7_sentencepiece": op7_sentencepiece,
+    "op8_unigram_counts": op8_unigram_counts,
     "op9_log_bilinear": op9_log_bilinear,
     "op10_suffix_array": op10_suffix_array,
 }
