@@ -11,9 +11,11 @@ too agree in a register with a chance of their similarity.
    1e-7.
 3. In each band bucket only stars are emitted: every member with the bucket's smallest one.  Stars that pass the
    collision-corrected Jaccard estimate (five standard errors of slack) are verified on the full shingle sets.
-4. A second star round joins the smallest members of the components that meet in a bucket.  What still meets in a
-   bucket with different components is paired exhaustively, so no link between different texts is lost, while
-   a group of thousands of near copies, already one component, gives no pairs at all.
+4. Documents that still meet in a bucket with different components are joined by prefixes: with their shingles in
+   order of rarity, two similar enough sets share one of their first n - ceil(t * n) + 1.  Only members of different
+   components are paired, and they pass the same estimate and verification.  So no link between different texts is
+   lost, while thousands of near copies, already one component, give no pairs, and neither does a passage that
+   thousands of otherwise different documents share, its shingles being the least rare ones.
 
 Defined results: null and empty texts, and texts without words, have an empty set and are linked with nothing; a
 text of fewer than k words is one shingle; rows with a null doc_id take no part in groups (``classes`` has no row
@@ -24,10 +26,10 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from velocube.llm.common import bytes_of, join_checked, mix64, with_bytes, word_hashes, written
+from velocube.llm.common import bytes_of, join_checked, mix64, parts_of, with_bytes, word_hashes, written
 from velocube.llm.components import components
 
 BUCKETS, ROWS = 128, 4
@@ -115,7 +117,7 @@ def estimate(a: np.ndarray, b: np.ndarray, na: np.ndarray, nb: np.ndarray) -> np
 def signatures(docs: DataFrame, k: int) -> DataFrame:
     """doc_id, n (set size), fp (fingerprint of the set), regs, bands of every row with a doc_id."""
     def run(batches):
-        for batch in batches:
+        for batch in parts_of(batches):
             rows = batch.num_rows
             data, offsets = bytes_of(batch.column(1))
             h, row = distinct_shingles(data, offsets, k)
@@ -181,6 +183,32 @@ def _verified(pairs: DataFrame, docs: DataFrame, k: int, num: int, den: int) ->
     return written(found.distinct(), "neardup-links")
 
 
+def _prefix_pairs(apart: DataFrame, docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
+    """Pairs (a, b) with different components whose sets can be similar enough, by their rarest shingles."""
+    def run(batches):
+        for batch in parts_of(batches):
+            data, offsets = bytes_of(batch.column(1))
+            h, row = distinct_shingles(data, offsets, k)
+            ends = np.searchsorted(row, np.arange(batch.num_rows + 1)).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(pa.array(ends), pa.array(h.view(np.int64)))], names=["id", "set"])
+
+    ids = apart.select(F.col("id").alias("doc_id")).distinct()
+    texts = join_checked(with_bytes(docs), written(ids, "neardup-ids"), "doc_id", "left_semi")
+    each = texts.mapInArrow(run, "id long, set array<long>")
+    each = written(each.select("id", F.size("set").alias("n"), F.explode("set").alias("h")), "neardup-sets")
+    common = written(each.groupBy("h").agg(F.count("*").alias("df")).where("df > 1"), "neardup-df")
+    rank = F.row_number().over(Window.partitionBy("id").orderBy("df", "h"))  # a document's own shingles only
+    first = each.join(common, "h", "left").select("id", "n", "h", F.coalesce("df", F.lit(1)).alias("df")).withColumn("rank", rank)
+    first = first.where((F.col("rank") <= F.col("n") - F.ceil(F.col("n") * num / den) + 1) & (F.col("df") > 1))
+    first = written(first.select("id", "n", "h").join(apart, "id"), "neardup-prefixes")
+    mixed = first.groupBy("h").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("h")
+    first = written(first.join(mixed, "h"), "neardup-prefixes")
+    left = first.select("h", F.col("id").alias("a"), F.col("component").alias("ca"), F.col("n").alias("na"))
+    right = first.select("h", F.col("id").alias("b"), F.col("component").alias("cb"), F.col("n").alias("nb"))
+    fits = (F.least("na", "nb") * den >= F.greatest("na", "nb") * num) & (F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb"))
+    return left.join(right, "h").where(fits).select("a", "b").distinct()
+
+
 def classes(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100) -> DataFrame:
     """doc_id, n_shingles and component_id of every row with a doc_id.
 
@@ -197,24 +225,13 @@ def classes(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100) -> DataF
     rows = written(rows.join(stars, "key").select("key", "doc_id", "a"), "neardup-members")  # buckets of one are done with
     stars = rows.where("a < doc_id").select("a", F.col("doc_id").alias("b")).distinct()
     links = _verified(_estimated(stars, sigs, num, den), docs, k, num, den)
-    tried = links.select("a", "b")
-    for last in (False, True):
-        comp = components(links)
-        meets = rows.select("key", F.col("doc_id").alias("id")).join(comp, "id", "left").select("key", "id", F.coalesce("component", "id").alias("component"))
-        many = meets.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
-        meets = written(meets.join(many, "key").select("key", "id", "component", "low"), "neardup-meets")
-        if last:
-            left = meets.select("key", F.col("id").alias("a"), F.col("component").alias("ca"))
-            right = meets.select("key", F.col("id").alias("b"), F.col("component").alias("cb"))
-            pairs = left.join(right, "key").where("a < b AND ca <> cb").select("a", "b").distinct()
-        else:
-            heads = meets.groupBy("key", "component", "low").agg(F.min("id").alias("id"))
-            first = heads.where("component = low").select("key", F.col("id").alias("a"))
-            pairs = heads.where("component > low").join(first, "key").select(F.least("a", "id").alias("a"), F.greatest("a", "id").alias("b")).distinct()
-        more = _verified(_estimated(pairs, sigs, num, den), docs, k, num, den)
-        links = written(links.select("a", "b").union(more.select("a", "b")), "neardup-links")
-        if not last and more.isEmpty():
-            continue
+    comp = components(links)
+    meets = rows.select("key", F.col("doc_id").alias("id")).join(comp, "id", "left").select("key", "id", F.coalesce("component", "id").alias("component"))
+    many = meets.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
+    apart = written(meets.join(many, "key").select("id", "component").distinct(), "neardup-apart")
+    pairs = _prefix_pairs(apart, docs, k, num, den)
+    more = _verified(_estimated(pairs, sigs, num, den), docs, k, num, den)
+    links = links.union(more)
     comp = components(links).toDF("rep", "component")
     named = reps.join(comp, "rep", "left").select("fp1", "fp2", F.coalesce("component", "rep").alias("component_id"))
     linked = found.select("doc_id", "n", "fp1", "fp2").join(named, ["fp1", "fp2"]).select("doc_id", "n", "component_id")

@@ -3,7 +3,8 @@
 An Aho-Corasick automaton enumerates the vocabulary matches of a text; dynamic programming carries, for each position, the best
 score of a segmentation that ends there and its number of pieces.  No segmentation is kept.  Tie rules are the
 tokenizer's own: positions are settled from the left, and of equal scores the match that starts first wins.  A character without a
-vocabulary match of its own is unknown (least score minus 10); neighbouring unknowns fuse and count one piece a byte, and so does the unknown piece's own name.
+vocabulary match of its own is unknown (least score minus 10); neighbouring unknowns (matches of the unknown piece's name among them) fuse and
+count one piece a byte; the name alone is one piece.
 
 The vocabulary and its scores come from a sentencepiece model file.  Spaces are marked, and the text gets one mark in
 front.  No piece holds a mark behind another character, so a text is cut before each run of marks; scores are sums over
@@ -42,7 +43,7 @@ class Counter:
             raise ValueError("a vocabulary with marks of spaces inside pieces is not supported")
         self.automaton = ahocorasick.Automaton()
         for piece, score in pieces:
-            self.automaton.add_word(piece, (len(piece), score, len(piece.encode()) if piece == unknown else 1))
+            self.automaton.add_word(piece, (len(piece), score, piece == unknown))
         self.automaton.make_automaton()
         self.unknown = min(score for _, score in pieces) - UNKNOWN
         self.cut = re.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+").findall
@@ -50,22 +51,27 @@ class Counter:
 
     def _cut(self, text: str) -> tuple[int, float]:
         n = len(text)
-        ends: list[list[tuple[int, float, int]]] = [[] for _ in range(n + 1)]
+        ends: list[list[tuple[int, float, bool]]] = [[] for _ in range(n + 1)]
         alone = [False] * n
-        for end, (size, score, n_pieces) in self.automaton.iter(text):
-            ends[end + 1].append((size, score, n_pieces))
+        for end, (size, score, is_unknown) in self.automaton.iter(text):
+            ends[end + 1].append((size, score, is_unknown))
             if size == 1:
                 alone[end] = True
         best, count = [0.0] * (n + 1), [0] * (n + 1)
+        run, own = [0] * (n + 1), [False] * (n + 1)  # bytes of the unknown run that ends here; is it just the unknown piece's name
         for e in range(1, n + 1):
-            found, value, pieces = False, 0.0, 0
-            for size, score, n_pieces in sorted(ends[e], reverse=True):  # longer matches start first
+            found, value, start, unknown, name = False, 0.0, 0, False, False
+            for size, score, is_unknown in sorted(ends[e], reverse=True):  # longer matches start first
                 if not found or best[e - size] + score > value:
-                    found, value, pieces = True, best[e - size] + score, count[e - size] + n_pieces
+                    found, value, start, unknown, name = True, best[e - size] + score, e - size, is_unknown, is_unknown
             if not alone[e - 1] and (not found or best[e - 1] + self.unknown > value):
-                value, pieces = best[e - 1] + self.unknown, count[e - 1] + len(text[e - 1].encode())
-            best[e], count[e] = value, pieces
-        return count[n], best[n]
+                value, start, unknown, name = best[e - 1] + self.unknown, e - 1, True, False
+            best[e] = value
+            if unknown:
+                count[e], run[e], own[e] = count[start], run[start] + len(text[start:e].encode()), name and not run[start]
+            else:
+                count[e] = count[start] + (1 if own[start] else run[start]) + 1
+        return count[n] + (1 if own[n] else run[n]), best[n]
 
     def count(self, text: str) -> tuple[int, float]:
         """Number of pieces and score of the best segmentation."""
