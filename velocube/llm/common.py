@@ -60,12 +60,12 @@ def bytes_of(column) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(column.buffers()[2], np.uint8)[ends[0]:ends[-1]], ends - ends[0]
 
 
-def parts_of(batches, limit: int = 4 << 20):
-    """Arrow batches cut where their texts (the binary column 1) pass so many bytes, so that arrays stay small."""
+def parts_of(batches, limit: int = 4 << 20, column: int = 1):
+    """Arrow batches cut where their texts (a binary column) pass so many bytes, so that arrays stay small."""
     for batch in batches:
         if not batch.num_rows:
             continue
-        _, offsets = bytes_of(batch.column(1))
+        _, offsets = bytes_of(batch.column(column))
         at = 0
         while at < batch.num_rows:
             stop = max(at + 1, int(np.searchsorted(offsets, offsets[at] + limit, side="right")) - 1)

@@ -6,7 +6,7 @@ gets a defect logit from its pooled outputs; the largest and the mean logit of a
 into one probability.
 
 Training (backpropagation with Adam, on the driver) sees a bounded sample of labelled rows: at most
-``PER_CLASS`` documents of each label, in the order of a hash of doc_id.  Class weights undo the sample's balance,
+``PER_CLASS`` documents of each label, in the order of a hash of doc_id, none longer than ``LONGEST`` bytes.  Class weights undo the sample's balance,
 so probabilities follow the labels' shares.  Scoring is one pass over the table without a shuffle.
 
 Defined results: one row per input row; null and empty texts are scored as an empty document (one chunk of
@@ -25,10 +25,12 @@ from velocube.llm.common import bytes_of, documents, parts_of, with_bytes
 
 #: Labelled documents of each class that training may see.
 PER_CLASS = 1500
+#: Bytes of a document that training may see; scoring has no such limit.
+LONGEST = 1 << 16
 EMBED, FILTERS, STEP, WIDTH = 4, 48, 4, 8
 HALF = 128  # bytes of half a chunk: chunks of 256 bytes begin every 128
 POSITIONS = HALF // STEP
-EPOCHS, BATCH, RATE = 10, 32, 0.004
+UPDATES, BATCH, RATE = 940, 32, 0.004
 BLOCK_HALVES = 2048
 
 
@@ -43,9 +45,11 @@ def padded(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return out, starts
 
 
-def pooled(model: dict, text: np.ndarray, where: bool = False):
+def pooled(model: dict, text: np.ndarray, starts: np.ndarray, where: bool = False):
     """Largest output of each filter in each half chunk, and (if asked) the position that gave it."""
     n = len(text) // HALF
+    ends = np.zeros(n, bool)
+    ends[starts[1:] - 1] = True
     best = np.empty((n, FILTERS), np.float32)
     at = np.empty((n, FILTERS), np.int64) if where else None
     for a in range(0, n, BLOCK_HALVES):
@@ -57,6 +61,7 @@ def pooled(model: dict, text: np.ndarray, where: bool = False):
         y = x[:-1] @ model["left"]
         y += x[1:] @ model["right"]
         y = y.reshape(b - a, POSITIONS, FILTERS)
+        y[ends[a:b], -1] = -np.inf  # a row's last position lies in its padding and reaches into the next row
         if where:
             k = y.argmax(axis=1)
             at[a:b] = k + (np.arange(a, b) * POSITIONS)[:, None]
@@ -90,7 +95,7 @@ def scores(model: dict, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     if "constant" in model:
         return np.full(len(offsets) - 1, model["constant"])
     text, starts = padded(data, offsets)
-    best, _ = pooled(model, text)
+    best, _ = pooled(model, text, starts)
     z, _, rows = chunk_logits(model, best, starts)
     logit, _, _ = row_logits(model, z.astype(np.float64), rows)
     return 1 / (1 + np.exp(np.clip(logit, -500, 500)))
@@ -112,14 +117,13 @@ def fit(texts: list[bytes], good: np.ndarray, share: float, seed: int = 7) -> di
     second = {k: np.zeros_like(v) for k, v in model.items()}
     weight = np.where(good == 1, share / (good == 1).mean(), (1 - share) / (good == 0).mean())
     step = 0
-    total = EPOCHS * -(-len(texts) // BATCH)
-    for _ in range(EPOCHS):
+    while step < UPDATES:
         order = rng.permutation(len(texts))
         for a in range(0, len(order), BATCH):
             rows = order[a:a + BATCH]
             grads = _gradients(model, [texts[k] for k in rows], 1 - good[rows], weight[rows])
             step += 1
-            rate = RATE * min(1, 1.1 - step / total)
+            rate = RATE * max(0.1, min(1, 1.1 - step / UPDATES))
             for k, g in grads.items():
                 first[k] += 0.1 * (g - first[k])
                 second[k] += 0.01 * (g * g - second[k])
@@ -132,7 +136,7 @@ def _gradients(model: dict, texts: list[bytes], bad: np.ndarray, weight: np.ndar
     """Gradients of the weighted log loss; max-pooling passes them to one position a filter and chunk."""
     data = np.frombuffer(b"".join(texts), np.uint8)
     text, starts = padded(data, np.concatenate([[0], np.cumsum([len(t) for t in texts])]).astype(np.int64))
-    best, at = pooled(model, text, where=True)
+    best, at = pooled(model, text, starts, where=True)
     z, kept, rows = chunk_logits(model, best, starts)
     logit, top, mean = row_logits(model, z, rows)
     d_row = ((1 / (1 + np.exp(-np.clip(logit, -50, 50))) - bad) * weight / len(texts)).astype(np.float32)
@@ -185,7 +189,7 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> dic
     for label in (0, 1):  # at most per_class rows each: small enough to broadcast
         part = named.where(F.col("quality") == label).orderBy(*order).limit(per_class)
         chosen = part if chosen is None else chosen.unionByName(part)
-    rows = documents(docs).join(F.broadcast(chosen), "doc_id").orderBy(*order, F.md5("text"), "quality").limit(4 * per_class).collect()
+    rows = documents(docs).where(F.octet_length("text") <= LONGEST).join(F.broadcast(chosen), "doc_id").orderBy(*order, F.md5("text"), "quality").limit(4 * per_class).collect()
     return fit([(r["text"] or "").encode() for r in rows], np.array([r["quality"] for r in rows]), counts[1] / total)
 
 

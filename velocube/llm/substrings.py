@@ -86,7 +86,7 @@ def anchors(data: np.ndarray, offsets: np.ndarray):
 
 
 def suffix_array(text: np.ndarray) -> np.ndarray:
-    """Starts of the suffixes of codes in the order of their first 128 codes."""
+    """Starts of the suffixes of codes in the order of their first 128 codes; the last code is a 0, the only one."""
     n = len(text)
     ext = np.concatenate([text, np.zeros(8, np.uint8)])
     key = np.zeros(n, np.uint64)
@@ -144,22 +144,23 @@ def later_windows(contexts: list[bytes], ranks: np.ndarray, starts: np.ndarray)
     raw = np.frombuffer(b"".join(contexts), np.uint8)
     present = np.zeros(256, np.uint8)
     present[raw] = 1
-    codes = np.cumsum(present).astype(np.uint8) * present  # UTF-8 leaves byte values free for the separator 0
+    codes = (np.cumsum(present) + 1).astype(np.uint8)  # UTF-8 leaves byte values free for separators (1) and the end (0)
     ends = np.cumsum(sizes + 1)
-    text = np.zeros(ends[-1], np.uint8)
+    text = np.ones(ends[-1] + 1, np.uint8)
     inside = np.ones(ends[-1], bool)
     inside[ends - 1] = False
-    text[inside] = codes[raw]
+    text[:-1][inside] = codes[raw]
+    text[-1] = 0
     order = suffix_array(text)
     group = common_prefix_groups(text, order)
     of = np.repeat(np.arange(len(contexts)), sizes + 1)
-    place = np.arange(len(text)) - (ends - sizes - 1)[of]
+    place = np.arange(len(of)) - (ends - sizes - 1)[of]
     valid = place + LEAST <= sizes[of]
-    when = np.where(valid, (ranks[of] << 40) + starts[of] + place, np.iinfo(np.int64).max)[order]
+    when = np.append(np.where(valid, (ranks[of] << 40) + starts[of] + place, np.iinfo(np.int64).max), np.iinfo(np.int64).max)[order]
     first = np.minimum.reduceat(when, np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]])))
     later = np.zeros(len(text), bool)
     later[order] = when > first[group]
-    later &= valid
+    later[:-1] &= valid
     return [np.flatnonzero(later[e - s - 1:e - 1]) for e, s in zip(ends, sizes)]
 
 
