@@ -1,3 +1,4 @@
+import csv
 import io
 import os
 import tempfile
@@ -5,6 +6,7 @@ import uuid
 import zipfile
 from datetime import datetime
 
+import pytest
 from pyspark.sql import functions as F
 
 from velocube import schemas
@@ -115,8 +117,8 @@ def test_zip_all_members(spark):
         zf.writestr("b.csv", HEADER + "\n" + ROW.replace("r1,", "r2,") + "\n")
     with open(os.path.join(d, "202402-tripdata.zip"), "wb") as f:
         f.write(buf.getvalue())
-    assert read_trip_archives(spark, d).count() == 1
-    assert sorted(r.ride_id for r in read_trip_archives(spark, d, all_members=True).collect()) == ["r1", "r2"]
+    assert read_trip_archives(spark, d, first_only=True).count() == 1
+    assert sorted(r.ride_id for r in read_trip_archives(spark, d).collect()) == ["r1", "r2"]
 
 
 def test_versioned_features_and_predictions_by_name(spark):
@@ -128,3 +130,55 @@ def test_versioned_features_and_predictions_by_name(spark):
     assert tables.load_features(spark, root, 2).count() == 1
     p = tables.read_predictions(spark, os.path.join(root, "v=2"))
     assert p.columns[:4] == ["station_id", "station_rank", "target_hour", "predicted_trips"]
+
+
+def test_upsert_damaged_table_raises_and_stays(spark):
+    path = os.path.join(_tmp(), "t")
+    s = "k string, v int, t timestamp"
+    spark.createDataFrame([("a", 1, datetime(2024, 1, 1)), ("b", 1, datetime(2024, 1, 1))], s).coalesce(1).write.parquet(path)
+    name = next(f for f in os.listdir(path) if f.endswith(".parquet"))
+    data = open(os.path.join(path, name), "rb").read()
+    with open(os.path.join(path, name), "wb") as f:
+        f.write(data[:-8] + b"\0" * 8)
+    with pytest.raises(Exception):
+        tables.upsert(spark, path, spark.createDataFrame([("c", 2, datetime(2024, 1, 2))], s), ["k"], "t", None)
+    assert open(os.path.join(path, name), "rb").read() == data[:-8] + b"\0" * 8
+
+
+def test_upsert_repeated_key_newer_wins(spark):
+    path = os.path.join(_tmp(), "t")
+    s = "k string, v int, t timestamp"
+    rows = [("a", 1, datetime(2024, 1, 1, 1)), ("a", 2, datetime(2024, 1, 1, 3)), ("a", 3, datetime(2024, 1, 1, 2))]
+    out = tables.upsert(spark, path, spark.createDataFrame(rows, s), ["k"], "t")
+    assert [r.v for r in out.collect()] == [2]
+    out = tables.upsert(spark, path, spark.createDataFrame([("a", 9, datetime(2024, 1, 1, 3)), ("z", 5, datetime(2024, 2, 1))], s), ["k"], "t")
+    assert sorted((r.k, r.v) for r in out.collect()) == [("a", 9), ("z", 5)]
+
+
+def test_mixed_headers_bind_by_name(spark):
+    d = _tmp()
+    names = HEADER.split(",")
+    values = dict(zip(names, next(csv.reader([ROW]))))
+    orders = [names, names[::-1], [n for n in names if n != "start_station_name"] + ["extra"]]
+    for k, order in enumerate(orders):
+        with open(os.path.join(d, f"{k}.csv"), "w") as f:
+            f.write(",".join(order) + "\n" + ",".join({**values, "ride_id": f"m{k}", "extra": "x"}[n] for n in order) + "\n")
+    got = {r.ride_id: r for r in read_trips(spark, d).collect()}
+    one = got["m0"].asDict()
+    assert got["m1"].asDict() == {**one, "ride_id": "m1"}
+    assert got["m2"].asDict() == {**one, "ride_id": "m2", "start_station_name": None}
+    with open(os.path.join(d, "none.csv"), "w") as f:
+        f.write("1,2,3\n")
+    with pytest.raises(ValueError):
+        read_trips(spark, d)
+
+
+def test_wall_clock_in_any_session_zone(spark):
+    from velocube.functions import parse_ts
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "Europe/London")
+        df = spark.createDataFrame([("2024-03-31 01:30:00",), ("bad",)], "s string").select(parse_ts("s").alias("t"))
+        assert [r.t for r in df.collect()] == [datetime(2024, 3, 31, 1, 30), None]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)

@@ -2,7 +2,7 @@
 inference hourly), each a thin wrapper over ``velocube.plans``.
 
     python -m velocube.cli features --trips <csv dir or bronze> --features <path> [--report <path>]
-    python -m velocube.cli train --features <path> --runs <path> --models <path> [--rounds 50]
+    python -m velocube.cli train --features <path> --runs <path> --models <path> [--rounds 1000] [--metrics <path>]
     python -m velocube.cli infer --features <path> --runs <path> --out <path> [--as-of ISO]
 
 Paths may be any Spark-readable URI; the session (cluster settings,
@@ -32,7 +32,8 @@ def main(argv=None) -> None:
     t.add_argument("--features", required=True)
     t.add_argument("--runs", required=True)
     t.add_argument("--models", required=True)
-    t.add_argument("--rounds", type=int, default=50)
+    t.add_argument("--rounds", type=int, default=1000)
+    t.add_argument("--metrics", help="write the metrics record there as one JSON document")
     i = sub.add_parser("infer")
     i.add_argument("--features", required=True)
     i.add_argument("--runs", required=True)
@@ -68,7 +69,7 @@ def main(argv=None) -> None:
     elif a.job == "train":
         from velocube.plans.training import run_training
         feats = spark.read.parquet(a.features).drop("month_key")
-        rec = run_training(spark, feats, a.runs, a.models, max_iter=a.rounds).first().asDict(recursive=True)
+        rec = run_training(spark, feats, a.runs, a.models, max_iter=a.rounds, metrics_path=a.metrics).first().asDict(recursive=True)
         print(json.dumps(rec, default=str))
     else:
         from velocube.plans.inference import run_inference

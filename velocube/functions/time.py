@@ -17,7 +17,7 @@ def parse_ts(c, strict: bool = False) -> Column:
     c = col(c)
     if strict:
         return F.to_timestamp_ntz(c)
-    return F.try_to_timestamp(c).cast("timestamp_ntz")
+    return c.cast("string").try_cast("timestamp_ntz")  # never through the session zone
 
 
 def duration_min(start, end) -> Column:

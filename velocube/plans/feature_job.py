@@ -13,12 +13,15 @@ from velocube.operators import aggregates as A
 from velocube.operators import clean as CL
 from velocube.operators import features as FE
 from velocube.plans.report import monthly_report
+from velocube.session import checkpoint_dir
 from velocube.sources import tables
 
 
 def run_features(spark: SparkSession, trips: DataFrame, features_path: str, report_path: str | None = None,
                  report_month: str | None = None, k: int = 3, n: int = 28) -> DataFrame:
-    feats = FE.build_features(trips, k, n)
+    checkpoint_dir(spark)
+    counts = A.station_hour_counts(trips).checkpoint(eager=True)  # hours x stations x 2 rows, computed once
+    feats = FE.build_features(trips, k, n, counts=counts)
     if feats.isEmpty():  # no station has more than n hours: leave the table as it is
         return feats
     keyed = feats.withColumn("month_key", F.date_format("start_hour", "yyyyMM"))
@@ -27,10 +30,7 @@ def run_features(spark: SparkSession, trips: DataFrame, features_path: str, repo
         clean = CL.clean_trips(trips)
         if report_month:
             clean = clean.filter(F.date_format("started_at", "yyyyMM") == report_month)
-        counts = A.station_hour_counts(trips)
-        top = A.top_stations(counts.groupBy("station_id").agg(F.sum("count").alias("trips")), k)
-        names = A.station_names(trips).join(F.broadcast(top.select("station_id")), "station_id", "right")\
-            .select("station_id", F.coalesce("station_name", "station_id").alias("station_name"))
+        names = A.top_names(trips, k, counts.groupBy("station_id").agg(F.sum("count").alias("trips")))
         rep = monthly_report(clean, names, f"{report_month or ''}-tripdata.csv")
         tables.write_json_doc(rep, report_path)
     return spark.read.parquet(features_path)

@@ -18,14 +18,14 @@ from velocube import schemas
 from velocube.operators import evaluation as EV
 from velocube.operators import features as FE
 from velocube.operators import models as M
+from velocube.sources import tables
 
 MODEL_NAME = "demand_forecaster"
 
 
 def champion_run(spark: SparkSession, runs_path: str) -> DataFrame | None:
-    try:
-        runs = spark.read.parquet(runs_path)
-    except Exception:
+    runs = tables.existing(spark, runs_path)
+    if runs is None:
         return None
     promoted = runs.filter(F.col("status") == "Promoted")
     return EV.best_model(promoted.withColumnRenamed("version", "v").withColumn("model_name", F.col("run_id")),
@@ -33,7 +33,9 @@ def champion_run(spark: SparkSession, runs_path: str) -> DataFrame | None:
 
 
 def run_training(spark: SparkSession, features: DataFrame, runs_path: str, model_root: str,
-                 max_iter: int = 50, depth: int = 5) -> DataFrame:
+                 max_iter: int = 1000, depth: int = 5, metrics_path: str | None = None) -> DataFrame:
+    """One training run; the metrics record is also written to
+    ``metrics_path`` as one JSON document where that is given."""
     split = FE.chrono_split(features)
     train, test = split.filter("split = 'train'"), split.filter("split = 'test'")
     cols = schemas.MODEL_INPUTS
@@ -44,20 +46,14 @@ def run_training(spark: SparkSession, features: DataFrame, runs_path: str, model
     champ_mae = None
     if champ is not None:
         row = champ.select("path").first()
-        if row is not None and row["path"]:
-            try:
-                cm = PipelineModel.load(row["path"])
-                champ_mae = EV.error_metrics(M.score(cm, test, cols))
-            except Exception:  # any failure: no champion (challenger promoted)
-                champ_mae = None
+        if row is not None and row["path"] and tables.path_exists(spark, row["path"]):  # a model that is gone is no champion
+            champ_mae = EV.error_metrics(M.score(PipelineModel.load(row["path"]), test, cols))
     decision = EV.promote(ch, champ_mae)
     d = decision.first()
     run_id = uuid.uuid4().hex[:8]
     now = datetime.now(timezone.utc)
-    try:
-        version = (spark.read.parquet(runs_path).agg(F.max("version")).first()[0] or 0) + 1
-    except Exception:
-        version = 1
+    runs = tables.existing(spark, runs_path)
+    version = 1 if runs is None else (runs.agg(F.max("version")).first()[0] or 0) + 1
     path = os.path.join(model_root, f"version={version}")
     if d["promotion_status"] == "Promoted":
         model.write().overwrite().save(path)
@@ -67,7 +63,10 @@ def run_training(spark: SparkSession, features: DataFrame, runs_path: str, model
           path if d["promotion_status"] == "Promoted" else None)], schemas.RUNS)
     run.write.mode("append").parquet(runs_path)
     imp = M.importances(model, cols)
-    return metrics_record(ch, decision, split, imp, rounds, len(cols), now)
+    record = metrics_record(ch, decision, split, imp, rounds, len(cols), now)
+    if metrics_path:
+        tables.write_json_doc(record, metrics_path)
+    return record
 
 
 def metrics_record(errors: DataFrame, decision: DataFrame, split: DataFrame, importances: DataFrame,

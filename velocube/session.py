@@ -8,6 +8,7 @@ and only sets one when it is unset.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -47,20 +48,19 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by the session.
 
-    Only when the setting is missing (local tests) do we create one.
+    Only where the setting is missing and driver and executors are one local
+    process (tests) do we create one; on a cluster a missing setting raises,
+    because executors could not see a folder of the driver's machine.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        d = spark.sparkContext.getCheckpointDir() if hasattr(
-            spark.sparkContext, "getCheckpointDir") else None
+    sc = spark.sparkContext
+    d = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not d:
+        if not re.fullmatch(r"local(\[[^,]*\])?", sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="velocube-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
-    try:
-        if not spark.sparkContext.getCheckpointDir():
-            spark.sparkContext.setCheckpointDir(d)
-    except Exception:  # pragma: no cover - connect sessions
-        pass
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
     return d
 
 

@@ -6,7 +6,9 @@ import os
 import uuid
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
+from pyspark.storagelevel import StorageLevel
 
 from velocube.session import scratch_path
 
@@ -24,8 +26,26 @@ def eastern_now() -> Column:
 
 
 # ---------------------------------------------------------------- scans
-def read_features(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+def existing(spark: SparkSession, path: str) -> DataFrame | None:
+    """The Parquet table at ``path``, or None where nothing is there.  Any
+    other failure (a damaged file, no permission) raises."""
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)  # noqa: SLF001
+    return jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jvm_path)  # noqa: SLF001
+
+
+def is_folder(spark: SparkSession, path: str) -> bool:
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)  # noqa: SLF001
+    fs = jvm_path.getFileSystem(spark._jsc.hadoopConfiguration())  # noqa: SLF001
+    return fs.exists(jvm_path) and fs.getFileStatus(jvm_path).isDirectory()
 
 
 def load_features(spark: SparkSession, root: str, version: int = 1) -> DataFrame:
@@ -66,14 +86,6 @@ def coerce_numeric(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
 
 
 # ---------------------------------------------------------------- sinks
-def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = (),
-                mode: str = "overwrite") -> None:
-    w = df.write.mode(mode)
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(path)
-
-
 CSV_TS_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 
 
@@ -93,39 +105,46 @@ def write_json_doc(doc: DataFrame, path: str) -> None:
 
 def upsert(spark: SparkSession, target_path: str, new: DataFrame, keys: Sequence[str],
            event_time: str, partition_col: str | None = "month_key") -> DataFrame:
-    """Keyed upsert into a Parquet table: the newer row of a key wins.
-
-    With ``partition_col`` only the partitions touched by ``new`` are
-    rewritten (dynamic partition overwrite); without it the table is
-    rewritten whole.  The old rows being replaced are first materialised in
-    the shared checkpoint folder, so the job never reads files it is
-    overwriting and survives executor loss.
+    """Keyed upsert into a Parquet table.  Of the rows of a key the one with
+    the latest ``event_time`` wins; at equal times a new row beats an old one,
+    and among new rows the order of a hash of the row decides.
+
+    With ``partition_col`` only the partitions that ``new`` touches are read
+    (a literal filter on their values) and rewritten (dynamic partition
+    overwrite); without it the table is rewritten whole.  Only a missing path
+    counts as an empty table: a table that cannot be read raises and stays as
+    it is.  The old rows are first materialised in the shared checkpoint
+    folder, so the job never reads files it is overwriting and survives
+    executor loss; ``new`` is computed once.
     """
     if partition_col and partition_col not in new.columns:
         new = new.withColumn(partition_col, F.date_format(F.col(event_time), "yyyyMM"))
-    new = new.withColumn("_src", F.lit(1))
+    old = existing(spark, target_path)
+    new = new.persist(StorageLevel.MEMORY_AND_DISK)
+    stage = scratch_path(spark, f"upsert-stage-{uuid.uuid4().hex}")
     try:
-        old = spark.read.parquet(target_path)
-    except Exception:  # noqa: BLE001 - first write: no table yet
-        old = None
-    if old is not None:
-        if partition_col:
-            old = old.join(new.select(partition_col).distinct(), partition_col, "left_semi")
-        stage = scratch_path(spark, f"upsert-stage-{uuid.uuid4().hex}")
-        old.withColumn("_src", F.lit(0)).write.parquet(stage)
-        both = spark.read.parquet(stage).unionByName(new, allowMissingColumns=True)
-    else:
-        both = new
-    # keys are (nearly) unique: each window partition holds at most the old
-    # and the new row of one key
-    w = Window.partitionBy(*keys).orderBy(F.col("_src").desc())
-    merged = both.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn", "_src")
-    writer = merged.write.mode("overwrite")
-    if partition_col:
-        writer = writer.option("partitionOverwriteMode", "dynamic").partitionBy(partition_col)
-    writer.parquet(target_path)
-    if old is not None:
-        delete_path(spark, stage)  # our own uniquely named staging copy
+        both = new.withColumn("_src", F.lit(1))
+        if old is not None:
+            if partition_col:
+                part = F.col(partition_col).cast("string")
+                touched = [r[0] for r in new.select(part.alias("p")).distinct().collect()]  # months: a short list
+                old = old.filter(part.isin([t for t in touched if t is not None]) | (part.isNull() if None in touched else F.lit(False)))
+                old = old.withColumn(partition_col, part)
+            old.withColumn("_src", F.lit(0)).write.parquet(stage)
+            both = spark.read.parquet(stage).unionByName(both, allowMissingColumns=True)
+        # keys are (nearly) unique: each window partition holds at most the old and the new rows of one key
+        w = Window.partitionBy(*keys).orderBy(F.col(event_time).desc(), F.col("_src").desc(), F.xxhash64(*new.columns))
+        merged = both.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn", "_src")
+        if partition_col:  # a few files a partition, and large partitions split
+            writer = merged.hint("rebalance", partition_col).write.mode("overwrite")
+            writer = writer.option("partitionOverwriteMode", "dynamic").partitionBy(partition_col)
+        else:
+            writer = merged.write.mode("overwrite")
+        writer.parquet(target_path)
+    finally:
+        new.unpersist()
+        if old is not None:
+            delete_path(spark, stage)  # our own uniquely named staging copy
     return spark.read.parquet(target_path)
 
 
@@ -136,12 +155,6 @@ def delete_path(spark: SparkSession, path: str) -> None:
     jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jvm_path, True)  # noqa: SLF001
 
 
-def merge_newest(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """The upsert rule as a pure DataFrame function: rows of ``new`` replace
-    rows of ``old`` with the same key (anti join + union, no window)."""
-    return old.join(new.select(*keys), list(keys), "left_anti").unionByName(new)
-
-
 def publish(df: DataFrame, root: str, generated_at_col: str = "prediction_generated_at") -> None:
     """Append a timestamped snapshot partition; readers take the newest one
     through ``latest``."""

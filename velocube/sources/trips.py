@@ -1,6 +1,7 @@
 """Trip scans: CSV with column subset, missing-column fallback, zip archives."""
 from __future__ import annotations
 
+import csv
 import io
 import zipfile
 from collections.abc import Sequence
@@ -25,45 +26,54 @@ def _typed(raw: DataFrame) -> DataFrame:
     return raw.select(*out)
 
 
+def headers(spark: SparkSession, paths: Sequence[str]) -> dict[tuple[str, ...], list[str]]:
+    """The files below ``paths`` by their header, from one distributed pass.
+
+    A file's header is its line that names ``started_at``, the one column
+    every export has; only those lines leave the scan.  A file without such a
+    line raises.
+    """
+    text = spark.read.text(list(paths))
+    lines = (text.select(F.col("_metadata.file_path").alias("path"), "value").filter(F.col("value").contains("started_at"))
+             .groupBy("path").agg(F.min("value").alias("header")).collect())  # one short line a file
+    found: dict[tuple[str, ...], list[str]] = {}
+    for r in sorted(lines, key=lambda r: r["path"]):
+        names = tuple(n.strip().lstrip("\ufeff") for n in next(csv.reader([r["header"]])))
+        found.setdefault(names, []).append(r["path"])
+    if sum(map(len, found.values())) < len(text.inputFiles()):
+        raise ValueError(f"files without a header line below {list(paths)}")
+    return found
+
+
 def read_trips(spark: SparkSession, paths: str | Sequence[str],
                cols: Sequence[str] | None = None) -> DataFrame:
-    """Scan trip CSVs sharing one header layout in a single distributed read.
+    """Scan trip CSVs; every file's columns are bound by its own header.
 
-    Columns are bound by header name (every value read as text, no schema
-    inference pass), so column order may differ from the declared schema;
-    wanted columns missing from the header become typed NULLs.  Text is
-    typed afterwards and unparsable values become NULL.  Exports whose
-    layouts differ from each other go through ``read_trips_by_header``.
+    Files are grouped by header and each distinct header is one scan (all
+    values as text, no schema inference).  Column order may differ, unknown
+    columns are dropped, and wanted ones that a header lacks become typed
+    NULLs.  Text is typed afterwards and unparsable values become NULL.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
-    raw = spark.read.option("header", True).option("mode", "PERMISSIVE").csv(paths)
-    present = set(raw.columns)
-    raw = raw.select(*[F.col(f.name) if f.name in present else F.lit(None).cast("string").alias(f.name)
-                       for f in schemas.TRIPS_RAW.fields])
-    df = _typed(raw)
-    if cols:
-        df = df.select(*cols)
-    return df
+    out = None
+    for names, files in headers(spark, paths).items():  # one scan per distinct header, not per file
+        schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
+        scan = spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE").csv(files)
+        scan = scan.select(*[F.col(f.name) if f.name in names else F.lit(None).cast("string").alias(f.name)
+                             for f in schemas.TRIPS_RAW.fields])
+        out = scan if out is None else out.unionByName(scan)
+    if out is None:
+        out = spark.createDataFrame([], schemas.TRIPS_RAW)
+    df = _typed(out)
+    return df.select(*cols) if cols else df
 
 
 def read_trips_by_header(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """Fallback for files whose headers differ: each file is scanned with its
-    own header (all columns as text) and the scans are combined with
-    ``unionByName(allowMissingColumns=True)``; missing optional columns become
-    typed NULLs and a missing station name falls back to NULL."""
-    wanted = [f.name for f in schemas.TRIPS_RAW.fields]
-    out = None
-    for p in paths:
-        scan = spark.read.option("header", True).csv(p)  # no inferSchema: all text
-        scan = scan.select(*[c for c in scan.columns if c in wanted])
-        out = scan if out is None else out.unionByName(scan, allowMissingColumns=True)
-    for name in wanted:
-        if name not in out.columns:
-            out = out.withColumn(name, F.lit(None).cast("string"))
-    return _typed(out.select(*wanted))
+    """``read_trips`` under its older name: both bind columns by header."""
+    return read_trips(spark, paths)
 
 
-def _unzip_csv(all_members: bool, chunk_rows: int = 65536):
+def _unzip_csv(first_only: bool, chunk_rows: int = 65536):
     wanted = [f.name for f in schemas.TRIPS_RAW.fields]
 
     def run(batches):
@@ -73,7 +83,7 @@ def _unzip_csv(all_members: bool, chunk_rows: int = 65536):
                 with zipfile.ZipFile(io.BytesIO(content)) as zf:
                     names = [n for n in zf.namelist()
                              if n.endswith(".csv") and "__MACOSX" not in n]
-                    for n in (names if all_members else names[:1]):
+                    for n in (names[:1] if first_only else names):
                         with zf.open(n) as fh:
                             for chunk in pd.read_csv(fh, dtype=str, chunksize=chunk_rows,
                                                      keep_default_na=False, na_values=[""]):
@@ -82,17 +92,18 @@ def _unzip_csv(all_members: bool, chunk_rows: int = 65536):
     return run
 
 
-def read_trip_archives(spark: SparkSession, directory: str, all_members: bool = False) -> DataFrame:
+def read_trip_archives(spark: SparkSession, directory: str, first_only: bool = False) -> DataFrame:
     """Trips from ``*.zip`` archives, skipping macOS ``__MACOSX`` entries.
 
     Archives are listed by Spark's binary-file source (one task per archive;
     the task holds the compressed bytes, which the source caps at 2 GB); the
     member CSV is decompressed and parsed as a stream in fixed-size chunks, so
-    the uncompressed text is never materialised whole.  Only the first CSV
-    member is used unless ``all_members``.  Typing happens in Spark.  For
+    the uncompressed text is never materialised whole.  All CSV members are
+    read, each by its own header; ``first_only`` keeps the rule of reading the
+    first one of an archive.  Typing happens in Spark.  For
     repeated scans, land the data once as Parquet (``tables.write_bronze``).
     """
     bins = (spark.read.format("binaryFile").option("pathGlobFilter", "*.zip")
             .load(directory).select("content"))
-    raw = bins.mapInPandas(_unzip_csv(all_members), schemas.TRIPS_RAW)
+    raw = bins.mapInPandas(_unzip_csv(first_only), schemas.TRIPS_RAW)
     return _typed(raw)
