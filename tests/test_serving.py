@@ -40,3 +40,10 @@ def test_upcoming_floor_hour_variant(spark):
     now = T0 + timedelta(hours=5, minutes=30)
     assert SV.upcoming(df, now).count() == 4                    # API rule: strictly from now
     assert SV.upcoming(df, now, floor_hour=True).count() == 5   # dashboard rule: from the current hour
+
+
+def test_forecast_wide_shows_every_station(spark):
+    rows = [(f"S{k}", k, T0, 1.0 + k) for k in range(5)]
+    r = SV.forecast_wide(spark.createDataFrame(rows, "station_id string, station_rank int, target_hour timestamp_ntz, predicted_trips double")).first()
+    assert [r[f"station_{k}"] for k in range(5)] == [1.0, 2.0, 3.0, 4.0, 5.0] and r.total_trips == 15.0
+    assert sorted(tuple(x) for x in SV.stations(spark.createDataFrame(rows, "station_id string, station_rank int, h timestamp_ntz, v double")).collect()) == [(f"S{k}", k) for k in range(5)]

@@ -533,7 +533,7 @@ wide AS (
 
 
 def _wide(spark, d):
-    return SV.forecast_wide(_forecast(spark, d), 3)
+    return SV.forecast_wide(_forecast(spark, d))
 
 
 def _wsql(body):
@@ -714,7 +714,7 @@ def q_drift_psi(spark, d):
 # ======================================================================= models (rows-only checks)
 
 
-GBT_ROUNDS = 10  # registered-query setting; the training plan defaults to 50
+GBT_ROUNDS = 10  # registered-query setting, see README; the training plan's default is the full 1000
 
 
 def _gbt(spark, d):
@@ -752,19 +752,24 @@ def q_forecast_gbt(spark, d):
 @register("monthly_report")
 def q_monthly_report(spark, d):
     clean = _clean(spark, d)
-    names = A.station_names(_trips(spark, d))
-    return report_json(monthly_report(clean, names, "202401-tripdata.csv"))
+    month = clean.agg(F.date_format(F.max("started_at"), "yyyyMM")).first()[0]
+    return report_json(monthly_report(clean, A.top_names(_trips(spark, d), 3), f"{month}-tripdata.csv"))
 
 
-@register("sample_head")
+@register("sample_head", O.T("SELECT * FROM trips ORDER BY started_at NULLS FIRST, ride_id NULLS FIRST LIMIT 100000"))
 def q_sample_head(spark, d):
-    return _trips(spark, d).limit(100000)
+    return ST.sample_head(_trips(spark, d), ["started_at", "ride_id"], 100000).select(*TRIP_COLS)
 
 
-@register("sample_n")
+@register("sample_n", O.C("SELECT * FROM clean ORDER BY md5(ride_id || '42') LIMIT 10000"))
 def q_sample_n(spark, d):
     """Random sample of min(10000, n) cleaned trips (seeded)."""
-    return _clean(spark, d).orderBy(F.rand(42)).limit(10000)
+    return ST.sample_n(_clean(spark, d), "ride_id", 10000, 42)
+
+
+@register("stations", O.Fe("SELECT station_id, min(station_rank) AS station_rank FROM features GROUP BY 1"))
+def q_stations(spark, d):
+    return SV.stations(_features(spark, d))
 
 
 # ======================================================================= sources and sinks
@@ -794,6 +799,24 @@ def q_read_trips_by_header(spark, d):
     return read_trips_by_header(spark, [path]).select(*TRIP_COLS)
 
 
+@register("read_trips_mixed", O.T("""
+SELECT ride_id, started_at, ended_at, member_casual, rideable_type, start_station_id,
+       CASE WHEN k = 2 THEN NULL ELSE start_station_name END AS start_station_name, end_station_name, start_lat, start_lng
+FROM (SELECT *, ascii(right(md5(ride_id), 1)) % 3 AS k FROM trips)"""))
+def q_read_trips_mixed(spark, d):
+    """Exports with three layouts in one folder: declared order, reversed order, and one that lacks the
+    station name and has a column of its own."""
+    from velocube.sources.tables import write_csv
+    from velocube.sources.trips import read_trips
+    path = scratch_path(spark, f"trips-csv-mixed-{uuid.uuid4().hex}")
+    trips = _trips(spark, d).select(*TRIP_COLS)
+    kind = F.ascii(F.substring(F.md5(F.col("ride_id").cast("binary")), -1, 1)) % 3
+    layouts = [TRIP_COLS, TRIP_COLS[::-1], [c for c in TRIP_COLS if c != "start_station_name"] + ["extra"]]
+    for k, cols in enumerate(layouts):
+        write_csv(trips.withColumn("extra", F.lit("x")).filter(kind == k).select(*cols), f"{path}/{k}")
+    return read_trips(spark, [f"{path}/{k}" for k in range(3)]).select(*TRIP_COLS)
+
+
 @register("coerce_numeric", """
 SELECT event_id, try_cast(cast(value AS VARCHAR) AS DOUBLE) AS value_s, try_cast(props AS DOUBLE) AS props,
        try_cast(event_type AS DOUBLE) AS event_type FROM events""")

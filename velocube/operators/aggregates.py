@@ -182,3 +182,14 @@ def hourly_wide(trips: DataFrame) -> DataFrame:
 def widen(long: DataFrame, key: str, type_col: str, value: str, values: Sequence[str]) -> DataFrame:
     """Long -> wide for charts, duplicates summed, ordered by key."""
     return long.groupBy(key).pivot(type_col, list(values)).agg(F.sum(value)).orderBy(key)
+
+
+def top_names(trips: DataFrame, k: int, counts: DataFrame | None = None) -> DataFrame:
+    """Names of the ``k`` most used stations (the id where there is no name).
+
+    Only trips of those stations are aggregated for names.
+    """
+    pop = station_popularity(trips) if counts is None else counts
+    top = F.broadcast(top_stations(pop, k).select("station_id"))  # k rows
+    used = trips.join(top.withColumnRenamed("station_id", "start_station_id"), "start_station_id", "left_semi")
+    return top.join(station_names(used), "station_id", "left").select("station_id", F.coalesce("station_name", "station_id").alias("station_name"))

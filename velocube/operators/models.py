@@ -5,8 +5,8 @@ Boosting uses ``GBTRegressor``; the five calendar/rank inputs are marked
 categorical with a ``VectorIndexer`` over those columns only (indexing the
 lags would turn low-count lags into categories).  Early stopping is done by
 fitting ``max_iter`` rounds and choosing the round with the lowest
-validation error from ``evaluateEachIteration``; the model is refit with that
-many rounds (same seed, same trees).
+validation error from ``evaluateEachIteration`` (within a patience); the
+trees after it are cut off the fitted ensemble.
 """
 from __future__ import annotations
 
@@ -15,14 +15,14 @@ from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler, VectorIndexer
-from pyspark.ml.regression import GBTRegressor, LinearRegression
-from pyspark.sql import DataFrame, functions as F
+from pyspark.ml.regression import GBTRegressionModel, GBTRegressor, LinearRegression
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from velocube import schemas
 from velocube.session import scratch_path
 
 
-def _prep(lags: Sequence[str], cats: Sequence[str], max_categories: int = 32):
+def _prep(lags: Sequence[str], cats: Sequence[str], max_categories: int):
     stages = []
     inputs = list(lags)
     if cats:
@@ -42,26 +42,50 @@ def cast_inputs(df: DataFrame, cols: Sequence[str], y: str = "total_trips") -> D
 def train_gbt(train: DataFrame, valid: DataFrame | None = None,
               lags: Sequence[str] = schemas.LAG_COLS, cats: Sequence[str] = schemas.CATEGORICAL_COLS,
               y: str = "total_trips", max_iter: int = 50, step: float = 0.05, depth: int = 5,
-              seed: int = 42, early_stop: bool = True) -> tuple[PipelineModel, int]:
-    """Fit the boosted-tree pipeline; returns (model, rounds kept)."""
+              seed: int = 42, early_stop: bool = True, patience: int = 50) -> tuple[PipelineModel, int]:
+    """Fit the boosted-tree pipeline; returns (model, rounds kept).
+
+    With ``early_stop`` the rounds up to the best validation error are kept,
+    looking no further than ``patience`` rounds without a gain; they are a
+    prefix of the fitted ensemble, nothing is fitted twice.  Every category
+    column stays categorical: the limit follows the data.
+    """
     from velocube.session import checkpoint_dir
     checkpoint_dir(train.sparkSession)  # lets the boosting loop cut lineage every 10 rounds
     cols = list(lags) + list(cats)
     tr = cast_inputs(train, cols, y)
+    most = max([2, *(tr.agg(*[F.count_distinct(c).alias(c) for c in cats]).first() if cats else ())])
     gbt = GBTRegressor(featuresCol="features", labelCol=y, maxIter=max_iter, stepSize=step,
-                       maxDepth=depth, seed=seed, maxBins=64, checkpointInterval=10)
-    model = Pipeline(stages=_prep(lags, cats) + [gbt]).fit(tr)
+                       maxDepth=depth, seed=seed, maxBins=max(64, most + 1), checkpointInterval=10)
+    model = Pipeline(stages=_prep(lags, cats, most) + [gbt]).fit(tr)
     rounds = max_iter
     if early_stop and valid is not None:
         feats = PipelineModel(model.stages[:-1]).transform(cast_inputs(valid, cols, y))
         errs = model.stages[-1].evaluateEachIteration(feats, "absolute")
-        rounds = int(min(range(len(errs)), key=lambda i: errs[i])) + 1
-        if rounds < max_iter:
-            gbt.setMaxIter(rounds)
-            model = Pipeline(stages=_prep(lags, cats) + [gbt]).fit(tr)
+        best = 0
+        for i, e in enumerate(errs):
+            if e < errs[best]:
+                best = i
+            elif i - best >= patience:
+                break
+        rounds = best + 1
+        if rounds < len(errs):
+            model = PipelineModel(model.stages[:-1] + [_prefix(model.stages[-1], rounds)])
     return model, rounds
 
 
+def _prefix(gbt: GBTRegressionModel, rounds: int) -> GBTRegressionModel:
+    """The first ``rounds`` trees of a fitted ensemble, with their weights."""
+    sc = SparkSession.getActiveSession().sparkContext
+    java, gateway = gbt._java_obj, sc._gateway  # noqa: SLF001
+    ml = sc._jvm.org.apache.spark.ml.regression  # noqa: SLF001
+    trees, weights = gateway.new_array(ml.DecisionTreeRegressionModel, rounds), gateway.new_array(gateway.jvm.double, rounds)
+    for i in range(rounds):
+        trees[i], weights[i] = java.trees()[i], float(java.treeWeights()[i])
+    cut = GBTRegressionModel._from_java(ml.GBTRegressionModel(gbt.uid, trees, weights))  # noqa: SLF001
+    return cut.setFeaturesCol(gbt.getFeaturesCol()).setPredictionCol(gbt.getPredictionCol())
+
+
 def train_linear(train: DataFrame, inputs: Sequence[str] = schemas.MODEL_INPUTS,
                  y: str = "total_trips", reg: float = 0.0) -> PipelineModel:
     tr = cast_inputs(train, inputs, y)
@@ -79,7 +103,6 @@ def score(model: PipelineModel, df: DataFrame, cols: Sequence[str], y: str = "to
 def importances(model: PipelineModel, names: Sequence[str]) -> DataFrame:
     """(feature, importance) from the fitted tree model; the vector has one
     entry per model input (bounded by the input count)."""
-    from pyspark.sql import SparkSession
     imp = model.stages[-1].featureImportances.toArray().tolist()
     spark = SparkSession.getActiveSession()
     return spark.createDataFrame(list(zip(names, map(float, imp))), "feature string, importance double")
@@ -88,7 +111,6 @@ def importances(model: PipelineModel, names: Sequence[str]) -> DataFrame:
 def ensemble_nodes(model: PipelineModel) -> tuple[list[dict], list[float], dict]:
     """Saved tree nodes, tree weights and the categorical index maps of a
     fitted boosted-tree pipeline (model-sized, not data-sized)."""
-    from pyspark.sql import SparkSession
     spark = SparkSession.getActiveSession()
     gbt = model.stages[-1]
     path = scratch_path(spark, f"gbt-{gbt.uid}")

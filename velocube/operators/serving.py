@@ -17,18 +17,30 @@ def rounded(pred: DataFrame) -> DataFrame:
     return pred.withColumn("predicted_trips", round_js("predicted_trips", 1))
 
 
-def forecast_wide(pred: DataFrame, k: int = 3) -> DataFrame:
-    """One row per target hour, one column per station rank (``station_0``
-    ...), and ``total_trips`` = rounded sum.  Explicit pivot values: no
-    extra job to discover them."""
+def _last(pred: DataFrame) -> Column:
+    """The served value of a (hour, station): of repeated rows the one generated last."""
+    if "prediction_generated_at" in pred.columns:
+        return F.max_by("predicted_trips", "prediction_generated_at")
+    return F.max("predicted_trips")
+
+
+def forecast_wide(pred: DataFrame) -> DataFrame:
+    """One row per target hour, one column per station rank in the data
+    (``station_0`` ...), and ``total_trips`` = rounded sum of what is shown."""
     p = rounded(pred)
-    wide = (p.groupBy("target_hour").pivot("station_rank", list(range(k)))
-            .agg(F.first("predicted_trips")))
-    wide = wide.select("target_hour", *[F.col(str(i)).alias(f"station_{i}") for i in range(k)])
+    ranks = [r[0] for r in p.select("station_rank").distinct().orderBy("station_rank").collect()]  # a forecast's stations
+    p = p.groupBy("target_hour", "station_rank").agg(_last(p).alias("predicted_trips"))
+    wide = p.groupBy("target_hour").pivot("station_rank", ranks).agg(F.max("predicted_trips"))
+    wide = wide.select("target_hour", *[F.col(str(i)).alias(f"station_{i}") for i in ranks])
     tot = p.groupBy("target_hour").agg(round_js(F.sum("predicted_trips"), 1).alias("total_trips"))
     return wide.join(tot, "target_hour").withColumn("target_hour_et", to_eastern("target_hour"))
 
 
+def stations(df: DataFrame) -> DataFrame:
+    """The distinct stations of a feature or forecast table with their rank."""
+    return df.groupBy("station_id").agg(F.min("station_rank").alias("station_rank"))
+
+
 def upcoming(df: DataFrame, as_of, ts: str = "target_hour", n: int = 24, floor_hour: bool = False) -> DataFrame:
     """Rows at or after ``as_of``; when there are none, the last ``n`` rows.
     The fallback is a top-n (bounded), the emptiness test a one-row aggregate."""

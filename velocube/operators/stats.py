@@ -164,3 +164,24 @@ def marker_scale(df: DataFrame, count: str = "count") -> DataFrame:
             .withColumn("color", F.when(F.col("ratio") < TIER_LOW, COLOR_LOW)
                         .when(F.col("ratio") < TIER_MID, COLOR_MID).otherwise(COLOR_HIGH))
             .withColumn("radius", RADIUS_MIN + F.col("ratio") * RADIUS_SPAN).drop("_max"))
+
+
+def sample_head(df: DataFrame, order: Sequence[str], k: int) -> DataFrame:
+    """The first ``k`` rows in a stated order (a top-k: every task sends k rows at most)."""
+    return df.orderBy(*order).limit(k)
+
+
+def sample_n(df: DataFrame, key: str, k: int, seed: int = 42) -> DataFrame:
+    """min(k, n) rows in the order of a hash of their key and a seed, however the rows are partitioned.
+
+    From the row count follows a hash threshold that about k rows pass, so that hardly more than those are
+    sorted.  Should fewer than k pass (six standard deviations), the filter is left out.
+    """
+    code = F.md5(F.concat(F.col(key).cast("string"), F.lit(str(seed))))
+    n = df.count()
+    share = (k + 6 * k ** 0.5 + 50) / max(n, 1)
+    if share < 1:
+        few = df.filter(F.substring(code, 1, 8) < f"{int(share * 2 ** 32):08x}")
+        if few.count() >= k:
+            df = few
+    return df.orderBy(code).limit(k)

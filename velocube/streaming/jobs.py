@@ -32,7 +32,12 @@ EVENTS = T.StructType([
 
 def events_stream(spark: SparkSession, directory: str, pattern: str = "events*.parquet",
                   max_files: int | None = None) -> DataFrame:
-    """Event files landing in ``directory`` (name filter ``pattern``)."""
+    """Event files landing in ``directory`` (name filter ``pattern``).  Where
+    ``directory`` holds the table as a folder ``events.parquet`` of part files,
+    as cluster jobs write it, that folder is the source."""
+    table = f"{directory.rstrip('/')}/events.parquet"
+    if tables.is_folder(spark, table):
+        directory, pattern = table, "*.parquet"
     r = spark.readStream.schema(EVENTS).option("pathGlobFilter", pattern)
     if max_files:
         r = r.option("maxFilesPerTrigger", max_files)
