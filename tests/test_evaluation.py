@@ -45,3 +45,20 @@ def test_drift_identical_vs_shifted(spark):
     assert ks_same.ks_stat == 0.0 and not ks_same.drift
     assert abs(ks_shift.ks_stat - 0.75) < 1e-12 and ks_shift.drift
     assert DR.drift_psi(a, b, ["x"]).first().drift
+
+
+def test_wasserstein_and_js(spark):
+    a = spark.createDataFrame([(float(v),) for v in [1, 2, 2, 5]], "x double")
+    b = spark.createDataFrame([(float(v),) for v in [3, 4, 4, 7, 7, 7, 2, 1]], "x double")
+    t = DR.drift_table(a, b, ["x"])
+    import numpy as np
+    xs = np.sort(np.concatenate([[1, 2, 2, 5], [3, 4, 4, 7, 7, 7, 2, 1]]))
+    grid = np.unique(xs)
+    f = lambda v: np.searchsorted(np.sort(v), grid[:-1], side="right") / len(v)
+    want = float((np.diff(grid) * abs(f([1, 2, 2, 5]) - f([3, 4, 4, 7, 7, 7, 2, 1]))).sum())
+    assert abs(DR.wasserstein(t).first().wasserstein - want) < 1e-12
+    same = DR.drift_table(a, a, ["x"])
+    assert DR.wasserstein(same).first().wasserstein == 0.0 and DR.jensen_shannon(same).first().js < 1e-9
+    assert 0 < DR.jensen_shannon(t).first().js < 1
+    share = DR.drifted_share(DR.psi(t)).first()
+    assert share["columns"] == 1 and share.share in (0.0, 1.0)

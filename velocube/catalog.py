@@ -23,7 +23,7 @@ from velocube.operators import forecast as FC
 from velocube.operators import models as M
 from velocube.operators import serving as SV
 from velocube.plans.report import monthly_report, report_json
-from velocube.session import scratch_path
+from velocube.session import checkpoint_dir, scratch_path
 from velocube.streaming import jobs as SJ
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -588,7 +588,8 @@ def q_label_stations(spark, d):
 
 # ======================================================================= evaluation
 def _split(spark, d):
-    s = FE.chrono_split(_features(spark, d))
+    checkpoint_dir(spark)
+    s = FE.chrono_split(_features(spark, d).checkpoint())  # hours x stations rows, read several times
     return s.filter("split = 'train'"), s.filter("split = 'test'")
 
 
@@ -626,11 +627,8 @@ GROUP BY model_name"""
 def _models(spark, d):
     tr, te = _split(spark, d)
     lag_mean = sum(F.col(f"lag_{k}") for k in range(1, 29)) / F.lit(28.0)
-    runs = [EV.error_metrics(EV.baseline_hour_mean(tr, te)).withColumn("model_name", F.lit("hour_mean")),
-            EV.error_metrics(te.withColumn("predicted", F.col("lag_1").cast("double")))
-            .withColumn("model_name", F.lit("persistence")),
-            EV.error_metrics(te.withColumn("predicted", lag_mean)).withColumn("model_name", F.lit("lag_mean"))]
-    out = runs[0].unionByName(runs[1]).unionByName(runs[2])
+    scored = EV.baseline_hour_mean(tr, te).withColumn("lag_mean", lag_mean)
+    out = EV.compare(scored, {"hour_mean": "predicted", "persistence": "lag_1", "lag_mean": "lag_mean"})
     return out.select("model_name", *[r6(c).alias(c) for c in ("mae", "rmse", "wmape")], "n")
 
 
@@ -711,6 +709,45 @@ def q_drift_psi(spark, d):
     return p.select("feature", F.round("psi", 9).alias("psi"), "drift")
 
 
+_BINS_SQL = """bins AS (
+  SELECT feature, bin, greatest(count(*) FILTER (WHERE is_ref) / any_value(t_ref), 1e-6) AS e,
+         greatest(count(*) FILTER (WHERE NOT is_ref) / any_value(t_cur), 1e-6) AS a
+  FROM (SELECT l.feature, l.is_ref, t_ref, t_cur, len(list_filter(q.edges, lambda x: x < l.v)) AS bin
+        FROM long l JOIN (SELECT feature, quantile_cont(v, [0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9]) FILTER (WHERE is_ref) AS edges,
+                                 count(*) FILTER (WHERE is_ref) AS t_ref, count(*) FILTER (WHERE NOT is_ref) AS t_cur
+                          FROM long GROUP BY 1) q USING (feature)) b
+  GROUP BY feature, bin)"""
+
+
+@register("drift_js", O.with_ctes("""
+SELECT feature, round(sqrt(sum(a * ln(a / ((a + e) / 2)) + e * ln(e / ((a + e) / 2))) / 2), 9) AS js FROM bins GROUP BY feature""",
+    O.TRIPS, O.FEATURES, O.SPLIT, _long_sql(), _BINS_SQL))
+def q_drift_js(spark, d):
+    js = DR.jensen_shannon(DR.drift_table(*_split(spark, d), DRIFT_COLS))
+    return js.select("feature", F.round("js", 9).alias("js"))
+
+
+@register("drift_wasserstein", O.with_ctes("""
+SELECT feature, round(sum((nxt - v) * abs(cr / n_ref - cc / n_cur)), 9) AS wasserstein
+FROM (SELECT feature, v, lead(v) OVER w AS nxt, sum(c_ref) OVER w AS cr, sum(c_cur) OVER w AS cc,
+             sum(c_ref) OVER (PARTITION BY feature) AS n_ref, sum(c_cur) OVER (PARTITION BY feature) AS n_cur
+      FROM (SELECT feature, v, count(*) FILTER (WHERE is_ref) AS c_ref, count(*) FILTER (WHERE NOT is_ref) AS c_cur
+            FROM long GROUP BY 1, 2) dd
+      WINDOW w AS (PARTITION BY feature ORDER BY v)) x
+GROUP BY feature""", O.TRIPS, O.FEATURES, O.SPLIT, _long_sql()))
+def q_drift_wasserstein(spark, d):
+    w = DR.wasserstein(DR.drift_table(*_split(spark, d), DRIFT_COLS))
+    return w.select("feature", F.round("wasserstein", 9).alias("wasserstein"))
+
+
+@register("drift_share", O.with_ctes("""
+SELECT count(*) AS columns, count(*) FILTER (WHERE psi >= 0.2) AS drifted, count(*) FILTER (WHERE psi >= 0.2) / count(*) AS share
+FROM (SELECT feature, sum((a - e) * ln(a / e)) AS psi FROM bins GROUP BY feature) p""",
+    O.TRIPS, O.FEATURES, O.SPLIT, _long_sql(), _BINS_SQL))
+def q_drift_share(spark, d):
+    return DR.drifted_share(DR.psi(DR.drift_table(*_split(spark, d), DRIFT_COLS)))
+
+
 # ======================================================================= models (rows-only checks)
 
 

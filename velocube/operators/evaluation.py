@@ -29,6 +29,13 @@ def error_metrics(scored: DataFrame, y: str = "total_trips", p: str = "predicted
     return scored.groupBy(*group).agg(*aggs) if group else scored.agg(*aggs)
 
 
+def compare(scored: DataFrame, models: dict, y: str = "total_trips") -> DataFrame:
+    """Error metrics per model in one pass: ``models`` maps names to prediction columns of ``scored``."""
+    stacked = F.explode(F.array(*[F.struct(F.lit(n).alias("model_name"), F.col(c).cast("double").alias("predicted")) for n, c in models.items()]))
+    rows = scored.select(y, stacked.alias("_m")).select(y, "_m.*")
+    return error_metrics(rows, y, "predicted", ["model_name"])
+
+
 def promote(challenger_mae: DataFrame, champion_mae: DataFrame | None) -> DataFrame:
     """One row: challenger MAE, champion MAE (NULL = none) and the decision:
     'Promoted' when there is no champion or the challenger is strictly

@@ -1,6 +1,7 @@
 """Time-series features: lags, calendar, feature table, split, last state."""
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window, functions as F
@@ -8,7 +9,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from velocube import schemas
 from velocube.functions import day_of_week, hour_of_day, is_weekend, month_of_year
 from velocube.operators import aggregates as A
-from velocube.operators.ordering import attach_group_stats, lags_distributed, with_global_rank
+from velocube.operators.ordering import lags_distributed, prefix_sums
 
 
 def calendar_features(df: DataFrame, ts: str = "start_hour") -> DataFrame:
@@ -75,15 +76,29 @@ def latest_state(features: DataFrame, key: str = "station_id", ts: str = "start_
 def chrono_split(df: DataFrame, order: Sequence[str] = ("start_hour", "station_rank"),
                  frac: float = 0.8, col: str = "split") -> DataFrame:
     """Positional split: after sorting by ``order`` the first int(n*frac)
-    rows are 'train', the rest 'test'.  The global position comes from the
-    distributed rank (no single-task sort)."""
-    ranked = with_global_rank(df, list(order), rank_col="_pos")
-    # n = max position + 1, read from the (checkpointed) ranked rows rather
-    # than by recomputing the input
-    n = ranked.agg(F.floor((F.max("_pos") + 1) * F.lit(frac)).alias("_cut"))
-    return (attach_group_stats(ranked, n, [])
-            .withColumn(col, F.when(F.col("_pos") < F.col("_cut"), "train").otherwise("test"))
-            .drop("_pos", "_cut"))
+    rows are 'train', the rest 'test'.
+
+    Counts per first order column (hours) and their running sums give the
+    boundary hour; only that hour's rows are ordered, to find the last one in
+    'train'.  Rows are labelled by comparing with it, so the table itself is
+    neither shuffled nor sorted.  Rows that tie with the boundary row in all
+    of ``order`` stay with it.
+    """
+    first, rest = order[0], list(order[1:])
+    hours = prefix_sums(df.groupBy(first).agg(F.count(F.lit(1)).alias("_n")), [first], ["_n"])
+    n = hours.agg(F.max("_n_cum")).first()[0] or 0
+    cut = math.floor(n * frac)
+    edge = hours.filter(F.col("_n_cum") > cut).orderBy(first).limit(1).first()
+    if edge is None:  # nothing to hold out
+        return df.withColumn(col, F.lit("train"))
+    hour = F.lit(edge[first])
+    need = cut - (edge["_n_cum"] - edge["_n"])
+    train = F.col(first) < hour
+    if need and rest:
+        keys = F.struct(*rest)
+        last = df.filter(F.col(first) == hour).select(*rest).orderBy(*rest).limit(need).orderBy(*[F.desc(c) for c in rest]).first()
+        train |= (F.col(first) == hour) & (keys <= F.struct(*[F.lit(last[c]).cast(df.schema[c].dataType).alias(c) for c in rest]))
+    return df.withColumn(col, F.when(train, "train").otherwise("test"))
 
 
 def data_lag(features: DataFrame, as_of, key: str = "station_id", ts: str = "start_hour") -> DataFrame:
