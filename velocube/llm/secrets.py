@@ -91,7 +91,8 @@ def scan(history: DataFrame, ledger: str, rules: str = RULES) -> DataFrame:
     found = found.select("blob", F.lit(rules).alias("rules"), "spans")
     if not unseen.isEmpty():
         found.write.mode("append").parquet(ledger)
-    return versions.join(read_ledger(spark, ledger, rules), "blob").select("path", "blob", "spans")
+    known = written(read_ledger(spark, ledger, rules), "secret-known")  # reread, so that the join may split a blob with countless paths
+    return versions.join(known, "blob").select("path", "blob", "spans")
 
 
 def new_ledger(spark: SparkSession) -> str:
