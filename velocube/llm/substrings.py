@@ -33,7 +33,7 @@ from velocube.llm.common import _BYTE_VALUE, bytes_of, join_checked, mix64, part
 LEAST, GRAM = 100, 24
 SPAN = LEAST - GRAM + 1  # gram starts of a window
 CONTEXTS = 1024
-BLOCK = 1 << 20
+BLOCK = PART = 1 << 20
 DOC = ["doc_id", "version"]
 _BASE = np.uint64(0x9FB21C651E98DF25)
 _INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
@@ -49,7 +49,7 @@ def _tables(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 def prefix_sums(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Sums whose differences, times the second array at their start, are hashes of strings."""
-    up, down = _tables(max(len(data) + 1, 5 << 20))
+    up, down = _tables(max(len(data) + 1, PART + 1))
     sums = np.zeros(len(data) + 1, np.uint64)
     np.cumsum(_BYTE_VALUE[data] * up[:len(data)], out=sums[1:])
     return sums, down
@@ -171,14 +171,14 @@ def runs(starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _gram_counts(batches):
-    for batch in parts_of(batches):
+    for batch in parts_of(batches, PART):
         data, offsets = bytes_of(batch.column(1))
         g, n = np.unique(anchors(data, offsets)[3], return_counts=True)
         yield pa.RecordBatch.from_arrays([pa.array(g.view(np.int64)), pa.array(n.astype(np.int64))], names=["gram", "n"])
 
 
 def _anchor_rows(batches):
-    for batch in parts_of(batches):
+    for batch in parts_of(batches, PART):
         data, offsets = bytes_of(batch.column(1))
         row, low, high, gram, context = anchors(data, offsets)
         row = pa.array(row)
@@ -186,7 +186,7 @@ def _anchor_rows(batches):
 
 
 def _context_bytes(batches):
-    for batch in parts_of(batches):
+    for batch in parts_of(batches, PART):
         out = {k: [] for k in ("doc_id", "version", "gram", "low", "bytes")}
         for doc, text, version, asked in zip(*(batch.column(k) for k in range(4))):
             text, asked = text.as_py(), asked.as_py()
@@ -201,7 +201,7 @@ def _context_bytes(batches):
 
 def _window_hashes(batches):
     """Each window of the contexts asked for: the pair of gram and hash names its bytes."""
-    for batch in parts_of(batches):
+    for batch in parts_of(batches, PART):
         for doc, text, version, asked in zip(*(batch.column(k) for k in range(4))):
             sums, down = prefix_sums(np.frombuffer(text.as_py(), np.uint8))
             for a in asked.as_py():
@@ -285,7 +285,7 @@ def removals(docs: DataFrame) -> DataFrame:
     spans = written(spans, "repeat-spans")
 
     def run(batches):
-        for batch in parts_of(batches):
+        for batch in parts_of(batches, PART):
             out = []
             for doc, text, spans in zip(*(batch.column(k) for k in range(3))):
                 text, spans = text.as_py(), spans.as_py() or []

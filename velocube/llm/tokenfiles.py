@@ -58,14 +58,15 @@ class Words:
             known[""] = b""
         cut = [t.replace("\n", " ").split(" ") for t in texts]
         missing = list({w for words in cut for w in words if w not in known})
-        new = {}
         for at in range(0, len(missing), 4096):
             part = missing[at:at + 4096]
             for w, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                new[w] = np.array(e.ids, "<u4").tobytes()
-        known.update((w, x) for w, x in new.items() if len(w) <= LONGEST)
-        both = {**known, **new} if len(new) and any(len(w) > LONGEST for w in new) else known
-        return [b"".join(map(both.__getitem__, words)) for words in cut]
+                known[w] = np.array(e.ids, "<u4").tobytes()
+        out = [b"".join(map(known.__getitem__, words)) for words in cut]
+        for w in missing:
+            if len(w) > LONGEST:
+                del known[w]
+        return out
 
 
 _LOADED: dict[str, Words] = {}

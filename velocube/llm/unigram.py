@@ -15,6 +15,7 @@ repeated rows give equal rows; an empty table gives an empty result; other colum
 """
 from __future__ import annotations
 
+import math
 import re
 
 import pyarrow as pa
@@ -45,11 +46,23 @@ class Counter:
         for piece, score in pieces:
             self.automaton.add_word(piece, (len(piece), score, piece == unknown))
         self.automaton.make_automaton()
+        self.single, self.name = {p for p, _ in pieces if len(p) == 1}, unknown
         self.unknown = min(score for _, score in pieces) - UNKNOWN
         self.cut = re.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+").findall
         self.known: dict[str, tuple[int, float]] = {}
 
     def _cut(self, text: str) -> tuple[int, float]:
+        if not self.single.issuperset(text) or self.name in text:
+            return self._with_unknowns(text)
+        n = len(text)
+        best, count = [0.0] + [-math.inf] * n, [0] * (n + 1)
+        for end, (size, score, _) in self.automaton.iter(text):  # by end, and longer matches (that start first) before shorter ones
+            value = best[end + 1 - size] + score
+            if value > best[end + 1]:
+                best[end + 1], count[end + 1] = value, count[end + 1 - size] + 1
+        return count[n], best[n]
+
+    def _with_unknowns(self, text: str) -> tuple[int, float]:
         n = len(text)
         ends: list[list[tuple[int, float, bool]]] = [[] for _ in range(n + 1)]
         alone = [False] * n
