@@ -23,7 +23,7 @@ HEADLINE = [
     "add_lags_global", "chrono_split", "trip_summary", "duration_hist", "top_routes", "station_geo",
     "describe_by", "box_stats", "kde", "histogram", "corr_scan", "hourly_wide", "forecast", "forecast_wide",
     "mae_rmse_wmape", "compare_runs", "drift_ks", "drift_psi", "monthly_report", "order_cube",
-    "segment_lags", "stream_hourly",
+    "segment_lags", "stream_hourly", "train_gbt",
 ]
 
 

@@ -11,7 +11,8 @@ into one task).  It is materialised once; all measures read it:
   D exceeds the alpha=0.05 critical value 1.358 * sqrt((n+m)/(n*m)).
 * Wasserstein distance: the area between the two distribution functions.
 
-Totals and bin edges have one row a column, so they are broadcast.
+Totals come with the running counts; bin edges have one row a column, so they
+are broadcast.
 Thresholds are this library's parameters.
 """
 from __future__ import annotations
@@ -33,9 +34,8 @@ def drift_table(ref: DataFrame, cur: DataFrame, cols: Sequence[str]) -> DataFram
             .select("_ref", *[F.col(c).cast("double").alias(c) for c in cols]))
     long = both.unpivot(["_ref"], list(cols), "feature", "v").filter(F.col("v").isNotNull())
     dist = long.groupBy("feature", "v").agg(F.sum("_ref").alias("c_ref"), F.sum(1 - F.col("_ref")).alias("c_cur"))
-    cum = prefix_sums(dist, ["v"], ["c_ref", "c_cur"], ["feature"])
-    tot = cum.groupBy("feature").agg(F.max("c_ref_cum").alias("n_ref"), F.max("c_cur_cum").alias("n_cur"))
-    return cum.join(F.broadcast(tot), "feature")  # one row a column
+    cum = prefix_sums(dist, ["v"], ["c_ref", "c_cur"], ["feature"], total_suffix="_all")
+    return cum.withColumnsRenamed({"c_ref_all": "n_ref", "c_cur_all": "n_cur"})
 
 
 def _bins(table: DataFrame, bins: int) -> DataFrame:

@@ -43,10 +43,11 @@ def _ranged(df: DataFrame, keys: Sequence[str], n: int | None) -> DataFrame:
 
 def prefix_sums(df: DataFrame, order_cols: Sequence[str], sum_cols: Sequence[str],
                 partition_cols: Sequence[str] = (), num_partitions: int | None = None,
-                suffix: str = "_cum") -> DataFrame:
+                suffix: str = "_cum", total_suffix: str | None = None) -> DataFrame:
     """Inclusive running sums of ``sum_cols`` in ``order_cols`` order within
     ``partition_cols``; ``order_cols`` must be unique within a partition group
-    for a well-defined result."""
+    for a well-defined result.  With ``total_suffix`` the group's totals come
+    along from the per-piece offsets, so nobody needs a join on the group."""
     part, order = list(partition_cols), list(order_cols)
     r = _ranged(df, part + order, num_partitions)
     w_local = (Window.partitionBy(*part, _PID).orderBy(*order)
@@ -56,12 +57,14 @@ def prefix_sums(df: DataFrame, order_cols: Sequence[str], sum_cols: Sequence[str
     w_off = (Window.partitionBy(*part).orderBy(_PID)
              .rowsBetween(Window.unboundedPreceding, -1))
     offsets = totals.select(*[F.col(c).alias(f"_o_{c}") for c in part], F.col(_PID).alias("_o_pid"), *[
-        F.coalesce(F.sum(f"_tot_{c}").over(w_off), F.lit(0)).alias(f"_off_{c}") for c in sum_cols])
+        F.coalesce(F.sum(f"_tot_{c}").over(w_off), F.lit(0)).alias(f"_off_{c}") for c in sum_cols], *[
+        F.sum(f"_tot_{c}").over(Window.partitionBy(*part)).alias(f"_all_{c}") for c in sum_cols])
     # null-safe keys: a NULL group is a group too
     cond = [local[c].eqNullSafe(offsets[f"_o_{c}"]) for c in part] + [local[_PID] == offsets["_o_pid"]]
     out = local.join(offsets, cond, "inner")
     return out.select(*df.columns, *[
-        (F.col(f"_off_{c}") + F.col(f"_loc_{c}")).alias(f"{c}{suffix}") for c in sum_cols])
+        (F.col(f"_off_{c}") + F.col(f"_loc_{c}")).alias(f"{c}{suffix}") for c in sum_cols], *[
+        F.col(f"_all_{c}").alias(f"{c}{total_suffix}") for c in sum_cols if total_suffix])
 
 
 def with_global_rank(df: DataFrame, order_cols: Sequence[str], partition_cols: Sequence[str] = (),
@@ -100,29 +103,37 @@ def lags_distributed(df: DataFrame, y: str, order_cols: Sequence[str], n: int,
     return out.filter(~F.col("_vc_halo")).drop("_vc_blk", "_vc_halo", idx)
 
 
+#: Groups whose statistics a checked broadcast may hold.
+GROUP_ROWS = 100_000
+
+
 def attach_group_stats(df: DataFrame, stats: DataFrame, group_cols: Sequence[str]) -> DataFrame:
     """Join a per-group statistics table onto rows (a lookup: one stats row
-    per group).  With no group columns the stats table has exactly one row and
-    is broadcast; this is the only place a constant join key is used."""
+    per group).  The statistics are materialised and counted: up to
+    ``GROUP_ROWS`` groups are broadcast, so that rows of a hot group stay
+    where they are; beyond that both sides are shuffled.  Without group
+    columns the statistics are one row of a global aggregate, attached by a
+    cross join with that one broadcast row."""
     g = list(group_cols)
     if g:
-        return df.join(stats, g, "inner")
-    k = "_vc_k"
-    return (df.withColumn(k, F.lit(0))
-              .join(F.broadcast(stats.withColumn(k, F.lit(0))), k, "inner").drop(k))
+        from velocube.session import checkpoint_dir
+        checkpoint_dir(df.sparkSession)
+        stats = stats.checkpoint(eager=True)
+        return df.join(F.broadcast(stats) if stats.count() <= GROUP_ROWS else stats, g, "inner")
+    return df.crossJoin(F.broadcast(stats.limit(1)))
 
 
 def value_rank_table(df: DataFrame, value: str, group_cols: Sequence[str] = (),
                      num_partitions: int | None = None) -> DataFrame:
     """Distinct (group, value) with ``_vc_c`` = count and ``_vc_c_cum`` =
     running count in value order (the value covers 0-based ranks
-    [cum - c, cum - 1]).  Duplicates collapse map-side; the result is
+    [cum - c, cum - 1]), ``_vc_c_all`` = rows of the group.  Duplicates collapse map-side; the result is
     materialised (``prefix_sums``), so several statistics can read it
     without rescanning the input."""
     g = list(group_cols)
     dist = (df.filter(F.col(value).isNotNull()).groupBy(*g, value)
             .agg(F.count(F.lit(1)).alias("_vc_c")))
-    return prefix_sums(dist, [value], ["_vc_c"], g, num_partitions)
+    return prefix_sums(dist, [value], ["_vc_c"], g, num_partitions, total_suffix="_all")
 
 
 def quantiles_from_ranks(cum: DataFrame, value: str, qs: Sequence[float], group_cols: Sequence[str] = (),
@@ -130,9 +141,7 @@ def quantiles_from_ranks(cum: DataFrame, value: str, qs: Sequence[float], group_
     g = list(group_cols)
     names = list(names or [f"q{i}" for i in range(len(qs))])
     v = F.col(value)
-    # group sizes from the running counts (materialised input, no recompute)
-    n = cum.groupBy(*g).agg(F.max("_vc_c_cum").alias("_vc_n"))
-    rows = attach_group_stats(cum, n, g)
+    rows = cum.withColumn("_vc_n", F.col("_vc_c_all"))
     lo = F.col("_vc_c_cum") - F.col("_vc_c")
     hi = F.col("_vc_c_cum") - 1
     aggs = []
@@ -154,8 +163,7 @@ def exact_quantiles(df: DataFrame, value: str, qs: Sequence[float],
     """Exact linearly interpolated quantiles (NumPy/pandas 'linear', DuckDB
     ``quantile_cont``, Spark ``percentile``) per group, without gathering a
     group into one task: the distinct-value rank table gives every value its
-    rank range, each value row looks up its group's target ranks (one stats
-    row per group) and a distributed aggregate picks the values at
+    rank range and its group's size, and a distributed aggregate picks the values at
     floor/ceil of q*(n-1)."""
     cum = value_rank_table(df, value, group_cols, num_partitions)
     return quantiles_from_ranks(cum, value, qs, group_cols, names)

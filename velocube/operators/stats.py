@@ -9,19 +9,21 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from velocube.operators.ordering import attach_group_stats, quantiles_from_ranks, value_rank_table
+from velocube.session import checkpoint_dir
 
 
 def _moments(cum: DataFrame, group: Sequence[str], x: str) -> DataFrame:
-    """count, mean and sample std from (value, count) rows - two passes over
+    """count, mean, sample std, min and max from (value, count) rows - two passes over
     the small distinct-value table (mean first, then squared deviations) for
     the numerical stability of a streaming variance."""
     g = list(group)
     c, v = F.col("_vc_c"), F.col(x)
-    first = cum.groupBy(*g).agg(F.sum(c).alias("count"), (F.sum(c * v) / F.sum(c)).alias("mean"))
+    first = cum.groupBy(*g).agg(F.sum(c).alias("count"), (F.sum(c * v) / F.sum(c)).alias("mean"),
+                                F.min(v).alias("min"), F.max(v).alias("max"))
     dev = attach_group_stats(cum, first, g)
     second = dev.groupBy(*g).agg(F.sum(c * F.pow(v - F.col("mean"), 2)).alias("_ss"))
     out = first.join(second, g, "inner") if g else attach_group_stats(first, second, [])
-    return out.select(*g, "count", "mean",
+    return out.select(*g, "count", "mean", "min", "max",
                       F.sqrt(F.try_divide(F.col("_ss"), F.col("count") - 1)).alias("std"))
 
 
@@ -31,7 +33,7 @@ def describe_by(df: DataFrame, group: Sequence[str], x: str) -> DataFrame:
     g = list(group)
     cum = value_rank_table(df, x, g)
     med = quantiles_from_ranks(cum, x, [0.5], g, names=["median"])
-    mom = _moments(cum, g, x)
+    mom = _moments(cum, g, x).drop("min", "max")
     return mom.join(med, g, "inner") if g else attach_group_stats(mom, med, [])
 
 
@@ -67,13 +69,12 @@ def kde(df: DataFrame, group: Sequence[str], x: str, gridsize: int = 200, cut: f
     """
     g = list(group)
     v = F.col(x).cast("double")
-    pts = df.filter(v.isNotNull()).groupBy(*g, v.alias("v")).agg(F.count(F.lit(1)).alias("c"))
-    st = pts.groupBy(*g).agg(
-        F.sum("c").alias("n"), F.sum(F.col("c") * F.col("v")).alias("s1"),
-        F.sum(F.col("c") * F.col("v") * F.col("v")).alias("s2"),
-        F.min("v").alias("lo"), F.max("v").alias("hi"))
-    var = (F.col("s2") - F.col("s1") * F.col("s1") / F.col("n")) / (F.col("n") - 1)
-    st = st.withColumn("h", F.sqrt(var) * F.pow(F.col("n"), F.lit(-0.2)) * bw_adjust)
+    checkpoint_dir(df.sparkSession)
+    pts = df.filter(v.isNotNull()).groupBy(*g, v.alias("v")).agg(F.count(F.lit(1)).alias("_vc_c")).checkpoint()
+    st = _moments(pts, g, "v")  # mean first, then squared deviations: no cancellation
+    pts = pts.withColumnRenamed("_vc_c", "c")
+    st = st.select(*g, F.col("count").alias("n"), F.col("min").alias("lo"), F.col("max").alias("hi"),
+                   (F.col("std") * F.pow(F.col("count"), F.lit(-0.2)) * bw_adjust).alias("h"))
     st = (st.withColumn("gmin", F.col("lo") - cut * F.col("h"))
             .withColumn("step", ((F.col("hi") + cut * F.col("h")) - F.col("gmin")) / (gridsize - 1))
             .select(*g, "n", "h", "gmin", "step"))

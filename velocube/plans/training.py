@@ -20,7 +20,7 @@ from velocube.operators import features as FE
 from velocube.operators import models as M
 from velocube.sources import tables
 
-MODEL_NAME = "demand_forecaster"
+MODEL_NAME = "station_hour_trees"
 
 
 def champion_run(spark: SparkSession, runs_path: str) -> DataFrame | None:

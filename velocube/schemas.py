@@ -40,6 +40,7 @@ FEATURES = T.StructType(
     + [T.StructField(c, T.LongType()) for c in LAG_COLS]
     + [T.StructField(c, T.IntegerType()) for c in CALENDAR_COLS])
 
+# Columns of the forecast table.
 PREDICTIONS = T.StructType([
     T.StructField("station_id", T.StringType()),
     T.StructField("station_rank", T.IntegerType()),
@@ -48,6 +49,7 @@ PREDICTIONS = T.StructType([
     T.StructField("prediction_generated_at", T.TimestampType()),
 ])
 
+# Field names of the monthly report document.
 MONTHLY_STATS = T.StructType([
     T.StructField("summary", T.StructType([
         T.StructField("totalTrips", T.LongType()),
@@ -74,6 +76,7 @@ MONTHLY_STATS = T.StructType([
         T.StructField("station", T.StringType()), T.StructField("count", T.LongType())]))),
 ])
 
+# Field names of the metrics document (its rounding digits are in plans.training).
 MODEL_METRICS = T.StructType([
     T.StructField("mae", T.DoubleType()),
     T.StructField("rmse", T.DoubleType()),

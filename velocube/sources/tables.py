@@ -155,10 +155,13 @@ def delete_path(spark: SparkSession, path: str) -> None:
     jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jvm_path, True)  # noqa: SLF001
 
 
+SNAPSHOT_STAMP = "yyyyMMdd_HHmm"  # fixed value: the stamp of a published snapshot
+
+
 def publish(df: DataFrame, root: str, generated_at_col: str = "prediction_generated_at") -> None:
     """Append a timestamped snapshot partition; readers take the newest one
     through ``latest``."""
-    (df.withColumn("generated_at", F.date_format(F.col(generated_at_col), "yyyyMMdd_HHmm"))
+    (df.withColumn("generated_at", F.date_format(F.col(generated_at_col), SNAPSHOT_STAMP))
        .write.mode("append").partitionBy("generated_at").parquet(root))
 
 
