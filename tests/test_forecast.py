@@ -92,7 +92,7 @@ def test_tree_forecast_matches_spark_transform(spark):
             m = cat_maps.get(n + j)
             v = float(getattr(r, c))
             x.append(m.get(v, len(m)) if m is not None else v)
-        assert abs(FC.predict_ensemble(arr, np.array(x, dtype=float)) - r.predicted) < 1e-9
+        assert abs(FC.predict_ensemble(arr, np.array([x], dtype=float))[0] - r.predicted) < 1e-9
 
 
 def test_fold_first_step_equals_spark_ml_transform(spark):

@@ -159,28 +159,25 @@ def ensemble_arrays(nodes: "list[dict]", tree_weights: Sequence[float]) -> dict:
     return arr
 
 
-def predict_ensemble(arr: dict, x: np.ndarray) -> float:
-    """Weighted sum of the trees' leaf values for one input row: all trees
-    step down one level at a time (vectorised over trees); continuous splits
-    go left when x <= threshold, categorical ones when the category is in the
-    left set (an unseen category goes right)."""
-    rows = np.arange(len(arr["w"]))
-    node = np.zeros(len(rows), dtype=np.int64)
+def predict_ensemble(arr: dict, x: np.ndarray) -> np.ndarray:
+    """Weighted sums of the trees' leaf values for a matrix of input rows: all
+    rows and trees step down one level at a time; continuous splits go left
+    when x <= threshold, categorical ones when the category is in the left
+    set (an unseen category goes right)."""
+    trees, rows = np.arange(len(arr["w"]))[None, :], np.arange(len(x))[:, None]
+    node = np.zeros((len(x), len(arr["w"])), dtype=np.int64)
     n_cat = arr["left_cats"].shape[2]
     for _ in range(arr["left"].shape[1]):
-        left = arr["left"][rows, node]
+        left = arr["left"][trees, node]
         inner = left >= 0
         if not inner.any():
             break
-        f = arr["feat"][rows, node]
-        v = x[f]
-        cont_left = v <= arr["thr"][rows, node]
+        v = x[rows, arr["feat"][trees, node]]
         ci = np.clip(v.astype(np.int64), 0, n_cat - 1)
-        cat_left = arr["left_cats"][rows, node, ci] & (v >= 0) & (v < n_cat)
-        go_left = np.where(arr["cat"][rows, node], cat_left, cont_left)
-        nxt = np.where(go_left, left, arr["right"][rows, node])
-        node = np.where(inner, nxt, node)
-    return float(np.dot(arr["w"], arr["pred"][rows, node]))
+        in_set = arr["left_cats"][trees, node, ci] & (v >= 0) & (v < n_cat)
+        go_left = np.where(arr["cat"][trees, node], in_set, v <= arr["thr"][trees, node])
+        node = np.where(inner, np.where(go_left, left, arr["right"][trees, node]), node)
+    return arr["pred"][trees, node] @ arr["w"]
 
 
 FORECAST_OUT = T.StructType([
@@ -191,8 +188,9 @@ FORECAST_OUT = T.StructType([
 
 def forecast_trees(state: DataFrame, arr: dict, category_maps: dict, as_of, horizon: int = HORIZON,
                    mode: str = "reference", n: int = schemas.N_LAGS) -> DataFrame:
-    """Tree-ensemble forecast: one ``applyInPandas`` group per station (one
-    state row each); the ensemble travels in the closure (bounded size).
+    """Tree-ensemble forecast: the stations of an Arrow batch (one state row
+    each) are stepped forward together, hour by hour, with one matrix
+    prediction a step; the ensemble travels in the closure (bounded size).
     Feature order: lag_1..lag_n, then hour, day_of_week, is_weekend, month,
     station_rank mapped through ``category_maps`` (unseen -> extra index)."""
     import pandas as pd
@@ -200,35 +198,39 @@ def forecast_trees(state: DataFrame, arr: dict, category_maps: dict, as_of, hori
     s = _gap_cols(materialize_state(state), as_of)
     cat_names = schemas.CATEGORICAL_COLS
 
-    def cat_index(j: int, v: float) -> float:
-        m = category_maps.get(n + j)
-        if m is None:
-            return float(v)
-        return float(m.get(float(v), len(m)))
-
-    def run(pdf: "pd.DataFrame") -> "pd.DataFrame":
-        rows = []
-        for r in pdf.itertuples(index=False):
-            lags = [float(getattr(r, f"lag_{k}")) for k in range(1, n + 1)]
+    def indexed(cats: np.ndarray) -> np.ndarray:
+        out = cats.astype(float)
+        for j in range(cats.shape[1]):
+            m = category_maps.get(n + j)
+            if m is not None:
+                out[:, j] = [m.get(float(v), len(m)) for v in cats[:, j]]
+        return out
+
+    def run(batches):
+        for pdf in batches:
+            lags = pdf[[f"lag_{k}" for k in range(1, n + 1)]].to_numpy(float)
             if mode == "aligned":
-                lags = [float(r.total_trips)] + lags[:-1]
-            cal = [r.hour, r.day_of_week, r.is_weekend, r.month]
-            base, B = pd.Timestamp(r.gap_base), int(r.gap_steps)
-            for j in range(1, B + horizon + 1):
+                lags = np.concatenate([pdf[["total_trips"]].to_numpy(float), lags[:, :-1]], axis=1)
+            cal = pdf[cat_names[:-1]].to_numpy(np.int64)
+            rank = pdf[["station_rank"]].to_numpy(np.int64)
+            base, gap = pd.DatetimeIndex(pdf["gap_base"]), pdf["gap_steps"].to_numpy(np.int64)
+            out = []
+            for j in range(1, int(gap.max(initial=0)) + horizon + 1):
                 t = base + pd.Timedelta(hours=j)
-                tcal = [t.hour, t.weekday(), int(t.weekday() >= 5), t.month]
-                use = tcal if mode == "aligned" else cal
-                x = np.array(lags + [cat_index(i, v) for i, v in enumerate(use + [r.station_rank])])
-                p = max(0.0, predict_ensemble(arr, x))
-                if j > B:
-                    rows.append((r.station_id, int(r.station_rank), j, t, p))
-                lags = [p] + lags[:-1]
-                cal = tcal
-        return pd.DataFrame(rows, columns=[f.name for f in FORECAST_OUT.fields])
+                now = np.stack([t.hour, t.weekday, t.weekday >= 5, t.month], axis=1).astype(np.int64)
+                cats = np.concatenate([now if mode == "aligned" else cal, rank], axis=1)
+                p = np.maximum(0.0, predict_ensemble(arr, np.concatenate([lags, indexed(cats)], axis=1)))
+                on = (j > gap) & (j <= gap + horizon)
+                if on.any():
+                    out.append(pd.DataFrame({"station_id": pdf["station_id"][on], "station_rank": pdf["station_rank"][on],
+                                             "step": j, "target_hour": t[on], "predicted_trips": p[on]}))
+                lags, cal = np.concatenate([p[:, None], lags[:, :-1]], axis=1), now
+            if out:
+                yield pd.concat(out)[[f.name for f in FORECAST_OUT.fields]]
 
     cols = ["station_id", "station_rank", "total_trips", F.col("_base").alias("gap_base"),
             F.col("_B").alias("gap_steps")] + [f"lag_{k}" for k in range(1, n + 1)] + cat_names[:-1]
-    return s.select(*cols).groupBy("station_id").applyInPandas(run, FORECAST_OUT)
+    return s.select(*cols).mapInPandas(run, FORECAST_OUT)
 
 
 def with_generated_at(pred: DataFrame, generated_at) -> DataFrame:
