@@ -17,6 +17,7 @@ take no part; a document with several labels counts with each.
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -212,10 +213,12 @@ def keep(docs: DataFrame, model: dict, least: float = 0.7) -> DataFrame:
 
     @F.pandas_udf("boolean")
     def good(text):
-        rows = [t or b"" for t in text]
-        data = np.frombuffer(b"".join(rows), np.uint8)
-        offsets = np.concatenate([[0], np.cumsum([len(r) for r in rows])]).astype(np.int64)
-        import pandas as pd
-        return pd.Series(scores(shared.value, data, offsets) >= least)
+        rows, out, at = [t or b"" for t in text], [], 0
+        while at < len(rows):  # some MB at a time
+            offsets = np.concatenate([[0], np.cumsum([len(r) for r in rows[at:]])]).astype(np.int64)
+            n = max(1, int(np.searchsorted(offsets, 4 << 20, side="right")) - 1)
+            out.append(scores(shared.value, np.frombuffer(b"".join(rows[at:at + n]), np.uint8), offsets[:n + 1]) >= least)
+            at += n
+        return pd.Series(np.concatenate(out) if out else np.zeros(0, bool))
 
     return docs.where(good(F.col("text").cast("string").cast("binary")))
