@@ -1026,12 +1026,13 @@ SELECT * FROM (SELECT *, {STREAM_LAGS} FROM hourly) l WHERE {O.LAG_NN}""", O.TRI
     AND date_trunc('hour', started_at) + INTERVAL 1 HOUR <= wm
   GROUP BY 1, 2)"""))
 def q_stream_lags(spark, d):
-    """Second stage: the hourly table is read as a file stream and a
-    per-station state of the last 28 counts emits feature rows."""
+    """Second stage: closed hours are appended to a folder that nothing
+    rewrites; it is read as a file stream, and a per-station state of the
+    last 28 counts emits feature rows."""
     root = scratch_path(spark, f"stream-{uuid.uuid4().hex}")
-    sink = _stream_hourly_to(spark, d, root)
-    hourly = (spark.readStream.schema(spark.read.parquet(sink).schema).parquet(sink)
-              .select("start_hour", "station_id", "total_trips"))
+    closed = SJ.hourly_counts(adapters.trips_from_events(SJ.events_stream(spark, d)), WM)
+    SJ.run_available_now(closed, f"{root}/hourly", f"{root}/ckpt-hourly")
+    hourly = spark.readStream.schema("start_hour timestamp_ntz, station_id string, total_trips long").parquet(f"{root}/hourly")
     lags = SJ.rolling_lags(hourly)
     SJ.run_available_now(lags, f"{root}/lags", f"{root}/ckpt-lags")
     return spark.read.parquet(f"{root}/lags")

@@ -17,6 +17,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming.state import GroupStateTimeout
@@ -70,20 +71,19 @@ LAG_STATE = T.StructType([T.StructField("hours", T.ArrayType(T.TimestampNTZType(
 
 def _lag_updater(n: int):
     def update(key, pdfs, state):
-        hist_h, hist_c = ([], [])
-        if state.exists:
-            hist_h, hist_c = list(state.get[0]), list(state.get[1])
+        hours, counts = (list(state.get[0]), list(state.get[1])) if state.exists else ([], [])
         new = pd.concat(list(pdfs), ignore_index=True).sort_values("start_hour")
-        rows = []
-        for h, c in zip(new["start_hour"], new["total_trips"]):
-            if hist_h and h <= pd.Timestamp(hist_h[-1]):
-                continue  # already seen (replay) or out of order
-            if len(hist_c) >= n:
-                lags = hist_c[::-1][:n]
-                rows.append([h, key[0], int(c)] + [int(x) for x in lags])
-            hist_h, hist_c = (hist_h + [h])[-n:], (hist_c + [int(c)])[-n:]
-        state.update((hist_h, hist_c))
-        yield pd.DataFrame(rows, columns=[f.name for f in LAG_OUT.fields])
+        if hours:  # an hour at or before the last one is a replay; corrected hours are the batch job's
+            new = new[new["start_hour"] > pd.Timestamp(hours[-1])]
+        series = np.concatenate([np.array(counts, np.int64), new["total_trips"].to_numpy(np.int64)])
+        at = np.arange(len(counts), len(series))
+        full = at >= n  # rows with n predecessors
+        windows = np.lib.stride_tricks.sliding_window_view(series, n + 1)[at[full] - n] if full.any() else np.zeros((0, n + 1), np.int64)
+        out = pd.DataFrame(windows[:, ::-1], columns=[f.name for f in LAG_OUT.fields[2:]])
+        out.insert(0, "start_hour", new["start_hour"].to_numpy()[full])
+        out.insert(1, "station_id", key[0])
+        state.update(((hours + list(new["start_hour"]))[-n:], [int(c) for c in series[-n:]]))
+        yield out
     return update
 
 
