@@ -22,16 +22,16 @@ from pyspark.sql import functions as F
 
 from velocube.llm.common import LOWER, UPPER, at_most, documents, join_checked, written
 
-#: Fixed value of the contract: what a word is made of.
-WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-END = ""  # the end marker's term: no word is empty
+#: Fixed value of the contract: what no word holds, after lower-casing.
+BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+END = "\n"  # the end marker's term: no word holds a line end
 #: Rows of (document, position, term) that a checked broadcast may hold.
 NEED_ROWS = 500_000
 KEY = ["doc_id", "version"]
 
 
 def words(text):
-    return F.regexp_extract_all(F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER), F.lit(WORD), F.lit(0))
+    return F.array_remove(F.split(F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER), BETWEEN), "")
 
 
 def windows(items: DataFrame, size: int) -> DataFrame:
@@ -47,9 +47,12 @@ def build_index(docs: DataFrame, phrases: DataFrame) -> DataFrame:
     vocabulary = phrases.select(F.explode("terms").alias("word")).distinct()
     vocabulary = vocabulary.union(docs.sparkSession.range(1).select(F.lit(END).alias("word")))
     vocabulary = written(vocabulary.select("word", F.xxhash64("word").alias("term")), "index-terms")
-    tokens = documents(docs).where("doc_id IS NOT NULL").select("doc_id", F.hash("text").alias("version"), F.posexplode(F.concat(words(F.col("text")), F.array(F.lit(END)))).alias("pos", "word"))
-    found = join_checked(tokens, vocabulary, "word", "inner").select("term", "doc_id", "version", "pos")
-    return written(found.sortWithinPartitions("term", "doc_id", "version", "pos"), "index-postings")
+    tokens = documents(docs).where("doc_id IS NOT NULL").select("doc_id", F.hash("text").alias("version"), F.posexplode(F.concat(words(F.col("text")), F.array(F.lit(END)))).alias("pos", "token"))
+    tokens = tokens.withColumn("name", F.xxhash64("token"))
+    # looked up by hash, then compared; two prefix tests are no join key, so the hash stays the only one
+    same = (F.col("name") == F.col("term")) & F.col("token").startswith(F.col("word")) & F.col("word").startswith(F.col("token"))
+    found = join_checked(tokens, vocabulary, same, "inner").select("term", "doc_id", "version", "pos")
+    return written(found.sortWithinPartitions("term"), "index-postings")  # one long key: a radix sort, which keeps a term's documents in order
 
 
 def document_lengths(index: DataFrame) -> DataFrame:
