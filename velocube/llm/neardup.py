@@ -12,7 +12,8 @@ too agree in a register with a chance of their similarity.
 3. In each band bucket only stars are emitted: every member with the bucket's smallest one.  Stars that pass the
    collision-corrected Jaccard estimate (five standard errors of slack) are verified on the full shingle sets.
 4. Documents that still meet in a bucket with different components are joined by prefixes: with their shingles in
-   order of rarity, two similar enough sets share one of their first n - ceil(t * n) + 1.  Only members of different
+   order of rarity, two similar enough sets share one of their first n - ceil(t * n) + 1, and the place of the first
+   one that they share bounds what can follow.  Only members of different
    components are paired, and they pass the same estimate and verification.  So no link between different texts is
    lost, while thousands of near copies, already one component, give no pairs, and neither does a passage that
    thousands of otherwise different documents share, its shingles being the least rare ones.
@@ -165,7 +166,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, k: int, num: int, den: int) ->
     b = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("tb"))
 
     def run(batches):
-        for batch in batches:
+        for batch in parts_of(batches, 2 << 20, 2):  # the two texts are of similar length
             sets = []
             for column in (2, 3):
                 data, offsets = bytes_of(batch.column(column))
@@ -200,12 +201,15 @@ def _prefix_pairs(apart: DataFrame, docs: DataFrame, k: int, num: int, den: int)
     rank = F.row_number().over(Window.partitionBy("id").orderBy("df", "h"))  # a document's own shingles only
     first = each.join(common, "h", "left").select("id", "n", "h", F.coalesce("df", F.lit(1)).alias("df")).withColumn("rank", rank)
     first = first.where((F.col("rank") <= F.col("n") - F.ceil(F.col("n") * num / den) + 1) & (F.col("df") > 1))
-    first = written(first.select("id", "n", "h").join(apart, "id"), "neardup-prefixes")
+    first = written(first.select("id", "n", "h", "rank").join(apart, "id"), "neardup-prefixes")
     mixed = first.groupBy("h").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("h")
     first = written(first.join(mixed, "h"), "neardup-prefixes")
-    left = first.select("h", F.col("id").alias("a"), F.col("component").alias("ca"), F.col("n").alias("na"))
-    right = first.select("h", F.col("id").alias("b"), F.col("component").alias("cb"), F.col("n").alias("nb"))
+    left = first.select("h", F.col("id").alias("a"), F.col("component").alias("ca"), F.col("n").alias("na"), F.col("rank").alias("ka"))
+    right = first.select("h", F.col("id").alias("b"), F.col("component").alias("cb"), F.col("n").alias("nb"), F.col("rank").alias("kb"))
     fits = (F.least("na", "nb") * den >= F.greatest("na", "nb") * num) & (F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb"))
+    # where this is their first common shingle, no more can follow than the shorter rest: is that enough of an intersection?
+    rest = 1 + F.least(F.col("na") - F.col("ka"), F.col("nb") - F.col("kb"))
+    fits &= rest * (num + den) >= num * (F.col("na") + F.col("nb"))
     return left.join(right, "h").where(fits).select("a", "b").distinct()
 
 
