@@ -22,8 +22,8 @@ from pyspark.sql import functions as F
 
 from velocube.llm.common import LOWER, UPPER, at_most, documents, join_checked, written
 
-#: Fixed value of the contract: what no word holds, after lower-casing.
-BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+#: Fixed value of the contract: what no word holds, after lower-casing (ASCII but digits and letters).
+BETWEEN = "".join(chr(c) for c in range(128) if not chr(c).isalnum())
 END = "\n"  # the end marker's term: no word holds a line end
 #: Rows of (document, position, term) that a checked broadcast may hold.
 NEED_ROWS = 500_000
@@ -31,7 +31,8 @@ KEY = ["doc_id", "version"]
 
 
 def words(text):
-    return F.array_remove(F.split(F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER), BETWEEN), "")
+    # one translation lower-cases and blanks what lies between, so that a plain split at blanks will do
+    return F.array_remove(F.split(F.translate(F.coalesce(text, F.lit("")), UPPER + BETWEEN, LOWER + " " * len(BETWEEN)), " "), "")
 
 
 def windows(items: DataFrame, size: int) -> DataFrame:
