@@ -25,6 +25,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -32,8 +33,10 @@ from velocube.llm.common import _BYTE_VALUE, bytes_of, join_checked, mix64, part
 
 LEAST, GRAM = 100, 24
 SPAN = LEAST - GRAM + 1  # gram starts of a window
-CONTEXTS = 1024
-BLOCK = PART = 1 << 20
+PART = 1 << 20
+BLOCK = 1 << 19
+#: Contexts (of 100 to 176 bytes) of one anchor that a task takes into a block: about a megabyte.
+CONTEXTS = 8192
 DOC = ["doc_id", "version"]
 _BASE = np.uint64(0x9FB21C651E98DF25)
 _INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
@@ -240,6 +243,26 @@ def _compared(batches):
             yield pa.RecordBatch.from_arrays([pa.array(x, kind) for x, kind in zip(zip(*out), (pa.int64(), pa.int32(), pa.int32(), pa.int32()))], names=[*DOC, "start", "end"])
 
 
+def _merged(batches):
+    """Overlapping and touching spans of each row united, in order."""
+    for batch in batches:
+        spans = batch.column(2)
+        row = np.repeat(np.arange(batch.num_rows), pc.list_value_length(spans).to_numpy())
+        flat = spans.flatten()
+        start, end = (row * _FAR + flat.field(k).to_numpy() for k in (0, 1))  # rows far apart on one line
+        order = np.argsort(start, kind="stable")
+        start, row, reach = start[order], row[order], np.maximum.accumulate(end[order])
+        new = np.ones(len(start), bool)
+        new[1:] = start[1:] > reach[:-1]
+        first = np.flatnonzero(new)
+        last = np.append(first[1:], len(start)) - 1
+        runs_of = row[first]
+        pairs = pa.StructArray.from_arrays([pa.array((x - runs_of * _FAR).astype(np.int32)) for x in (start[first], reach[last])], names=["start", "end"])
+        ends = np.searchsorted(runs_of, np.arange(batch.num_rows + 1)).astype(np.int32)
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.ListArray.from_arrays(pa.array(ends), pairs)], names=[*DOC, "spans"])
+
+
+_FAR = np.int64(1) << 33
 SPANS = "doc_id long, version int, start int, end int"
 
 
@@ -282,7 +305,7 @@ def removals(docs: DataFrame) -> DataFrame:
     copies = names.join(reps.withColumnRenamed("doc_id", "rep"), same).where(f"doc_id <> rep AND n >= {LEAST}")
     spans = repeated_spans(single).unionByName(copies.select(*DOC, F.lit(0).alias("start"), F.col("n").alias("end")))
     spans = spans.groupBy(*DOC).agg(F.collect_list(F.struct("start", "end")).alias("spans"))  # bounded by the text
-    spans = written(spans, "repeat-spans")
+    spans = written(spans.mapInArrow(_merged, "doc_id long, version int, spans array<struct<start:int,end:int>>"), "repeat-spans")
 
     def run(batches):
         for batch in parts_of(batches, PART):
