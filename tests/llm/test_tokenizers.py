@@ -73,6 +73,13 @@ def test_grammar_round_trip_and_random_access(docs):
     assert block.lengths.tolist() == [len(tokenfiles.expand(np.array([10 + j]), block.rules, 10)) for j in range(len(block.rules))]
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.text(st.characters(min_codepoint=33, max_codepoint=0x24F), min_size=1, max_size=8), st.sampled_from(["", ".", "***", "!!", ",-"]))
+def test_latin_words_equal_the_library(word, signs):
+    got = np.frombuffer(tokenfiles.load(WORDS).encode([word + signs])[0], "<u4").tolist()
+    assert got == HF.encode(word + signs, add_special_tokens=False).ids
+
+
 def test_grammar_compresses():
     ids = np.tile(np.arange(50, dtype="<u4"), 200)
     last = np.zeros(len(ids), bool)

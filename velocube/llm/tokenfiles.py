@@ -14,7 +14,8 @@ everywhere, again and again until no pair occurs ``FREQUENT`` times or ``ROUNDS`
 never overlap (a symbol is only a left or only a right part), and no rule spans two documents, so any document or
 range of ids is decoded alone.
 
-Encoding keeps a bounded table of words (cut at blanks and line ends, which the tokenizer's pre-tokenizer never crosses and drops).
+Encoding keeps a bounded table of words (cut at blanks and line ends, which the tokenizer's pre-tokenizer drops and never
+crosses, and before the signs that end a word, where it cuts too).
 
 Defined results: one row per input row; null and empty texts are the end id alone; rows with a null doc_id come
 first; rows with equal doc_id follow in the order of a hash of their texts; an empty table gives an empty dataset and
@@ -23,7 +24,9 @@ result; other columns take no part.
 from __future__ import annotations
 
 import os
+import unicodedata
 import zlib
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -35,10 +38,32 @@ from velocube.llm.common import documents, fresh_path, parts_of, written
 
 TOKENS, FREQUENT, ROUNDS, RULES = 1 << 20, 8, 8, 4096
 END_ID = 1
-REMEMBERED, LONGEST = 500_000, 64
+REMEMBERED, LONGEST = 700_000, 64
+SIGNS = ".,;:!?*%#$&+=-"
 BLOCK = "shard int, block int, doc_ids array<long>, n_tokens binary, n_symbols binary, base int, rules binary, lengths binary, low binary, high binary"
 
 
+def _byte_names() -> dict[int, str]:
+    """How byte-level tokenizers write bytes: printable ones as themselves, the others from U+0100 on."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [b for b in range(256) if b not in set(shown)]
+    return {**{b: chr(b) for b in shown}, **{b: chr(256 + k) for k, b in enumerate(hidden)}}
+
+
+_NAMES = _byte_names()
+
+
+def _letters(word: str) -> str | None:
+    """What the normalizer and pre-tokenizer make of a word of Latin letters: one piece; None for any other word."""
+    if not word.isalpha():
+        return None
+    if word.isascii():
+        return word.lower()
+    if max(word) >= "\u0250" or "\u0130" in word or not unicodedata.is_normalized("NFC", word):
+        return None
+    return word.lower().encode().decode("latin-1").translate(_NAMES)
+
+
 class Words:
     """Encoder of one tokenizers file, word by word."""
 
@@ -57,16 +82,34 @@ class Words:
             known.clear()
             known[""] = b""
         cut = [t.replace("\n", " ").split(" ") for t in texts]
-        missing = list({w for words in cut for w in words if w not in known})
-        for at in range(0, len(missing), 4096):
-            part = missing[at:at + 4096]
-            for w, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                known[w] = np.array(e.ids, "<u4").tobytes()
-        out = [b"".join(map(known.__getitem__, words)) for words in cut]
-        for w in missing:
-            if len(w) > LONGEST:
-                del known[w]
-        return out
+        got = [list(map(known.get, words)) for words in cut]
+        missing = list({w for words, ids in zip(cut, got) if None in ids for w, x in zip(words, ids) if x is None})
+        parts = {w: self._parts(w) for w in missing}
+        asked = list({p for pair in parts.values() for p in pair if p not in known})
+        new = {}
+        plain = self.tokenizer.model.tokenize
+        others = []
+        for p in asked:
+            if (letters := _letters(p)) is None:
+                others.append(p)
+            else:  # a single run of letters: normalised here, straight to the library's model
+                new[p] = array("I", [t.id for t in plain(letters)]).tobytes()
+        for at in range(0, len(others), 4096):
+            some = others[at:at + 4096]
+            for p, e in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False)):
+                new[p] = array("I", e.ids).tobytes()
+        known.update((p, x) for p, x in new.items() if len(p) <= LONGEST)
+        for w, pair in parts.items():
+            new[w] = b"".join(new[p] if p in new else known[p] for p in pair)
+        known.update((w, new[w]) for w in missing if len(w) <= LONGEST)
+        return [b"".join(ids if None not in ids else [new[w] if x is None else x for w, x in zip(words, ids)]) for words, ids in zip(cut, got)]
+
+    def _parts(self, word: str) -> tuple[str, ...]:
+        """A word and the signs that end it: the pre-tokenizer cuts between a letter and a run of signs."""
+        base = word.rstrip(SIGNS)
+        if base and len(base) < len(word) and base[-1].isalpha() and "'" not in word and "<" not in word:
+            return base, word[len(base):]
+        return (word,)
 
 
 _LOADED: dict[str, Words] = {}
