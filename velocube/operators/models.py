@@ -3,10 +3,9 @@ model (forecastable by the SQL fold), scoring and importances.
 
 Boosting uses ``GBTRegressor``; the five calendar/rank inputs are marked
 categorical with a ``VectorIndexer`` over those columns only (indexing the
-lags would turn low-count lags into categories).  Early stopping is done by
-fitting ``max_iter`` rounds and choosing the round with the lowest
-validation error from ``evaluateEachIteration`` (within a patience); the
-trees after it are cut off the fitted ensemble.
+lags would turn low-count lags into categories).  Early stopping chooses the
+round with the lowest validation error from ``evaluateEachIteration``
+(within a patience); the trees after it are cut off the fitted ensemble.
 """
 from __future__ import annotations
 
@@ -46,8 +45,10 @@ def train_gbt(train: DataFrame, valid: DataFrame | None = None,
     """Fit the boosted-tree pipeline; returns (model, rounds kept).
 
     With ``early_stop`` the rounds up to the best validation error are kept,
-    looking no further than ``patience`` rounds without a gain; they are a
-    prefix of the fitted ensemble, nothing is fitted twice.  Every category
+    looking no further than ``patience`` rounds without a gain.  Rounds are
+    fitted from the first on, twice as many each time, until the stop is among
+    them or ``max_iter`` is reached: equal seeds give equal first rounds, so
+    the kept ones are those of a fit of all ``max_iter``.  Every category
     column stays categorical: the limit follows the data.
     """
     from velocube.session import checkpoint_dir
@@ -57,21 +58,30 @@ def train_gbt(train: DataFrame, valid: DataFrame | None = None,
     most = max([2, *(tr.agg(*[F.count_distinct(c).alias(c) for c in cats]).first() if cats else ())])
     gbt = GBTRegressor(featuresCol="features", labelCol=y, maxIter=max_iter, stepSize=step,
                        maxDepth=depth, seed=seed, maxBins=max(64, most + 1), checkpointInterval=10)
-    model = Pipeline(stages=_prep(lags, cats, most) + [gbt]).fit(tr)
-    rounds = max_iter
-    if early_stop and valid is not None:
-        feats = PipelineModel(model.stages[:-1]).transform(cast_inputs(valid, cols, y))
-        errs = model.stages[-1].evaluateEachIteration(feats, "absolute")
-        best = 0
-        for i, e in enumerate(errs):
-            if e < errs[best]:
-                best = i
-            elif i - best >= patience:
-                break
-        rounds = best + 1
-        if rounds < len(errs):
-            model = PipelineModel(model.stages[:-1] + [_prefix(model.stages[-1], rounds)])
-    return model, rounds
+    prep = Pipeline(stages=_prep(lags, cats, most)).fit(tr)
+    feats = prep.transform(tr).select("features", y).checkpoint()  # read by every fit, in the same parts
+    if not early_stop or valid is None:
+        return PipelineModel(prep.stages + [gbt.fit(feats)]), max_iter
+    held = prep.transform(cast_inputs(valid, cols, y)).select("features", y).checkpoint()
+    fitted = min(max_iter, 2 * patience)
+    while True:
+        model = gbt.copy({gbt.maxIter: fitted}).fit(feats)
+        rounds, stopped = stop_round(model.evaluateEachIteration(held, "absolute"), patience)
+        if stopped or fitted == max_iter:
+            break
+        fitted = min(max_iter, 2 * fitted)
+    return PipelineModel(prep.stages + [_prefix(model, rounds) if rounds < fitted else model]), rounds
+
+
+def stop_round(errors: Sequence[float], patience: int) -> tuple[int, bool]:
+    """Rounds up to the least error, and whether ``patience`` rounds without a gain followed it."""
+    best = 0
+    for i, e in enumerate(errors):
+        if e < errors[best]:
+            best = i
+        elif i - best >= patience:
+            return best + 1, True
+    return best + 1, False
 
 
 def _prefix(gbt: GBTRegressionModel, rounds: int) -> GBTRegressionModel:
