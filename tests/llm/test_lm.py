@@ -58,3 +58,27 @@ def test_no_training_and_empty(spark, odd, empty):
     assert len(rows) == odd.count() and {r["n_known"] for r in rows} == {0} and {r["train_tokens"] for r in rows} == {0}
     assert all(r["base_score"] == pytest.approx(0.0, abs=1e-9) for r in rows)
     assert lm.scores(empty, odd).count() == 0 and lm.scores(empty, empty).count() == 0
+
+
+@pytest.mark.parametrize("most", [lm.HOT, 66])
+def test_words_of_one_class_follow_their_context(spark, most, monkeypatch):
+    """Two words of one ending and one count, each after its own word: the count alone cannot tell them apart."""
+    monkeypatch.setattr(lm, "STEPS", 200)
+    rows = [(k, f"w{k % lm.OWN}x q{k % lm.OWN}b " * 40) for k in range(2 * lm.OWN)]
+    rows = [(k, t.replace(f"q{k % lm.OWN}b", "")) for k, t in rows]
+    rows += [(1000 + k, "w0x kazq w1x lozq") for k in range(30)]
+    train = spark.createDataFrame(rows, "doc_id long, text string")
+    asked = spark.createDataFrame([(1, "w0x kazq"), (2, "w0x lozq"), (3, "w1x lozq"), (4, "w1x kazq")], "doc_id long, text string")
+    got = {r["doc_id"]: r["score"] for r in lm.scores(asked, train, most).collect()}
+    assert got[1] > got[2] + 0.3 and got[3] > got[4] + 0.3
+
+
+def test_word_vectors_follow_the_counts():
+    """Fitted on all contexts, shares of a class stay near its counts in each context."""
+    rng = np.random.default_rng(3)
+    vectors = np.concatenate([rng.normal(size=(lm.CLASSES, 3)), np.ones((lm.CLASSES, 1))], axis=1).astype(np.float32)
+    truth = rng.normal(0, 0.5, (5, 4))
+    share = np.exp(truth @ vectors.T)
+    expected = np.full((5, lm.CLASSES), 200.0, np.float32)
+    q = lm.fit_words(rng.poisson(expected * share).astype(np.float32), expected, vectors)
+    assert np.abs(q - truth).max() < 0.1

@@ -7,12 +7,16 @@ its class given the two classes before it, times the token given its class:
   bytes: ``CLASSES`` in all;
 * the class model is log-bilinear: position-weighted context vectors are summed and multiplied with the class
   vectors.  It is trained by noise-contrastive estimation on the class trigrams of all training documents (counted
-  by Spark; at most CLASSES**3 cells, a bound that does not grow with the corpus).  One batched matrix product then
-  gives the normalised log-probabilities of every class in every context;
-* the token in its class has its smoothed share of the class, counted over all training documents.
+  by Spark; at most CLASSES**3 cells): every step passes over all cells, with the noise at its expectation.  One
+  batched matrix product then gives the normalised log-probabilities of every class in every context;
+* the model of a token in its class is log-bilinear too: every word has a vector of its own, which is multiplied with
+  the vector of the class before it and added to the log of its count.  The contexts of every word are counted (cells
+  and vectors grow with the corpus) and its vector is fitted by noise-contrastive estimation over all of them, the
+  noise being its share of the class; words are independent given the context vectors, so tasks fit them in parallel.
+  Sums over each class' words in each context normalise it.
 
-Counts of at most ``HOT`` words, the most frequent ones, travel to the tasks as a broadcast; all other words are joined
-with the count table by a shuffle.  So no frequent word is ever shuffled by key, and the broadcast has a fixed bound.
+Counts and vectors of at most ``HOT`` words, the most frequent ones, travel to the tasks as a broadcast; all other words
+are joined with theirs by a shuffle.  So no frequent word is ever shuffled by key, and the broadcast has a fixed bound.
 
 Defined results: one row per input row; null and empty texts have the end token alone; a null doc_id stays null and counts as
 a training document unless the caller says otherwise; repeated rows count each; without training documents all
@@ -33,7 +37,8 @@ SHARED = CLASSES - OWN - 1
 HOT = 1_000_000
 END = 0  # class and hash of the end token; mix64 gives 0 to nothing but 0
 SMOOTH = 0.1
-DIM, STEPS, BATCH, NOISE, RATE = 32, 4000, 1024, 64, 0.02
+DIM, STEPS, NOISE, RATE = 32, 400, 64, 0.03
+WORD_DIM, NEWTON, WORD_NOISE, SHRINK = 16, 6, 32, 2.0
 
 
 def tokens(data, offsets) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -143,44 +148,80 @@ def fit(cells: np.ndarray, counts: np.ndarray, seed: int = 11) -> np.ndarray:
     if not len(cells):
         return np.full((CLASSES * CLASSES, CLASSES), -np.log(CLASSES), np.float32)
     rng = np.random.default_rng(seed)
-    two, one, target = cells // CLASSES ** 2, cells // CLASSES % CLASSES, cells % CLASSES
-    share = np.bincount(target, counts, CLASSES) + 1.0
+    contexts, of = np.unique(cells // CLASSES, return_inverse=True)
+    data = np.zeros((len(contexts), CLASSES), np.float32)
+    data[of, cells % CLASSES] = counts / counts.sum()
+    share = np.bincount(cells % CLASSES, counts, CLASSES) + 1.0
     share /= share.sum()
-    log_noise = np.log(share * NOISE)
+    log_noise = np.log(share * NOISE).astype(np.float32)
+    both = data + data.sum(axis=1, keepdims=True) * (share * NOISE).astype(np.float32)  # data and expected noise
     r = [rng.normal(0, 0.1, (CLASSES, DIM)) for _ in range(2)]  # context vectors of the two places
-    q, b = rng.normal(0, 0.1, (CLASSES, DIM)), np.log(share)
-    params = {"r0": r[0], "r1": r[1], "q": q, "b": b}
+    params = {"r0": r[0], "r1": r[1], "q": rng.normal(0, 0.1, (CLASSES, DIM)), "b": np.log(share)}
+    params = {k: v.astype(np.float32) for k, v in params.items()}
     first = {k: np.zeros_like(v) for k, v in params.items()}
     second = {k: np.zeros_like(v) for k, v in params.items()}
-    ends = np.cumsum(counts.astype(np.float64))
-    noise_ends = np.cumsum(share)
+    c0, c1 = contexts // CLASSES, contexts % CLASSES
+    starts0 = np.flatnonzero(np.diff(c0, prepend=-1))
+    by1 = np.argsort(c1, kind="stable")
+    starts1 = np.flatnonzero(np.diff(c1[by1], prepend=-1))
     for step in range(1, STEPS + 1):
-        pick = np.minimum(np.searchsorted(ends, rng.random(BATCH) * ends[-1], side="right"), len(cells) - 1)
-        c0, c1, y = two[pick], one[pick], target[pick]
-        z = np.minimum(np.searchsorted(noise_ends, rng.random(NOISE), side="right"), CLASSES - 1)
         hidden = params["r0"][c0] + params["r1"][c1]
-        s_data = (hidden * params["q"][y]).sum(axis=1) + params["b"][y] - log_noise[y]
-        s_noise = hidden @ params["q"][z].T + params["b"][z] - log_noise[z]
-        d_data = 1 / (1 + np.exp(-s_data)) - 1
-        d_noise = 1 / (1 + np.exp(-s_noise))
-        d_hidden = d_data[:, None] * params["q"][y] + d_noise @ params["q"][z]
+        s = hidden @ params["q"].T
+        s += params["b"] - log_noise
+        np.negative(s, out=s)
+        np.exp(np.minimum(s, 80, out=s), out=s)
+        s += 1
+        d = np.divide(both, s, out=s)
+        d -= data
+        d_hidden = d @ params["q"]
         grads = {k: np.zeros_like(v) for k, v in params.items()}
-        np.add.at(grads["r0"], c0, d_hidden)
-        np.add.at(grads["r1"], c1, d_hidden)
-        np.add.at(grads["q"], y, d_data[:, None] * hidden)
-        np.add.at(grads["q"], z, d_noise.T @ hidden)
-        grads["b"] = np.bincount(y, d_data, CLASSES) + np.bincount(z, d_noise.sum(axis=0), CLASSES)
+        grads["r0"][c0[starts0]] = np.add.reduceat(d_hidden, starts0)
+        grads["r1"][c1[by1][starts1]] = np.add.reduceat(d_hidden[by1], starts1)
+        grads["q"], grads["b"] = d.T @ hidden, d.sum(axis=0)
         rate = RATE * (1.02 - step / STEPS)
         for k, g in grads.items():
-            g /= BATCH
             first[k] += 0.1 * (g - first[k])
             second[k] += 0.01 * (g * g - second[k])
             params[k] -= rate * (first[k] / (1 - 0.9 ** step)) / (np.sqrt(second[k] / (1 - 0.99 ** step)) + 1e-8)
     out = np.empty((CLASSES * CLASSES, CLASSES), np.float32)
-    for c0 in range(CLASSES):
-        s = (params["r0"][c0] + params["r1"]) @ params["q"].T + params["b"]
+    for k in range(CLASSES):
+        s = (params["r0"][k] + params["r1"]) @ params["q"].T + params["b"]
         s -= s.max(axis=1, keepdims=True)
-        out[c0 * CLASSES:(c0 + 1) * CLASSES] = s - np.log(np.exp(s).sum(axis=1, keepdims=True))
+        out[k * CLASSES:(k + 1) * CLASSES] = s - np.log(np.exp(s).sum(axis=1, keepdims=True))
+    return out
+
+
+def context_vectors(logs: np.ndarray) -> np.ndarray:
+    """(class, WORD_DIM): the main directions in which the class before a token moves the class model, and a constant."""
+    m = logs.reshape(CLASSES, CLASSES, CLASSES).mean(axis=0, dtype=np.float64)
+    m = m - m.mean(axis=1, keepdims=True)
+    m -= m.mean(axis=0)
+    u, size, _ = np.linalg.svd(m)
+    scale = np.sqrt(size[:WORD_DIM - 1] / max(size[0], 1e-9)) if size[0] > 1e-6 else np.zeros(WORD_DIM - 1)
+    return np.concatenate([u[:, :WORD_DIM - 1] * scale * np.sqrt(CLASSES), np.ones((CLASSES, 1))], axis=1).astype(np.float32)
+
+
+def fit_words(n: np.ndarray, expected: np.ndarray, vectors: np.ndarray) -> np.ndarray:
+    """Vectors of words: n has each word's count in each context, expected what its share of the class gives there.
+
+    Newton's method on the noise-contrastive estimate (noise at its expectation) with a quadratic penalty.
+    """
+    squares = (vectors[:, :, None] * vectors[:, None, :]).reshape(len(vectors), -1)
+    both, q = n + WORD_NOISE * expected, np.zeros((len(n), vectors.shape[1]), np.float32)
+    for _ in range(NEWTON):
+        p = 1 / (1 + WORD_NOISE * np.exp(-np.clip(q @ vectors.T, -12, 12)))
+        slope = (n - both * p) @ vectors - SHRINK * q
+        bend = ((both * p * (1 - p)) @ squares).reshape(len(n), len(vectors[0]), -1) + SHRINK * np.eye(vectors.shape[1], dtype=np.float32)
+        move = np.linalg.solve(bend, slope[:, :, None])[:, :, 0]
+        q += move * np.minimum(1, 2 / np.maximum(np.abs(move @ vectors.T).max(axis=1, keepdims=True), 1e-9))
+    return q.astype(np.float16)
+
+
+def dots(vectors: np.ndarray, ctx: np.ndarray, q: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """vectors[ctx] . q[at], some rows at a time."""
+    out = np.empty(len(ctx), np.float64)
+    for a in range(0, len(ctx), 1 << 15):
+        out[a:a + (1 << 15)] = np.einsum("ij,ij->i", vectors[ctx[a:a + (1 << 15)]], q[at[a:a + (1 << 15)]].astype(np.float32))
     return out
 
 
@@ -193,33 +234,78 @@ def scores(docs: DataFrame, training: DataFrame, most: int = HOT) -> DataFrame:
     counts = count_words(training)
     total = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
     least = frequent(counts, most)
-    hot = counts.where(F.col("c") >= least).select("word", "c").toArrow()  # at most ``most`` rows
-    words, c = hot["word"].to_numpy().view(np.uint64), hot["c"].to_numpy()
-    ranked = np.lexsort((words, -c))
-    own = {int(words[k]): j + 1 for j, k in enumerate(ranked[words[ranked] != END][:OWN])}
-    names = {int(np.uint64(w).view(np.int64)): cls for w, cls in own.items()}
-    # tokens and words of each class
-    cls = F.coalesce(F.create_map(*[F.lit(x) for pair in names.items() for x in pair])[F.col("word")], F.col("shared")) if names else F.col("shared")
-    cls = F.when(F.col("word") == END, F.lit(END)).otherwise(cls)
-    in_class, sizes = np.zeros(CLASSES), np.zeros(CLASSES)
-    for row in counts.groupBy(cls.alias("cls")).agg(F.sum("c").alias("n"), F.count("*").alias("v")).collect():
-        in_class[row["cls"]], sizes[row["cls"]] = row["n"], row["v"]
-    below = np.log10(in_class + SMOOTH * (sizes + 1))
-    classes = spark.sparkContext.broadcast(Classes(words, c, own))
-
-    def trigrams(batches):
+    top = counts.where(F.col("word") != END).orderBy(F.desc("c"), F.col("word").bitwiseXOR(F.lit(-1 << 63))).limit(OWN).collect()
+    own = {int(np.int64(r["word"]).view(np.uint64)): j + 1 for j, r in enumerate(top)}
+    owned = Classes(np.array(list(own), np.uint64), np.zeros(len(own), np.int64), own)
+
+    def gather(batches):
+        """Class trigrams (ctx -1, the cell as word), and each word's count after each class."""
         for batch in parts_of(batches):
             data, offsets = bytes_of(batch.column(1))
             h, shared, at = tokens(data, offsets)
-            cells, n = np.unique(context(classes.value.of(h, shared)[0], at), return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(cells.astype(np.int32)), pa.array(n.astype(np.int64))], names=["cell", "n"])
-
-    grams = with_bytes(training).mapInArrow(trigrams, "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow().sort_by("cell")
-    model = spark.sparkContext.broadcast((fit(grams["cell"].to_numpy().astype(np.int64), grams["n"].to_numpy()).reshape(-1) / np.float32(np.log(10)), below))
+            codes = context(owned.of(h, shared)[0], at)
+            cells, n = np.unique(codes, return_counts=True)
+            order = np.lexsort((codes // CLASSES % CLASSES, h))
+            words, ctx = h[order], codes[order] // CLASSES % CLASSES
+            heads = np.flatnonzero(np.concatenate([np.ones(min(1, len(h)), bool), (words[1:] != words[:-1]) | (ctx[1:] != ctx[:-1])]))
+            times = np.diff(np.concatenate([heads, [len(h)]]))
+            yield pa.RecordBatch.from_arrays([
+                pa.array(np.concatenate([cells, words[heads].view(np.int64)])), pa.array(np.concatenate([np.full(len(cells), -1), ctx[heads]]).astype(np.int32)),
+                pa.array(np.concatenate([np.full(len(cells), -1), codes[order][heads] % CLASSES]).astype(np.int32)), pa.array(np.concatenate([n, times]).astype(np.int64)),
+            ], names=["word", "ctx", "cls", "n"])
+
+    cells = with_bytes(training).mapInArrow(gather, "word long, ctx int, cls int, n long").groupBy("word", "ctx", "cls").agg(F.sum("n").alias("n"))
+    cells = written(cells, "lm-cells")
+    grams = cells.where("ctx < 0").select(F.col("word").alias("cell"), "n").toArrow().sort_by("cell")  # at most CLASSES**3
+    grams = grams["cell"].to_numpy().astype(np.int64), grams["n"].to_numpy()
+    logs = fit(*grams)
+    vectors = context_vectors(logs)
+    after = np.bincount(grams[0] % CLASSES ** 2, grams[1], CLASSES ** 2).reshape(CLASSES, CLASSES)  # tokens of each class after each
+    each = cells.where("ctx >= 0").groupBy("word", "cls").agg(F.sum("n").alias("c"), F.collect_list(F.struct("ctx", "n")).alias("cells"))  # at most CLASSES a word
+
+    def learn(batches):
+        for batch in batches:
+            for at in range(0, batch.num_rows, 2048):
+                part = batch.slice(at, 2048)
+                cls, c, lists = part.column(1).to_numpy(), part.column(2).to_numpy(), part.column(3)
+                flat = lists.flatten()
+                n = np.zeros((part.num_rows, CLASSES), np.float32)
+                n[np.repeat(np.arange(part.num_rows), lists.value_lengths().to_numpy()), flat.field("ctx").to_numpy()] = flat.field("n").to_numpy()
+                sizes = after.sum(axis=0)
+                expected = (after.T[cls] * (c / np.maximum(sizes[cls], 1))[:, None]).astype(np.float32)
+                q = fit_words(n, expected, vectors)
+                q[(cls <= OWN)] = 0  # alone in its class
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), part.column(2), pa.array([x.tobytes() for x in q], pa.binary())], names=["word", "cls", "c", "vec"])
+
+    learned = written(each.mapInArrow(learn, "word long, cls int, c long, vec binary"), "lm-words")
+
+    def summed(batches):
+        z = np.zeros((CLASSES, CLASSES))
+        for batch in batches:
+            for at in range(0, batch.num_rows, 8192):
+                part = batch.slice(at, 8192)
+                cls, c = part.column(0).to_numpy(), part.column(1).to_numpy()
+                q = np.frombuffer(b"".join(part.column(2).to_pylist()), np.float16).reshape(-1, WORD_DIM).astype(np.float32)
+                order = np.argsort(cls, kind="stable")
+                heads = np.flatnonzero(np.diff(cls[order], prepend=-1))
+                z[cls[order][heads]] += np.add.reduceat((c[order, None] + SMOOTH) * np.exp((q[order] @ vectors.T).astype(np.float64)), heads)
+        k, ctx = np.nonzero(z)
+        yield pa.RecordBatch.from_arrays([pa.array(k.astype(np.int32)), pa.array(ctx.astype(np.int32)), pa.array(z[k, ctx])], names=["cls", "ctx", "z"])
+
+    z = np.full((CLASSES, CLASSES), SMOOTH)  # the share of all unseen words; by context and class
+    for row in learned.select("cls", "c", "vec").mapInArrow(summed, "cls int, ctx int, z double").groupBy("cls", "ctx").agg(F.sum("z").alias("z")).collect():
+        z[row["ctx"], row["cls"]] += row["z"]
+    hot = learned.where(F.col("c") >= least).select("word", "c", "vec").toArrow()  # at most ``most`` rows
+    words, c = hot["word"].to_numpy().view(np.uint64), hot["c"].to_numpy()
+    q = np.frombuffer(b"".join(hot["vec"].to_pylist()), np.float16).reshape(-1, WORD_DIM)[np.argsort(words)]
+    classes = spark.sparkContext.broadcast((Classes(words, c, own), q))
+    model = spark.sparkContext.broadcast((logs.reshape(-1) / np.float32(np.log(10)), np.log10(z).reshape(-1)))
+    del hot, words, c, q
+    vectors10 = vectors / np.float32(np.log(10))
     base_below = float(np.log10(total["n"] + SMOOTH * (total["v"] + 1)))
 
     def run(batches):
-        known, (log_class, below) = classes.value, model.value
+        (known, q), (log_class, below) = classes.value, model.value
         log_hot = np.log10(known.counts + SMOOTH)
         task, done = TaskContext.get().partitionId() << 40, 0
         for batch in parts_of(batches):
@@ -229,26 +315,43 @@ def scores(docs: DataFrame, training: DataFrame, most: int = HOT) -> DataFrame:
             cls, hot_at = known.of(h, shared)
             is_hot = hot_at >= 0
             own = np.where(is_hot, log_hot[hot_at] if len(log_hot) else 0.0, 0.0)
-            text = log_class[context(cls, at)].astype(np.float64) - below[cls]
+            codes = context(cls, at)
+            text = log_class[codes].astype(np.float64) - below[codes % CLASSES ** 2]
+            ctx = codes // CLASSES % CLASSES
+            moved = np.flatnonzero(is_hot & (cls > OWN))
+            text[moved] += dots(vectors10, ctx[moved], q, hot_at[moved])
             sums = [np.add.reduceat(x, at[:-1]) if rows else np.zeros(0) for x in (own, text, is_hot.astype(np.int64))]
             cold = np.flatnonzero(~is_hot)
             ends = np.searchsorted(cold, at)
             yield pa.RecordBatch.from_arrays([
                 batch.column(0), pa.array(task + done + np.arange(rows)), pa.array(np.diff(at)), pa.array(sums[2].astype(np.int64)), pa.array(sums[0]), pa.array(sums[1]),
                 pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(h[cold].view(np.int64))),
-            ], names=["doc_id", "row", "n_tokens", "n_hot", "own", "text", "cold"])
+                pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(ctx[cold].astype(np.int32))),
+            ], names=["doc_id", "row", "n_tokens", "n_hot", "own", "text", "cold", "ctx"])
             done += rows
 
-    scored = written(with_bytes(docs).mapInArrow(run, "doc_id long, row long, n_tokens long, n_hot long, own double, text double, cold array<long>"), "lm-rows")
-    rare = counts.where(F.col("c") < least).select("word", "c")
-    cold = scored.select("row", F.explode("cold").alias("word")).groupBy("row", "word").agg(F.count("*").alias("times")).join(rare, "word", "left")
+    scored = written(with_bytes(docs).mapInArrow(run, "doc_id long, row long, n_tokens long, n_hot long, own double, text double, cold array<long>, ctx array<int>"), "lm-rows")
+    rare = learned.where(F.col("c") < least).select("word", "c", "vec")
+
+    def moves(batches):
+        for batch in batches:
+            vec = batch.column(3)
+            seen = np.flatnonzero(vec.is_valid().to_numpy(zero_copy_only=False))
+            q = np.frombuffer(b"".join(vec.take(pa.array(seen)).to_pylist()), np.float16).reshape(-1, WORD_DIM)
+            move = np.zeros(batch.num_rows)
+            move[seen] = dots(vectors10, batch.column(1).to_numpy()[seen], q, np.arange(len(seen)))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), batch.column(4), pa.array(move)], names=["row", "times", "c", "move"])
+
+    cold = scored.select("row", F.explode(F.arrays_zip("cold", "ctx")).alias("x")).groupBy("row", F.col("x.cold").alias("word"), F.col("x.ctx").alias("ctx")).agg(F.count("*").alias("times"))
+    cold = cold.join(rare, "word", "left").select("row", "ctx", "times", "vec", "c").mapInArrow(moves, "row long, times long, c long, move double")
     cold = cold.groupBy("row").agg(
         F.sum(F.col("times") * F.log10(F.coalesce("c", F.lit(0)) + F.lit(SMOOTH))).alias("rest"),
+        F.sum(F.col("times") * F.col("move")).alias("moved"),
         F.sum(F.when(F.col("c").isNotNull(), F.col("times")).otherwise(0)).alias("n_rare"),
     )
-    out = scored.drop("cold").join(cold, "row", "left")
+    out = scored.drop("cold", "ctx").join(cold, "row", "left")
     own_all = F.col("own") + F.coalesce("rest", F.lit(0.0))
     return out.select(
         "doc_id", "n_tokens", (F.col("n_hot") + F.coalesce("n_rare", F.lit(0))).cast("long").alias("n_known"), F.lit(total["n"]).cast("long").alias("train_tokens"),
-        (own_all - F.col("n_tokens") * F.lit(base_below)).alias("base_score"), (own_all + F.col("text")).alias("score"),
+        (own_all - F.col("n_tokens") * F.lit(base_below)).alias("base_score"), (own_all + F.col("text") + F.coalesce("moved", F.lit(0.0))).alias("score"),
     )
