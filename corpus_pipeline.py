@@ -7,7 +7,7 @@ one's docs.  The filtering stages return the columns they were given and keep cl
 2. MinHash near-dedup (five words, similarity 0.8): the smallest doc_id of each group stays;
 3. benchmark decontamination: documents that hold ten consecutive words of a benchmark item go;
 4. secret scans: documents with a finding go;
-5. SentencePiece encoding: doc_id, n_tokens and ids of what is left.
+5. SentencePiece encoding: doc_id, n_tokens and ids of what is left; the ids are decoded and held against the text.
 """
 from __future__ import annotations
 

@@ -143,3 +143,26 @@ def test_unigram_table(spark, odd, empty):
 def test_unsupported_models_are_refused():
     with pytest.raises(ValueError):
         unigram.Counter([("<unk>", 0.0), ("a▁b", -1.0)])
+
+
+def test_what_is_decoded_are_the_ids():
+    """A wrong id, put among the remembered ones, shows in the decoded text."""
+    model = pieces.Pieces(MODEL)
+    text = "the old house"
+    right = model.digest(text)
+    assert right[2] == hashlib.sha256(text.encode()).hexdigest()
+    key = next(k for k in model.known if "old" in k)
+    model.known[key] = str(model.encode("new")[0])
+    assert model.digest(text)[2] == hashlib.sha256(model.decode(model.encode("the new house")).encode()).hexdigest() != right[2]
+
+
+
+def test_encoded_runs_the_decoder(spark, monkeypatch):
+    class Mute(pieces.Pieces):
+        def decode(self, ids):
+            return ""
+
+    monkeypatch.setattr(pieces, "load", lambda path: Mute(path))
+    df = spark.createDataFrame([(1, "the old house")], "doc_id long, text string")
+    with pytest.raises(Exception, match="does not decode to itself"):
+        pieces.encoded(df, MODEL).collect()

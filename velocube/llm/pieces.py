@@ -45,6 +45,7 @@ class Pieces:
         self.byte_of = {k: b for b, k in self.byte_ids.items()}
         self.control = {k for k in range(size) if lib.is_control(k)}
         self.unknown = lib.unk_id()
+        self.shown = [None if k in self.control or k in self.byte_of or k == self.unknown else self.text[k] for k in range(size)]
         self.runs = {len(self.text[k]): k for k in normal if set(self.text[k]) == {SPACE}}
         ordered = sorted((k for k in normal if len(self.text[k]) > 1 and set(self.text[k]) != {SPACE}), key=lambda k: -lib.get_score(k))
         scores = [lib.get_score(k) for k in ordered]
@@ -234,20 +235,20 @@ class Pieces:
         return "".join(out)
 
     def decode(self, ids) -> str:
-        text = self._plain(ids)
+        try:
+            text = "".join(map(self.shown.__getitem__, ids))
+        except TypeError:  # a piece that is not its own text
+            text = self._plain(ids)
         first = next((k for k in ids if k not in self.control), None)
         return (text[1:] if first is not None and first not in self.byte_of and self.text[first].startswith(SPACE) else text).replace(SPACE, " ")
 
     def digest(self, text: str) -> tuple[int, str, str]:
-        """Number of ids, SHA-256 of the ids (decimal, comma-joined) and of the decoded text.
-
-        Every cut decodes to itself (checked when it is first met), so the decoded text has the marks of spaces,
-        the text's own ones among them, as spaces and is else the text.
-        """
+        """Number of ids, SHA-256 of the ids (decimal, comma-joined) and of what these ids decode to."""
         if not text:
             return 0, _NOTHING, _NOTHING
         ids = ",".join(self._gather(text, self.known, lambda ids: ",".join(map(str, ids))))
-        return ids.count(",") + 1, hashlib.sha256(ids.encode()).hexdigest(), hashlib.sha256(text.replace(SPACE, " ").encode()).hexdigest()
+        numbers = list(map(int, ids.split(",")))
+        return len(numbers), hashlib.sha256(ids.encode()).hexdigest(), hashlib.sha256(self.decode(numbers).encode()).hexdigest()
 
 
 _NOTHING = hashlib.sha256(b"").hexdigest()
@@ -293,11 +294,15 @@ def digests(docs: DataFrame, path: str) -> DataFrame:
 
 
 def encoded(docs: DataFrame, path: str) -> DataFrame:
-    """doc_id, n_tokens and ids of every row."""
+    """doc_id, n_tokens and ids of every row; ids that do not decode to the text (marks of spaces as spaces) are an error."""
     def run(batches):
         model = load(path)
         for batch in parts_of(batches):
-            rows = [model.encode_bytes(t.as_py().decode()) for t in batch.column(1)]
+            texts = [t.as_py().decode() for t in batch.column(1)]
+            rows = [model.encode_bytes(t) for t in texts]
+            for text, row in zip(texts, rows):
+                if model.decode(np.frombuffer(row, "<i4").tolist()) != text.replace(SPACE, " "):
+                    raise ValueError(f"{text[:80]!r} does not decode to itself")
             ends = np.concatenate([[0], np.cumsum([len(r) // 4 for r in rows])]).astype(np.int32)
             ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(rows), "<i4")))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.diff(ends).astype(np.int64)), ids], names=["doc_id", "n_tokens", "ids"])
