@@ -10,7 +10,7 @@ class _Asked(Exception):
 
 
 @pytest.mark.parametrize("query,rounds", [("train_gbt", 1000), ("score", 1000), ("forecast_gbt", 1000),
-                                          ("train_gbt_lags", 100), ("train_reduced", 100)])
+                                          ("train_gbt_lags", 100), ("train_gbt_multi", 100), ("train_reduced", 100)])
 def test_registered_rounds(query, rounds, monkeypatch):
     def asked(train, valid=None, max_iter=50, depth=5, patience=50, early_stop=True, **_):
         raise _Asked(max_iter, depth, patience, early_stop and valid is not None)

@@ -1084,6 +1084,14 @@ def q_train_gbt_lags(spark, d):
     return EV.error_metrics(M.score(model, te, schemas.LAG_COLS))
 
 
+@register("train_gbt_multi")
+def q_train_gbt_multi(spark, d):
+    """Multi-feature regressor (lags, calendar and rank), no early stop, scored on the test split."""
+    tr, te = _split(spark, d)
+    model, _ = M.train_gbt(tr, None, max_iter=NOTEBOOK_ROUNDS, early_stop=False)
+    return EV.error_metrics(M.score(model, te, schemas.MODEL_INPUTS))
+
+
 @register("train_reduced")
 def q_train_reduced(spark, d):
     """Feature-reduced regressor on the 10 most important lags."""
