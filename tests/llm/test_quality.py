@@ -2,6 +2,8 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from tests.llm.conftest import SF
+import pytest
+
 from velocube.llm import quality
 
 
@@ -46,3 +48,21 @@ def test_odd_and_empty(spark, odd, empty):
     none = quality.train(odd, labels.where("false"))
     assert {r["score"] for r in quality.score(odd, none).collect()} == {0.5}
     assert quality.train(empty, labels)["constant"] > 0
+
+
+def test_long_documents_are_trained_on(spark, monkeypatch):
+    """Labels whose documents are all long: the network is fitted on spans of them, to the last byte."""
+    monkeypatch.setattr(quality, "fit", lambda texts, good, share: (texts, good.tolist()))
+    long = "".join(f"{k:07d} " for k in range(40_000))
+    docs = spark.createDataFrame([(k, long if k % 2 else "short") for k in range(8)], "doc_id long, text string")
+    labels = spark.createDataFrame([(k, k % 2) for k in range(8)], "doc_id long, quality int")
+    texts, good = quality.train(docs, labels)
+    assert sorted(good) == [0] * 4 + [1] * 4
+    assert all(t == b"short" if g == 0 else len(t) == quality.LONGEST and t[:64] == long[:64].encode() and t[-64:] == long[-64:].encode() for t, g in zip(texts, good))
+
+
+def test_a_label_without_documents_raises(spark):
+    docs = spark.createDataFrame([(1, "a"), (2, "b")], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1), (2, 1), (9, 0)], "doc_id long, quality int")
+    with pytest.raises(ValueError, match="label 0"):
+        quality.train(docs, labels)

@@ -6,12 +6,14 @@ gets a defect logit from its pooled outputs; the largest and the mean logit of a
 into one probability.
 
 Training (backpropagation with Adam, on the driver) sees a bounded sample of labelled rows: at most
-``PER_CLASS`` documents of each label, in the order of a hash of doc_id, none longer than ``LONGEST`` bytes.  Class weights undo the sample's balance,
-so probabilities follow the labels' shares.  Scoring is one pass over the table without a shuffle.
+``PER_CLASS`` documents of each label, in the order of a hash of doc_id; of texts above ``LONGEST`` bytes, ``SPANS`` equal
+spans from the first byte to the last, ``LONGEST`` bytes in all.  Class weights undo the sample's balance, so
+probabilities follow the labels' shares.  Scoring is one pass over the table without a shuffle.
 
 Defined results: one row per input row; null and empty texts are scored as an empty document (one chunk of
 padding); a null doc_id stays null; repeated rows are scored alike; without labelled rows of both classes every
-document gets the share of label 1 (0.5 without any label); an empty table gives an empty result.  Null labels
+document gets the share of label 1 (0.5 without any label), and an empty table gives an empty result; where only
+one label's documents are in the table, training raises.  Null labels
 take no part; a document with several labels counts with each.
 """
 from __future__ import annotations
@@ -26,8 +28,8 @@ from velocube.llm.common import bytes_of, documents, parts_of, with_bytes
 
 #: Labelled documents of each class that training may see.
 PER_CLASS = 1500
-#: Bytes of a document that training may see; scoring has no such limit.
-LONGEST = 1 << 16
+#: Bytes of a document that training may see, and the spans of a longer one; scoring has no such limit.
+LONGEST, SPANS = 1 << 16, 64
 EMBED, FILTERS, STEP, WIDTH = 4, 48, 4, 8
 HALF = 128  # bytes of half a chunk: chunks of 256 bytes begin every 128
 POSITIONS = HALF // STEP
@@ -190,8 +192,19 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> dic
     for label in (0, 1):  # at most per_class rows each: small enough to broadcast
         part = named.where(F.col("quality") == label).orderBy(*order).limit(per_class)
         chosen = part if chosen is None else chosen.unionByName(part)
-    rows = documents(docs).where(F.octet_length("text") <= LONGEST).join(F.broadcast(chosen), "doc_id").orderBy(*order, F.md5("text"), "quality").limit(4 * per_class).collect()
-    return fit([(r["text"] or "").encode() for r in rows], np.array([r["quality"] for r in rows]), counts[1] / total)
+    rows = documents(docs).join(F.broadcast(chosen), "doc_id").withColumn("tie", F.md5("text")).withColumn("text", _bounded(F.col("text").cast("binary")))
+    rows = rows.orderBy(*order, "tie", "quality").limit(4 * per_class).collect()
+    good = np.array([r["quality"] for r in rows], np.int64)
+    if len(good) and good.min() == good.max():
+        raise ValueError(f"no document in the table among those chosen for label {1 - good[0]}")
+    return fit([bytes(r["text"] or b"") for r in rows], good, counts[1] / total)
+
+
+def _bounded(data):
+    """The bytes, or SPANS spans of them from the first byte to the last where they are above LONGEST."""
+    n, span = F.octet_length(data), LONGEST // SPANS
+    spans = [F.substring(data, F.floor((n - span) * k / (SPANS - 1)).cast("int") + 1, F.lit(span)) for k in range(SPANS)]
+    return F.when(n <= LONGEST, data).otherwise(F.concat(*spans))
 
 
 def score(docs: DataFrame, model: dict) -> DataFrame:
