@@ -1,5 +1,6 @@
 import hashlib
 import zlib
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
@@ -166,3 +167,18 @@ def test_encoded_runs_the_decoder(spark, monkeypatch):
     df = spark.createDataFrame([(1, "the old house")], "doc_id long, text string")
     with pytest.raises(Exception, match="does not decode to itself"):
         pieces.encoded(df, MODEL).collect()
+
+
+def test_runs_and_equal_documents_are_compressed_to_the_end():
+    """A run of one id and a thousand equal documents; no pair is left that occurs FREQUENT times."""
+    rng = np.random.default_rng(5)
+    one = np.concatenate([rng.integers(2, 100, 3000), np.full(20_000, 7), [1]])
+    flat = np.concatenate([one] * 40)
+    last = np.zeros(len(flat), bool)
+    last[len(one) - 1::len(one)] = True
+    symbols, ends, rules = tokenfiles.compress(flat, last, 100)
+    assert (tokenfiles.expand(symbols, rules, 100) == flat).all() and ends.sum() == 40
+    assert len(symbols) < 40 * 60
+    pairs = Counter((a, b) for a, b, e in zip(symbols[:-1].tolist(), symbols[1:].tolist(), ends[:-1].tolist()) if not e and a != b)
+    assert not pairs or max(pairs.values()) < tokenfiles.FREQUENT
+    assert (tokenfiles.rule_lengths(rules, 100) == [len(tokenfiles.expand(np.array([100 + k]), rules, 100)) for k in range(len(rules))]).all()

@@ -10,9 +10,9 @@ doc_id order.  The file format is a Parquet dataset with one row a block of abou
 * low, high: the symbols' lower 16 and upper bits, in two planes.
 
 Compression, block by block: the most frequent pairs of neighbouring symbols become rules and are replaced
-everywhere, again and again until no pair occurs ``FREQUENT`` times or ``ROUNDS`` is reached.  Pairs that are replaced together
-never overlap (a symbol is only a left or only a right part), and no rule spans two documents, so any document or
-range of ids is decoded alone.
+everywhere, again and again until no pair occurs ``FREQUENT`` times.  Pairs that are replaced together
+never overlap (a symbol is only a left part, only a right part, or paired with itself, in runs from the left), and no
+rule spans two documents, so any document or range of ids is decoded alone.
 
 Encoding keeps a bounded table of words (cut at blanks and line ends, which the tokenizer's pre-tokenizer drops and never
 crosses, and before the signs that end a word, where it cuts too).
@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from velocube.llm.common import documents, fresh_path, parts_of, written
 
-TOKENS, FREQUENT, ROUNDS, RULES = 1 << 20, 8, 8, 4096
+TOKENS, FREQUENT, RULES = 1 << 20, 8, 4096  # RULES: of one round
 END_ID = 1
 REMEMBERED, LONGEST = 700_000, 64
 SIGNS = ".,;:!?*%#$&+=-"
@@ -126,24 +126,33 @@ def compress(ids: np.ndarray, last: np.ndarray, base: int) -> tuple[np.ndarray,
     symbols, last = ids.astype(np.int64), last.copy()
     rules: list[np.ndarray] = []
     size = base
-    for _ in range(ROUNDS):
+    while True:
+        free = ~last[:-1]
+        same = free & (symbols[:-1] == symbols[1:])
+        place = np.arange(len(same))
+        free &= ~(same & ((place - np.maximum.accumulate(np.where(same, 0, place + 1))) % 2 == 1))  # a run pairs from its left end
         key = symbols[:-1] << 32 | symbols[1:]
-        key, count = np.unique(key[~last[:-1]], return_counts=True)
+        key, count = np.unique(key[free], return_counts=True)
         often = np.flatnonzero(count >= FREQUENT)
         order = often[np.lexsort((key[often], -count[often]))][:4 * RULES]
-        role = np.zeros(size, np.int8)  # 1: left part, 2: right part
+        role = np.zeros(size, np.int8)  # 1: left part, 2: right part, 3: both parts of one pair
         chosen = []
         for k in key[order].tolist():
             a, b = k >> 32, k & 0xFFFFFFFF
-            if a != b and role[a] != 2 and role[b] != 1:
+            if a == b and role[a] == 0:
+                role[a] = 3
+            elif a != b and role[a] in (0, 1) and role[b] in (0, 2):
                 role[a], role[b] = 1, 2
-                chosen.append(k)
-                if len(chosen) == RULES:
-                    break
+            else:
+                continue
+            chosen.append(k)
+            if len(chosen) == RULES:
+                break
         if not chosen:
             break
         named = np.sort(np.array(chosen, np.int64))
-        at = np.flatnonzero((role[symbols[:-1]] == 1) & (role[symbols[1:]] == 2) & ~last[:-1])
+        left = role[symbols[:-1]]
+        at = np.flatnonzero(free & ((left == 1) & (role[symbols[1:]] == 2) | (left == 3) & same))
         pair = symbols[at] << 32 | symbols[at + 1]
         rule = np.minimum(np.searchsorted(named, pair), len(named) - 1)
         hit = named[rule] == pair
