@@ -88,3 +88,11 @@ def test_components_of_a_long_chain(spark):
     edges = [(k, k + 1) for k in range(60)] + [(500, 501), (501, 500), (502, 502)]
     got = {r["id"]: r["component"] for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {**{k: 0 for k in range(61)}, 500: 500, 501: 500, 502: 502}
+
+
+def test_rows_that_share_a_doc_id(spark):
+    """One of equal rows stays, a clean text does not go with another of its doc_id, null ids give way to others."""
+    one, two = (" ".join(f"{x}{k}" for k in range(60)) for x in "ab")
+    rows = [(3, one), (5, one + " end"), (5, two), (7, two), (9, "a text of its own here"), (9, "a text of its own here"), (None, one), (4, None), (4, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted((tuple(r) for r in neardup.deduplicate(docs).collect()), key=str) == sorted([(3, one), (5, two), (9, rows[4][1]), (4, None)], key=str)

@@ -244,6 +244,25 @@ def classes(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100) -> DataF
 
 
 def deduplicate(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100) -> DataFrame:
-    """The rows of docs without those that a smaller doc_id of their group stands for; all columns as they were."""
-    gone = written(classes(docs, k, num, den).where("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct(), "neardup-gone")
-    return join_checked(docs, gone, docs["doc_id"].cast("long") == gone["_gone"], "left_anti")
+    """One row of each group of docs, all columns as they were: the smallest doc_id's (null ids last), one of equal rows.
+
+    Rows are told apart by doc_id and text, so rows that share a doc_id are kept or dropped each for itself.
+    """
+    def key(df):
+        doc, text = df["doc_id"].cast("long"), df["text"].cast("string")
+        return F.xxhash64(doc.isNull(), doc, text.isNull(), text)
+
+    named = written(docs.select(key(docs).alias("key"), docs["doc_id"].cast("long").alias("id")).groupBy("key").agg(F.min("id").alias("id"), F.count("*").alias("n")), "neardup-keys")
+    groups = classes(docs.select(key(docs).alias("doc_id"), docs["text"]), k, num, den).select(F.col("doc_id").alias("key"), "component_id").distinct()
+    groups = written(groups.join(named, "key").select("key", "id", "component_id"), "neardup-groups")
+    first = groups.groupBy("component_id").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "key")).alias("first"), F.count("*").alias("size"))
+    first = written(first.where("size > 1").select(F.col("component_id").alias("_group"), F.col("first.key").alias("_first")), "neardup-first")
+    gone = join_checked(groups, first, groups["component_id"] == first["_group"], "inner").where("key <> _first").select(F.col("key").alias("_gone"))
+    gone = written(gone, "neardup-gone")
+    left = join_checked(docs, gone, key(docs) == gone["_gone"], "left_anti")
+    again = written(named.where("n > 1").select(F.col("key").alias("_again")), "neardup-again")
+    if again.isEmpty():
+        return left
+    once = join_checked(left, again, key(left) == again["_again"], "left_anti")
+    more = join_checked(left, again, key(left) == again["_again"], "left_semi")
+    return once.unionByName(more.withColumn("_key", key(more)).dropDuplicates(["_key"]).drop("_key"))
