@@ -20,7 +20,7 @@ too agree in a register with a chance of their similarity.
 
 Defined results: null and empty texts, and texts without words, have an empty set and are linked with nothing; a
 text of fewer than k words is one shingle; rows with a null doc_id take no part in groups (``classes`` has no row
-for them, ``deduplicate`` keeps them); rows with equal doc_id are one vertex that has the links of each; an empty table gives
+for them; ``deduplicate`` tells rows apart by doc_id and text, null ids too); rows with equal doc_id are one vertex that has the links of each; an empty table gives
 an empty result; other columns take no part.
 """
 from __future__ import annotations
