@@ -4,7 +4,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from velocube.llm import decontam, lm, nearest, neardup, pieces, quality, secrets, substrings, tokenfiles, unigram
+from velocube.llm import decontam, lm, nearest, neardup, periods, pieces, quality, secrets, substrings, tokenfiles, unigram
 from velocube.llm.common import table
 
 PIECE_MODEL, WORD_MODEL = "piece_bpe_32k.model", "word_bpe_49k.json"
@@ -75,6 +75,10 @@ def op10_suffix_array(spark, sf_dir) -> DataFrame:
     return substrings.removals(table(spark, sf_dir, "documents"))
 
 
+def op13_recompression(spark, sf_dir) -> DataFrame:
+    return periods.digests(table(spark, sf_dir, "documents"), periods.planted)
+
+
 QUERIES = {
     "op1_quality": op1_quality,
     "op2_positional_index": op2_positional_index,
@@ -86,6 +90,7 @@ QUERIES = {
     "op8_unigram_counts": op8_unigram_counts,
     "op9_log_bilinear": op9_log_bilinear,
     "op10_suffix_array": op10_suffix_array,
+    "op13_recompression": op13_recompression,
 }
 
 # Words, windows and hits of op2 in DuckDB, by hashing every window of ten (or fewer) words.
