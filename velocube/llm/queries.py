@@ -4,8 +4,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from velocube.llm import decontam, lm, nearest, neardup, periods, pieces, quality, secrets, substrings, tokenfiles, unigram
-from velocube.llm.common import table
+from velocube.llm import decontam, lm, nearest, neardup, periods, pieces, quality, secrets, simhash, substrings, tokenfiles, unigram, variants
+from velocube.llm.common import table, written
 
 PIECE_MODEL, WORD_MODEL = "piece_bpe_32k.model", "word_bpe_49k.json"
 
@@ -75,6 +75,15 @@ def op10_suffix_array(spark, sf_dir) -> DataFrame:
     return substrings.removals(table(spark, sf_dir, "documents"))
 
 
+def op11_trie_pairs(spark, sf_dir) -> DataFrame:
+    return variants.variants(written(variants.vocabulary(table(spark, sf_dir, "documents"), variants.misspelt), "trie-vocabulary"))
+
+
+def op12_simhash(spark, sf_dir) -> DataFrame:
+    found = simhash.groups(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", simhash.hexed(F.col("fp")).alias("fingerprint"), "component_id")
+
+
 def op13_recompression(spark, sf_dir) -> DataFrame:
     return periods.digests(table(spark, sf_dir, "documents"), periods.planted)
 
@@ -90,6 +99,8 @@ QUERIES = {
     "op8_unigram_counts": op8_unigram_counts,
     "op9_log_bilinear": op9_log_bilinear,
     "op10_suffix_array": op10_suffix_array,
+    "op11_trie_pairs": op11_trie_pairs,
+    "op12_simhash": op12_simhash,
     "op13_recompression": op13_recompression,
 }
 
