@@ -96,3 +96,45 @@ def test_rows_that_share_a_doc_id(spark):
     rows = [(3, one), (5, one + " end"), (5, two), (7, two), (9, "a text of its own here"), (9, "a text of its own here"), (None, one), (4, None), (4, None)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     assert sorted((tuple(r) for r in neardup.deduplicate(docs).collect()), key=str) == sorted([(3, one), (5, two), (9, rows[4][1]), (4, None)], key=str)
+
+
+def test_rows_that_share_a_doc_id_are_one_vertex(spark):
+    """Each row has its own set; components are those of doc_ids, a row without words included."""
+    a, b, c, d = (" ".join(f"{x}{k}" for k in range(50)) for x in "abcd")
+    rows = [(0, b), (1, a), (1, b), (2, a + " end"), (3, c), (4, c), (4, None), (4, d), (9, d + " end"), (9, " "), (7, "")]
+    expected = sorted([(i, len(sets([(0, t)], 3)[0]), {0: 0, 1: 0, 2: 0, 3: 3, 4: 3, 9: 3, 7: 7}[i]) for i, t in rows])
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted((r["doc_id"], r["n_shingles"], r["component_id"]) for r in neardup.classes(df, 3, 80, 100).collect()) == expected
+
+
+def test_pairs_of_near_copies_grow_in_proportion(spark, monkeypatch):
+    """Copies with one changed word each are mostly just too unlike: the pairs that leave a join don't grow with the square."""
+    made = []
+    estimated = neardup._estimated
+    monkeypatch.setattr(neardup, "_estimated", lambda pairs, *rest: (made.append(pairs.count()), estimated(pairs, *rest))[1])
+    totals = []
+    for n in (200, 800):
+        made.clear()
+        rng = np.random.default_rng(n)
+        words = [f"w{k}" for k in range(20)]
+        rows = []
+        for k in range(n):
+            w = list(words)
+            w[int(rng.integers(0, 20))] = f"new{k}"
+            rows.append((k, " ".join(w)))
+        if n == 200:
+            check(spark, rows, 5, 80, 100)
+            made.clear()
+        neardup.classes(spark.createDataFrame(rows, "doc_id long, text string"), 5, 80, 100).count()
+        totals.append((sum(made), made[-1]))
+    assert totals[1][0] < 6 * totals[0][0] and totals[1][1] < 100
+
+
+def test_parity_bounds_the_difference():
+    rng = np.random.default_rng(2)
+    for shared, own in ((30, 3), (400, 60), (0, 5)):
+        both = rng.integers(0, 1 << 63, shared, dtype=np.uint64)
+        a, b = (np.unique(np.concatenate([both, rng.integers(0, 1 << 63, own, dtype=np.uint64)])) for _ in range(2))
+        words = neardup.parity(np.concatenate([a, b]), np.repeat([0, 1], [len(a), len(b)]), 2).view(np.uint64)
+        differ = int(np.bitwise_count(words[0] ^ words[1]).sum())
+        assert 0 < differ <= len(np.setxor1d(a, b))

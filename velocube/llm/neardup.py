@@ -9,19 +9,22 @@ too agree in a register with a chance of their similarity.
    representative a class, so exact copies cost nothing and are never paired.
 2. Registers are banded by fours (32 bands).  At a similarity of 0.8 a pair escapes all bands with a chance below
    1e-7.
-3. In each band bucket only stars are emitted: every member with the bucket's smallest one.  Stars that pass the
-   collision-corrected Jaccard estimate (five standard errors of slack) are verified on the full shingle sets.
+3. In each band bucket only stars are emitted: every member with the bucket's centre.  Stars that pass the
+   collision-corrected Jaccard estimate (five standard errors of slack) are verified on the full shingle sets.  Buckets
+   in which different components still meet get another centre, the smallest by a hash, and the members of
+   other components than its own are tried against it, up to ``ROUNDS`` times and while links are found.
 4. Documents that still meet in a bucket with different components are joined by prefixes: with their shingles in
    order of rarity, two similar enough sets share one of their first n - ceil(t * n) + 1, and the place of the first
-   one that they share bounds what can follow.  Only members of different
-   components are paired, and they pass the same estimate and verification.  So no link between different texts is
-   lost, while thousands of near copies, already one component, give no pairs, and neither does a passage that
-   thousands of otherwise different documents share, its shingles being the least rare ones.
+   one that they share bounds what can follow.  Only members of different components are paired, and only where their
+   parity sketches differ in no more bits than sets that similar can: near copies that just miss the threshold are
+   told apart inside the join.  The pairs left pass the same estimate and verification.  So no link between different
+   texts is lost, while thousands of near copies, already one component, give no pairs, and neither does a passage
+   that thousands of otherwise different documents share, its shingles being the least rare ones.
 
 Defined results: null and empty texts, and texts without words, have an empty set and are linked with nothing; a
 text of fewer than k words is one shingle; rows with a null doc_id take no part in groups (``classes`` has no row
-for them; ``deduplicate`` tells rows apart by doc_id and text, null ids too); rows with equal doc_id are one vertex that has the links of each; an empty table gives
-an empty result; other columns take no part.
+for them; ``deduplicate`` tells rows apart by doc_id and text, null ids too); rows with equal doc_id are one vertex
+that has the links of each; an empty table gives an empty result; other columns take no part.
 """
 from __future__ import annotations
 
@@ -39,6 +42,8 @@ MANTISSA = 10
 #: Share of unequal registers that look equal, times 2**MANTISSA, for sets of equal size.
 COLLISIONS = 0.169919487159739
 _SALTS = mix64(np.arange(1, 17, dtype=np.uint64) * np.uint64(0xA24BAED4963EE407))
+#: Star rounds with changing centres; words of the parity sketch.
+ROUNDS, PARITY = 3, 8
 _BORROW = np.stack([np.random.default_rng(1000 + k).permutation(BUCKETS) for k in range(BUCKETS)])
 
 
@@ -184,6 +189,19 @@ def _verified(pairs: DataFrame, docs: DataFrame, k: int, num: int, den: int) ->
     return written(found.distinct(), "neardup-links")
 
 
+def parity(h: np.ndarray, row: np.ndarray, rows: int) -> np.ndarray:
+    """PARITY words of 64 bits for each shingle set: a member turns over one bit.
+
+    Two sets' words differ in at most as many bits as the sets have members of their own: a bound without an error.
+    """
+    place = (h >> np.uint64(20)) % np.uint64(64 * PARITY)
+    key, count = np.unique(row.astype(np.uint64) * np.uint64(64 * PARITY) + place, return_counts=True)
+    key = key[count % 2 == 1]
+    out = np.zeros(rows * PARITY, np.uint64)
+    np.bitwise_or.at(out, (key // np.uint64(64)).astype(np.int64), np.uint64(1) << (key % np.uint64(64)))
+    return out.view(np.int64).reshape(rows, PARITY)
+
+
 def _prefix_pairs(apart: DataFrame, docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
     """Pairs (a, b) with different components whose sets can be similar enough, by their rarest shingles."""
     def run(batches):
@@ -191,28 +209,46 @@ def _prefix_pairs(apart: DataFrame, docs: DataFrame, k: int, num: int, den: int)
             data, offsets = bytes_of(batch.column(1))
             h, row = distinct_shingles(data, offsets, k)
             ends = np.searchsorted(row, np.arange(batch.num_rows + 1)).astype(np.int32)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(pa.array(ends), pa.array(h.view(np.int64)))], names=["id", "set"])
+            words = parity(h, row, batch.num_rows)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(pa.array(ends), pa.array(h.view(np.int64))), *[pa.array(words[:, j]) for j in range(PARITY)]], names=["id", "set", *parities])
 
+    parities = [f"p{j}" for j in range(PARITY)]
     ids = apart.select(F.col("id").alias("doc_id")).distinct()
     texts = join_checked(with_bytes(docs), written(ids, "neardup-ids"), "doc_id", "left_semi")
-    each = texts.mapInArrow(run, "id long, set array<long>")
-    each = written(each.select("id", F.size("set").alias("n"), F.explode("set").alias("h")), "neardup-sets")
+    sets = written(texts.mapInArrow(run, "id long, set array<long>, " + ", ".join(f"{c} long" for c in parities)), "neardup-sets")
+    each = sets.select("id", F.size("set").alias("n"), F.explode("set").alias("h"))
     common = written(each.groupBy("h").agg(F.count("*").alias("df")).where("df > 1"), "neardup-df")
     rank = F.row_number().over(Window.partitionBy("id").orderBy("df", "h"))  # a document's own shingles only
     first = each.join(common, "h", "left").select("id", "n", "h", F.coalesce("df", F.lit(1)).alias("df")).withColumn("rank", rank)
     first = first.where((F.col("rank") <= F.col("n") - F.ceil(F.col("n") * num / den) + 1) & (F.col("df") > 1))
     first = written(first.select("id", "n", "h", "rank").join(apart, "id"), "neardup-prefixes")
     mixed = first.groupBy("h").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("h")
-    first = written(first.join(mixed, "h"), "neardup-prefixes")
-    left = first.select("h", F.col("id").alias("a"), F.col("component").alias("ca"), F.col("n").alias("na"), F.col("rank").alias("ka"))
-    right = first.select("h", F.col("id").alias("b"), F.col("component").alias("cb"), F.col("n").alias("nb"), F.col("rank").alias("kb"))
+    first = written(join_checked(first, written(mixed, "neardup-mixed"), "h", "left_semi").join(sets.drop("set"), "id"), "neardup-prefixes")
+    names = {"id": "", "component": "c", "n": "n", "rank": "k", **{c: f"{c}_" for c in parities}}
+    left, right = (first.select("h", *[F.col(c).alias(f"{x}{side}") for c, x in names.items()]) for side in "ab")
     fits = (F.least("na", "nb") * den >= F.greatest("na", "nb") * num) & (F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb"))
     # where this is their first common shingle, no more can follow than the shorter rest: is that enough of an intersection?
     rest = 1 + F.least(F.col("na") - F.col("ka"), F.col("nb") - F.col("kb"))
     fits &= rest * (num + den) >= num * (F.col("na") + F.col("nb"))
+    apart_by = sum((F.bit_count(F.col(f"{c}_a").bitwiseXOR(F.col(f"{c}_b"))) for c in parities), F.lit(0))
+    fits &= apart_by * (num + den) <= (den - num) * (F.col("na") + F.col("nb"))
     return left.join(right, "h").where(fits).select("a", "b").distinct()
 
 
+def _merged(comp: DataFrame | None, links: DataFrame) -> DataFrame:
+    """(id, component) by links on top of the components so far."""
+    if comp is not None:
+        links = links.unionByName(comp.select(F.col("id").alias("a"), F.col("component").alias("b")).where("a <> b"))
+    return components(links)
+
+
+def _apart(rows: DataFrame, comp: DataFrame) -> DataFrame:
+    """Members (key, id, component) of the buckets in which different components meet."""
+    meets = rows.join(comp, "id", "left").select("key", "id", F.coalesce("component", "id").alias("component"))
+    many = meets.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("key")
+    return written(meets.join(many, "key"), "neardup-apart")
+
+
 def classes(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100) -> DataFrame:
     """doc_id, n_shingles and component_id of every row with a doc_id.
 
@@ -224,22 +260,30 @@ def classes(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100) -> DataF
     reps = written(found.groupBy("fp1", "fp2").agg(F.min("doc_id").alias("rep")), "neardup-reps")
     sigs = found.join(reps, ["fp1", "fp2"]).where("doc_id = rep").select("doc_id", "n", "regs", "bands")
     sigs = written(sigs.dropDuplicates(["doc_id", "n", "regs"]), "neardup-sigs")
-    rows = sigs.select("doc_id", F.explode("bands").alias("key"))
-    stars = rows.groupBy("key").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("z")).where("a < z").select("key", "a")
-    rows = written(rows.join(stars, "key").select("key", "doc_id", "a"), "neardup-members")  # buckets of one are done with
-    stars = rows.where("a < doc_id").select("a", F.col("doc_id").alias("b")).distinct()
-    links = _verified(_estimated(stars, sigs, num, den), docs, k, num, den)
-    comp = components(links)
-    meets = rows.select("key", F.col("doc_id").alias("id")).join(comp, "id", "left").select("key", "id", F.coalesce("component", "id").alias("component"))
-    many = meets.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
-    apart = written(meets.join(many, "key").select("id", "component").distinct(), "neardup-apart")
-    pairs = _prefix_pairs(apart, docs, k, num, den)
+    several = found.groupBy("doc_id").agg(F.min("fp1").alias("low"), F.max("fp1").alias("high")).where("low < high").select("doc_id")
+    shared = found.join(written(several, "neardup-shared"), "doc_id").join(reps, ["fp1", "fp2"]).select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
+    rows = sigs.select(F.col("doc_id").alias("id"), F.explode("bands").alias("key"))
+    met = rows.groupBy("key").agg(F.min("id").alias("a"), F.max("id").alias("z")).where("a < z").select("key")
+    rows = written(rows.join(met, "key"), "neardup-members")  # buckets of one are done with
+    comp, apart = _merged(None, shared), rows.withColumn("component", F.col("id"))
+    for turn in range(ROUNDS):
+        member = F.struct(F.xxhash64("id", F.lit(turn)).alias("order") if turn else F.lit(0).alias("order"), "id", "component")
+        centres = apart.groupBy("key").agg(F.min(member).alias("c")).select("key", F.col("c.id").alias("a"), F.col("c.component").alias("home"))
+        stars = apart.join(centres, "key").where("home <> component").select("a", F.col("id").alias("b")).distinct()
+        links = _verified(_estimated(stars, sigs, num, den), docs, k, num, den)
+        comp = _merged(comp, links)
+        apart = _apart(rows, comp)
+        if links.isEmpty():
+            break
+    pairs = _prefix_pairs(apart.select("id", "component").distinct(), docs, k, num, den)
     more = _verified(_estimated(pairs, sigs, num, den), docs, k, num, den)
-    links = links.union(more)
-    comp = components(links).toDF("rep", "component")
+    comp = _merged(comp, more).toDF("rep", "component")
     named = reps.join(comp, "rep", "left").select("fp1", "fp2", F.coalesce("component", "rep").alias("component_id"))
-    linked = found.select("doc_id", "n", "fp1", "fp2").join(named, ["fp1", "fp2"]).select("doc_id", "n", "component_id")
-    alone = every.where("n = 0").select("doc_id", "n", F.col("doc_id").alias("component_id"))
+    linked = written(found.select("doc_id", "n", "fp1", "fp2").join(named, ["fp1", "fp2"]).select("doc_id", "n", "component_id"), "neardup-linked")
+    alone = written(every.where("n = 0").select("doc_id", "n"), "neardup-alone")
+    # a row without words may share its doc_id with rows that have some
+    own = join_checked(linked, alone.select("doc_id").distinct(), "doc_id", "left_semi").groupBy("doc_id").agg(F.min("component_id").alias("component_id"))
+    alone = alone.join(own, "doc_id", "left").select("doc_id", "n", F.coalesce("component_id", "doc_id").alias("component_id"))
     return linked.unionByName(alone).withColumnRenamed("n", "n_shingles")
 
 
