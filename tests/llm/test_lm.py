@@ -82,3 +82,26 @@ def test_word_vectors_follow_the_counts():
     expected = np.full((5, lm.CLASSES), 200.0, np.float32)
     q = lm.fit_words(rng.poisson(expected * share).astype(np.float32), expected, vectors)
     assert np.abs(q - truth).max() < 0.1
+
+
+def test_probabilities_of_all_tokens_sum_to_one(spark, monkeypatch):
+    """After an empty context: the end, every training word, and one unseen word for each class that may hold one."""
+    rng = np.random.default_rng(5)
+    logs = rng.normal(0, 1, (lm.CLASSES ** 2, lm.CLASSES))
+    logs[:, 1:] += np.log(0.99) - np.log(np.exp(logs[:, 1:]).sum(axis=1, keepdims=True))
+    logs[:, 0] = np.log(0.01)  # the end has one probability everywhere
+    monkeypatch.setattr(lm, "fit", lambda *_: logs.astype(np.float32))
+    letters = "abcdefghijkl"
+    words = [f"w{n}{a}{b}" for n in range(3) for a in letters for b in letters]
+    texts = [" ".join(rng.choice(words, 40)) for _ in range(60)] + [" ".join(words)]
+    training = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    shared = {}
+    for a in letters:
+        for b in letters:
+            data = np.frombuffer(f"unseen{a}{b}".encode(), np.uint8)
+            shared[int(lm.tokens(data, np.array([0, len(data)]))[1][0])] = f"unseen{a}{b}"
+    assert len(shared) == lm.SHARED
+    asked = spark.createDataFrame(list(enumerate(["", *words, *shared.values()])), "doc_id long, text string")
+    rows = {r["doc_id"]: r["score"] for r in lm.scores(asked, training).collect()}
+    total = 10 ** rows.pop(0) + sum(10 ** s for s in rows.values()) / 0.01
+    assert total == pytest.approx(1, abs=2e-3)

@@ -61,9 +61,8 @@ def test_words_equal_the_library(text):
 @settings(max_examples=100, deadline=None)
 @given(st.lists(st.lists(st.integers(0, 5), max_size=200), min_size=1, max_size=5))
 def test_grammar_round_trip_and_random_access(docs):
-    ids = [np.array([*d, 1], "<u4").tobytes() for d in docs]
-    block = tokenfiles.Block(tokenfiles.pack(0, 0, list(range(len(docs))), ids, 10))
     flat = [x for d in docs for x in (*d, 1)]
+    block = tokenfiles.Block(tokenfiles.pack(0, 0, list(range(len(docs))), np.array(flat, "<u4"), np.array([len(d) + 1 for d in docs]), 10))
     assert block.all().tolist() == flat
     at = 0
     for k, d in enumerate(docs):
@@ -81,6 +80,25 @@ def test_latin_words_equal_the_library(word, signs):
     assert got == HF.encode(word + signs, add_special_tokens=False).ids
 
 
+@settings(max_examples=400, deadline=None)
+@given(st.lists(st.text(st.sampled_from("aZé0İıſK.=,!'<|\u0307\u0301\u0345ΣßŉǅǰẞÅΩﬁ١a"), min_size=1, max_size=6), min_size=1, max_size=6))
+def test_words_whose_lower_case_has_marks(words):
+    """Letters whose lower case is longer, or ends in a mark that joins the signs after it."""
+    text = " ".join(words)
+    got = np.frombuffer(tokenfiles.load(WORDS).encode([text])[0], "<u4").tolist()
+    assert got == HF.encode(text, add_special_tokens=False).ids
+
+
+def test_words_known_before(monkeypatch):
+    """The table of words is bounded; a word is found again in the table before, or encoded again."""
+    monkeypatch.setattr(tokenfiles, "REMEMBERED", 3)
+    encoder = tokenfiles.Words(WORDS)
+    for text in ["a b c d", "İ= b. x", "", "a", "b. c, d! İ=. İ=", "l'été, n'est! 12. x2."] * 2:
+        assert np.frombuffer(encoder.encode([text])[0], "<u4").tolist() == HF.encode(text, add_special_tokens=False).ids
+        assert len(encoder.known) <= 3
+    assert [len(x) for x in encoder.encode(["", " ", "\n", "a\nb"])[:3]] == [0, 0, 0] and encoder.encode([]) == []
+
+
 def test_grammar_compresses():
     ids = np.tile(np.arange(50, dtype="<u4"), 200)
     last = np.zeros(len(ids), bool)

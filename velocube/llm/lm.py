@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from velocube.llm.common import bytes_of, parts_of, with_bytes, word_hashes, word_spans, written
+from velocube.llm.common import _LOWERED, bytes_of, parts_of, with_bytes, word_hashes, word_spans, written
 
 CLASSES, OWN = 128, 63
 SHARED = CLASSES - OWN - 1
@@ -47,10 +47,8 @@ def tokens(data, offsets) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     starts, ends = word_spans(data, offsets)
     words, of = word_hashes(data, offsets, (starts, ends))
     if len(words):
-        low = data.astype(np.int64)
-        low += 32 * ((low >= 65) & (low <= 90))
-        before = np.where(ends - starts > 1, low[np.maximum(ends - 2, 0)], 0)
-        shared = OWN + 1 + (low[ends - 1] * 31 + before * 7) % SHARED
+        before = np.where(ends - starts > 1, _LOWERED[data[np.maximum(ends - 2, 0)]], 0).astype(np.int64)
+        shared = OWN + 1 + (_LOWERED[data[ends - 1]].astype(np.int64) * 31 + before * 7) % SHARED
     else:
         shared = np.zeros(0, np.int64)
     at = of + np.arange(rows + 1)
@@ -94,8 +92,11 @@ def count_words(docs: DataFrame) -> DataFrame:
         for batch in parts_of(batches):
             data, offsets = bytes_of(batch.column(1))
             h, shared, _ = tokens(data, offsets)
-            words, first, c = np.unique(h, return_index=True, return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(words.view(np.int64)), pa.array(shared[first].astype(np.int32)), pa.array(c.astype(np.int64))], names=["word", "shared", "c"])
+            order = np.argsort(h)
+            words = h[order]
+            heads = np.flatnonzero(np.concatenate([np.ones(min(1, len(h)), bool), words[1:] != words[:-1]]))
+            c = np.diff(heads, append=len(h))
+            yield pa.RecordBatch.from_arrays([pa.array(words[heads].view(np.int64)), pa.array(shared[order[heads]].astype(np.int32)), pa.array(c.astype(np.int64))], names=["word", "shared", "c"])
 
     each = with_bytes(docs).mapInArrow(run, "word long, shared int, c long")
     return written(each.groupBy("word", "shared").agg(F.sum("c").alias("c")), "lm-counts")
@@ -245,23 +246,27 @@ def scores(docs: DataFrame, training: DataFrame, most: int = HOT) -> DataFrame:
             h, shared, at = tokens(data, offsets)
             codes = context(owned.of(h, shared)[0], at)
             cells, n = np.unique(codes, return_counts=True)
-            order = np.lexsort((codes // CLASSES % CLASSES, h))
-            words, ctx = h[order], codes[order] // CLASSES % CLASSES
-            heads = np.flatnonzero(np.concatenate([np.ones(min(1, len(h)), bool), (words[1:] != words[:-1]) | (ctx[1:] != ctx[:-1])]))
-            times = np.diff(np.concatenate([heads, [len(h)]]))
+            words, number = np.unique(h, return_inverse=True)
+            pairs, times = np.unique(number.reshape(-1) * CLASSES + codes // CLASSES % CLASSES, return_counts=True)
+            cls = np.zeros(len(words), np.int64)
+            cls[number.reshape(-1)] = codes % CLASSES
+            words, ctx, cls = words[pairs // CLASSES], pairs % CLASSES, cls[pairs // CLASSES]
             yield pa.RecordBatch.from_arrays([
-                pa.array(np.concatenate([cells, words[heads].view(np.int64)])), pa.array(np.concatenate([np.full(len(cells), -1), ctx[heads]]).astype(np.int32)),
-                pa.array(np.concatenate([np.full(len(cells), -1), codes[order][heads] % CLASSES]).astype(np.int32)), pa.array(np.concatenate([n, times]).astype(np.int64)),
+                pa.array(np.concatenate([cells, words.view(np.int64)])), pa.array(np.concatenate([np.full(len(cells), -1), ctx]).astype(np.int32)),
+                pa.array(np.concatenate([np.full(len(cells), -1), cls]).astype(np.int32)), pa.array(np.concatenate([n, times]).astype(np.int64)),
             ], names=["word", "ctx", "cls", "n"])
 
-    cells = with_bytes(training).mapInArrow(gather, "word long, ctx int, cls int, n long").groupBy("word", "ctx", "cls").agg(F.sum("n").alias("n"))
+    # a part has at most CLASSES rows of a word, so one shuffle by word serves both aggregates and no word is hot
+    cells = with_bytes(training).mapInArrow(gather, "word long, ctx int, cls int, n long").repartition("word")
+    cells = cells.groupBy("word", "cls", "ctx").agg(F.sum("n").alias("n"))
+    cells = cells.groupBy("word", "cls").agg(F.sum("n").alias("c"), F.collect_list(F.struct("ctx", "n")).alias("cells"))  # at most CLASSES a word
     cells = written(cells, "lm-cells")
-    grams = cells.where("ctx < 0").select(F.col("word").alias("cell"), "n").toArrow().sort_by("cell")  # at most CLASSES**3
+    grams = cells.where("cls < 0").select(F.col("word").alias("cell"), F.col("c").alias("n")).toArrow().sort_by("cell")  # at most CLASSES**3
     grams = grams["cell"].to_numpy().astype(np.int64), grams["n"].to_numpy()
     logs = fit(*grams)
     vectors = context_vectors(logs)
     after = np.bincount(grams[0] % CLASSES ** 2, grams[1], CLASSES ** 2).reshape(CLASSES, CLASSES)  # tokens of each class after each
-    each = cells.where("ctx >= 0").groupBy("word", "cls").agg(F.sum("n").alias("c"), F.collect_list(F.struct("ctx", "n")).alias("cells"))  # at most CLASSES a word
+    each = cells.where("cls >= 0").select("word", "cls", "c", "cells")
 
     def learn(batches):
         for batch in batches:
@@ -292,9 +297,11 @@ def scores(docs: DataFrame, training: DataFrame, most: int = HOT) -> DataFrame:
         k, ctx = np.nonzero(z)
         yield pa.RecordBatch.from_arrays([pa.array(k.astype(np.int32)), pa.array(ctx.astype(np.int32)), pa.array(z[k, ctx])], names=["cls", "ctx", "z"])
 
-    z = np.full((CLASSES, CLASSES), SMOOTH)  # the share of all unseen words; by context and class
+    z = np.full((CLASSES, CLASSES), SMOOTH)  # the share of all unseen words, which have shared classes; by context and class
+    z[:, :OWN + 1] = 0
     for row in learned.select("cls", "c", "vec").mapInArrow(summed, "cls int, ctx int, z double").groupBy("cls", "ctx").agg(F.sum("z").alias("z")).collect():
         z[row["ctx"], row["cls"]] += row["z"]
+    z[z == 0] = SMOOTH  # a class without words
     hot = learned.where(F.col("c") >= least).select("word", "c", "vec").toArrow()  # at most ``most`` rows
     words, c = hot["word"].to_numpy().view(np.uint64), hot["c"].to_numpy()
     q = np.frombuffer(b"".join(hot["vec"].to_pylist()), np.float16).reshape(-1, WORD_DIM)[np.argsort(words)]

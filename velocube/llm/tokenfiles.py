@@ -14,8 +14,9 @@ everywhere, again and again until no pair occurs ``FREQUENT`` times.  Pairs that
 never overlap (a symbol is only a left part, only a right part, or paired with itself, in runs from the left), and no
 rule spans two documents, so any document or range of ids is decoded alone.
 
-Encoding keeps a bounded table of words (cut at blanks and line ends, which the tokenizer's pre-tokenizer drops and never
-crosses, and before the signs that end a word, where it cuts too).
+Encoding works on the distinct words of some MB of text (cut at blanks and line ends, which the tokenizer's pre-tokenizer
+drops and never crosses, and between a Latin letter and the signs that end its word, where it cuts too) and keeps
+a bounded table of those met last.
 
 Defined results: one row per input row; null and empty texts are the end id alone; rows with a null doc_id come
 first; rows with equal doc_id follow in the order of a hash of their texts; an empty table gives an empty dataset and
@@ -24,12 +25,12 @@ result; other columns take no part.
 from __future__ import annotations
 
 import os
-import unicodedata
 import zlib
 from array import array
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -38,8 +39,11 @@ from velocube.llm.common import documents, fresh_path, parts_of, written
 
 TOKENS, FREQUENT, RULES = 1 << 20, 8, 4096  # RULES: of one round
 END_ID = 1
-REMEMBERED, LONGEST = 700_000, 64
-SIGNS = ".,;:!?*%#$&+=-"
+PART = 16 << 20
+REMEMBERED, LONGEST = 400_000, 64
+#: Latin letters below U+0100, which no normalization changes but for their case; a letter and the signs that end its word.
+_LATIN = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff"
+LETTERS, CUT = f"^[{_LATIN}]+$", f"([{_LATIN}])([.,;:!?]+) "
 BLOCK = "shard int, block int, doc_ids array<long>, n_tokens binary, n_symbols binary, base int, rules binary, lengths binary, low binary, high binary"
 
 
@@ -53,17 +57,6 @@ def _byte_names() -> dict[int, str]:
 _NAMES = _byte_names()
 
 
-def _letters(word: str) -> str | None:
-    """What the normalizer and pre-tokenizer make of a word of Latin letters: one piece; None for any other word."""
-    if not word.isalpha():
-        return None
-    if word.isascii():
-        return word.lower()
-    if max(word) >= "\u0250" or "\u0130" in word or not unicodedata.is_normalized("NFC", word):
-        return None
-    return word.lower().encode().decode("latin-1").translate(_NAMES)
-
-
 class Words:
     """Encoder of one tokenizers file, word by word."""
 
@@ -73,43 +66,69 @@ class Words:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.size = self.tokenizer.get_vocab_size()
-        self.known: dict[str, bytes] = {"": b""}
+        self.known: dict[str, bytes] = {}
+        self.before: dict[str, bytes] = {}
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian 32-bit integers."""
-        known = self.known
-        if len(known) > REMEMBERED:
-            known.clear()
-            known[""] = b""
-        cut = [t.replace("\n", " ").split(" ") for t in texts]
-        got = [list(map(known.get, words)) for words in cut]
-        missing = list({w for words, ids in zip(cut, got) if None in ids for w, x in zip(words, ids) if x is None})
-        parts = {w: self._parts(w) for w in missing}
-        asked = list({p for pair in parts.values() for p in pair if p not in known})
-        new = {}
-        plain = self.tokenizer.model.tokenize
-        others = []
-        for p in asked:
-            if (letters := _letters(p)) is None:
-                others.append(p)
-            else:  # a single run of letters: normalised here, straight to the library's model
-                new[p] = array("I", [t.id for t in plain(letters)]).tobytes()
+        flat, counts = self.encode_column(pa.array(texts, pa.string()))
+        ends = np.cumsum(counts)
+        return [flat[e - n:e].tobytes() for e, n in zip(ends, counts)]
+
+    def encode_column(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts of an Arrow column, one after the other, and how many each has.
+
+        Arrow cuts the column into words and numbers the distinct ones; only those are looked up or encoded here, and
+        the ids are put together by their numbers.
+        """
+        spaced = pc.replace_substring_regex(pc.replace_substring(texts, "\n", " "), CUT, r"\1 \2 ")
+        cut = pc.split_pattern(spaced, " ")
+        place = np.concatenate([[0], np.cumsum(pc.list_value_length(cut).to_numpy())])
+        words = cut.flatten().dictionary_encode()
+        ids = self._ids(words.dictionary)
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        starts, flat = np.cumsum(sizes) - sizes, np.frombuffer(b"".join(ids), "<u4")
+        word, parts, counts = words.indices.to_numpy(), [], []
+        for at in range(0, len(texts), 1024):  # some documents at a time
+            of = word[place[at]:place[min(at + 1024, len(texts))]]
+            each = sizes[of]
+            ends = np.concatenate([[0], np.cumsum(each)])
+            parts.append(flat[np.repeat(starts[of] - ends[:-1], each) + np.arange(ends[-1])])
+            counts.append(np.diff(ends[place[at:at + 1025] - place[at]]))
+        return (np.concatenate(parts), np.concatenate(counts)) if parts else (np.zeros(0, "<u4"), np.zeros(0, np.int64))
+
+    def _ids(self, column: pa.Array) -> list[bytes]:
+        """Ids of each of some different words."""
+        words = column.to_pylist()
+        got = list(map(self.known.get, words))
+        fresh = [k for k, x in enumerate(got) if x is None]
+        new = []
+        for k in fresh:  # of those that the present table lacks the one before may know some
+            if (x := self.before.get(words[k])) is None:
+                new.append(k)
+            else:
+                got[k] = x
+        some = column.take(pa.array(new, pa.int64()))
+        letters = pc.match_substring_regex(some, LETTERS).to_pylist()
+        lowered = pc.utf8_lower(some).to_pylist()
+        tokenize = self.tokenizer.model.tokenize
+        plain = [(k, w) for k, w, x in zip(new, lowered, letters) if x]  # a single run of letters: straight to the library's model
+        for at in range(0, len(plain), 4096):
+            part = plain[at:at + 4096]
+            found = [tokenize(w if w.isascii() else w.encode().decode("latin-1").translate(_NAMES)) for _, w in part]
+            raw = array("I", [t.id for tokens in found for t in tokens]).tobytes()
+            end = 0
+            for (k, _), tokens in zip(part, found):
+                got[k] = raw[end:(end := end + 4 * len(tokens))]
+        others = [k for k, x in zip(new, letters) if not x]
         for at in range(0, len(others), 4096):
-            some = others[at:at + 4096]
-            for p, e in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False)):
-                new[p] = array("I", e.ids).tobytes()
-        known.update((p, x) for p, x in new.items() if len(p) <= LONGEST)
-        for w, pair in parts.items():
-            new[w] = b"".join(new[p] if p in new else known[p] for p in pair)
-        known.update((w, new[w]) for w in missing if len(w) <= LONGEST)
-        return [b"".join(ids if None not in ids else [new[w] if x is None else x for w, x in zip(words, ids)]) for words, ids in zip(cut, got)]
-
-    def _parts(self, word: str) -> tuple[str, ...]:
-        """A word and the signs that end it: the pre-tokenizer cuts between a letter and a run of signs."""
-        base = word.rstrip(SIGNS)
-        if base and len(base) < len(word) and base[-1].isalpha() and "'" not in word and "<" not in word:
-            return base, word[len(base):]
-        return (word,)
+            part = others[at:at + 4096]
+            for k, e in zip(part, self.tokenizer.encode_batch_fast([words[k] for k in part], add_special_tokens=False)):
+                got[k] = array("I", e.ids).tobytes()
+        self.known.update((words[k], got[k]) for k in fresh if len(words[k]) <= LONGEST)
+        if len(self.known) > REMEMBERED:
+            self.before, self.known = self.known, {}
+        return got
 
 
 _LOADED: dict[str, Words] = {}
@@ -123,26 +142,35 @@ def load(path: str) -> Words:
 
 def compress(ids: np.ndarray, last: np.ndarray, base: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Symbols, whether each ends a document, and the rules (pairs) of ids; last: the documents' last ids."""
-    symbols, last = ids.astype(np.int64), last.copy()
+    symbols, last = ids.astype(np.int32), last.copy()
     rules: list[np.ndarray] = []
     size = base
     while True:
-        free = ~last[:-1]
-        same = free & (symbols[:-1] == symbols[1:])
-        place = np.arange(len(same))
-        free &= ~(same & ((place - np.maximum.accumulate(np.where(same, 0, place + 1))) % 2 == 1))  # a run pairs from its left end
-        key = symbols[:-1] << 32 | symbols[1:]
-        key, count = np.unique(key[free], return_counts=True)
-        often = np.flatnonzero(count >= FREQUENT)
-        order = often[np.lexsort((key[often], -count[often]))][:4 * RULES]
-        role = np.zeros(size, np.int8)  # 1: left part, 2: right part, 3: both parts of one pair
-        chosen = []
-        for k in key[order].tolist():
+        left, right, free = symbols[:-1], symbols[1:], ~last[:-1]
+        equal = np.flatnonzero((left == right) & free)
+        if len(equal):  # a run pairs from its left end: every other place
+            heads = np.concatenate([[True], equal[1:] != equal[:-1] + 1])
+            free[equal[(equal - np.maximum.accumulate(np.where(heads, equal, 0))) % 2 == 1]] = False
+        key = np.left_shift(left, 32, dtype=np.int64)
+        key |= right
+        met = np.sort(key[free])
+        if not len(met):
+            break
+        heads = np.flatnonzero(np.concatenate([[True], met[1:] != met[:-1]]))
+        count = np.diff(heads, append=len(met))
+        often = count >= FREQUENT
+        named, count = met[heads[often]], count[often]
+        order = np.argsort(-count, kind="stable")[:4 * RULES]
+        roles, chosen = bytearray(size), []  # 1: left part, 2: right part, 3: both parts of one pair
+        for k in named[order].tolist():
             a, b = k >> 32, k & 0xFFFFFFFF
-            if a == b and role[a] == 0:
-                role[a] = 3
-            elif a != b and role[a] in (0, 1) and role[b] in (0, 2):
-                role[a], role[b] = 1, 2
+            x, y = roles[a], roles[b]
+            if a == b:
+                if x:
+                    continue
+                roles[a] = 3
+            elif x < 2 and y in (0, 2):
+                roles[a], roles[b] = 1, 2
             else:
                 continue
             chosen.append(k)
@@ -151,9 +179,11 @@ def compress(ids: np.ndarray, last: np.ndarray, base: int) -> tuple[np.ndarray,
         if not chosen:
             break
         named = np.sort(np.array(chosen, np.int64))
-        left = role[symbols[:-1]]
-        at = np.flatnonzero(free & ((left == 1) & (role[symbols[1:]] == 2) | (left == 3) & same))
-        pair = symbols[at] << 32 | symbols[at + 1]
+        role = np.frombuffer(roles, np.int8)
+        of = role[symbols]
+        free &= (of[:-1] == 1) & (of[1:] == 2) | (of[:-1] == 3) & (left == right)
+        at = np.flatnonzero(free)
+        pair = key[at]
         rule = np.minimum(np.searchsorted(named, pair), len(named) - 1)
         hit = named[rule] == pair
         at, rule = at[hit], rule[hit]
@@ -164,7 +194,7 @@ def compress(ids: np.ndarray, last: np.ndarray, base: int) -> tuple[np.ndarray,
         symbols, last = symbols[keep], last[keep]
         rules.append(np.stack([named >> 32, named & 0xFFFFFFFF], axis=1))
         size += len(named)
-    return symbols, last, np.concatenate(rules) if rules else np.zeros((0, 2), np.int64)
+    return symbols.astype(np.int64), last, np.concatenate(rules) if rules else np.zeros((0, 2), np.int64)
 
 
 def rule_lengths(rules: np.ndarray, base: int) -> np.ndarray:
@@ -181,20 +211,28 @@ def rule_lengths(rules: np.ndarray, base: int) -> np.ndarray:
 
 def expand(symbols: np.ndarray, rules: np.ndarray, base: int) -> np.ndarray:
     """The ids of symbols."""
-    while len(symbols) and symbols.max() >= base:
-        is_rule = symbols >= base
-        at = np.cumsum(1 + is_rule) - 1 - is_rule
-        out = np.empty(len(symbols) + int(is_rule.sum()), np.int64)
-        out[at[~is_rule]] = symbols[~is_rule]
-        pair = rules[symbols[is_rule] - base]
-        out[at[is_rule]], out[at[is_rule] + 1] = pair[:, 0], pair[:, 1]
-        symbols = out
-    return symbols
-
-
-def pack(shard: int, block: int, doc_ids: list, ids: list[bytes], base: int) -> dict:
-    n_tokens = np.array([len(x) // 4 for x in ids], "<u4")
-    flat = np.frombuffer(b"".join(ids), "<u4")
+    symbols, rules = symbols.astype(np.int32), rules.astype(np.int32)
+    while True:
+        at = np.flatnonzero(symbols >= base)
+        if not len(at):
+            return symbols.astype(np.int64)
+        pair = rules[symbols[at] - base]
+        symbols[at] = pair[:, 0]
+        symbols = np.insert(symbols, at + 1, pair[:, 1])
+
+
+def with_ends(flat: np.ndarray, counts: np.ndarray, end_id: int) -> np.ndarray:
+    """The ids with an end id after each document's."""
+    out = np.full(len(flat) + len(counts), end_id, "<u4")
+    inside = np.ones(len(out), bool)
+    inside[np.cumsum(counts + 1) - 1] = False
+    out[inside] = flat
+    return out
+
+
+def pack(shard: int, block: int, doc_ids: list, flat: np.ndarray, n_tokens: np.ndarray, base: int) -> dict:
+    """A block of documents: flat holds the ids of all of them, n_tokens how many each has (one at least)."""
+    n_tokens = n_tokens.astype("<u4")
     last = np.zeros(len(flat), bool)
     last[np.cumsum(n_tokens.astype(np.int64)) - 1] = True
     symbols, last, rules = compress(flat, last, base)
@@ -239,21 +277,27 @@ def write(docs: DataFrame, tokenizer: str, path: str, end_id: int = END_ID) -> N
     """Encode and write all documents below path."""
     def run(batches):
         words, shard, block = load(tokenizer), TaskContext.get().partitionId(), 0
-        doc_ids, held, size = [], [], 0
+        held, size = [], 0
 
         def done():
-            row = pack(shard, block, doc_ids, held, words.size)
+            doc_ids, flat, counts = zip(*held)
+            row = pack(shard, block, [x for part in doc_ids for x in part], np.concatenate(flat), np.concatenate(counts), words.size)
             return pa.RecordBatch.from_arrays([pa.array([row["shard"]], pa.int32()), pa.array([row["block"]], pa.int32()), pa.array([row["doc_ids"]], pa.list_(pa.int64())), pa.array([row["n_tokens"]]), pa.array([row["n_symbols"]]), pa.array([row["base"]], pa.int32()), *[pa.array([row[k]], pa.binary()) for k in ("rules", "lengths", "low", "high")]], names=[f.split()[0] for f in BLOCK.split(", ")])
 
-        end = np.array([end_id], "<u4").tobytes()
-        for batch in parts_of(batches):
-            for doc, ids in zip(batch.column(0).to_pylist(), words.encode([t.as_py().decode() for t in batch.column(1)])):
-                doc_ids.append(doc)
-                held.append(ids + end)
-                size += len(ids) // 4 + 1
+        for batch in parts_of(batches, PART):
+            flat, counts = words.encode_column(batch.column(1).cast(pa.string()))
+            ids, counts = with_ends(flat, counts, end_id), counts + 1
+            ends, doc_ids = np.cumsum(counts), batch.column(0).to_pylist()
+            at = 0
+            while at < len(counts):  # whole documents until the block is full
+                before = ends[at - 1] if at else 0
+                stop = min(int(np.searchsorted(ends, before + TOKENS - size)) + 1, len(counts))
+                held.append((doc_ids[at:stop], ids[before:ends[stop - 1]], counts[at:stop]))
+                size += int(ends[stop - 1] - before)
                 if size >= TOKENS:
                     yield done()
-                    doc_ids, held, size, block = [], [], 0, block + 1
+                    held, size, block = [], 0, block + 1
+                at = stop
         if held:
             yield done()
 
