@@ -113,7 +113,7 @@ def test_pairs_of_near_copies_grow_in_proportion(spark, monkeypatch):
     estimated = neardup._estimated
     monkeypatch.setattr(neardup, "_estimated", lambda pairs, *rest: (made.append(pairs.count()), estimated(pairs, *rest))[1])
     totals = []
-    for n in (200, 800):
+    for n in (150, 600):
         made.clear()
         rng = np.random.default_rng(n)
         words = [f"w{k}" for k in range(20)]
@@ -122,7 +122,7 @@ def test_pairs_of_near_copies_grow_in_proportion(spark, monkeypatch):
             w = list(words)
             w[int(rng.integers(0, 20))] = f"new{k}"
             rows.append((k, " ".join(w)))
-        if n == 200:
+        if n == 150:
             check(spark, rows, 5, 80, 100)
             made.clear()
         neardup.classes(spark.createDataFrame(rows, "doc_id long, text string"), 5, 80, 100).count()

@@ -44,6 +44,7 @@ COLLISIONS = 0.169919487159739
 _SALTS = mix64(np.arange(1, 17, dtype=np.uint64) * np.uint64(0xA24BAED4963EE407))
 #: Star rounds with changing centres; words of the parity sketch.
 ROUNDS, PARITY = 3, 8
+PARITIES = [f"p{j}" for j in range(PARITY)]
 _BORROW = np.stack([np.random.default_rng(1000 + k).permutation(BUCKETS) for k in range(BUCKETS)])
 
 
@@ -161,32 +162,13 @@ def _estimated(pairs: DataFrame, sigs: DataFrame, num: int, den: int) -> DataFra
     return pairs.join(a, "a").join(b, "b").select("a", "b", "na", "ra", "nb", "rb").mapInArrow(run, "a long, b long")
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
+def _verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
     """The pairs whose full shingle sets are similar enough."""
     pairs = written(pairs, "neardup-pairs")
-    ids = written(pairs.select(F.col("a").alias("doc_id")).union(pairs.select(F.col("b").alias("doc_id"))).distinct(), "neardup-ids")
-    texts = join_checked(with_bytes(docs), ids, "doc_id", "left_semi")
-    texts = written(texts, "neardup-texts")
-    a = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("ta"))
-    b = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("tb"))
-
-    def run(batches):
-        for batch in parts_of(batches, 2 << 20, 2):  # the two texts are of similar length
-            sets = []
-            for column in (2, 3):
-                data, offsets = bytes_of(batch.column(column))
-                h, row = distinct_shingles(data, offsets, k)
-                sets.append((h, np.searchsorted(row, np.arange(batch.num_rows + 1))))
-            (ha, ea), (hb, eb) = sets
-            ok = np.zeros(batch.num_rows, bool)
-            for r in range(batch.num_rows):
-                x, y = ha[ea[r]:ea[r + 1]], hb[eb[r]:eb[r + 1]]
-                inter = len(np.intersect1d(x, y, assume_unique=True))
-                ok[r] = inter > 0 and den * inter >= num * (len(x) + len(y) - inter)
-            yield pa.RecordBatch.from_arrays([batch.column(0).filter(pa.array(ok)), batch.column(1).filter(pa.array(ok))], names=["a", "b"])
-
-    found = pairs.join(b, "b").join(a, "a").select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long")
-    return written(found.distinct(), "neardup-links")
+    a, b = (sets.select(F.col("id").alias(x), F.col("set").alias(f"s{x}")) for x in "ab")
+    both = pairs.join(b, "b").join(a, "a").withColumn("inter", F.size(F.array_intersect("sa", "sb")))
+    found = both.where((F.col("inter") > 0) & (F.col("inter") * den >= num * (F.size("sa") + F.size("sb") - F.col("inter"))))
+    return written(found.select("a", "b").distinct(), "neardup-links")
 
 
 def parity(h: np.ndarray, row: np.ndarray, rows: int) -> np.ndarray:
@@ -202,20 +184,23 @@ def parity(h: np.ndarray, row: np.ndarray, rows: int) -> np.ndarray:
     return out.view(np.int64).reshape(rows, PARITY)
 
 
-def _prefix_pairs(apart: DataFrame, docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
-    """Pairs (a, b) with different components whose sets can be similar enough, by their rarest shingles."""
+def shingle_sets(docs: DataFrame, ids: DataFrame, k: int) -> DataFrame:
+    """(id, set, parity words) of the documents whose doc_id is among ids; written."""
     def run(batches):
         for batch in parts_of(batches):
             data, offsets = bytes_of(batch.column(1))
             h, row = distinct_shingles(data, offsets, k)
             ends = np.searchsorted(row, np.arange(batch.num_rows + 1)).astype(np.int32)
             words = parity(h, row, batch.num_rows)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(pa.array(ends), pa.array(h.view(np.int64))), *[pa.array(words[:, j]) for j in range(PARITY)]], names=["id", "set", *parities])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(pa.array(ends), pa.array(h.view(np.int64))), *[pa.array(words[:, j]) for j in range(PARITY)]], names=["id", "set", *PARITIES])
+
+    texts = join_checked(with_bytes(docs), written(ids.select(F.col("id").alias("doc_id")).distinct(), "neardup-ids"), "doc_id", "left_semi")
+    return written(texts.mapInArrow(run, "id long, set array<long>, " + ", ".join(f"{c} long" for c in PARITIES)), "neardup-sets")
 
-    parities = [f"p{j}" for j in range(PARITY)]
-    ids = apart.select(F.col("id").alias("doc_id")).distinct()
-    texts = join_checked(with_bytes(docs), written(ids, "neardup-ids"), "doc_id", "left_semi")
-    sets = written(texts.mapInArrow(run, "id long, set array<long>, " + ", ".join(f"{c} long" for c in parities)), "neardup-sets")
+
+def _prefix_pairs(apart: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+    """Pairs (a, b) with different components whose sets can be similar enough, by their rarest shingles."""
+    sets = sets.join(apart, "id")
     each = sets.select("id", F.size("set").alias("n"), F.explode("set").alias("h"))
     common = written(each.groupBy("h").agg(F.count("*").alias("df")).where("df > 1"), "neardup-df")
     rank = F.row_number().over(Window.partitionBy("id").orderBy("df", "h"))  # a document's own shingles only
@@ -223,14 +208,14 @@ def _prefix_pairs(apart: DataFrame, docs: DataFrame, k: int, num: int, den: int)
     first = first.where((F.col("rank") <= F.col("n") - F.ceil(F.col("n") * num / den) + 1) & (F.col("df") > 1))
     first = written(first.select("id", "n", "h", "rank").join(apart, "id"), "neardup-prefixes")
     mixed = first.groupBy("h").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("h")
-    first = written(join_checked(first, written(mixed, "neardup-mixed"), "h", "left_semi").join(sets.drop("set"), "id"), "neardup-prefixes")
-    names = {"id": "", "component": "c", "n": "n", "rank": "k", **{c: f"{c}_" for c in parities}}
+    first = written(join_checked(first, written(mixed, "neardup-mixed"), "h", "left_semi").join(sets.select("id", *PARITIES), "id"), "neardup-prefixes")
+    names = {"id": "", "component": "c", "n": "n", "rank": "k", **{c: f"{c}_" for c in PARITIES}}
     left, right = (first.select("h", *[F.col(c).alias(f"{x}{side}") for c, x in names.items()]) for side in "ab")
     fits = (F.least("na", "nb") * den >= F.greatest("na", "nb") * num) & (F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb"))
     # where this is their first common shingle, no more can follow than the shorter rest: is that enough of an intersection?
     rest = 1 + F.least(F.col("na") - F.col("ka"), F.col("nb") - F.col("kb"))
     fits &= rest * (num + den) >= num * (F.col("na") + F.col("nb"))
-    apart_by = sum((F.bit_count(F.col(f"{c}_a").bitwiseXOR(F.col(f"{c}_b"))) for c in parities), F.lit(0))
+    apart_by = sum((F.bit_count(F.col(f"{c}_a").bitwiseXOR(F.col(f"{c}_b"))) for c in PARITIES), F.lit(0))
     fits &= apart_by * (num + den) <= (den - num) * (F.col("na") + F.col("nb"))
     return left.join(right, "h").where(fits).select("a", "b").distinct()
 
@@ -265,18 +250,19 @@ def classes(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100) -> DataF
     rows = sigs.select(F.col("doc_id").alias("id"), F.explode("bands").alias("key"))
     met = rows.groupBy("key").agg(F.min("id").alias("a"), F.max("id").alias("z")).where("a < z").select("key")
     rows = written(rows.join(met, "key"), "neardup-members")  # buckets of one are done with
+    sets = shingle_sets(docs, rows, k)
     comp, apart = _merged(None, shared), rows.withColumn("component", F.col("id"))
     for turn in range(ROUNDS):
         member = F.struct(F.xxhash64("id", F.lit(turn)).alias("order") if turn else F.lit(0).alias("order"), "id", "component")
         centres = apart.groupBy("key").agg(F.min(member).alias("c")).select("key", F.col("c.id").alias("a"), F.col("c.component").alias("home"))
         stars = apart.join(centres, "key").where("home <> component").select("a", F.col("id").alias("b")).distinct()
-        links = _verified(_estimated(stars, sigs, num, den), docs, k, num, den)
+        links = _verified(_estimated(stars, sigs, num, den), sets, num, den)
         comp = _merged(comp, links)
         apart = _apart(rows, comp)
         if links.isEmpty():
             break
-    pairs = _prefix_pairs(apart.select("id", "component").distinct(), docs, k, num, den)
-    more = _verified(_estimated(pairs, sigs, num, den), docs, k, num, den)
+    pairs = _prefix_pairs(apart.select("id", "component").distinct(), sets, num, den)
+    more = _verified(_estimated(pairs, sigs, num, den), sets, num, den)
     comp = _merged(comp, more).toDF("rep", "component")
     named = reps.join(comp, "rep", "left").select("fp1", "fp2", F.coalesce("component", "rep").alias("component_id"))
     linked = written(found.select("doc_id", "n", "fp1", "fp2").join(named, ["fp1", "fp2"]).select("doc_id", "n", "component_id"), "neardup-linked")
