@@ -3,7 +3,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from velocube.llm import decontam
+from velocube.llm import common, decontam
 from velocube.llm.common import written
 
 WORD = re.compile("[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -45,6 +45,7 @@ def test_against_brute_force(spark, odd, odd_rows, items):
 def test_by_shuffle(spark, odd, odd_rows, items, monkeypatch):
     """The way beyond the broadcast bounds gives the same rows."""
     monkeypatch.setattr(decontam, "NEED_ROWS", 0)
+    monkeypatch.setattr(decontam, "TERMS", 0)
     monkeypatch.setattr(decontam.join_checked, "__defaults__", (0,))
     df = spark.createDataFrame(items, "item_id long, text string")
     got = {r["doc_id"]: (r["n_words"], r["n_hit"], r["items"]) for r in decontam.contamination(odd, df).collect()}
@@ -75,3 +76,15 @@ def test_only_built_in_functions(spark, odd, items):
     df = spark.createDataFrame(items, "item_id long, text string")
     plan = decontam.contamination(odd, df)._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def test_broadcast_is_bounded_by_bytes(spark, monkeypatch):
+    small = spark.createDataFrame([(k, [k] * 50, "text") for k in range(100)], "k long, list array<long>, t string")
+    big = spark.range(1000).withColumnRenamed("id", "k")
+    plans = []
+    for limit in (1 << 20, 10_000):
+        monkeypatch.setattr(common, "BROADCAST_BYTES", limit)
+        out = common.join_checked(big, small, "k", "inner")
+        assert out.count() == 100
+        plans.append(out._jdf.queryExecution().toString())
+    assert "BroadcastHashJoin" in plans[0] and "BroadcastHashJoin" not in plans[1] and "SortMergeJoin" in plans[1]

@@ -6,13 +6,14 @@ import uuid
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from velocube.session import checkpoint_dir
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
-#: Rows of (key, small payload) that a checked broadcast may hold; beyond it the join shuffles both sides.
-BROADCAST_ROWS = 1_000_000
+#: Rows and bytes that a checked broadcast may hold; beyond either the join shuffles both sides.
+BROADCAST_ROWS, BROADCAST_BYTES = 1_000_000, 64 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -36,9 +37,32 @@ def at_most(df: DataFrame, rows: int) -> bool:
     return df.count() <= rows
 
 
+def _row_bytes(df: DataFrame):
+    """About how many bytes a row takes: 8 a number, texts and lists by their length."""
+    total = F.lit(0).cast("long")
+    for f in df.schema.fields:
+        c, kind = F.col(f.name), f.dataType
+        if isinstance(kind, (T.StringType, T.BinaryType)):
+            size = F.octet_length(c)
+        elif isinstance(kind, T.ArrayType) and isinstance(kind.elementType, (T.StringType, T.BinaryType)):
+            size = F.aggregate(c, F.lit(0), lambda n, x: n + F.octet_length(x) + 8)
+        elif isinstance(kind, T.ArrayType):
+            size = F.size(c) * 8 * (len(kind.elementType.fields) if isinstance(kind.elementType, T.StructType) else 1)
+        else:
+            size = F.lit(8)
+        total = total + F.coalesce(size, F.lit(0)) + 8
+    return total
+
+
+def small_enough(df: DataFrame, rows: int) -> bool:
+    """Whether a written table has at most so many rows and BROADCAST_BYTES."""
+    n, size = df.agg(F.count("*"), F.coalesce(F.sum(_row_bytes(df)), F.lit(0))).first()
+    return n <= rows and size <= BROADCAST_BYTES
+
+
 def join_checked(big: DataFrame, small: DataFrame, on, how: str, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Join with a written table: broadcast while its counted rows stay under the bound, else by shuffle."""
-    return big.join(F.broadcast(small) if at_most(small, rows) else small.hint("merge"), on, how)
+    """Join with a written table: broadcast while its counted rows and bytes stay under the bounds, else by shuffle."""
+    return big.join(F.broadcast(small) if small_enough(small, rows) else small.hint("merge"), on, how)
 
 
 def documents(df: DataFrame) -> DataFrame:

@@ -1,7 +1,8 @@
 """Benchmark decontamination by a distributed positional inverted index, in DataFrame functions only.
 
 ``build_index`` stores the postings (term, doc_id, version, pos) of the training tokens whose term a test item uses,
-sorted by term within each of its parts.  A part holds whole documents, so building needs no shuffle.  Every
+sorted by term within each of its parts.  Up to ``TERMS`` terms filter each document's words before a row is made of
+any; beyond that the words are joined with the terms.  A part holds whole documents, so building needs no shuffle.  Every
 document also has one posting of the end marker, whose position is its number of words.
 
 ``phrase_matches`` works from the rarest terms: the offset-adjusted lists (position minus offset in the phrase) of a
@@ -27,6 +28,8 @@ BETWEEN = "".join(chr(c) for c in range(128) if not chr(c).isalnum())
 END = "\n"  # the end marker's term: no word holds a line end
 #: Rows of (document, position, term) that a checked broadcast may hold.
 NEED_ROWS = 500_000
+#: Terms of test items that a plan may hold as literals; more are joined.
+TERMS = 20_000
 KEY = ["doc_id", "version"]
 
 
@@ -48,11 +51,16 @@ def build_index(docs: DataFrame, phrases: DataFrame) -> DataFrame:
     vocabulary = phrases.select(F.explode("terms").alias("word")).distinct()
     vocabulary = vocabulary.union(docs.sparkSession.range(1).select(F.lit(END).alias("word")))
     vocabulary = written(vocabulary.select("word", F.xxhash64("word").alias("term")), "index-terms")
-    tokens = documents(docs).where("doc_id IS NOT NULL").select("doc_id", F.hash("text").alias("version"), F.posexplode(F.concat(words(F.col("text")), F.array(F.lit(END)))).alias("pos", "token"))
-    tokens = tokens.withColumn("name", F.xxhash64("token"))
-    # looked up by hash, then compared; two prefix tests are no join key, so the hash stays the only one
-    same = (F.col("name") == F.col("term")) & F.col("token").startswith(F.col("word")) & F.col("word").startswith(F.col("token"))
-    found = join_checked(tokens, vocabulary, same, "inner").select("term", "doc_id", "version", "pos")
+    texts = documents(docs).where("doc_id IS NOT NULL").select("doc_id", F.hash("text").alias("version"), F.concat(words(F.col("text")), F.array(F.lit(END))).alias("w"))
+    if at_most(vocabulary, TERMS):  # a set of literals: words of no item are gone before the rows are made
+        terms = [r["word"] for r in vocabulary.select("word").collect()]
+        held = F.filter(F.transform("w", lambda w, i: F.when(w.isin(terms), F.struct(i.alias("pos"), w.alias("word")))), lambda x: x.isNotNull())
+        found = texts.select("doc_id", "version", F.explode(held).alias("x")).select(F.xxhash64("x.word").alias("term"), "doc_id", "version", "x.pos")
+    else:
+        tokens = texts.select("doc_id", "version", F.posexplode("w").alias("pos", "token")).withColumn("name", F.xxhash64("token"))
+        # looked up by hash, then compared; two prefix tests are no join key, so the hash stays the only one
+        same = (F.col("name") == F.col("term")) & F.col("token").startswith(F.col("word")) & F.col("word").startswith(F.col("token"))
+        found = join_checked(tokens, vocabulary, same, "inner").select("term", "doc_id", "version", "pos")
     return written(found.sortWithinPartitions("term"), "index-postings")  # one long key: a radix sort, which keeps a term's documents in order
 
 

@@ -8,12 +8,14 @@ the same document and an earlier start.
 2. Winnowing deals windows out: the anchor of a window is its 24-byte gram with the least hash (the leftmost one).  Equal
    windows have equal anchors, and the windows of one anchor are a run; its bytes are the anchor's context.
 3. Anchors that occur once are done with.  Of equal contexts of one anchor all but the first go.
-4. Different contexts of one anchor are compared window by window.  Tasks concatenate the contexts of whole anchors
-   into blocks and build a suffix array and its Burrows-Wheeler transform.  From the interval of the empty string,
+4. Different contexts of one anchor are compared window by window.  A window that two of them share holds 38 bytes
+   before the anchor or 38 after it, so only contexts that agree on one of these sides meet, in a group each.  Tasks
+   concatenate the contexts of whole groups into blocks and build a suffix array and its Burrows-Wheeler transform.  From the interval of the empty string,
    breadth-first backward extension finds the boundaries of common prefixes by increasing value; it stops at the
    minimum length, so suffixes without a boundary between them share a window.  All but the first of them go.
-5. An anchor with more than ``CONTEXTS`` different contexts (the edge of a passage that countless documents
-   share) would be too much for one task: its windows are grouped by their hash instead, combined before the shuffle.
+5. A group with more than ``CONTEXTS`` different contexts (the edge of a passage that countless documents
+   share) would be too much for one task: its windows are grouped by two hashes (128 bits) instead, combined before the
+   shuffle.
 
 Defined results: one row for each doc_id and text; null and empty texts have no bytes and nothing goes; rows with a
 null doc_id take no part and have no row; rows that share a doc_id with different texts are ordered by a
@@ -33,6 +35,7 @@ from velocube.llm.common import _BYTE_VALUE, bytes_of, join_checked, mix64, part
 
 LEAST, GRAM = 100, 24
 SPAN = LEAST - GRAM + 1  # gram starts of a window
+SIDE = (LEAST - GRAM) // 2  # a window holds so many bytes on at least one side of its anchor
 PART = 1 << 20
 BLOCK = 1 << 19
 #: Contexts (of 100 to 176 bytes) of one anchor that a task takes into a block: about a megabyte.
@@ -59,10 +62,13 @@ def prefix_sums(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def anchors(data: np.ndarray, offsets: np.ndarray):
-    """Of all rows: row, first and last window start, gram hash and context hash of each anchor."""
+    """Of all rows: row, first and last window start, gram hash, context hash and the hashes of both sides of each anchor.
+
+    A side is the ``SIDE`` bytes before (after) the gram; where no window of the context holds all of them, 0.
+    """
     n = len(data)
     if n < LEAST:
-        return (np.zeros(0, np.int64),) * 3 + (np.zeros(0, np.uint64),) * 2
+        return (np.zeros(0, np.int64),) * 3 + (np.zeros(0, np.uint64),) * 4
     sums, down = prefix_sums(data)
     gram = mix64((sums[GRAM:] - sums[:-GRAM]) * down[:n - GRAM + 1])
     least, width = (gram & ~_PLACE) | np.arange(len(gram), dtype=np.uint64), 1
@@ -75,7 +81,7 @@ def anchors(data: np.ndarray, offsets: np.ndarray):
     row = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))[:len(at)]
     p = np.flatnonzero(np.arange(len(at)) + LEAST <= offsets[1:][row])
     if not len(p):
-        return (np.zeros(0, np.int64),) * 3 + (np.zeros(0, np.uint64),) * 2
+        return (np.zeros(0, np.int64),) * 3 + (np.zeros(0, np.uint64),) * 4
     a = at[p]
     new = np.ones(len(p), bool)
     new[1:] = (a[1:] != a[:-1]) | (p[1:] != p[:-1] + 1)
@@ -84,8 +90,14 @@ def anchors(data: np.ndarray, offsets: np.ndarray):
     q = a[s]
     shape = ((q - low).astype(np.uint64) << np.uint64(32)) + (high - low).astype(np.uint64)
     context = mix64((sums[high + LEAST] - sums[low]) * down[low] + mix64(shape + np.uint64(1)))
+    left, right = np.zeros(len(q), np.uint64), np.zeros(len(q), np.uint64)
+    some = np.flatnonzero(q - low >= SIDE)
+    left[some] = mix64((sums[q[some]] - sums[q[some] - SIDE]) * down[q[some] - SIDE]) | np.uint64(1)
+    some = np.flatnonzero(high + LEAST - q - GRAM >= SIDE)
+    after = q[some] + GRAM
+    right[some] = mix64((sums[after + SIDE] - sums[after]) * down[after]) | np.uint64(1)
     head = offsets[:-1][row[low]]
-    return row[low], low - head, high - head, gram[q], context
+    return row[low], low - head, high - head, gram[q], context, left, right
 
 
 def suffix_array(text: np.ndarray) -> np.ndarray:
@@ -183,9 +195,9 @@ def _gram_counts(batches):
 def _anchor_rows(batches):
     for batch in parts_of(batches, PART):
         data, offsets = bytes_of(batch.column(1))
-        row, low, high, gram, context = anchors(data, offsets)
+        row, low, high, *hashes = anchors(data, offsets)
         row = pa.array(row)
-        yield pa.RecordBatch.from_arrays([batch.column(0).take(row), batch.column(2).take(row), pa.array(gram.view(np.int64)), pa.array(context.view(np.int64)), pa.array(low.astype(np.int32)), pa.array(high.astype(np.int32))], names=[*DOC, "gram", "context", "low", "high"])
+        yield pa.RecordBatch.from_arrays([batch.column(0).take(row), batch.column(2).take(row), *[pa.array(h.view(np.int64)) for h in hashes], pa.array(low.astype(np.int32)), pa.array(high.astype(np.int32))], names=[*DOC, "gram", "context", "left", "right", "low", "high"])
 
 
 def _context_bytes(batches):
@@ -203,14 +215,21 @@ def _context_bytes(batches):
 
 
 def _window_hashes(batches):
-    """Each window of the contexts asked for: the pair of gram and hash names its bytes."""
+    """Each window of the contexts asked for, its bytes named by 128 bits."""
     for batch in parts_of(batches, PART):
+        out = {k: [] for k in ("doc_id", "version", "gram", "hash", "low")}
         for doc, text, version, asked in zip(*(batch.column(k) for k in range(4))):
-            sums, down = prefix_sums(np.frombuffer(text.as_py(), np.uint8))
-            for a in asked.as_py():
-                p = np.arange(a["low"], a["high"] + 1)
-                h = mix64((sums[p + LEAST] - sums[p]) * down[p])
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(p), x, kind)) for x, kind in ((doc.as_py(), np.int64), (version.as_py(), np.int32), (a["gram"], np.int64))] + [pa.array(h.view(np.int64)), pa.array(p.astype(np.int32))], names=[*DOC, "gram", "hash", "low"])
+            text, asked = text.as_py(), asked.as_py()
+            before = len(out["low"])
+            for a in asked:
+                p = range(a["low"], a["high"] + 1)
+                out["gram"] += [a["gram"]] * len(p)
+                out["hash"] += [hashlib.md5(text[k:k + LEAST]).digest() for k in p]
+                out["low"] += p
+            out["doc_id"] += [doc.as_py()] * (len(out["low"]) - before)
+            out["version"] += [version.as_py()] * (len(out["low"]) - before)
+        kinds = (pa.int64(), pa.int32(), pa.int64(), pa.binary(), pa.int32())
+        yield pa.RecordBatch.from_arrays([pa.array(x, kind) for x, kind in zip(out.values(), kinds)], names=list(out))
 
 
 def _blocks(batches):
@@ -271,24 +290,26 @@ def repeated_spans(texts: DataFrame) -> DataFrame:
     texts = texts.select("doc_id", "text", "version")
     often = texts.mapInArrow(_gram_counts, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")).where("n > 1").select("gram")
     often = written(often, "repeat-grams")
-    rows = texts.mapInArrow(_anchor_rows, "doc_id long, version int, gram long, context long, low int, high int")
+    rows = texts.mapInArrow(_anchor_rows, "doc_id long, version int, gram long, context long, left long, right long, low int, high int")
     rows = written(rows.join(often, "gram", "left_semi"), "repeat-anchors")
-    first = rows.groupBy("gram", "context").agg(F.min(F.struct(*DOC, "low", "high")).alias("at"))
-    first = written(first.select("gram", "context", "at.*"), "repeat-contexts")
+    first = rows.groupBy("gram", "context").agg(F.min(F.struct(*DOC, "low", "high")).alias("at"), F.min("left").alias("left"), F.min("right").alias("right"))
+    first = written(first.select("gram", "context", "left", "right", "at.*"), "repeat-contexts")
     copies = rows.join(first.select("gram", "context", *[F.col(c).alias(f"f_{c}") for c in (*DOC, "low")]), ["gram", "context"])
     copies = copies.where("NOT (doc_id = f_doc_id AND version = f_version AND low = f_low)").select(*DOC, F.col("low").alias("start"), (F.col("high") + LEAST).alias("end"))
-    sizes = written(first.groupBy("gram").agg(F.count("*").alias("contexts")).where("contexts > 1"), "repeat-sizes")
-    mixed = written(first.join(sizes, "gram").select("gram", *DOC, "low", "high", "contexts"), "repeat-mixed")
+    sides = F.filter(F.array(F.struct(F.lit(0).alias("side"), F.col("left").alias("h")), F.struct(F.lit(1).alias("side"), F.col("right").alias("h"))), lambda x: x["h"] != 0)
+    sided = first.select("gram", *DOC, "low", "high", F.explode(sides).alias("x")).select("gram", "x.side", "x.h", *DOC, "low", "high")
+    sizes = sided.groupBy("gram", "side", "h").agg(F.count("*").alias("contexts")).where("contexts > 1")
+    mixed = written(join_checked(sided, written(sizes, "repeat-sizes"), ["gram", "side", "h"], "inner"), "repeat-mixed")
     ids = written(mixed.select(*DOC).distinct(), "repeat-ids")
     found = written(join_checked(texts, ids, DOC, "left_semi"), "repeat-texts")
 
     def asked(part):
-        wanted = mixed.where(part).groupBy(*DOC).agg(F.collect_list(F.struct("gram", "low", "high")).alias("asked"))  # bounded by the text
+        wanted = mixed.where(part).groupBy(*DOC).agg(F.collect_list(F.struct(F.xxhash64("gram", "side", "h").alias("gram"), "low", "high")).alias("asked"))  # bounded by the text
         return found.join(wanted, DOC).select("doc_id", "text", "version", "asked")
 
     contexts = asked(F.col("contexts") <= CONTEXTS).mapInArrow(_context_bytes, "doc_id long, version int, gram long, low int, bytes binary")
     compared = contexts.repartition("gram").sortWithinPartitions("gram").mapInArrow(_compared, SPANS)
-    windows = written(asked(F.col("contexts") > CONTEXTS).mapInArrow(_window_hashes, "doc_id long, version int, gram long, hash long, low int"), "repeat-windows")
+    windows = written(asked(F.col("contexts") > CONTEXTS).mapInArrow(_window_hashes, "doc_id long, version int, gram long, hash binary, low int"), "repeat-windows")
     head = written(windows.groupBy("gram", "hash").agg(F.min(F.struct(*DOC, "low")).alias("at"), F.count("*").alias("n")).where("n > 1").select("gram", "hash", "at"), "repeat-heads")
     hot = windows.join(head, ["gram", "hash"]).where(F.struct(*DOC, "low") != F.col("at")).select(*DOC, F.col("low").alias("start"), (F.col("low") + LEAST).alias("end"))
     return copies.unionByName(compared).unionByName(hot)
