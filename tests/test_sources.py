@@ -109,16 +109,99 @@ def test_month_from_file_name(spark):
     assert r.m == "202403"
 
 
+def _archive(d, name, members):
+    with zipfile.ZipFile(os.path.join(d, name), "w", zipfile.ZIP_DEFLATED) as zf:
+        for member, text in members.items():
+            zf.writestr(member, text)
+    return os.path.join(d, name)
+
+
 def test_zip_all_members(spark):
     d = _tmp()
-    buf = io.BytesIO()
-    with zipfile.ZipFile(buf, "w") as zf:
-        zf.writestr("a.csv", HEADER + "\n" + ROW + "\n")
-        zf.writestr("b.csv", HEADER + "\n" + ROW.replace("r1,", "r2,") + "\n")
-    with open(os.path.join(d, "202402-tripdata.zip"), "wb") as f:
-        f.write(buf.getvalue())
+    _archive(d, "202402-tripdata.zip", {"a.csv": HEADER + "\n" + ROW + "\n", "b.csv": HEADER + "\n" + ROW.replace("r1,", "r2,") + "\n"})
     assert read_trip_archives(spark, d, first_only=True).count() == 1
-    assert sorted(r.ride_id for r in read_trip_archives(spark, d).collect()) == ["r1", "r2"]
+    rows = read_trip_archives(spark, d).collect()
+    assert sorted((r.ride_id, r.source_file) for r in rows) == [("r1", "202402-tripdata.zip/a.csv"), ("r2", "202402-tripdata.zip/b.csv")]
+
+
+def test_zip_members_are_partitions_bound_by_their_own_header(spark, monkeypatch):
+    """Reversed columns, a missing one, quotes with line ends, a byte-order mark, empty members; no task holds a member."""
+    d = _tmp()
+    names, values = HEADER.split(","), dict(zip(HEADER.split(","), next(csv.reader([ROW]))))
+    short = [n for n in names if n != "start_station_name"]
+    line = lambda cols, **x: ",".join({**values, **x}[n] for n in cols)
+    long = "\n".join(line(names, ride_id=f"l{k}") for k in range(30000))
+    _archive(d, "1.zip", {"a.csv": HEADER + "\n" + long + "\n", "b.csv": "\ufeff" + ",".join(names[::-1]) + "\n" + line(names[::-1], ride_id="b") + "\n"})
+    _archive(d, "2.zip", {"c.csv": ",".join(short) + "\n" + line(short, ride_id="c") + "\n", "d.csv": "", "e.csv": HEADER + "\n", "f.txt": "no", "__MACOSX/._c.csv": "x",
+                          "g.csv": HEADER + "\n" + line(names, ride_id="g", start_station_name='"Main\nSt, ""N"""') + "\n"})
+    from velocube.sources import archives
+    reader = archives.ArchiveReader({"path": d})
+    monkeypatch.setattr(archives, "PACK", 1)
+    parts = reader.partitions()
+    assert [p.members[0][1] for p in parts] == ["a.csv", "b.csv", "c.csv", "d.csv", "e.csv", "g.csv"]
+    monkeypatch.setattr(archives, "BLOCK", 1 << 16)
+    sizes = [b.num_rows for b in reader.read(parts[0])]
+    assert sum(sizes) == 30000 and max(sizes) < 2000
+    got = {r.ride_id: r for r in read_trip_archives(spark, d).collect()}
+    assert len(got) == 30003
+    one = {k: v for k, v in got["l0"].asDict().items() if k not in ("ride_id", "source_file")}
+    assert one["start_station_name"] == "Main St" and one["started_at"] == datetime(2024, 1, 1, 8, 0, 0, 123000)
+    for name, change in (("b", {}), ("c", {"start_station_name": None}), ("g", {"start_station_name": 'Main\nSt, "N"'})):
+        assert {k: v for k, v in got[name].asDict().items() if k not in ("ride_id", "source_file")} == {**one, **change}
+    assert read_trip_archives(spark, _tmp()).count() == 0
+
+
+def test_zip_damaged_member(spark):
+    """By default a damaged member fails the job; with skip it is left out whole, and so is a file that is no archive."""
+    d = _tmp()
+    rows = "\n".join(ROW.replace("r1,", f"r{k},") for k in range(5000))
+    path = _archive(d, "1.zip", {"a.csv": HEADER + "\n" + rows + "\n", "b.csv": HEADER + "\n" + ROW.replace("r1,", "ok,") + "\n"})
+    with zipfile.ZipFile(path) as zf:
+        info = zf.getinfo("a.csv")
+    data = bytearray(open(path, "rb").read())
+    at = info.header_offset + 30 + len("a.csv") + info.compress_size - 20
+    data[at] ^= 0xFF
+    open(path, "wb").write(bytes(data))
+    with pytest.raises(Exception):
+        read_trip_archives(spark, d).count()
+    assert [r.ride_id for r in read_trip_archives(spark, d, damaged="skip").collect()] == ["ok"]
+    open(os.path.join(d, "2.zip"), "wb").write(b"nothing")
+    assert [r.ride_id for r in read_trip_archives(spark, d, damaged="skip").collect()] == ["ok"]
+
+
+def test_zip_written_archives_come_back(spark):
+    from velocube.sources.trips import write_trip_archives
+    d = os.path.join(_tmp(), "out")
+    trips = spark.createDataFrame([(f"r{k}", datetime(2024, 1, 1, 0, 0, 0, k), None if k % 7 else 'a "q", b', 40.1 + k) for k in range(500)],
+                                  "ride_id string, started_at timestamp_ntz, start_station_name string, start_lat double")
+    write_trip_archives(trips.repartition(3), d, 60)
+    assert sorted(f for f in os.listdir(d) if f.endswith(".zip")) and not os.listdir(os.path.join(d, "_staged"))
+    back = read_trip_archives(spark, d).select(*trips.columns)
+    assert sorted(back.collect()) == sorted(trips.collect())
+
+
+def test_header_pass_reads_heads_only(spark, monkeypatch):
+    """A megabyte of rows beside a kilobyte: the same few bytes of each; both ways to open files agree."""
+    import gzip
+    from velocube.sources import trips as TR
+    d = _tmp()
+    for name, n in (("a", 1), ("b", 20000)):
+        with open(os.path.join(d, f"{name} x.csv"), "w") as f:
+            f.write(HEADER + "\r\n" + (ROW + "\r\n") * n)
+    with gzip.open(os.path.join(d, "c.csv.gz"), "wt") as f:
+        f.write(",".join(HEADER.split(",")[::-1]) + "\n")
+    open(os.path.join(d, "empty.csv"), "w").close()
+    files = spark.read.text(d).inputFiles()
+    assert len(files) == 4
+    lines = TR.first_lines(spark, files)
+    assert lines == TR._first_lines_by_driver(spark, files)
+    assert sorted(lines.values()) == sorted(["", HEADER, HEADER, ",".join(HEADER.split(",")[::-1])])
+    monkeypatch.setattr(TR, "HEAD", 50)
+    with pytest.raises(Exception):
+        TR.first_lines(spark, files)
+    monkeypatch.undo()
+    assert sorted(len(f) for f in TR.headers(spark, [d]).values()) == [1, 2]
+    assert read_trips(spark, d).count() == 20001
 
 
 def test_versioned_features_and_predictions_by_name(spark):

@@ -854,6 +854,15 @@ def q_read_trips_mixed(spark, d):
     return read_trips(spark, [f"{path}/{k}" for k in range(3)]).select(*TRIP_COLS)
 
 
+@register("read_trip_archives", O.T("SELECT * FROM trips"))
+def q_read_trip_archives(spark, d):
+    """Trips written as zip archives of several CSV members and read back, a partition for each member (or a few)."""
+    from velocube.sources.trips import read_trip_archives, write_trip_archives
+    path = scratch_path(spark, f"trips-zip-{uuid.uuid4().hex}")
+    write_trip_archives(_trips(spark, d).select(*TRIP_COLS).hint("rebalance"), path, 20_000)
+    return read_trip_archives(spark, path).select(*TRIP_COLS)
+
+
 @register("coerce_numeric", """
 SELECT event_id, try_cast(cast(value AS VARCHAR) AS DOUBLE) AS value_s, try_cast(props AS DOUBLE) AS props,
        try_cast(event_type AS DOUBLE) AS event_type FROM events""")
