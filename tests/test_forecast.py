@@ -68,31 +68,56 @@ def test_negative_model_output_clamped(spark):
     assert len(out) == 24 and (out["predicted_trips"] == 0.0).all()
 
 
-def test_tree_forecast_matches_spark_transform(spark):
-    """The per-station tree walker scores exactly like model.transform."""
-    from velocube.operators import models as M
+def _tree_rows(spark):
     rng = np.random.default_rng(3)
     rows = []
     for i in range(300):
         t = L + timedelta(hours=i)
         lags = rng.integers(0, 20, 28)
-        rows.append({"start_hour": t, "station_id": "S%d" % (i % 3), "total_trips": int(lags[:3].sum()),
+        rows.append({"start_hour": t, "station_id": "S%d" % (i % 3), "total_trips": int(lags[:3].sum() + 9 * (t.hour in (7, 8, 17)) + 4 * (i % 3 == 1)),
                      "station_rank": i % 3, "hour": t.hour, "day_of_week": t.weekday(),
                      "is_weekend": int(t.weekday() >= 5), "month": t.month,
                      **{f"lag_{k}": int(v) for k, v in enumerate(lags, start=1)}})
-    df = spark.createDataFrame(rows, schemas.FEATURES)
-    model, _ = M.train_gbt(df, None, max_iter=5, depth=3, early_stop=False)
-    nodes, weights, cat_maps = M.ensemble_nodes(model)
-    arr = FC.ensemble_arrays(nodes, weights)
-    scored = M.score(model, df, schemas.MODEL_INPUTS).toPandas()
-    n = 28
-    for r in scored.head(50).itertuples(index=False):
-        x = [getattr(r, f"lag_{k}") for k in range(1, 29)]
-        for j, c in enumerate(schemas.CATEGORICAL_COLS):
-            m = cat_maps.get(n + j)
-            v = float(getattr(r, c))
-            x.append(m.get(v, len(m)) if m is not None else v)
-        assert abs(FC.predict_ensemble(arr, np.array([x], dtype=float))[0] - r.predicted) < 1e-9
+    return spark.createDataFrame(rows, schemas.FEATURES)
+
+
+def test_node_table_scores_like_spark_transform(spark):
+    """The walk over the node table, in the JVM and as SQL in DuckDB, equals model.transform; unseen categories included."""
+    import duckdb
+    from velocube import oracle
+    from velocube.operators import models as M
+    from velocube.operators import trees as TR
+    df = _tree_rows(spark).cache()
+    model, _ = M.train_gbt(df.filter("hour <> 5"), None, max_iter=5, depth=4, early_stop=False)
+    nodes = M.node_table(model, schemas.MODEL_INPUTS)
+    assert nodes.filter("categories IS NOT NULL").count() > 0
+    expected = {(r.start_hour, r.station_id): r.predicted for r in M.score(model, df, schemas.MODEL_INPUTS).collect()}
+    scored = TR.score(df, nodes)
+    assert not any(w in scored._jdf.queryExecution().toString() for w in ("Python", "Pandas", "Arrow"))
+    got = {(r.start_hour, r.station_id): r.predicted for r in scored.collect()}
+    assert got.keys() == expected.keys() and all(abs(got[k] - expected[k]) < 1e-9 for k in got)
+    features = df.toPandas()  # noqa: F841 - read by DuckDB
+    sql = f"SELECT start_hour, station_id, {oracle.tree_expr([tuple(r) for r in nodes.collect()], str)} AS p FROM features"
+    for hour, station, p in duckdb.sql(sql).fetchall():
+        assert abs(got[(hour, station)] - p) < 1e-9
+    counts = {r.feature: r.importance for r in M.importances(model, schemas.MODEL_INPUTS).collect()}
+    assert list(sorted(counts)) == sorted(schemas.MODEL_INPUTS) and sum(counts.values()) == nodes.filter("left >= 0").count()
+    reached = {r.feature: (r.splits, r.rows) for r in TR.cover(df, nodes).collect()}
+    roots = [r.feature for r in nodes.filter("node = 0 AND left >= 0").collect()]
+    assert all(reached[f][1] >= 300 * roots.count(f) for f in roots) and {f: n for f, (n, _) in reached.items()} == {f: n for f, n in counts.items() if n}
+
+
+def test_tree_forecast_starts_with_the_models_prediction(spark):
+    from velocube.operators import models as M
+    df = _tree_rows(spark)
+    model, _ = M.train_gbt(df, None, max_iter=4, depth=3, early_stop=False)
+    last = df.orderBy(F.col("start_hour").desc()).limit(3).cache()
+    expected = {r.station_id: max(0.0, r.predicted) for r in M.score(model, last, schemas.MODEL_INPUTS).collect()}
+    out = FC.forecast_trees(last, M.node_table(model, schemas.MODEL_INPUTS), L + timedelta(hours=297)).collect()
+    assert len(out) == 72
+    ends = {r.station_id: r.start_hour for r in last.collect()}
+    first = {r.station_id: r.predicted_trips for r in FC.forecast_trees(last, M.node_table(model, schemas.MODEL_INPUTS), L, emit_bridge=False).filter("step = 1").collect()}
+    assert len(ends) == 3 and all(abs(first[k] - expected[k]) < 1e-9 for k in expected)
 
 
 def test_fold_first_step_equals_spark_ml_transform(spark):

@@ -22,6 +22,7 @@ from velocube.operators import evaluation as EV
 from velocube.operators import forecast as FC
 from velocube.operators import models as M
 from velocube.operators import serving as SV
+from velocube.operators import trees as TR
 from velocube.plans.report import monthly_report, report_json
 from velocube.session import checkpoint_dir, scratch_path
 from velocube.streaming import jobs as SJ
@@ -754,17 +755,29 @@ def q_drift_share(spark, d):
 GBT_ROUNDS, NOTEBOOK_ROUNDS = 1000, 100  # the training plan's default; the notebook models'
 
 
+_SAVED: dict[tuple[str, str], tuple[str, int]] = {}  # models of this session by the tables they are fitted on
+
+
 def _gbt(spark, d):
+    """The champion model of the split, and the test rows; fitted once a session, then read back."""
+    from pyspark.ml import PipelineModel
     tr, te = _split(spark, d)
+    key = (spark.sparkContext.applicationId if spark else "", str(d))
+    if key in _SAVED:
+        path, rounds = _SAVED[key]
+        return PipelineModel.load(path), rounds, te
     model, rounds = M.train_gbt(tr, te, max_iter=GBT_ROUNDS)
-    return model, rounds, tr, te
+    path = scratch_path(spark, f"champion-{uuid.uuid4().hex}")
+    model.write().save(path)
+    _SAVED[key] = path, rounds
+    return model, rounds, te
 
 
 @register("train_gbt")
 def q_train_gbt(spark, d):
     from velocube.plans.training import metrics_record
     from datetime import datetime, timezone
-    model, rounds, tr, te = _gbt(spark, d)
+    model, rounds, te = _gbt(spark, d)
     errors = EV.error_metrics(M.score(model, te, schemas.MODEL_INPUTS))
     decision = EV.promote(errors, None)
     split = FE.chrono_split(_features(spark, d))
@@ -775,17 +788,58 @@ def q_train_gbt(spark, d):
 
 @register("score")
 def q_score(spark, d):
-    model, _, _, te = _gbt(spark, d)
-    return M.score(model, te, schemas.MODEL_INPUTS).select("start_hour", "station_id", "total_trips", "predicted")
+    model, _, te = _gbt(spark, d)
+    return TR.score(te, M.node_table(model, schemas.MODEL_INPUTS)).select("start_hour", "station_id", "total_trips", "predicted")
 
 
 @register("forecast_gbt")
 def q_forecast_gbt(spark, d):
     from velocube.plans.inference import forecast_with_model
-    model, _, _, _ = _gbt(spark, d)
+    model, _, _ = _gbt(spark, d)
     return forecast_with_model(model, _features(spark, d), AS_OF)
 
 
+@register("importance_splits")
+def q_importance_splits(spark, d):
+    """Shares of the ten inputs that the champion's nodes split on most."""
+    model, _, _ = _gbt(spark, d)
+    return EV.importance_share(M.importances(model, schemas.MODEL_INPUTS), 10)
+
+
+# Fixed parameters of the registered ensemble queries: three trees of two levels over lags, calendar and rank.
+ENSEMBLE = [
+    (0, 0, 1, 2, "lag_1", 1.5, None, None, 1.2, 1.0), (0, 1, 3, 4, "hour", None, [7.0, 8.0, 9.0, 16.0, 17.0, 18.0], False, 0.9, 1.0),
+    (0, 2, 5, 6, "lag_24", 2.5, None, None, 1.9, 1.0), (0, 3, -1, -1, None, None, None, None, 1.4, 1.0),
+    (0, 4, -1, -1, None, None, None, None, 0.6, 1.0), (0, 5, -1, -1, None, None, None, None, 1.7, 1.0), (0, 6, -1, -1, None, None, None, None, 2.8, 1.0),
+    (1, 0, 1, 2, "day_of_week", None, [5.0, 6.0], True, 0.0, 0.5), (1, 1, 3, 4, "lag_2", 1.0, None, None, 0.1, 0.5),
+    (1, 2, -1, -1, None, None, None, None, -0.4, 0.5), (1, 3, -1, -1, None, None, None, None, -0.3, 0.5), (1, 4, -1, -1, None, None, None, None, 0.55, 0.5),
+    (2, 0, 1, 2, "month", None, [12.0, 1.0, 2.0], False, 0.0, 0.5), (2, 1, -1, -1, None, None, None, None, -0.25, 0.5),
+    (2, 2, 3, 4, "station_rank", None, [0.0], False, 0.2, 0.5), (2, 3, -1, -1, None, None, None, None, 0.7, 0.5), (2, 4, -1, -1, None, None, None, None, 0.05, 0.5),
+]
+
+
+@register("score_trees", O.Fe(f"""
+SELECT start_hour, station_id, total_trips, round({O.tree_expr(ENSEMBLE, str)}, 9) AS predicted FROM features"""))
+def q_score_trees(spark, d):
+    """A node table scored over all feature rows, in the JVM."""
+    scored = TR.score(_features(spark, d), TR.node_rows(spark, ENSEMBLE))
+    return scored.select("start_hour", "station_id", "total_trips", F.round("predicted", 9).alias("predicted"))
+
+
+@register("tree_importance", O.Fe(O.tree_cover_sql(ENSEMBLE)))
+def q_tree_importance(spark, d):
+    """Nodes that split on each input and feature rows that reach them, and the share of the splits."""
+    nodes = TR.node_rows(spark, ENSEMBLE)
+    shares = EV.importance_share(TR.split_counts(nodes, schemas.MODEL_INPUTS), 10)
+    return TR.cover(_features(spark, d), nodes).join(shares, "feature").select("feature", "splits", "rows", "share")
+
+
+@register("forecast_trees", O.tree_forecast_sql(ENSEMBLE, AS_OF, FC_BODY))
+def q_forecast_trees(spark, d):
+    """The bridge and forecast of a node table, in the JVM."""
+    return _fc_out(FC.forecast_trees(FE.latest_state(_features(spark, d)), TR.node_rows(spark, ENSEMBLE), AS_OF))
+
+
 @register("monthly_report")
 def q_monthly_report(spark, d):
     clean = _clean(spark, d)

@@ -12,17 +12,15 @@ the last observed count out of the lags (the original behaviour);
 ``mode='aligned'`` first pushes the observed count into lag_1 and scores
 with the calendar of t_j.
 
-Linear models run as a Spark SQL ``aggregate`` fold (JVM only, one row per
-station); tree ensembles run per station in ``applyInPandas`` with the
-ensemble as arrays (size bounded by trees x nodes).
+Linear models and tree ensembles (``operators.trees``) run as a Spark SQL ``aggregate`` fold, JVM only, one row per
+station.
 """
 from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-import numpy as np
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F
 
 from velocube import schemas
 
@@ -68,33 +66,56 @@ def _gap_cols(state: DataFrame, as_of, ts: str = "start_hour") -> DataFrame:
             .withColumn("_base", F.timestamp_add("HOUR", F.least(F.col("_G"), F.lit(0)), F.col(ts))))
 
 
+def linear(spec: LinearSpec):
+    """A linear model as a function of lags and calendar, for ``forecast_fold``."""
+    def predict(lags: Column, h: Column, d: Column, wk: Column, m: Column, rank: Column) -> Column:
+        acc = F.lit(float(spec.intercept))
+        for k, w in enumerate(spec.lag_w):
+            if w != 0.0:
+                acc = acc + F.lit(float(w)) * lags.getItem(k)
+        for w, c in ((spec.hour_w, h), (spec.dow_w, d), (spec.weekend_w, wk), (spec.month_w, m), (spec.rank_w, rank)):
+            if w != 0.0:
+                acc = acc + F.lit(float(w)) * c
+        return acc
+    return predict
+
+
 def forecast_linear(state: DataFrame, spec: LinearSpec, as_of, horizon: int = HORIZON,
                     mode: str = "reference", n: int = schemas.N_LAGS,
                     emit_bridge: bool = False) -> DataFrame:
+    """``forecast_fold`` of a linear model."""
+    return forecast_fold(materialize_state(state), linear(spec), as_of, horizon, mode, n, emit_bridge)
+
+
+def forecast_trees(state: DataFrame, nodes: DataFrame, as_of, horizon: int = HORIZON, mode: str = "reference",
+                   n: int = schemas.N_LAGS, emit_bridge: bool = False) -> DataFrame:
+    """``forecast_fold`` of a tree ensemble (a node table of ``operators.trees``, in the order of the model's inputs)."""
+    from velocube.operators import trees as TR
+    inputs = [f"lag_{k}" for k in range(1, n + 1)] + list(schemas.CATEGORICAL_COLS)
+    rows = TR.attached(materialize_state(state), nodes, inputs)
+
+    def predict(lags: Column, *calendar: Column) -> Column:
+        return TR.predict(F.concat(lags, F.array(*calendar)), F.col("trees"), F.col("depth"))
+
+    return forecast_fold(rows, predict, as_of, horizon, mode, n, emit_bridge)
+
+
+def forecast_fold(state: DataFrame, model, as_of, horizon: int = HORIZON, mode: str = "reference",
+                  n: int = schemas.N_LAGS, emit_bridge: bool = False) -> DataFrame:
     """Emit (station_id, station_rank, step, target_hour, predicted_trips).
 
-    The fold state is (lags, calendar, out).  Each step computes its
+    ``model`` maps (lags, hour, day_of_week, is_weekend, month, station_rank) to a prediction.  The fold state is
+    (lags, calendar, out).  Each step computes its
     prediction once and pushes it into lag_1; the value is appended to
     ``out`` by the next step (and by the finish function for the last one),
     so the lambda never repeats the model expression.
     """
-    s = _gap_cols(materialize_state(state), as_of)
+    s = _gap_cols(state, as_of)
     lags = F.array(*[F.col(f"lag_{k}").cast("double") for k in range(1, n + 1)])
     if mode == "aligned":
         lags = F.concat(F.array(F.col("total_trips").cast("double")), F.slice(lags, 1, n - 1))
     rank = F.col("station_rank").cast("double")
 
-    def predict(lg: Column, h, d, wk, m) -> Column:
-        acc = F.lit(float(spec.intercept))
-        for k, w in enumerate(spec.lag_w):
-            if w != 0.0:
-                acc = acc + F.lit(float(w)) * lg.getItem(k)
-        for w, c in ((spec.hour_w, h), (spec.dow_w, d), (spec.weekend_w, wk), (spec.month_w, m),
-                     (spec.rank_w, rank)):
-            if w != 0.0:
-                acc = acc + F.lit(float(w)) * c
-        return F.greatest(F.lit(0.0), acc)
-
     init = F.struct(lags.alias("lags"), F.col("hour").cast("double").alias("h"),
                     F.col("day_of_week").cast("double").alias("d"),
                     F.col("is_weekend").cast("double").alias("wk"), F.col("month").cast("double").alias("m"),
@@ -108,7 +129,7 @@ def forecast_linear(state: DataFrame, spec: LinearSpec, as_of, horizon: int = HO
         cal = F.struct(F.hour(t).cast("double").alias("h"), F.weekday(t).cast("double").alias("d"),
                        F.weekday(t).isin(5, 6).cast("double").alias("wk"), F.month(t).cast("double").alias("m"))
         src = cal if mode == "aligned" else acc
-        p = predict(acc["lags"], src["h"], src["d"], src["wk"], src["m"])
+        p = F.greatest(F.lit(0.0), model(acc["lags"], src["h"], src["d"], src["wk"], src["m"], rank))
         prev = F.when(wanted(j - 1), F.concat(acc["out"], F.array(acc["lags"].getItem(0)))).otherwise(acc["out"])
         return F.struct(F.concat(F.array(p), F.slice(acc["lags"], 1, n - 1)).alias("lags"),
                         cal["h"].alias("h"), cal["d"].alias("d"), cal["wk"].alias("wk"), cal["m"].alias("m"),
@@ -129,110 +150,6 @@ def forecast_linear(state: DataFrame, spec: LinearSpec, as_of, horizon: int = HO
                       "predicted_trips")
 
 
-# ------------------------------------------------------------------ tree ensembles
-def ensemble_arrays(nodes: "list[dict]", tree_weights: Sequence[float]) -> dict:
-    """Flatten saved tree nodes (treeID, id, prediction, leftChild, rightChild,
-    featureIndex, leftCategoriesOrThreshold, numCategories) to dense
-    [tree, node] arrays; categorical splits become a [tree, node, category]
-    'goes left' mask."""
-    n_trees = len(tree_weights)
-    width = max(r["id"] for r in nodes) + 1
-    shape = (n_trees, width)
-    arr = {"pred": np.zeros(shape), "thr": np.zeros(shape),
-           "left": np.full(shape, -1, dtype=np.int64), "right": np.full(shape, -1, dtype=np.int64),
-           "feat": np.zeros(shape, dtype=np.int64), "cat": np.zeros(shape, dtype=bool)}
-    max_cat = max([int(r["numCategories"]) for r in nodes] + [1])
-    arr["left_cats"] = np.zeros((n_trees, width, max_cat + 1), dtype=bool)
-    for r in nodes:
-        t, i = r["treeID"], r["id"]
-        arr["pred"][t, i] = r["prediction"]
-        arr["left"][t, i] = r["leftChild"]
-        arr["right"][t, i] = r["rightChild"]
-        arr["feat"][t, i] = max(r["featureIndex"], 0)
-        split = r["leftCategoriesOrThreshold"] or [0.0]
-        if r["numCategories"] == -1:
-            arr["thr"][t, i] = split[0]
-        else:
-            arr["cat"][t, i] = True
-            arr["left_cats"][t, i, [int(c) for c in r["leftCategoriesOrThreshold"]]] = True
-    arr["w"] = np.asarray(tree_weights, dtype=float)
-    return arr
-
-
-def predict_ensemble(arr: dict, x: np.ndarray) -> np.ndarray:
-    """Weighted sums of the trees' leaf values for a matrix of input rows: all
-    rows and trees step down one level at a time; continuous splits go left
-    when x <= threshold, categorical ones when the category is in the left
-    set (an unseen category goes right)."""
-    trees, rows = np.arange(len(arr["w"]))[None, :], np.arange(len(x))[:, None]
-    node = np.zeros((len(x), len(arr["w"])), dtype=np.int64)
-    n_cat = arr["left_cats"].shape[2]
-    for _ in range(arr["left"].shape[1]):
-        left = arr["left"][trees, node]
-        inner = left >= 0
-        if not inner.any():
-            break
-        v = x[rows, arr["feat"][trees, node]]
-        ci = np.clip(v.astype(np.int64), 0, n_cat - 1)
-        in_set = arr["left_cats"][trees, node, ci] & (v >= 0) & (v < n_cat)
-        go_left = np.where(arr["cat"][trees, node], in_set, v <= arr["thr"][trees, node])
-        node = np.where(inner, np.where(go_left, left, arr["right"][trees, node]), node)
-    return arr["pred"][trees, node] @ arr["w"]
-
-
-FORECAST_OUT = T.StructType([
-    T.StructField("station_id", T.StringType()), T.StructField("station_rank", T.IntegerType()),
-    T.StructField("step", T.IntegerType()), T.StructField("target_hour", T.TimestampNTZType()),
-    T.StructField("predicted_trips", T.DoubleType())])
-
-
-def forecast_trees(state: DataFrame, arr: dict, category_maps: dict, as_of, horizon: int = HORIZON,
-                   mode: str = "reference", n: int = schemas.N_LAGS) -> DataFrame:
-    """Tree-ensemble forecast: the stations of an Arrow batch (one state row
-    each) are stepped forward together, hour by hour, with one matrix
-    prediction a step; the ensemble travels in the closure (bounded size).
-    Feature order: lag_1..lag_n, then hour, day_of_week, is_weekend, month,
-    station_rank mapped through ``category_maps`` (unseen -> extra index)."""
-    import pandas as pd
-
-    s = _gap_cols(materialize_state(state), as_of)
-    cat_names = schemas.CATEGORICAL_COLS
-
-    def indexed(cats: np.ndarray) -> np.ndarray:
-        out = cats.astype(float)
-        for j in range(cats.shape[1]):
-            m = category_maps.get(n + j)
-            if m is not None:
-                out[:, j] = [m.get(float(v), len(m)) for v in cats[:, j]]
-        return out
-
-    def run(batches):
-        for pdf in batches:
-            lags = pdf[[f"lag_{k}" for k in range(1, n + 1)]].to_numpy(float)
-            if mode == "aligned":
-                lags = np.concatenate([pdf[["total_trips"]].to_numpy(float), lags[:, :-1]], axis=1)
-            cal = pdf[cat_names[:-1]].to_numpy(np.int64)
-            rank = pdf[["station_rank"]].to_numpy(np.int64)
-            base, gap = pd.DatetimeIndex(pdf["gap_base"]), pdf["gap_steps"].to_numpy(np.int64)
-            out = []
-            for j in range(1, int(gap.max(initial=0)) + horizon + 1):
-                t = base + pd.Timedelta(hours=j)
-                now = np.stack([t.hour, t.weekday, t.weekday >= 5, t.month], axis=1).astype(np.int64)
-                cats = np.concatenate([now if mode == "aligned" else cal, rank], axis=1)
-                p = np.maximum(0.0, predict_ensemble(arr, np.concatenate([lags, indexed(cats)], axis=1)))
-                on = (j > gap) & (j <= gap + horizon)
-                if on.any():
-                    out.append(pd.DataFrame({"station_id": pdf["station_id"][on], "station_rank": pdf["station_rank"][on],
-                                             "step": j, "target_hour": t[on], "predicted_trips": p[on]}))
-                lags, cal = np.concatenate([p[:, None], lags[:, :-1]], axis=1), now
-            if out:
-                yield pd.concat(out)[[f.name for f in FORECAST_OUT.fields]]
-
-    cols = ["station_id", "station_rank", "total_trips", F.col("_base").alias("gap_base"),
-            F.col("_B").alias("gap_steps")] + [f"lag_{k}" for k in range(1, n + 1)] + cat_names[:-1]
-    return s.select(*cols).mapInPandas(run, FORECAST_OUT)
-
-
 def with_generated_at(pred: DataFrame, generated_at) -> DataFrame:
     """Attach the UTC generation time; target_hour becomes a UTC TIMESTAMP."""
     g = F.lit(generated_at).cast("timestamp_ntz") if not isinstance(generated_at, Column) else generated_at

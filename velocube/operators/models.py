@@ -10,6 +10,7 @@ round with the lowest validation error from ``evaluateEachIteration``
 from __future__ import annotations
 
 import os
+import uuid
 from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -18,6 +19,7 @@ from pyspark.ml.regression import GBTRegressionModel, GBTRegressor, LinearRegres
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from velocube import schemas
+from velocube.operators import trees as TR
 from velocube.session import scratch_path
 
 
@@ -59,11 +61,11 @@ def train_gbt(train: DataFrame, valid: DataFrame | None = None,
     gbt = GBTRegressor(featuresCol="features", labelCol=y, maxIter=max_iter, stepSize=step,
                        maxDepth=depth, seed=seed, maxBins=max(64, most + 1), checkpointInterval=10)
     prep = Pipeline(stages=_prep(lags, cats, most)).fit(tr)
-    feats = prep.transform(tr).select("features", y).checkpoint()  # read by every fit, in the same parts
+    feats = _parted(prep.transform(tr).select("features", y), len(cols)).checkpoint()  # read by every round, in the same parts
     if not early_stop or valid is None:
         return PipelineModel(prep.stages + [gbt.fit(feats)]), max_iter
-    held = prep.transform(cast_inputs(valid, cols, y)).select("features", y).checkpoint()
-    fitted = min(max_iter, 2 * patience)
+    held = _parted(prep.transform(cast_inputs(valid, cols, y)).select("features", y), len(cols)).checkpoint()
+    fitted = min(max_iter, patience + max(1, patience // 4))
     while True:
         model = gbt.copy({gbt.maxIter: fitted}).fit(feats)
         rounds, stopped = stop_round(model.evaluateEachIteration(held, "absolute"), patience)
@@ -73,6 +75,15 @@ def train_gbt(train: DataFrame, valid: DataFrame | None = None,
     return PipelineModel(prep.stages + [_prefix(model, rounds) if rounds < fitted else model]), rounds
 
 
+PART = 16 << 20
+
+
+def _parted(feats: DataFrame, width: int) -> DataFrame:
+    """In as many parts as its bytes need: a boosting round is a job for every level, so small parts cost more than they give."""
+    rows = feats.count()
+    return feats.coalesce(max(1, -(-rows * (8 * width + 40) // PART)))
+
+
 def stop_round(errors: Sequence[float], patience: int) -> tuple[int, bool]:
     """Rounds up to the least error, and whether ``patience`` rounds without a gain followed it."""
     best = 0
@@ -111,43 +122,50 @@ def score(model: PipelineModel, df: DataFrame, cols: Sequence[str], y: str = "to
 
 
 def importances(model: PipelineModel, names: Sequence[str]) -> DataFrame:
-    """(feature, importance) from the fitted tree model; the vector has one
-    entry per model input (bounded by the input count)."""
-    imp = model.stages[-1].featureImportances.toArray().tolist()
-    spark = SparkSession.getActiveSession()
-    return spark.createDataFrame(list(zip(names, map(float, imp))), "feature string, importance double")
+    """(feature, importance) of a fitted boosted-tree model: how many of its nodes split on each input."""
+    return TR.split_counts(node_table(model, names), names)
+
 
+def node_table(model: PipelineModel, inputs: Sequence[str]) -> DataFrame:
+    """The nodes of a fitted boosted-tree pipeline as a table of ``operators.trees`` (model-sized, not data-sized).
 
-def ensemble_nodes(model: PipelineModel) -> tuple[list[dict], list[float], dict]:
-    """Saved tree nodes, tree weights and the categorical index maps of a
-    fitted boosted-tree pipeline (model-sized, not data-sized)."""
+    ``inputs`` are the model's, lags first.  Category indices become the values they stand for; where the index of unseen
+    values goes left, the values that go right are named instead.
+    """
     spark = SparkSession.getActiveSession()
     gbt = model.stages[-1]
-    path = scratch_path(spark, f"gbt-{gbt.uid}")
-    gbt.write().overwrite().save(path)
-    data = spark.read.parquet(os.path.join(path, "data"))
-    nodes = [dict(treeID=r["treeID"], id=r["nodeData"]["id"], prediction=r["nodeData"]["prediction"],
-                  leftChild=r["nodeData"]["leftChild"], rightChild=r["nodeData"]["rightChild"],
-                  featureIndex=r["nodeData"]["split"]["featureIndex"],
-                  leftCategoriesOrThreshold=list(r["nodeData"]["split"]["leftCategoriesOrThreshold"]),
-                  numCategories=r["nodeData"]["split"]["numCategories"])
-             for r in data.collect()]
-    cat_maps = {}
-    idx = [s for s in model.stages if s.__class__.__name__ == "VectorIndexerModel"]
-    n_lags = len(model.stages[-2].getInputCols()) - (1 if idx else 0) if idx else None
-    if idx:
-        for j, m in idx[0].categoryMaps.items():
-            cat_maps[n_lags + j] = {float(k): float(v) for k, v in m.items()}
-    return nodes, list(gbt.treeWeights), cat_maps
+    maps = next((s.categoryMaps for s in model.stages if s.__class__.__name__ == "VectorIndexerModel"), {})
+    first = len(model.stages[-2].getInputCols()) - 1 if maps else 0
+    values = {first + j: {int(i): float(v) for v, i in m.items()} for j, m in maps.items()}
+    path = scratch_path(spark, f"gbt-{gbt.uid}-{uuid.uuid4().hex}")
+    gbt.write().save(path)
+    weights, rows = list(gbt.treeWeights), []
+    for r in spark.read.parquet(os.path.join(path, "data")).collect():
+        n = r["nodeData"]
+        split, leaf = n["split"], n["leftChild"] < 0
+        feature, threshold, cats, negate = None, None, None, None
+        if not leaf:
+            feature, parts = split["featureIndex"], list(split["leftCategoriesOrThreshold"])
+            if split["numCategories"] == -1:
+                threshold = float(parts[0])
+            else:
+                named = values.get(feature, {})
+                left, size, unseen = {int(c) for c in parts}, int(split["numCategories"]), len(named)
+                # an index beyond the split's categories goes left where the set of those that go right is the shorter one
+                negate = unseen in left or (unseen >= size and len(left) > size // 2)
+                cats = [v for i, v in sorted(named.items()) if (i in left) != negate]
+            feature = inputs[feature]
+        rows.append((r["treeID"], n["id"], n["leftChild"], n["rightChild"], feature, threshold, cats, negate, float(n["prediction"]), float(weights[r["treeID"]])))
+    return TR.node_rows(spark, sorted(rows, key=lambda x: x[:2]))
 
 
 def train_reduced(model: PipelineModel, train: DataFrame, valid: DataFrame | None = None, k: int = 10,
                   candidates: Sequence[str] = schemas.LAG_COLS, y: str = "total_trips",
                   max_iter: int = 50, depth: int = 5, seed: int = 42) -> tuple[PipelineModel, list[str]]:
-    """Refit on the ``k`` most important of ``candidates`` (importances of
+    """Refit on the ``k`` most important of ``candidates`` (split counts of
     a fitted model whose first inputs are the lags, in order)."""
-    imp = model.stages[-1].featureImportances.toArray().tolist()
-    ranked = sorted(range(len(candidates)), key=lambda i: (-imp[i], i))[:k]
+    imp = {r["feature"]: r["importance"] for r in importances(model, candidates).collect()}
+    ranked = sorted(range(len(candidates)), key=lambda i: (-imp[candidates[i]], i))[:k]
     keep = [candidates[i] for i in sorted(ranked)]
     reduced, _ = train_gbt(train, valid, lags=keep, cats=(), y=y, max_iter=max_iter, depth=depth, seed=seed,
                            early_stop=False)

@@ -81,7 +81,54 @@ def linear_expr(spec, lags: str = "lags", h: str = "h", d: str = "d", wk: str =
     return f"greatest(cast(0.0 AS DOUBLE), {acc})"
 
 
-def forecast_ctes(spec, as_of: str, mode: str = "reference", horizon: int = 24, bridge: bool = False) -> str:
+def tree_expr(nodes, column) -> str:
+    """An ensemble as SQL: a nested CASE for each tree; ``column`` names an input."""
+    def below(tree: dict, n: int) -> str:
+        _, _, left, right, feature, threshold, cats, negate, prediction, _ = tree[n]
+        if left < 0:
+            return f"cast({prediction!r} AS DOUBLE)"
+        if cats is None:
+            test = f"{column(feature)} <= {threshold!r}"
+        else:
+            test = f"{column(feature)} {'NOT IN' if negate else 'IN'} ({', '.join(map(repr, cats))})"
+        return f"CASE WHEN {test} THEN {below(tree, left)} ELSE {below(tree, right)} END"
+
+    trees: dict = {}
+    for r in nodes:
+        trees.setdefault(r[0], {})[r[1]] = r
+    out = "cast(0.0 AS DOUBLE)"
+    for tree in trees.values():
+        out = f"({out} + cast({tree[0][9]!r} AS DOUBLE) * {below(tree, 0)})"
+    return out
+
+
+def tree_cover_sql(nodes) -> str:
+    """For each input of an ensemble: nodes that split on it, feature rows that reach them, and its share of the splits."""
+    parts = []
+    for r in nodes:
+        if r[2] < 0:
+            continue
+        tests, n = [], r[1]
+        while n:  # the tests on the way down, from the node up
+            up = next(x for x in nodes if x[0] == r[0] and n in (x[2], x[3]))
+            feature, threshold, cats, negate = up[4:8]
+            test = f"{feature} <= {threshold!r}" if cats is None else f"{feature} {'NOT IN' if negate else 'IN'} ({', '.join(map(repr, cats))})"
+            tests.append(test if n == up[2] else f"NOT ({test})")
+            n = up[1]
+        parts.append(f"SELECT '{r[4]}' AS feature, count(*) AS rows FROM features WHERE {' AND '.join(tests) or 'true'}")
+    return ("SELECT feature, count(*) AS splits, sum(rows)::BIGINT AS rows, round_even(count(*) / (sum(count(*)) OVER ()) * 100, 1) AS share FROM ("
+            + " UNION ALL ".join(parts) + ") x GROUP BY feature")
+
+
+def tree_forecast_sql(nodes, as_of: str, body: str) -> str:
+    """``forecast_sql`` of an ensemble: inputs are the fold's lags and calendar."""
+    names = {f"lag_{k}": f"lags[{k}]" for k in range(1, 29)} | {
+        "hour": "h", "day_of_week": "d", "is_weekend": "wk", "month": "m", "station_rank": "cast(station_rank AS DOUBLE)"}
+    model = f"greatest(cast(0.0 AS DOUBLE), {tree_expr(nodes, names.__getitem__)})"
+    return "WITH RECURSIVE " + ",\n".join([TRIPS, FEATURES, forecast_ctes(None, as_of, model=model)]) + "\n" + body
+
+
+def forecast_ctes(spec, as_of: str, mode: str = "reference", horizon: int = 24, bridge: bool = False, model: str | None = None) -> str:
     """CTEs ``st`` (last state per station) and ``fold`` (the recursive walk);
     use with ``WITH RECURSIVE`` after TRIPS and FEATURES."""
     lags0 = "[" + ", ".join(f"cast(lag_{k} AS DOUBLE)" for k in range(1, 29)) + "]"
@@ -90,7 +137,7 @@ def forecast_ctes(spec, as_of: str, mode: str = "reference", horizon: int = 24,
     t = "base + to_hours(cast(j + 1 AS BIGINT))"
     cal_t = (f"cast(hour({t}) AS DOUBLE)", f"cast(isodow({t}) - 1 AS DOUBLE)",
              f"CASE WHEN isodow({t}) IN (6, 7) THEN 1.0 ELSE 0.0 END", f"cast(month({t}) AS DOUBLE)")
-    pn = linear_expr(spec) if mode == "reference" else linear_expr(spec, "lags", *cal_t)
+    pn = model or (linear_expr(spec) if mode == "reference" else linear_expr(spec, "lags", *cal_t))
     limit = "B" if bridge else f"B + {horizon}"
     return f"""st AS (
   SELECT *, greatest(G, 0) AS B, start_hour + to_hours(cast(least(G, 0) AS BIGINT)) AS base FROM (

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 
+from velocube import schemas
 from velocube.operators import features as FE
 from velocube.operators import forecast as FC
 from velocube.operators import models as M
@@ -14,9 +15,7 @@ from velocube.sources import tables
 
 def forecast_with_model(model: PipelineModel, features: DataFrame, as_of, horizon: int = 24,
                         mode: str = "reference") -> DataFrame:
-    nodes, weights, cat_maps = M.ensemble_nodes(model)
-    arr = FC.ensemble_arrays(nodes, weights)
-    return FC.forecast_trees(FE.latest_state(features), arr, cat_maps, as_of, horizon, mode)
+    return FC.forecast_trees(FE.latest_state(features), M.node_table(model, schemas.MODEL_INPUTS), as_of, horizon, mode)
 
 
 def run_inference(spark: SparkSession, features: DataFrame, runs_path: str, out_root: str, as_of,

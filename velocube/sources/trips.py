@@ -98,7 +98,7 @@ def headers(spark: SparkSession, paths: Sequence[str]) -> dict[tuple[str, ...],
         names = tuple(n.strip() for n in next(csv.reader([line])))
         if "started_at" not in names:
             raise ValueError(f"{path} has no header line")
-        found.setdefault(names, []).append(path)
+        found.setdefault(names, []).append(urllib.parse.unquote(path))  # Spark names its input files as URIs
     return found
 
 
