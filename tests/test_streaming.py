@@ -32,7 +32,7 @@ def test_stream_watermark_semantics(spark):
         trips = adapters.trips_from_events(SJ.events_stream(spark, land, "*.parquet"))
         SJ.run_available_now(SJ.hourly_counts(trips, "10 minutes"), None, ck,
                              foreach_batch=SJ.upsert_sink(sink, ["start_hour", "station_id"], "start_hour"))
-        return spark.read.parquet(sink).select("start_hour", "station_id", "total_trips")
+        return tables.read_table(spark, sink).select("start_hour", "station_id", "total_trips")
 
     first = land_and_run("events-a.parquet", even)
     ev_all = spark.read.parquet(f"{SF0001}/events.parquet")

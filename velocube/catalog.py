@@ -15,6 +15,7 @@ from velocube.operators import clean as CL
 from velocube.operators import features as FE
 from velocube.operators import stats as ST
 from velocube.sources import adapters
+from velocube.sources import tables
 from velocube.sources.tables import months_before
 from velocube import schemas
 from velocube.operators import drift as DR
@@ -244,7 +245,8 @@ SELECT start_hour, station_id, total_trips,
             THEN 'train' ELSE 'test' END AS split
 FROM features"""))
 def q_chrono_split(spark, d):
-    return FE.chrono_split(_features(spark, d)).select("start_hour", "station_id", "total_trips", "split")
+    checkpoint_dir(spark)
+    return FE.chrono_split(_features(spark, d).checkpoint()).select("start_hour", "station_id", "total_trips", "split")
 
 
 # ======================================================================= monthly report pieces
@@ -952,6 +954,110 @@ def q_upsert(spark, d):
     return out.select(*FEATURE_COLS)
 
 
+@register("load_features", O.Fe("""
+SELECT 1 AS version, start_hour, station_id, total_trips, lag_28 FROM features WHERE hour < 12
+UNION ALL
+SELECT 2, start_hour, station_id, CASE WHEN hour < 12 THEN total_trips ELSE total_trips + 1 END, lag_28 FROM features"""))
+def q_load_features(spark, d):
+    """The feature table in two versions: the second adds hours and leaves the first as it was."""
+    path = scratch_path(spark, f"features-{uuid.uuid4().hex}")
+    feats = _features(spark, d)
+    keys = ["start_hour", "station_id"]
+    tables.upsert(spark, path, feats.filter("hour < 12"), keys, "start_hour")
+    tables.upsert(spark, path, feats.filter("hour >= 12").withColumn("total_trips", F.col("total_trips") + 1), keys, "start_hour")
+    first, second = (tables.load_features(spark, path, v).withColumn("version", F.lit(v)) for v in (1, 2))
+    return first.unionByName(second).select("version", "start_hour", "station_id", "total_trips", "lag_28")
+
+
+@register("incremental_popularity", O.T("""
+SELECT start_station_id AS station_id, count(*) AS trips FROM trips WHERE start_station_id IS NOT NULL GROUP BY 1"""))
+def q_incremental_popularity(spark, d):
+    """Trips land month by month; each run counts the months that the stored counts lack and adds all up."""
+    from velocube.sources.tables import write_bronze
+    root = scratch_path(spark, f"popularity-{uuid.uuid4().hex}")
+    t = _trips(spark, d).withColumn("landed_at", F.timestamp_add("DAY", 30 * (F.dayofmonth("started_at") % 6), "started_at"))
+    late = F.dayofmonth("started_at") % 6 >= 3
+    write_bronze(t.filter(~late), f"{root}/bronze", "landed_at")
+    A.update_popularity(spark, f"{root}/bronze", f"{root}/counts")
+    write_bronze(t.filter(late), f"{root}/bronze", "landed_at", mode="append")
+    return A.update_popularity(spark, f"{root}/bronze", f"{root}/counts")
+
+
+@register("read_predictions", O.forecast_sql(FORECAST_SPEC, AS_OF, """
+SELECT station_id, station_rank, target_hour, round(predicted_trips, 6) AS predicted_trips FROM preds"""))
+def q_read_predictions(spark, d):
+    """A forecast table with its columns in another order and one more, read by name."""
+    path = scratch_path(spark, f"predictions-{uuid.uuid4().hex}")
+    pred = FC.with_generated_at(_forecast(spark, d), "2024-02-19 13:00:00").withColumn("extra", F.lit("x"))
+    pred.select(*pred.columns[::-1]).write.parquet(path)
+    out = tables.read_predictions(spark, path)
+    return out.select("station_id", "station_rank", VF.as_naive("target_hour").alias("target_hour"), r6("predicted_trips").alias("predicted_trips"))
+
+
+@register("metrics_json", O.Sp("""
+SELECT round_even(avg(abs(total_trips - predicted)), 4) AS mae, round_even(sqrt(avg(pow(total_trips - predicted, 2))), 4) AS rmse,
+       round_even(sum(abs(total_trips - predicted)) / nullif(sum(total_trips), 0) * 100, 2) AS mape, NULL::DOUBLE AS champion_mae,
+       (SELECT count(*) FROM train) AS n_train, count(*) AS n_test, 'Promoted' AS promotion_status FROM scored"""))
+def q_metrics_json(spark, d):
+    """The metrics record of a model, written as one JSON document and read back by its declared schema."""
+    from datetime import datetime, timezone
+    from velocube.plans.training import metrics_record
+    path = scratch_path(spark, f"metrics-{uuid.uuid4().hex}")
+    tr, te = _split(spark, d)
+    errors = EV.error_metrics(EV.baseline_hour_mean(tr, te))
+    shares = TR.split_counts(TR.node_rows(spark, ENSEMBLE), schemas.MODEL_INPUTS)
+    record = metrics_record(errors, EV.promote(errors, None), tr.unionByName(te), shares, 1, 1, datetime.now(timezone.utc))
+    tables.write_json_doc(record, path)
+    names = ["mae", "rmse", "mape", "champion_mae", "n_train", "n_test", "promotion_status"]
+    return tables.read_json_doc(spark, path, record.schema).select(*names)
+
+
+@register("month_from_file", O.T("""
+SELECT strftime(started_at + to_days(cast(30 * (day(started_at) % 4) AS INTEGER)), '%Y%m') AS month, count(*) AS trips
+FROM trips GROUP BY 1"""))
+def q_month_from_file(spark, d):
+    """Trips exported as files named by month, and counted by the month in their names alone."""
+    from velocube.functions import month_from_path
+    from velocube.sources import versions
+    path = scratch_path(spark, f"months-{uuid.uuid4().hex}")
+    month = F.date_format(F.timestamp_add("DAY", 30 * (F.dayofmonth("started_at") % 4), "started_at"), "yyyyMM")
+    _trips(spark, d).select("ride_id", month.alias("ym")).hint("rebalance", "ym").write.partitionBy("ym").option("header", True).csv(path)
+    for ym in [f for f in versions.listed(spark, path) if f.startswith("ym=")]:  # months
+        for k, part in enumerate(f for f in versions.listed(spark, f"{path}/{ym}") if f.startswith("part-")):
+            versions.renamed(spark, f"{path}/{ym}/{part}", f"{path}/files/{ym[3:]}-tripdata_{k}.csv")
+    rows = spark.read.schema("ride_id string").option("header", True).csv(f"{path}/files")
+    return rows.groupBy(month_from_path(F.col("_metadata.file_path")).alias("month")).agg(F.count(F.lit(1)).alias("trips"))
+
+
+@register("upcoming_fallback", _wsql("SELECT * FROM wide QUALIFY row_number() OVER (ORDER BY target_hour DESC) <= 24"))
+def q_upcoming_fallback(spark, d):
+    """All of the forecast lies before the time asked for: the last 24 hours are served instead."""
+    return SV.upcoming(_wide(spark, d), "2031-01-01 00:00:00")
+
+
+@register("parse_ts", """
+SELECT event_id, date_trunc('millisecond', ts) AS from_millis, ts AS from_micros, date_trunc('second', ts) AS from_seconds,
+       CAST(NULL AS TIMESTAMP) AS from_junk FROM events""")
+def q_parse_ts(spark, d):
+    """Wall clocks written with milliseconds, microseconds and whole seconds, and text that is none."""
+    ev = adapters.load_table(spark, d, "events")
+    text = lambda f: VF.parse_ts(F.date_format("ts", f))
+    return ev.select("event_id", text("yyyy-MM-dd HH:mm:ss.SSS").alias("from_millis"), text("yyyy-MM-dd HH:mm:ss.SSSSSS").alias("from_micros"),
+                     text("yyyy-MM-dd HH:mm:ss").alias("from_seconds"), VF.parse_ts(F.concat(F.lit("x"), "event_type")).alias("from_junk"))
+
+
+@register("actual_vs_predicted", O.Fe(f"""
+SELECT f.start_hour, f.station_id, f.total_trips, p.predicted, round(f.total_trips - p.predicted, 9) AS error
+FROM features f JOIN (SELECT start_hour, station_id, round({O.tree_expr(ENSEMBLE, str)}, 9) AS predicted FROM features WHERE hour % 2 = 0) p
+  USING (start_hour, station_id)"""))
+def q_actual_vs_predicted(spark, d):
+    """Predictions stored apart and joined to what was counted, by hour and station."""
+    feats = _features(spark, d)
+    pred = TR.score(feats.filter("hour % 2 = 0"), TR.node_rows(spark, ENSEMBLE)).select("start_hour", "station_id", F.round("predicted", 9).alias("predicted"))
+    out = feats.select("start_hour", "station_id", "total_trips").join(pred, ["start_hour", "station_id"])
+    return out.withColumn("error", F.round(F.col("total_trips") - F.col("predicted"), 9))
+
+
 @register("publish_latest", O.forecast_sql(FORECAST_SPEC, AS_OF, """
 SELECT station_id, station_rank, target_hour, round(predicted_trips, 6) AS predicted_trips,
        TIMESTAMP '2024-02-19 13:00:00' AS prediction_generated_at FROM preds"""))
@@ -1061,7 +1167,7 @@ def q_stream_hourly(spark, d):
     """Watermarked hourly window counts per station, upserted per micro-batch."""
     root = scratch_path(spark, f"stream-{uuid.uuid4().hex}")
     sink = _stream_hourly_to(spark, d, root)
-    return spark.read.parquet(sink).select("start_hour", "station_id", "total_trips")
+    return tables.read_table(spark, sink).select("start_hour", "station_id", "total_trips")
 
 
 @register("stream_popularity", O.T("""

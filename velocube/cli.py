@@ -68,13 +68,15 @@ def main(argv=None) -> None:
         print(json.dumps({"job": "features", "rows": n, "report_month": month}))
     elif a.job == "train":
         from velocube.plans.training import run_training
-        feats = spark.read.parquet(a.features).drop("month_key")
+        from velocube.sources import tables
+        feats = tables.read_table(spark, a.features).drop("month_key")
         rec = run_training(spark, feats, a.runs, a.models, max_iter=a.rounds, metrics_path=a.metrics).first().asDict(recursive=True)
         print(json.dumps(rec, default=str))
     else:
         from velocube.plans.inference import run_inference
+        from velocube.sources import tables
         as_of = a.as_of or datetime.now(timezone.utc).strftime("%Y-%m-%d %H:%M:%S")
-        feats = spark.read.parquet(a.features).drop("month_key")
+        feats = tables.read_table(spark, a.features).drop("month_key")
         out = run_inference(spark, feats, a.runs, a.out, as_of)
         print(json.dumps({"job": "infer", "rows": 0 if out is None else out.count(), "as_of": as_of}))
 

@@ -106,18 +106,33 @@ def top_routes(clean: DataFrame, n: int = 10) -> DataFrame:
     return top_k(route_counts(clean), "count", "route", n)
 
 
+def order_key(ts: str = "started_at", tie: str = "ride_id", newest_month: bool = False):
+    """One number that orders rows by start time and then by a hash of their id; rows without a start time come last.
+
+    A number of fixed width keeps ``min``/``min_by`` in a hash aggregate, which a struct with a text would not.
+    With ``newest_month`` later months come first (the order inside a month stays).
+    """
+    wide, t = "decimal(38,0)", F.col(ts).cast("timestamp")
+    micros = F.coalesce(F.unix_micros(t), F.lit(10 ** 16 - 1)).cast(wide)
+    key = micros * F.lit(2 ** 48).cast("decimal(15,0)") + F.xxhash64(tie).bitwiseAND(F.lit(2 ** 48 - 1)).cast(wide)
+    if newest_month:
+        month = F.coalesce(F.year(ts) * 100 + F.month(ts), F.lit(0))
+        key = (F.lit(999_999) - month).cast("decimal(6,0)") * F.lit(str(10 ** 31)).cast("decimal(32,0)") + key
+    return key.cast(wide)
+
+
+def first_places(clean: DataFrame, ts: str = "started_at", tie: str = "ride_id") -> DataFrame:
+    """Per start-station name: trips, trips with a start time, and the first non-NULL latitude and longitude, each on its own."""
+    first = lambda c: F.min_by(c, F.when(F.col(c).isNotNull(), F.col("_key")))
+    return (clean.filter(F.col("start_station_name").isNotNull()).withColumn("_key", order_key(ts, tie))
+            .groupBy("start_station_name")
+            .agg(F.count(F.lit(1)).alias("trips"), F.count(ts).alias("count"), first("start_lat").alias("lat"), first("start_lng").alias("lng")))
+
+
 def station_geo(clean: DataFrame, n: int = 500, order: Sequence[str] = ("started_at", "ride_id")) -> DataFrame:
-    """Per start-station name: first non-NULL latitude and first non-NULL
-    longitude (each on its own, in ``order``), number of trips with a start
-    time; stations without coordinates dropped; top ``n`` by count."""
-    o = F.struct(*[F.col(c) for c in order])
-    first_nn = lambda c: F.min_by(F.col(c), F.when(F.col(c).isNotNull(), o))
-    g = (clean.filter(F.col("start_station_name").isNotNull())
-         .groupBy("start_station_name")
-         .agg(first_nn("start_lat").alias("lat"), first_nn("start_lng").alias("lng"),
-              F.count("started_at").alias("count"))
-         .filter(F.col("lat").isNotNull() & F.col("lng").isNotNull()))
-    return top_k(g, "count", "start_station_name", n)
+    """``first_places`` of the stations that have coordinates; top ``n`` by trips with a start time."""
+    g = first_places(clean, *order).drop("trips").filter(F.col("lat").isNotNull() & F.col("lng").isNotNull())
+    return top_k(g.select("start_station_name", "lat", "lng", "count"), "count", "start_station_name", n)
 
 
 def geo_points(clean: DataFrame, n: int | None = None) -> DataFrame:
@@ -147,14 +162,15 @@ def hour_mean(df: DataFrame, hour: str = "hour", y: str = "total_trips",
     return df.groupBy(hour).agg(F.avg(y).alias(name))
 
 
-def station_names(trips: DataFrame, month_col: str | None = None) -> DataFrame:
-    """First non-NULL name per station id: newest month first, then start
-    time (then ride id) inside a month."""
-    month = F.col(month_col) if month_col else (F.year("started_at") * 100 + F.month("started_at"))
-    key = F.struct((-month).alias("m"), F.col("started_at"), F.col("ride_id"))
+def station_names(trips: DataFrame) -> DataFrame:
+    """First non-NULL name per station id: newest month first, then start time (then a hash of the ride id) inside a month.
+
+    Rows collapse to (station, name) with the least order key first; the few names of a station are then compared.
+    """
     named = trips.filter(F.col("start_station_id").isNotNull() & F.col("start_station_name").isNotNull())
-    return (named.groupBy(F.col("start_station_id").alias("station_id"))
-            .agg(F.min_by("start_station_name", key).alias("station_name")))
+    each = (named.groupBy(F.col("start_station_id").alias("station_id"), F.col("start_station_name").alias("station_name"))
+            .agg(F.min(order_key(newest_month=True)).alias("_key")))
+    return each.groupBy("station_id").agg(F.min_by("station_name", "_key").alias("station_name"))
 
 
 def pivot_counts(df: DataFrame, key: str, col: str, values: Sequence[str]) -> DataFrame:
@@ -193,3 +209,19 @@ def top_names(trips: DataFrame, k: int, counts: DataFrame | None = None) -> Data
     top = F.broadcast(top_stations(pop, k).select("station_id"))  # k rows
     used = trips.join(top.withColumnRenamed("station_id", "start_station_id"), "start_station_id", "left_semi")
     return top.join(station_names(used), "station_id", "left").select("station_id", F.coalesce("station_name", "station_id").alias("station_name"))
+
+
+def update_popularity(spark, bronze: str, store: str) -> DataFrame:
+    """``station_popularity`` of all landed months, from counts that are stored by month.
+
+    Only months that the store lacks are scanned (which ones follows from folder names and the store's manifest); their
+    counts are added as partitions of a new version, and the totals are sums over the stored counts.
+    """
+    from velocube.sources import tables, versions
+    base, folders = versions.manifest(spark, store)
+    new = [m for m in tables.bronze_months(spark, bronze) if m not in folders]
+    if new:
+        counts = (tables.read_bronze(spark, bronze, new).filter(F.col("start_station_id").isNotNull())
+                  .groupBy("ym", F.col("start_station_id").alias("station_id")).agg(F.count(F.lit(1)).alias("trips")))
+        versions.replace(spark, store, counts, "ym", base, folders)
+    return tables.read_table(spark, store).groupBy("station_id").agg(F.sum("trips").alias("trips"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from velocube import schemas
 from velocube.functions import day_of_week, hour_of_day, is_weekend, month_of_year
@@ -67,8 +67,16 @@ def build_features(trips: DataFrame, k: int = 3, n: int = schemas.N_LAGS,
 
 
 def latest_state(features: DataFrame, key: str = "station_id", ts: str = "start_hour") -> DataFrame:
-    """Last feature row per station (partial aggregation, no sort)."""
+    """Last feature row per station.
+
+    The table's key is (station, hour), so each column's value at the last hour is of one row; columns of
+    fixed width stay in a hash aggregate.
+    """
     cols = [c for c in features.columns if c != key]
+    fixed = (T.NumericType, T.TimestampType, T.TimestampNTZType, T.DateType, T.BooleanType)
+    if all(isinstance(features.schema[c].dataType, fixed) for c in cols):
+        last = features.groupBy(key).agg(*[(F.max(c) if c == ts else F.max_by(c, ts)).alias(c) for c in cols])
+        return last.select(*features.columns)
     last = features.groupBy(key).agg(F.max_by(F.struct(*cols), F.col(ts)).alias("_s"))
     return last.select(key, "_s.*").select(*features.columns)
 
@@ -78,27 +86,19 @@ def chrono_split(df: DataFrame, order: Sequence[str] = ("start_hour", "station_r
     """Positional split: after sorting by ``order`` the first int(n*frac)
     rows are 'train', the rest 'test'.
 
-    Counts per first order column (hours) and their running sums give the
-    boundary hour; only that hour's rows are ordered, to find the last one in
-    'train'.  Rows are labelled by comparing with it, so the table itself is
-    neither shuffled nor sorted.  Rows that tie with the boundary row in all
-    of ``order`` stay with it.
+    Counts per key of ``order`` and their running sums give the key of the last row in 'train'; rows are labelled by
+    comparing with it, so the table is read twice (counts, labels) and neither shuffled as a whole nor sorted.  Rows that tie
+    with that row in all of ``order`` stay with it.
     """
-    first, rest = order[0], list(order[1:])
-    hours = prefix_sums(df.groupBy(first).agg(F.count(F.lit(1)).alias("_n")), [first], ["_n"])
-    n = hours.agg(F.max("_n_cum")).first()[0] or 0
+    keys = list(order)
+    sums = prefix_sums(df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")), keys, ["_n"])
+    n = sums.agg(F.max("_n_cum")).first()[0] or 0
     cut = math.floor(n * frac)
-    edge = hours.filter(F.col("_n_cum") > cut).orderBy(first).limit(1).first()
-    if edge is None:  # nothing to hold out
-        return df.withColumn(col, F.lit("train"))
-    hour = F.lit(edge[first])
-    need = cut - (edge["_n_cum"] - edge["_n"])
-    train = F.col(first) < hour
-    if need and rest:
-        keys = F.struct(*rest)
-        last = df.filter(F.col(first) == hour).select(*rest).orderBy(*rest).limit(need).orderBy(*[F.desc(c) for c in rest]).first()
-        train |= (F.col(first) == hour) & (keys <= F.struct(*[F.lit(last[c]).cast(df.schema[c].dataType).alias(c) for c in rest]))
-    return df.withColumn(col, F.when(train, "train").otherwise("test"))
+    if cut == 0:
+        return df.withColumn(col, F.lit("test"))
+    last = sums.filter(F.col("_n_cum") >= cut).orderBy("_n_cum").select(*keys).first()
+    edge = F.struct(*[F.lit(last[c]).cast(df.schema[c].dataType).alias(c) for c in keys])
+    return df.withColumn(col, F.when(F.struct(*keys) <= edge, "train").otherwise("test"))
 
 
 def data_lag(features: DataFrame, as_of, key: str = "station_id", ts: str = "start_hour") -> DataFrame:

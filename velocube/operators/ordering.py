@@ -22,7 +22,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window, functions as F
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 _PID = "_vc_pid"
 
@@ -79,28 +82,83 @@ def with_global_rank(df: DataFrame, order_cols: Sequence[str], partition_cols: S
 
 
 def lags_distributed(df: DataFrame, y: str, order_cols: Sequence[str], n: int,
-                     partition_cols: Sequence[str] = (), block: int = 1 << 16,
-                     prefix: str = "lag_", num_partitions: int | None = None) -> DataFrame:
+                     partition_cols: Sequence[str] = (), prefix: str = "lag_", num_partitions: int | None = None) -> DataFrame:
     """``lag(y, 1..n)`` over rows ordered by ``order_cols`` within
     ``partition_cols``, for series of any length.
 
-    Rows get a global index (``with_global_rank``); the series is cut into
-    blocks of ``block`` rows, and the last ``n`` rows of every block are
-    copied into the next block as a halo, so each block's window sees all the
-    history it needs.  Work per task is bounded by ``block + n`` rows.
+    Rows are range-partitioned and sorted once.  Only the last ``n`` values of each range piece travel on: from the pieces'
+    first and last groups and these values (one short row a piece) follow the values that each piece begins with, and
+    every piece then shifts its own rows, batch by batch.
     """
-    assert block > n
     part = list(partition_cols)
-    idx = "_vc_idx"
-    ranked = with_global_rank(df, order_cols, part, idx, num_partitions)
-    blk = F.floor(F.col(idx) / block)
-    body = ranked.withColumn("_vc_blk", blk).withColumn("_vc_halo", F.lit(False))
-    halo = (ranked.filter((F.col(idx) % block) >= block - n)
-            .withColumn("_vc_blk", blk + 1).withColumn("_vc_halo", F.lit(True)))
-    both = body.unionByName(halo)
-    w = Window.partitionBy(*part, "_vc_blk").orderBy(idx)
-    out = both.select("*", *[F.lag(y, k).over(w).alias(f"{prefix}{k}") for k in range(1, n + 1)])
-    return out.filter(~F.col("_vc_halo")).drop("_vc_blk", "_vc_halo", idx)
+    group = F.to_json(F.struct(*part), {"ignoreNullFields": "false"}) if part else F.lit("")
+    ranged = df.withColumn("_vc_g", group).repartitionByRange(_num_partitions(df, num_partitions), *part, *order_cols)
+    from velocube.session import checkpoint_dir
+    checkpoint_dir(df.sparkSession)
+    ranged = ranged.sortWithinPartitions(*part, *order_cols).withColumn(_PID, F.spark_partition_id()).checkpoint(eager=True)
+    kind = df.schema[y].dataType
+
+    def ends(batches):
+        first = last = pid = None
+        tail = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            pids, groups, values = batch.columns
+            if first is None:
+                first, pid = groups[0].as_py(), pids[0].as_py()
+            now = groups[len(groups) - 1].as_py()
+            same = len(groups) - (pc.index(pc.equal(groups, now), True).as_py() if len(groups) else 0)
+            mine = values.slice(len(values) - min(n, same))
+            if tail is not None and now == last and same == len(groups):
+                mine = pa.concat_arrays([tail, mine])
+            tail, last = mine.slice(max(0, len(mine) - n)), now
+        if first is not None:
+            yield pa.RecordBatch.from_arrays([pa.array([pid], pa.int32()), pa.array([first]), pa.array([last]), pa.ListArray.from_arrays(pa.array([0, len(tail)], pa.int32()), tail)], names=["pid", "first", "last", "tail"])
+
+    schema = T.StructType([T.StructField("pid", T.IntegerType()), T.StructField("first", T.StringType()),
+                           T.StructField("last", T.StringType()), T.StructField("tail", T.ArrayType(kind))])
+    pieces = ranged.select(_PID, "_vc_g", y).mapInArrow(ends, schema).toArrow().sort_by("pid").combine_chunks()  # one row a piece
+    before, held, group_of = {}, None, None
+    for i in range(pieces.num_rows):
+        pid, first, last = (pieces[c][i].as_py() for c in ("pid", "first", "last"))
+        tail = pieces["tail"][i].values
+        if held is not None and first == group_of:
+            before[pid] = held
+        if first == last == group_of:
+            tail = pa.concat_arrays([held, tail])
+        held, group_of = tail.slice(max(0, len(tail) - n)), last
+    shared = {pid: (x.to_pylist()) for pid, x in before.items()}  # n values a piece at most
+    names, columns = [f"{prefix}{k}" for k in range(1, n + 1)], df.columns
+    out = T.StructType([*df.schema.fields, *[T.StructField(c, kind) for c in names]])
+
+    def shift(batches):
+        tail = last = None
+        for batch in batches:
+            rows = batch.num_rows
+            if not rows:
+                continue
+            groups, values = batch.column(rows_at["_vc_g"]), batch.column(rows_at[y])
+            if last is None:
+                start = shared.get(batch.column(rows_at[_PID])[0].as_py(), [])
+                tail, last = pa.array(start, values.type), groups[0].as_py()
+            new = np.ones(rows, bool)
+            new[1:] = pc.not_equal(groups.slice(1), groups.slice(0, rows - 1)).to_numpy(zero_copy_only=False)
+            new[0] = groups[0].as_py() != last
+            every = pa.concat_arrays([tail, values])
+            place = np.arange(rows) + len(tail)
+            begin = np.maximum.accumulate(np.where(new, place, 0))
+            lags = []
+            for k in range(1, n + 1):
+                at = place - k
+                lags.append(every.take(pa.array(at, pa.int64(), mask=at < begin)))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:len(columns)], *lags], names=[*columns, *names])
+            keep = len(every) - max(int(begin[-1]), len(every) - n)
+            tail, last = every.slice(len(every) - keep), groups[rows - 1].as_py()
+
+    cols = [*columns, "_vc_g", _PID]
+    rows_at = {c: i for i, c in enumerate(cols)}
+    return ranged.select(*cols).mapInArrow(shift, out)
 
 
 #: Groups whose statistics a checked broadcast may hold.

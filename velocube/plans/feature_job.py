@@ -33,4 +33,4 @@ def run_features(spark: SparkSession, trips: DataFrame, features_path: str, repo
         names = A.top_names(trips, k, counts.groupBy("station_id").agg(F.sum("count").alias("trips")))
         rep = monthly_report(clean, names, f"{report_month or ''}-tripdata.csv")
         tables.write_json_doc(rep, report_path)
-    return spark.read.parquet(features_path)
+    return tables.read_table(spark, features_path)

@@ -1,6 +1,6 @@
 """Monthly dashboard report as one nested row (and its JSON text).
 
-All counts come from one GROUPING SETS aggregation (one scan, one shuffle).
+Counts roll up from a small cube (hour x class x bike x bin); stations and routes are hash aggregates of their own.
 Every piece is bounded by construction (24 hours x 2 classes, bike types,
 13 bins x 2, top 10, top 500) before it is folded into an array of structs
 with ``collect_list``; the pieces are joined as one-row tables.
@@ -9,7 +9,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from velocube.functions.text import ROUTE_SEP
 from velocube.operators import aggregates as A
 from velocube.operators.ordering import attach_group_stats
 
@@ -20,34 +19,13 @@ def _arr(df: DataFrame, name: str, fields: list, sort_by: list) -> DataFrame:
         F.transform("_a", lambda e: e.dropFields("_k")).alias(name))
 
 
-# grouping sets of the report, in order; grouping_id() tells them apart
-_SETS = [("hour", "member_casual"), ("rideable_type",), ("bin", "member_casual"), ("route",),
-         ("start_station_name",), ("hour",), ()]
-_KEYS = ["hour", "member_casual", "rideable_type", "bin", "route", "start_station_name"]
-
-
-def _gid(keys: tuple) -> int:
-    """grouping_id of a set: bit i (from the left) is 1 when key i is absent."""
-    n = len(_KEYS)
-    return sum(1 << (n - 1 - i) for i, k in enumerate(_KEYS) if k not in keys)
-
-
-def report_counts(clean: DataFrame, width: int = 5, cap: int = 60,
-                  order: tuple = ("started_at", "ride_id")) -> DataFrame:
-    """Every count of the report in ONE aggregation (GROUPING SETS): a
-    single scan and a single shuffle of the month's trips, partial
-    aggregation per set.  Rows carry ``gid`` to select a set."""
-    from velocube.functions import duration_bin, route
-    o = F.struct(*[F.col(c) for c in order])
-    first_nn = lambda c: F.min_by(F.col(c), F.when(F.col(c).isNotNull(), o))
-    pre = (clean.withColumn("bin", duration_bin("duration_min", width, cap))
-                .withColumn("route", route("start_station_name", "end_station_name")))
-    return (pre.groupingSets([list(s) for s in _SETS], *_KEYS)
-            .agg(F.grouping_id().alias("gid"), F.count(F.lit(1)).alias("count"),
-                 F.count("started_at").alias("n_started"),
-                 first_nn("start_lat").alias("lat"), first_nn("start_lng").alias("lng"),
-                 F.avg("duration_min").alias("avg_duration"),
-                 F.avg(F.when(F.col("member_casual") == "member", 1.0).otherwise(0.0)).alias("member_share")))
+def report_cells(clean: DataFrame, width: int = 5, cap: int = 60) -> DataFrame:
+    """Trips and their minutes per (hour, rider class, bike type, duration bin): a cube of bounded size that every count
+    over these rolls up from."""
+    from velocube.functions import duration_bin
+    return (clean.withColumn("bin", duration_bin("duration_min", width, cap))
+            .groupBy("hour", "member_casual", "rideable_type", "bin")
+            .agg(F.count(F.lit(1)).alias("count"), F.sum("duration_min").alias("minutes")))
 
 
 def monthly_report(clean: DataFrame, top_station_names: DataFrame | None = None,
@@ -57,39 +35,36 @@ def monthly_report(clean: DataFrame, top_station_names: DataFrame | None = None,
     from velocube.functions import bin_label, round_py
     from velocube.session import checkpoint_dir
     checkpoint_dir(clean.sparkSession)
-    # the grouped counts are small (bounded by the report's keys); they are
-    # materialised once so every piece reads them instead of re-planning a
-    # scan (the optimizer would push each piece's set filter into the scan)
-    g = report_counts(clean, width, cap).checkpoint(eager=True)
-    part = lambda keys, *nn: g.filter((F.col("gid") == _gid(keys)) & F.expr(
-        " AND ".join([f"{k} IS NOT NULL" for k in nn] or ["true"])))
-    tot = part(())
-    peak = part(("hour",), "hour").agg(
+    # three hash aggregates, each over the columns it needs; the grouped counts are materialised once and every piece
+    # reads them
+    cells = report_cells(clean, width, cap).checkpoint(eager=True)
+    places = A.first_places(clean).checkpoint(eager=True)
+    sums = lambda *keys: cells.dropna(subset=list(keys)).groupBy(*keys).agg(F.sum("count").alias("count"))
+    tot = cells.agg(F.coalesce(F.sum("count"), F.lit(0)).alias("count"), F.try_divide(F.sum("minutes"), F.sum("count")).alias("avg_duration"),
+                    F.try_divide(F.sum(F.when(F.col("member_casual") == "member", F.col("count")).otherwise(0)), F.sum("count")).alias("member_share"))
+    peak = sums("hour").agg(
         F.max_by("hour", F.struct(F.col("count"), -F.col("hour"))).cast("int").alias("peakHour"))
     s = attach_group_stats(tot, peak, []).select(F.struct(
         F.col("count").alias("totalTrips"), round_py("avg_duration", 1).alias("avgDuration"),
         round_py(F.col("member_share") * 100, 1).alias("memberRatio"), F.col("peakHour"),
         F.lit(file_name).alias("fileName")).alias("summary"))
-    hd = _arr(part(("hour", "member_casual"), "hour", "member_casual"), "hourlyDensity",
+    hd = _arr(sums("hour", "member_casual"), "hourlyDensity",
               [F.col("hour"), F.col("member_casual").alias("type"), F.col("count")],
               [F.col("hour"), F.col("member_casual")])
-    rd = _arr(part(("rideable_type",), "rideable_type"), "rideableData",
+    rd = _arr(sums("rideable_type"), "rideableData",
               [F.col("rideable_type").alias("type"), F.col("count")],
               [(-F.col("count")).alias("c"), F.col("rideable_type")])
-    dh = _arr(part(("bin", "member_casual"), "bin", "member_casual"), "durationData",
+    dh = _arr(sums("bin", "member_casual"), "durationData",
               [F.col("bin"), bin_label("bin", width).alias("binLabel"), F.col("member_casual").alias("type"),
                F.col("count")], [F.col("bin"), F.col("member_casual")])
-    routes = part(("route",), "route").filter(F.col("route") != ROUTE_SEP)
-    tr = _arr(A.top_k(routes, "count", "route", 10), "topRoutes", [F.col("route"), F.col("count")],
+    tr = _arr(A.top_routes(clean, 10), "topRoutes", [F.col("route"), F.col("count")],
               [(-F.col("count")).alias("c"), F.col("route")])
-    names = part(("start_station_name",), "start_station_name")
-    geo = A.top_k(names.filter(F.col("lat").isNotNull() & F.col("lng").isNotNull())
-                  .withColumn("count", F.col("n_started")), "count", "start_station_name", 500)
+    geo = A.top_k(places.filter(F.col("lat").isNotNull() & F.col("lng").isNotNull()), "count", "start_station_name", 500)
     geo = _arr(geo, "geoData", [F.col("start_station_name").alias("station"), F.col("lat"), F.col("lng"),
                                 F.col("count")], [(-F.col("count")).alias("c"), F.col("start_station_name")])
-    ts = _arr(A.top_k(names, "count", "start_station_name", 10), "topStations",
-              [F.col("start_station_name").alias("station"), F.col("count")],
-              [(-F.col("count")).alias("c"), F.col("start_station_name")])
+    ts = _arr(A.top_k(places, "trips", "start_station_name", 10), "topStations",
+              [F.col("start_station_name").alias("station"), F.col("trips").alias("count")],
+              [(-F.col("trips")).alias("c"), F.col("start_station_name")])
     if top_station_names is not None:
         nm = top_station_names.agg(F.map_from_entries(F.collect_list(
             F.struct("station_id", "station_name"))).alias("topStationNames"))

@@ -3,14 +3,13 @@ latest-pointer publishing, month selection."""
 from __future__ import annotations
 
 import os
-import uuid
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 from pyspark.storagelevel import StorageLevel
 
-from velocube.session import scratch_path
+from velocube.sources import versions
 
 
 # ---------------------------------------------------------------- months
@@ -48,9 +47,12 @@ def is_folder(spark: SparkSession, path: str) -> bool:
     return fs.exists(jvm_path) and fs.getFileStatus(jvm_path).isDirectory()
 
 
-def load_features(spark: SparkSession, root: str, version: int = 1) -> DataFrame:
-    """Feature table by name + version: ``<root>/v=<version>``."""
-    return spark.read.parquet(os.path.join(root, f"v={version}"))
+def load_features(spark: SparkSession, root: str, version: int | None = None) -> DataFrame:
+    """Feature table by name and version: a version that ``upsert`` has made (the newest by default), or a
+    folder ``<root>/v=<version>``."""
+    if versions.history(spark, root):
+        return read_table(spark, root, version)
+    return spark.read.parquet(os.path.join(root, f"v={version or 1}"))
 
 
 def read_predictions(spark: SparkSession, path: str) -> DataFrame:
@@ -105,47 +107,47 @@ def write_json_doc(doc: DataFrame, path: str) -> None:
 
 def upsert(spark: SparkSession, target_path: str, new: DataFrame, keys: Sequence[str],
            event_time: str, partition_col: str | None = "month_key") -> DataFrame:
-    """Keyed upsert into a Parquet table.  Of the rows of a key the one with
+    """Keyed upsert into a versioned Parquet table (``sources.versions``).  Of the rows of a key the one with
     the latest ``event_time`` wins; at equal times a new row beats an old one,
     and among new rows the order of a hash of the row decides.
 
-    With ``partition_col`` only the partitions that ``new`` touches are read
-    (a literal filter on their values) and rewritten (dynamic partition
-    overwrite); without it the table is rewritten whole.  Only a missing path
-    counts as an empty table: a table that cannot be read raises and stays as
-    it is.  The old rows are first materialised in the shared checkpoint
-    folder, so the job never reads files it is overwriting and survives
-    executor loss; ``new`` is computed once.
+    With ``partition_col`` only the partitions that ``new`` touches are read and written anew; the others are
+    carried over by name.  All of them become visible at once, with the manifest that is written last: a job that dies
+    half way leaves the old version whole.  Only a missing path counts as an empty table: a table that cannot be
+    read raises and stays as it is.  A plain Parquet folder is taken over as it is read.
     """
     if partition_col and partition_col not in new.columns:
         new = new.withColumn(partition_col, F.date_format(F.col(event_time), "yyyyMM"))
-    old = existing(spark, target_path)
     new = new.persist(StorageLevel.MEMORY_AND_DISK)
-    stage = scratch_path(spark, f"upsert-stage-{uuid.uuid4().hex}")
     try:
+        base, folders = versions.manifest(spark, target_path)
+        if base == 0:  # nothing there, or a plain folder: all of it is touched
+            old, touched = existing(spark, target_path), None
+        else:
+            touched = [None]
+            if partition_col:  # months: a short list
+                touched = [r[0] for r in new.select(F.col(partition_col).cast("string")).distinct().collect()]
+            old = versions.read(spark, target_path, base, touched)
         both = new.withColumn("_src", F.lit(1))
         if old is not None:
-            if partition_col:
-                part = F.col(partition_col).cast("string")
-                touched = [r[0] for r in new.select(part.alias("p")).distinct().collect()]  # months: a short list
-                old = old.filter(part.isin([t for t in touched if t is not None]) | (part.isNull() if None in touched else F.lit(False)))
-                old = old.withColumn(partition_col, part)
-            old.withColumn("_src", F.lit(0)).write.parquet(stage)
-            both = spark.read.parquet(stage).unionByName(both, allowMissingColumns=True)
+            if partition_col in old.columns:
+                old = old.withColumn(partition_col, F.col(partition_col).cast(new.schema[partition_col].dataType))
+            both = old.withColumn("_src", F.lit(0)).unionByName(both, allowMissingColumns=True)
         # keys are (nearly) unique: each window partition holds at most the old and the new rows of one key
         w = Window.partitionBy(*keys).orderBy(F.col(event_time).desc(), F.col("_src").desc(), F.xxhash64(*new.columns))
         merged = both.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn", "_src")
-        if partition_col:  # a few files a partition, and large partitions split
-            writer = merged.hint("rebalance", partition_col).write.mode("overwrite")
-            writer = writer.option("partitionOverwriteMode", "dynamic").partitionBy(partition_col)
-        else:
-            writer = merged.write.mode("overwrite")
-        writer.parquet(target_path)
+        keep = {} if touched is None else {v: f for v, f in folders.items() if v not in touched}
+        return versions.replace(spark, target_path, merged, partition_col, base, keep)
     finally:
         new.unpersist()
-        if old is not None:
-            delete_path(spark, stage)  # our own uniquely named staging copy
-    return spark.read.parquet(target_path)
+
+
+def read_table(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:
+    """A versioned table (or a plain Parquet folder), the newest version by default."""
+    out = versions.read(spark, path, version)
+    if out is None:
+        raise FileNotFoundError(path)
+    return out
 
 
 def delete_path(spark: SparkSession, path: str) -> None:
@@ -187,11 +189,16 @@ def months_before(as_of: str, n: int = 12) -> list[str]:
     return out
 
 
-def write_bronze(trips: DataFrame, path: str, ts: str = "started_at") -> None:
+def write_bronze(trips: DataFrame, path: str, ts: str = "started_at", mode: str = "overwrite") -> None:
     """Land trips once as Parquet partitioned by month ('ym'); later scans
     prune months and push filters into the files."""
     (trips.withColumn("ym", F.coalesce(F.date_format(F.col(ts), "yyyyMM"), F.lit("unknown")))
-          .write.mode("overwrite").partitionBy("ym").parquet(path))
+          .write.mode(mode).partitionBy("ym").parquet(path))
+
+
+def bronze_months(spark: SparkSession, path: str) -> list[str]:
+    """The months that have landed, from the folders' names."""
+    return sorted(name[3:] for name in versions.listed(spark, path) if name.startswith("ym="))
 
 
 def read_bronze(spark: SparkSession, path: str, months: Sequence[str] | None = None) -> DataFrame:
