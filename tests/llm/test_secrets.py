@@ -61,3 +61,20 @@ def test_clean_and_empty(spark, odd, empty):
     assert kept.where("doc_id IS NULL").count() == 1 and kept.where("doc_id = 1000").count() == 1
     path = fresh_path(spark, "ledger")
     assert secrets.scan(empty.withColumnRenamed("doc_id", "path"), path).count() == 0
+
+
+def test_web_tokens_as_the_plain_rule_and_in_proportion():
+    """The plain rule's matches, runs without an end included; four megabytes of its start take seconds."""
+    import random
+    import re
+    import time
+    plain = re.compile(rb"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}")
+    rng = random.Random(3)
+    parts = [b"eyJ", b"eyJabcdefgh", b"abcdefgh", b"abc", b".", b".", b" ", b"-", b"eyJeyJeyJeyJ", b"eyJ_0123456.01234567.89abcdef"]
+    for _ in range(4000):
+        text = b"".join(rng.choices(parts, k=rng.randrange(1, 16)))
+        assert list(secrets._web_tokens(text)) == [m.span() for m in plain.finditer(text)], text
+    for text in (b"eyJ" * 1400000, b"eyJabcdefgh." * 350000, b"a" * 4000000):
+        start = time.time()
+        secrets.find(text)
+        assert time.time() - start < 10

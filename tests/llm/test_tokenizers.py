@@ -200,3 +200,16 @@ def test_runs_and_equal_documents_are_compressed_to_the_end():
     pairs = Counter((a, b) for a, b, e in zip(symbols[:-1].tolist(), symbols[1:].tolist(), ends[:-1].tolist()) if not e and a != b)
     assert not pairs or max(pairs.values()) < tokenfiles.FREQUENT
     assert (tokenfiles.rule_lengths(rules, 100) == [len(tokenfiles.expand(np.array([100 + k]), rules, 100)) for k in range(len(rules))]).all()
+
+
+def test_letters_without_a_blank_take_time_in_proportion():
+    import time
+    model = pieces.load(MODEL)
+    took = []
+    for n in (1 << 16, 1 << 19):
+        text = "".join("abcdefghij"[k * k % 7 + k % 3] for k in range(n))
+        start = time.time()
+        ids = model.encode(text)
+        took.append(time.time() - start)
+        assert model.decode(ids) == text
+    assert took[1] < 20 * max(took[0], 0.05)

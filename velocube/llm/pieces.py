@@ -138,7 +138,7 @@ class Pieces:
         longest = [-1] * n
         for end, (token, size) in self.automaton.iter(text):  # a start's later matches are longer
             longest[end + 1 - size] = token
-        open_at = (1 << (n + 1)) - 1  # the bitfield of positions that have not failed
+        failed = bytearray(n + 1)  # the field of positions that have failed: a byte each, so that a test takes no longer in a long cut
         length, shorter, compatible = self.length, self.shorter, self.compatible
         out: list[int] = []
         at, token, fresh = 0, longest[0] if n else -1, True
@@ -151,14 +151,14 @@ class Pieces:
             last = out[-1] if out else -1
             while token >= 0:
                 end = at + length[token]
-                if open_at >> end & 1 and (last < 0 or compatible(last, token)):
+                if not failed[end] and (last < 0 or compatible(last, token)):
                     out.append(token)
                     at, fresh = end, True
                     token = longest[at] if at < n else -1
                     break
                 token = shorter[token]
             else:
-                open_at &= ~(1 << at)
+                failed[at] = 1
                 token, fresh = out.pop(), False  # its own end has failed: the search goes on with shorter prefixes
                 at -= length[token]
         return out

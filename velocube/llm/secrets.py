@@ -34,10 +34,22 @@ _ACCESS = re.compile(rb"AKIA[A-Z0-9]{12,}")
 _HEX = re.compile(rb"[0-9a-f]{32,}")
 _MORE = [
     (3, re.compile(rb"-----BEGIN (?:[A-Z]+ )*PRIVATE KEY-----")),
-    (4, re.compile(rb"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}")),
     (5, re.compile(rb"gh[pousr]_[A-Za-z0-9]{36,}")),
 ]
 
+#: A whole run, and behind it the two other parts of a web token: each run is walked a bounded number of times.
+_PARTS = re.compile(rb"(?<![A-Za-z0-9_-])([A-Za-z0-9_-]++)(?=(\.[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{8,}+))")
+
+
+def _web_tokens(text: bytes):
+    """(start, end) of eyJ and three parts of 8 signs or more each, leftmost and without overlaps."""
+    end = 0
+    for m in _PARTS.finditer(text) if b"eyJ" in text else ():
+        at = m[1].find(b"eyJ", max(0, end - m.start()))
+        if at >= 0 and len(m[1]) - at >= 11:
+            end = m.end() + len(m[2])
+            yield m.start() + at, end
+
 
 def find(text: bytes) -> list[dict]:
     """All spans of a text in code points, by start and then kind."""
@@ -46,6 +58,7 @@ def find(text: bytes) -> list[dict]:
     out += [(m.start(), 2, m.end()) for m in _HEX.finditer(text)]
     for kind, rule in _MORE:
         out += [(m.start(), kind, m.end()) for m in rule.finditer(text)]
+    out += [(a, 4, b) for a, b in _web_tokens(text)]
     if not out:
         return []
     if not text.isascii():  # byte offsets to code points, each place decoded once
