@@ -72,12 +72,36 @@ def test_exact_quantiles_match_numpy(spark):
                                    np.quantile(grp.v, [0.1, 0.5, 0.75]))
 
 
-def test_distributed_lags_cross_blocks(spark):
+def test_distributed_lags_cross_pieces(spark, monkeypatch):
+    """Pieces shorter than the lags, groups that span, begin and end within pieces, null groups and values, small batches."""
     pdf = pd.DataFrame({"t": np.arange(300), "y": np.arange(300) * 3})
-    out = lags_distributed(spark.createDataFrame(pdf), "y", ["t"], 5, block=16).toPandas().sort_values("t")
+    out = lags_distributed(spark.createDataFrame(pdf), "y", ["t"], 5, num_partitions=100).toPandas().sort_values("t")
     for k in (1, 5):
         exp = pdf["y"].shift(k)
         assert ((out[f"lag_{k}"].isna() & exp.isna()) | (out[f"lag_{k}"] == exp)).all()
+    rng = np.random.default_rng(4)
+    rows = [(g, int(t), None if rng.random() < 0.1 else int(rng.integers(0, 99)))
+            for g, n in (("a", 3), ("b", 150), (None, 40), ("c", 1), ("", 30)) for t in rng.permutation(n)]
+    df = spark.createDataFrame(rows, "g string, t int, y long")
+    size = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    try:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+        got = {(r.g, r.t): tuple(r[c] for c in ("lag_1", "lag_2", "lag_4")) for r in lags_distributed(df, "y", ["t"], 4, ["g"], num_partitions=9).collect()}
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+    values = {(g, t): y for g, t, y in rows}
+    assert got == {(g, t): tuple(values.get((g, t - k)) for k in (1, 2, 4)) for g, t in values}
+
+
+def test_chrono_split_ties_and_edges(spark):
+    from velocube.operators.features import chrono_split
+    rows = [(h, r) for h in range(10) for r in (0, 0, 1)]
+    df = spark.createDataFrame(rows, "start_hour int, station_rank int")
+    split = lambda d, f: sorted((r.start_hour, r.station_rank) for r in chrono_split(d, frac=f).filter("split = 'train'").collect())
+    assert split(df, 0.8) == rows[:24] and split(df, 0.5) == rows[:15]
+    assert split(df, 0.51) == rows[:15] and split(df, 0.0) == [] and split(df, 1.0) == rows
+    assert split(df, 16 / 30) == rows[:17]  # the row that ties with the last one stays with it
+    assert chrono_split(df.limit(0)).count() == 0
 
 
 def test_rank_keeps_null_group(spark):

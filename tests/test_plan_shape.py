@@ -40,3 +40,43 @@ def test_popularity_over_bronze_reads_one_column(spark, tmp_path):
     plan = final_plan(station_popularity(read_bronze(spark, path)))
     assert set(re.findall(r"ReadSchema: (struct<[^>]*>)", plan)) == {"struct<start_station_id:string>"}
     assert "IsNotNull(start_station_id)" in plan
+
+
+def test_report_cells_and_first_values_are_hash_aggregates(spark):
+    """No sort aggregate and no expand over trips: order keys are numbers, counts roll up from one cube."""
+    from velocube.operators import aggregates as A
+    from velocube.operators import clean as CL
+    from velocube.plans.report import report_cells
+    from velocube.sources import adapters
+    trips = adapters.trips(spark, SF0001)
+    for df in (report_cells(CL.clean_trips(trips)), A.first_places(CL.clean_trips(trips)), QUERIES["latest_state"](spark, SF0001)):
+        plan = final_plan(df)
+        assert "HashAggregate" in plan and not re.search(r"SortAggregate|ObjectHashAggregate|Expand", plan)
+    names = final_plan(A.station_names(trips))
+    assert names.count("SortAggregate") <= 2 and names.count("HashAggregate") >= 2  # names of a station, after the trips are counted
+
+
+def test_lags_of_one_series_shuffle_once(spark):
+    """One range exchange, before the checkpoint; the result only reads it."""
+    from velocube.operators.ordering import lags_distributed
+    df = lags_distributed(spark.range(1000).withColumnRenamed("id", "t"), "t", ["t"], 3, num_partitions=5)
+    assert "Exchange" not in final_plan(df)
+
+
+def test_popularity_scans_new_months_only(spark, tmp_path, monkeypatch):
+    from pyspark.sql import functions as F
+    from velocube.operators import aggregates as A
+    from velocube.sources import adapters, tables
+    asked = []
+    read = tables.read_bronze
+    monkeypatch.setattr(tables, "read_bronze", lambda s, p, months=None: asked.append(months) or read(s, p, months))
+    trips = adapters.trips(spark, SF0001)
+    landed = lambda k: trips.withColumn("at", F.timestamp_add("DAY", F.lit(366 * k), "started_at"))
+    bronze, store = str(tmp_path / "bronze"), str(tmp_path / "store")
+    total = {r.station_id: r.trips for r in A.station_popularity(trips).collect()}
+    for k in range(3):
+        tables.write_bronze(landed(k), bronze, "at", mode="append")
+        got = {r.station_id: r.trips for r in A.update_popularity(spark, bronze, store).collect()}
+        assert got == {s: (k + 1) * n for s, n in total.items()}
+    assert {r.station_id: r.trips for r in A.update_popularity(spark, bronze, store).collect()} == got
+    assert len(asked) == 3 and sorted(m for a in asked for m in a) == tables.bronze_months(spark, bronze)

@@ -265,3 +265,39 @@ def test_wall_clock_in_any_session_zone(spark):
         assert [r.t for r in df.collect()] == [datetime(2024, 3, 31, 1, 30), None]
     finally:
         spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def test_versions_are_whole(spark, monkeypatch):
+    """A job that dies between its rows and its manifest leaves the old version; older versions stay readable."""
+    from velocube.sources import versions
+    path = os.path.join(_tmp(), "t")
+    s = "k string, v long, t timestamp_ntz"
+    row = lambda k, v, month, day=1: (k, v, datetime(2024, month, day))
+    tables.upsert(spark, path, spark.createDataFrame([row("a", 1, 1), row("b", 1, 2), row("c", 1, 3)], s), ["k"], "t")
+    monkeypatch.setattr(versions, "commit", lambda *_: (_ for _ in ()).throw(RuntimeError("killed")))
+    with pytest.raises(RuntimeError, match="killed"):
+        tables.upsert(spark, path, spark.createDataFrame([row("a", 2, 1, 2), row("b", 2, 2, 2)], s), ["k"], "t")
+    monkeypatch.undo()
+    values = lambda *v: sorted((r.k, r.v) for r in tables.read_table(spark, path, *v).collect())
+    assert values() == [("a", 1), ("b", 1), ("c", 1)] and versions.history(spark, path) == [1]
+    tables.upsert(spark, path, spark.createDataFrame([row("a", 3, 1, 2), row("d", 3, 4)], s), ["k"], "t")
+    assert values() == [("a", 3), ("b", 1), ("c", 1), ("d", 3)] and values(1) == [("a", 1), ("b", 1), ("c", 1)]
+    old, new = (versions.manifest(spark, path, v)[1] for v in (1, 2))
+    assert {m for m in old if old[m] == new[m]} == {"202402", "202403"} and set(new) - set(old) == {"202404"}
+    with pytest.raises(versions.Conflict):
+        versions.commit(spark, path, 2, {})
+    with pytest.raises(ValueError):
+        tables.read_table(spark, path, 9)
+    assert tables.load_features(spark, path, 1).count() == 3 and tables.load_features(spark, path).count() == 4
+
+
+def test_upsert_takes_over_a_plain_folder(spark):
+    path = os.path.join(_tmp(), "t")
+    s = "k string, v long, t timestamp_ntz, month_key string"
+    spark.createDataFrame([("a", 1, datetime(2024, 1, 1), "202401"), ("b", 1, datetime(2024, 2, 1), "202402")], s).write.partitionBy("month_key").parquet(path)
+    out = tables.upsert(spark, path, spark.createDataFrame([("a", 2, datetime(2024, 1, 2))], s.rsplit(",", 1)[0]), ["k"], "t")
+    assert sorted((r.k, r.v, r.month_key) for r in out.collect()) == [("a", 2, "202401"), ("b", 1, "202402")]
+    none = spark.createDataFrame([("z", 5, None)], s.rsplit(",", 1)[0])
+    assert sorted((r.k, r.month_key) for r in tables.upsert(spark, path, none, ["k"], "t").collect()) == [("a", "202401"), ("b", "202402"), ("z", None)]
+    out = tables.upsert(spark, path, none.withColumn("v", F.lit(6).cast("long")), ["k"], "t")
+    assert sorted((r.k, r.v) for r in out.collect()) == [("a", 2), ("b", 1), ("z", 6)]

@@ -6,7 +6,7 @@ import pyarrow.parquet as pq
 from pyspark.sql import functions as F
 
 from velocube.operators import aggregates as A
-from velocube.sources import adapters
+from velocube.sources import adapters, tables
 from velocube.streaming import jobs as SJ
 from tests.conftest import SF0001
 
