@@ -50,15 +50,20 @@ def test_odd_and_empty(spark, odd, empty):
     assert quality.train(empty, labels)["constant"] > 0
 
 
-def test_long_documents_are_trained_on(spark, monkeypatch):
-    """Labels whose documents are all long: the network is fitted on spans of them, to the last byte."""
+def test_whole_documents_are_trained_on(spark, monkeypatch):
+    """Long texts are not cut; the bound on bytes is one on rows, in hash order, and repeats of a row count once."""
     monkeypatch.setattr(quality, "fit", lambda texts, good, share: (texts, good.tolist()))
     long = "".join(f"{k:07d} " for k in range(40_000))
-    docs = spark.createDataFrame([(k, long if k % 2 else "short") for k in range(8)], "doc_id long, text string")
+    rows = [(k, long if k % 2 else "short") for k in range(8)]
+    docs = spark.createDataFrame(rows + rows[:3] + [(0, "another text of this id")], "doc_id long, text string")
     labels = spark.createDataFrame([(k, k % 2) for k in range(8)], "doc_id long, quality int")
     texts, good = quality.train(docs, labels)
-    assert sorted(good) == [0] * 4 + [1] * 4
-    assert all(t == b"short" if g == 0 else len(t) == quality.LONGEST and t[:64] == long[:64].encode() and t[-64:] == long[-64:].encode() for t, g in zip(texts, good))
+    assert sorted(zip(good, texts)) == [(0, b"another text of this id")] + [(0, b"short")] * 4 + [(1, long.encode())] * 4
+    monkeypatch.setattr(quality, "TRAIN_BYTES", 700_000)
+    texts, good = quality.train(docs, labels)
+    assert good.count(0) == 5 and [t for t, g in zip(texts, good) if g] == [long.encode()] * 2
+    monkeypatch.setattr(quality, "TRAIN_BYTES", 1)
+    assert sorted(quality.train(docs, labels)[1]) == [0, 1]
 
 
 def test_a_label_without_documents_raises(spark):

@@ -6,9 +6,8 @@ gets a defect logit from its pooled outputs; the largest and the mean logit of a
 into one probability.
 
 Training (backpropagation with Adam, on the driver) sees a bounded sample of labelled rows: at most
-``PER_CLASS`` documents of each label, in the order of a hash of doc_id; of texts above ``LONGEST`` bytes, ``SPANS`` equal
-spans from the first byte to the last, ``LONGEST`` bytes in all.  Class weights undo the sample's balance, so
-probabilities follow the labels' shares.  Scoring is one pass over the table without a shuffle.
+``PER_CLASS`` documents of each label, in the order of a hash of doc_id, and no further than ``TRAIN_BYTES`` of whole
+texts.  Class weights undo the sample's balance, so probabilities follow the labels' shares.  Scoring is one pass over the table without a shuffle.
 
 Defined results: one row per input row; null and empty texts are scored as an empty document (one chunk of
 padding); a null doc_id stays null; repeated rows are scored alike; without labelled rows of both classes every
@@ -28,8 +27,8 @@ from velocube.llm.common import bytes_of, documents, parts_of, with_bytes
 
 #: Labelled documents of each class that training may see.
 PER_CLASS = 1500
-#: Bytes of a document that training may see, and the spans of a longer one; scoring has no such limit.
-LONGEST, SPANS = 1 << 16, 64
+#: Bytes of all documents of a class that training may see (whole documents; one at least).
+TRAIN_BYTES = 32 << 20
 EMBED, FILTERS, STEP, WIDTH = 4, 48, 4, 8
 HALF = 128  # bytes of half a chunk: chunks of 256 bytes begin every 128
 POSITIONS = HALF // STEP
@@ -180,7 +179,7 @@ def _gradients(model: dict, texts: list[bytes], bad: np.ndarray, weight: np.ndar
 
 
 def train(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> dict:
-    """Fit on at most per_class labelled documents of each label (smallest hashes of doc_id first)."""
+    """Fit on the whole texts of at most per_class labelled documents of each label (smallest hashes of doc_id first)."""
     named = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("quality"))
     named = named.where(F.col("doc_id").isNotNull() & F.col("quality").isin(0, 1))
     counts = {r["quality"]: r["n"] for r in named.groupBy("quality").agg(F.count("*").alias("n")).collect()}
@@ -192,19 +191,25 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> dic
     for label in (0, 1):  # at most per_class rows each: small enough to broadcast
         part = named.where(F.col("quality") == label).orderBy(*order).limit(per_class)
         chosen = part if chosen is None else chosen.unionByName(part)
-    rows = documents(docs).join(F.broadcast(chosen), "doc_id").withColumn("tie", F.md5("text")).withColumn("text", _bounded(F.col("text").cast("binary")))
-    rows = rows.orderBy(*order, "tie", "quality").limit(4 * per_class).collect()
+    texts = documents(docs).withColumn("tie", F.md5(F.coalesce("text", F.lit(""))))
+    sizes = texts.select("doc_id", "tie", F.coalesce(F.octet_length("text"), F.lit(0)).alias("n")).join(F.broadcast(chosen), "doc_id").distinct()
+    picked = []
+    for label in (0, 1):  # whole texts in the order of the hash, as many as the bounds allow
+        left = TRAIN_BYTES
+        rows = sizes.where(F.col("quality") == label).orderBy(*order, "tie").limit(per_class).collect()
+        if not rows and not sizes.isEmpty():
+            raise ValueError(f"no document in the table among those chosen for label {label}")
+        for k, r in enumerate(rows):
+            left -= r["n"]
+            if left < 0 and k:
+                break
+            picked.append((r["doc_id"], r["tie"], label))
+    if not picked:
+        return fit([], np.zeros(0, np.int64), counts[1] / total)
+    wanted = docs.sparkSession.createDataFrame(picked, "doc_id long, tie string, quality int")
+    rows = texts.join(F.broadcast(wanted), ["doc_id", "tie"]).dropDuplicates(["doc_id", "tie", "quality"]).orderBy(*order, "tie", "quality").collect()
     good = np.array([r["quality"] for r in rows], np.int64)
-    if len(good) and good.min() == good.max():
-        raise ValueError(f"no document in the table among those chosen for label {1 - good[0]}")
-    return fit([bytes(r["text"] or b"") for r in rows], good, counts[1] / total)
-
-
-def _bounded(data):
-    """The bytes, or SPANS spans of them from the first byte to the last where they are above LONGEST."""
-    n, span = F.octet_length(data), LONGEST // SPANS
-    spans = [F.substring(data, F.floor((n - span) * k / (SPANS - 1)).cast("int") + 1, F.lit(span)) for k in range(SPANS)]
-    return F.when(n <= LONGEST, data).otherwise(F.concat(*spans))
+    return fit([(r["text"] or "").encode() for r in rows], good, counts[1] / total)
 
 
 def score(docs: DataFrame, model: dict) -> DataFrame:
