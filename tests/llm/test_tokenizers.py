@@ -93,7 +93,7 @@ def test_words_known_before(monkeypatch):
     """The table of words is bounded; a word is found again in the table before, or encoded again."""
     monkeypatch.setattr(tokenfiles, "REMEMBERED", 3)
     encoder = tokenfiles.Words(WORDS)
-    for text in ["a b c d", "İ= b. x", "", "a", "b. c, d! İ=. İ=", "l'été, n'est! 12. x2."] * 2:
+    for text in ["a b c d", "İ= b. x", "", "a", "b. c, d! İ=. İ=", "l'été, n'est! 12. x2.", "The <|endoftext|> <|ENDOFTEXT|> End.", "ÀÉ E\u0301A\u0300. ΑΣ. ΑΣ"] * 2:
         assert np.frombuffer(encoder.encode([text])[0], "<u4").tolist() == HF.encode(text, add_special_tokens=False).ids
         assert len(encoder.known) <= 3
     assert [len(x) for x in encoder.encode(["", " ", "\n", "a\nb"])[:3]] == [0, 0, 0] and encoder.encode([]) == []

@@ -82,6 +82,8 @@ class Words:
         the ids are put together by their numbers.
         """
         spaced = pc.replace_substring_regex(pc.replace_substring(texts, "\n", " "), CUT, r"\1 \2 ")
+        if not pc.any(pc.match_substring(spaced, "<|")).as_py():  # the normalizer lower-cases too, but not what reads like a special token
+            spaced = pc.ascii_lower(spaced)
         cut = pc.split_pattern(spaced, " ")
         place = np.concatenate([[0], np.cumsum(pc.list_value_length(cut).to_numpy())])
         words = cut.flatten().dictionary_encode()
@@ -93,7 +95,7 @@ class Words:
             of = word[place[at]:place[min(at + 1024, len(texts))]]
             each = sizes[of]
             ends = np.concatenate([[0], np.cumsum(each)])
-            parts.append(flat[np.repeat(starts[of] - ends[:-1], each) + np.arange(ends[-1])])
+            parts.append(flat[np.repeat((starts[of] - ends[:-1]).astype(np.int32), each) + np.arange(ends[-1], dtype=np.int32)])
             counts.append(np.diff(ends[place[at:at + 1025] - place[at]]))
         return (np.concatenate(parts), np.concatenate(counts)) if parts else (np.zeros(0, "<u4"), np.zeros(0, np.int64))
 
@@ -110,15 +112,14 @@ class Words:
                 got[k] = x
         some = column.take(pa.array(new, pa.int64()))
         letters = pc.match_substring_regex(some, LETTERS).to_pylist()
-        lowered = pc.utf8_lower(some).to_pylist()
         tokenize = self.tokenizer.model.tokenize
-        plain = [(k, w) for k, w, x in zip(new, lowered, letters) if x]  # a single run of letters: straight to the library's model
+        plain = [k for k, x in zip(new, letters) if x]  # a single run of letters: straight to the library's model
         for at in range(0, len(plain), 4096):
             part = plain[at:at + 4096]
-            found = [tokenize(w if w.isascii() else w.encode().decode("latin-1").translate(_NAMES)) for _, w in part]
+            found = [tokenize(w if w.isascii() else w.encode().decode("latin-1").translate(_NAMES)) for w in (words[k].lower() for k in part)]
             raw = array("I", [t.id for tokens in found for t in tokens]).tobytes()
             end = 0
-            for (k, _), tokens in zip(part, found):
+            for k, tokens in zip(part, found):
                 got[k] = raw[end:(end := end + 4 * len(tokens))]
         others = [k for k, x in zip(new, letters) if not x]
         for at in range(0, len(others), 4096):
@@ -151,8 +152,9 @@ def compress(ids: np.ndarray, last: np.ndarray, base: int) -> tuple[np.ndarray,
         if len(equal):  # a run pairs from its left end: every other place
             heads = np.concatenate([[True], equal[1:] != equal[:-1] + 1])
             free[equal[(equal - np.maximum.accumulate(np.where(heads, equal, 0))) % 2 == 1]] = False
-        key = np.left_shift(left, 32, dtype=np.int64)
-        key |= right
+        shift, kind = (16, np.uint32) if size <= 1 << 16 else (32, np.int64)  # short keys sort twice as fast
+        key = left.astype(kind) << kind(shift)
+        key |= right.astype(kind)
         met = np.sort(key[free])
         if not len(met):
             break
@@ -163,7 +165,7 @@ def compress(ids: np.ndarray, last: np.ndarray, base: int) -> tuple[np.ndarray,
         order = np.argsort(-count, kind="stable")[:4 * RULES]
         roles, chosen = bytearray(size), []  # 1: left part, 2: right part, 3: both parts of one pair
         for k in named[order].tolist():
-            a, b = k >> 32, k & 0xFFFFFFFF
+            a, b = k >> shift, k & (1 << shift) - 1
             x, y = roles[a], roles[b]
             if a == b:
                 if x:
@@ -178,7 +180,7 @@ def compress(ids: np.ndarray, last: np.ndarray, base: int) -> tuple[np.ndarray,
                 break
         if not chosen:
             break
-        named = np.sort(np.array(chosen, np.int64))
+        named = np.sort(np.array(chosen, kind))
         role = np.frombuffer(roles, np.int8)
         of = role[symbols]
         free &= (of[:-1] == 1) & (of[1:] == 2) | (of[:-1] == 3) & (left == right)
@@ -192,7 +194,8 @@ def compress(ids: np.ndarray, last: np.ndarray, base: int) -> tuple[np.ndarray,
         keep = np.ones(len(symbols), bool)
         keep[at + 1] = False
         symbols, last = symbols[keep], last[keep]
-        rules.append(np.stack([named >> 32, named & 0xFFFFFFFF], axis=1))
+        named = named.astype(np.int64)
+        rules.append(np.stack([named >> shift, named & (1 << shift) - 1], axis=1))
         size += len(named)
     return symbols.astype(np.int64), last, np.concatenate(rules) if rules else np.zeros((0, 2), np.int64)
 
