@@ -62,3 +62,17 @@ def test_station_names_newest_month_first(spark):
             trip(3, start=datetime(2024, 2, 6), start_station_name=None)]
     n = A.station_names(trips_df(spark, rows)).first()
     assert n.station_name == "New"
+
+
+def test_binned_density_is_close_to_the_exact_one(spark):
+    import numpy as np
+    from velocube.operators import stats as ST
+    rng = np.random.default_rng(2)
+    rows = [("a", float(x)) for x in rng.gamma(2, 9, 700)] + [("b", float(x)) for x in rng.normal(0, 1, 50)] + [("c", 3.0)] * 4 + [("a", None)]
+    df = spark.createDataFrame(rows, "g string, v double")
+    exact = {(r.g, r.i): (r.x, r.density) for r in ST.kde(df.filter("g <> 'c'"), ["g"], "v").collect()}
+    binned = {(r.g, r.i): (r.x, r.density) for r in ST.kde_binned(df, ["g"], "v").collect()}
+    assert binned.keys() == exact.keys() and len(exact) == 400
+    top = {g: max(d for (k, _), (_, d) in exact.items() if k == g) for g in "ab"}
+    for key, (x, density) in exact.items():
+        assert abs(binned[key][0] - x) < 1e-9 and abs(binned[key][1] - density) < 1e-5 * top[key[0]]

@@ -414,6 +414,28 @@ def q_kde(spark, d):
                     F.round("density", 9).alias("density"))
 
 
+@register("kde_binned", O.C("""
+SELECT member_casual, g.i AS i, round(gmin + g.i * (span / 199), 6) AS x, round(coalesce(t, 0) / (n * h * sqrt(2 * pi())), 8) AS density
+FROM st CROSS JOIN range(0, 200) g(i) LEFT JOIN (
+  SELECT member_casual AS m, j.i AS i, sum(w * exp(-0.5 * pow((j.i * (span / 199) - k * (span / 4095)) / h, 2))) AS t
+  FROM (SELECT member_casual, k, any_value(h) AS h, any_value(span) AS span, sum(w) AS w FROM (
+          SELECT member_casual, h, span, floor(a) AS k, 1 - (a - floor(a)) AS w FROM pos
+          UNION ALL SELECT member_casual, h, span, floor(a) + 1, a - floor(a) FROM pos) u GROUP BY 1, 2) f
+  CROSS JOIN range(0, 200) j(i) WHERE abs(j.i * (span / 199) - k * (span / 4095)) <= 8 * h + 1e-9 GROUP BY 1, 2) d
+  ON d.m = st.member_casual AND d.i = g.i""").replace("WITH ", "WITH ", 1).replace("\nSELECT member_casual, g.i", """,
+st AS (
+  SELECT member_casual, n, h, lo - 3 * h AS gmin, (hi + 3 * h) - (lo - 3 * h) AS span FROM (
+    SELECT member_casual, count(*) AS n, min(duration_min) AS lo, max(duration_min) AS hi,
+           stddev_samp(duration_min) * pow(count(*), -0.2) AS h FROM clean GROUP BY 1) q),
+pos AS (
+  SELECT member_casual, h, span, (duration_min - gmin) / (span / 4095) AS a FROM clean JOIN st USING (member_casual))
+SELECT member_casual, g.i""", 1))
+def q_kde_binned(spark, d):
+    """Density of the durations, a continuous column, per rider class."""
+    k = ST.kde_binned(_clean(spark, d), ["member_casual"], "duration_min")
+    return k.select("member_casual", "i", r6("x").alias("x"), F.round("density", 8).alias("density"))
+
+
 HIST_SQL = """
 SELECT member_casual, bin_start, bin_start + step AS bin_end, count(*) AS count FROM (
   SELECT member_casual, step,

@@ -87,6 +87,40 @@ def kde(df: DataFrame, group: Sequence[str], x: str, gridsize: int = 200, cut: f
             .select(*g, "i", (F.col("gmin") + F.col("i") * F.col("step")).alias("x"), "density"))
 
 
+def kde_binned(df: DataFrame, group: Sequence[str], x: str, gridsize: int = 200, cut: float = 3.0, bins: int = 4096,
+               reach: float = 8.0) -> DataFrame:
+    """``kde`` of a continuous column by linear binning: at most ``bins`` + 1 rows a group, whatever the distinct values.
+
+    Each row divides its weight between the two neighbouring points of a fine grid (one hash aggregate of counts and
+    offsets); the fine grid's points then add their kernels, cut off ``reach`` bandwidths away, to the ``gridsize`` points
+    asked for.  The result is off by less than (fine step / bandwidth)^2 / 8 of the kernel's height.
+    Groups without spread (one value) have no row.
+    """
+    g = list(group)
+    v = F.col(x).cast("double")
+    st = df.filter(v.isNotNull()).groupBy(*g).agg(F.count(F.lit(1)).alias("n"), F.min(v).alias("lo"), F.max(v).alias("hi"), F.stddev_samp(v).alias("std"))
+    st = st.withColumn("h", F.col("std") * F.pow("n", F.lit(-0.2))).filter("h > 0")
+    st = (st.withColumn("gmin", F.col("lo") - cut * F.col("h")).withColumn("span", (F.col("hi") + cut * F.col("h")) - F.col("gmin"))
+            .select(*g, "n", "h", "gmin", "span"))
+    at = (v - F.col("gmin")) / (F.col("span") / (bins - 1))
+    rows = attach_group_stats(df.filter(v.isNotNull()).select(*g, v.alias(x)), st, g)
+    keys = [*g, "n", "h", "gmin", "span"]
+    near = rows.groupBy(*keys, F.floor(at).alias("b")).agg(F.count(F.lit(1)).alias("c"), F.sum(at - F.floor(at)).alias("s"))
+    fine = near.select(*keys, F.inline(F.array(F.struct(F.col("b").alias("k"), (F.col("c") - F.col("s")).alias("w")),
+                                               F.struct((F.col("b") + 1).alias("k"), F.col("s").alias("w")))))
+    fine = fine.groupBy(*keys, "k").agg(F.sum("w").alias("w")).withColumn("u", F.col("k") * (F.col("span") / (bins - 1)))
+    step = F.col("span") / (gridsize - 1)
+    first = F.greatest(F.ceil((F.col("u") - reach * F.col("h")) / step), F.lit(0))
+    last = F.least(F.floor((F.col("u") + reach * F.col("h")) / step), F.lit(gridsize - 1))
+    terms = fine.withColumn("i", F.explode(F.sequence(first, last)))
+    kernel = F.col("w") * F.exp(-0.5 * F.pow((F.col("i") * step - F.col("u")) / F.col("h"), 2))
+    dens = terms.groupBy(*keys, "i").agg(F.sum(kernel).alias("t"))
+    grid = st.withColumn("i", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(gridsize - 1).cast("long"))))
+    out = grid.join(dens.select(*g, "i", "t"), [*g, "i"], "left")
+    norm = F.col("n") * F.col("h") * F.lit(math.sqrt(2 * math.pi))
+    return out.select(*g, "i", (F.col("gmin") + F.col("i") * step).alias("x"), (F.coalesce("t", F.lit(0.0)) / norm).alias("density"))
+
+
 def nice_step(span: Column, maxbins: int = 50) -> Column:
     """Bin step chosen like Vega's ``bin`` with base 10 and divisors [5, 2]."""
     level = math.ceil(math.log10(maxbins))
