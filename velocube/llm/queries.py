@@ -118,4 +118,17 @@ SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
 FROM d LEFT JOIN pos USING (doc_id) LEFT JOIN its USING (doc_id)
 """
 
-ORACLE: dict[str, str] = {"op2_positional_index": _OP2}
+# Shingle sets, links and their closure of op6, by a self-join on shingles.
+_OP6 = r"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents WHERE doc_id IS NOT NULL),
+s AS (SELECT DISTINCT doc_id, array_to_string(w[k:k + least(3, len(w)) - 1], ' ') AS g FROM d, unnest(generate_series(1, greatest(1, len(w) - 2))) AS t(k) WHERE len(w) > 0),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+l AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS i FROM s x JOIN s y ON x.g = y.g AND x.doc_id < y.doc_id GROUP BY 1, 2),
+e AS (SELECT a, b FROM l JOIN n p ON a = p.doc_id JOIN n q ON b = q.doc_id WHERE 100 * i >= 85 * (p.n + q.n - i)),
+ways AS (SELECT a, b FROM e UNION ALL SELECT b, a FROM e),
+reach AS (SELECT doc_id AS a, doc_id AS b FROM d UNION SELECT r.a, x.b FROM reach r JOIN ways x ON r.b = x.a),
+c AS (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY 1)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, component_id, d.doc_id = component_id AS kept FROM d JOIN c USING (doc_id) LEFT JOIN n USING (doc_id)
+"""
+
+ORACLE: dict[str, str] = {"op2_positional_index": _OP2, "op6_hyperminhash": _OP6}
