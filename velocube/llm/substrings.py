@@ -9,11 +9,11 @@ the same document and an earlier start.
    windows have equal anchors, and the windows of one anchor are a run; its bytes are the anchor's context.
 3. Anchors that occur once are done with.  Of equal contexts of one anchor all but the first go.
 4. Different contexts of one anchor are compared window by window.  A window that two of them share holds 38 bytes
-   before the anchor or 38 after it, so only contexts that agree on one of these sides meet, in a group each.  Tasks
-   concatenate the contexts of whole groups into blocks and build a suffix array and its Burrows-Wheeler transform.  From the interval of the empty string,
+   before the anchor or 38 after it, so contexts that agree with no other on one of these sides are left out.  Tasks
+   concatenate the others, whole anchors, into blocks and build a suffix array and its Burrows-Wheeler transform.  From the interval of the empty string,
    breadth-first backward extension finds the boundaries of common prefixes by increasing value; it stops at the
    minimum length, so suffixes without a boundary between them share a window.  All but the first of them go.
-5. A group with more than ``CONTEXTS`` different contexts (the edge of a passage that countless documents
+5. An anchor with more than ``CONTEXTS`` different contexts (the edge of a passage that countless documents
    share) would be too much for one task: its windows are grouped by two hashes (128 bits) instead, combined before the
    shuffle.
 
@@ -62,13 +62,13 @@ def prefix_sums(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def anchors(data: np.ndarray, offsets: np.ndarray):
-    """Of all rows: row, first and last window start, gram hash, context hash and the hashes of both sides of each anchor.
+    """Of all rows: row, first window start, shape, gram hash and context hash of each anchor.
 
-    A side is the ``SIDE`` bytes before (after) the gram; where no window of the context holds all of them, 0.
+    The shape is 256 times the number of further window starts, plus the place of the gram behind the first one.
     """
     n = len(data)
     if n < LEAST:
-        return (np.zeros(0, np.int64),) * 3 + (np.zeros(0, np.uint64),) * 4
+        return (np.zeros(0, np.int64),) * 3 + (np.zeros(0, np.uint64),) * 2
     sums, down = prefix_sums(data)
     gram = mix64((sums[GRAM:] - sums[:-GRAM]) * down[:n - GRAM + 1])
     least, width = (gram & ~_PLACE) | np.arange(len(gram), dtype=np.uint64), 1
@@ -81,7 +81,7 @@ def anchors(data: np.ndarray, offsets: np.ndarray):
     row = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))[:len(at)]
     p = np.flatnonzero(np.arange(len(at)) + LEAST <= offsets[1:][row])
     if not len(p):
-        return (np.zeros(0, np.int64),) * 3 + (np.zeros(0, np.uint64),) * 4
+        return (np.zeros(0, np.int64),) * 3 + (np.zeros(0, np.uint64),) * 2
     a = at[p]
     new = np.ones(len(p), bool)
     new[1:] = (a[1:] != a[:-1]) | (p[1:] != p[:-1] + 1)
@@ -90,14 +90,8 @@ def anchors(data: np.ndarray, offsets: np.ndarray):
     q = a[s]
     shape = ((q - low).astype(np.uint64) << np.uint64(32)) + (high - low).astype(np.uint64)
     context = mix64((sums[high + LEAST] - sums[low]) * down[low] + mix64(shape + np.uint64(1)))
-    left, right = np.zeros(len(q), np.uint64), np.zeros(len(q), np.uint64)
-    some = np.flatnonzero(q - low >= SIDE)
-    left[some] = mix64((sums[q[some]] - sums[q[some] - SIDE]) * down[q[some] - SIDE]) | np.uint64(1)
-    some = np.flatnonzero(high + LEAST - q - GRAM >= SIDE)
-    after = q[some] + GRAM
-    right[some] = mix64((sums[after + SIDE] - sums[after]) * down[after]) | np.uint64(1)
     head = offsets[:-1][row[low]]
-    return row[low], low - head, high - head, gram[q], context, left, right
+    return row[low], low - head, 256 * (high - low) + q - low, gram[q], context
 
 
 def suffix_array(text: np.ndarray) -> np.ndarray:
@@ -195,23 +189,24 @@ def _gram_counts(batches):
 def _anchor_rows(batches):
     for batch in parts_of(batches, PART):
         data, offsets = bytes_of(batch.column(1))
-        row, low, high, *hashes = anchors(data, offsets)
+        row, low, shape, gram, context = anchors(data, offsets)
         row = pa.array(row)
-        yield pa.RecordBatch.from_arrays([batch.column(0).take(row), batch.column(2).take(row), *[pa.array(h.view(np.int64)) for h in hashes], pa.array(low.astype(np.int32)), pa.array(high.astype(np.int32))], names=[*DOC, "gram", "context", "left", "right", "low", "high"])
+        yield pa.RecordBatch.from_arrays([batch.column(0).take(row), batch.column(2).take(row), pa.array(gram.view(np.int64)), pa.array(context.view(np.int64)), pa.array(low.astype(np.int32)), pa.array(shape.astype(np.int32))], names=[*DOC, "gram", "context", "low", "shape"])
 
 
 def _context_bytes(batches):
     for batch in parts_of(batches, PART):
-        out = {k: [] for k in ("doc_id", "version", "gram", "low", "bytes")}
+        out = {k: [] for k in ("doc_id", "version", "gram", "low", "bytes", "at")}
         for doc, text, version, asked in zip(*(batch.column(k) for k in range(4))):
             text, asked = text.as_py(), asked.as_py()
             for a in asked:
                 out["gram"].append(a["gram"])
                 out["low"].append(a["low"])
-                out["bytes"].append(text[a["low"]:a["high"] + LEAST])
+                out["at"].append(a["shape"] & 255)
+                out["bytes"].append(text[a["low"]:a["low"] + (a["shape"] >> 8) + LEAST])
             out["doc_id"] += [doc.as_py()] * len(asked)
             out["version"] += [version.as_py()] * len(asked)
-        yield pa.RecordBatch.from_arrays([pa.array(out["doc_id"], pa.int64()), pa.array(out["version"], pa.int32()), pa.array(out["gram"], pa.int64()), pa.array(out["low"], pa.int32()), pa.array(out["bytes"], pa.binary())], names=[*DOC, "gram", "low", "bytes"])
+        yield pa.RecordBatch.from_arrays([pa.array(out["doc_id"], pa.int64()), pa.array(out["version"], pa.int32()), pa.array(out["gram"], pa.int64()), pa.array(out["low"], pa.int32()), pa.array(out["bytes"], pa.binary()), pa.array(out["at"], pa.int32())], names=[*DOC, "gram", "low", "bytes", "at"])
 
 
 def _window_hashes(batches):
@@ -222,7 +217,7 @@ def _window_hashes(batches):
             text, asked = text.as_py(), asked.as_py()
             before = len(out["low"])
             for a in asked:
-                p = range(a["low"], a["high"] + 1)
+                p = range(a["low"], a["low"] + (a["shape"] >> 8) + 1)
                 out["gram"] += [a["gram"]] * len(p)
                 out["hash"] += [hashlib.md5(text[k:k + LEAST]).digest() for k in p]
                 out["low"] += p
@@ -232,24 +227,45 @@ def _window_hashes(batches):
         yield pa.RecordBatch.from_arrays([pa.array(x, kind) for x, kind in zip(out.values(), kinds)], names=list(out))
 
 
+def _meeting(rows: list) -> list:
+    """The contexts of one anchor that agree with another one on the bytes of a side; no others can share a window.
+
+    A window holds at least ``SIDE`` bytes before the gram or after it, and two equal windows the same ones.
+    """
+    if len(rows) < 2:
+        return []
+    sides, seen = [], {}
+    for *_, text, at in rows:
+        left, right = text[at - SIDE:at] if at >= SIDE else None, text[at + GRAM:at + GRAM + SIDE]
+        mine = [x for x in ((0, left), (1, right)) if x[1] is not None and len(x[1]) == SIDE]
+        sides.append(mine)
+        for x in mine:
+            seen[x] = seen.get(x, 0) + 1
+    return [r for r, mine in zip(rows, sides) if any(seen[x] > 1 for x in mine)]
+
+
 def _blocks(batches):
-    """Whole anchors (the rows come sorted by gram), until their contexts fill a block."""
-    held, size, last = [], 0, None
+    """Contexts that meet, of whole anchors (the rows come sorted by gram), until they fill a block."""
+    held, size, group, last = [], 0, [], None
     for batch in batches:
-        for row in zip(*(batch.column(k).to_pylist() for k in range(5))):
-            if size >= BLOCK and row[2] != last:
-                yield held
-                held, size = [], 0
-            held.append(row)
-            size += len(row[4])
-            last = row[2]
+        for row in zip(*(batch.column(k).to_pylist() for k in range(6))):
+            if row[2] != last:
+                met = _meeting(group)
+                held += met
+                size += sum(len(r[4]) for r in met)
+                group, last = [], row[2]
+                if size >= BLOCK:
+                    yield held
+                    held, size = [], 0
+            group.append(row)
+    held += _meeting(group)
     if held:
         yield held
 
 
 def _compared(batches):
     for held in _blocks(batches):
-        doc, version, _, low, contexts = zip(*held)
+        doc, version, _, low, contexts, _ = zip(*held)
         keys = np.array(list(zip(doc, version)), np.int64)
         _, ranks = np.unique(keys, axis=0, return_inverse=True)
         starts = np.array(low, np.int64)
@@ -290,24 +306,22 @@ def repeated_spans(texts: DataFrame) -> DataFrame:
     texts = texts.select("doc_id", "text", "version")
     often = texts.mapInArrow(_gram_counts, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")).where("n > 1").select("gram")
     often = written(often, "repeat-grams")
-    rows = texts.mapInArrow(_anchor_rows, "doc_id long, version int, gram long, context long, left long, right long, low int, high int")
+    rows = texts.mapInArrow(_anchor_rows, "doc_id long, version int, gram long, context long, low int, shape int")
     rows = written(rows.join(often, "gram", "left_semi"), "repeat-anchors")
-    first = rows.groupBy("gram", "context").agg(F.min(F.struct(*DOC, "low", "high")).alias("at"), F.min("left").alias("left"), F.min("right").alias("right"))
-    first = written(first.select("gram", "context", "left", "right", "at.*"), "repeat-contexts")
+    first = rows.groupBy("gram", "context").agg(F.min(F.struct(*DOC, "low", "shape")).alias("at"))
+    first = written(first.select("gram", "context", "at.*"), "repeat-contexts")
     copies = rows.join(first.select("gram", "context", *[F.col(c).alias(f"f_{c}") for c in (*DOC, "low")]), ["gram", "context"])
-    copies = copies.where("NOT (doc_id = f_doc_id AND version = f_version AND low = f_low)").select(*DOC, F.col("low").alias("start"), (F.col("high") + LEAST).alias("end"))
-    sides = F.filter(F.array(F.struct(F.lit(0).alias("side"), F.col("left").alias("h")), F.struct(F.lit(1).alias("side"), F.col("right").alias("h"))), lambda x: x["h"] != 0)
-    sided = first.select("gram", *DOC, "low", "high", F.explode(sides).alias("x")).select("gram", "x.side", "x.h", *DOC, "low", "high")
-    sizes = sided.groupBy("gram", "side", "h").agg(F.count("*").alias("contexts")).where("contexts > 1")
-    mixed = written(join_checked(sided, written(sizes, "repeat-sizes"), ["gram", "side", "h"], "inner"), "repeat-mixed")
+    copies = copies.where("NOT (doc_id = f_doc_id AND version = f_version AND low = f_low)").select(*DOC, F.col("low").alias("start"), (F.col("low") + F.expr("shape DIV 256").cast("int") + LEAST).alias("end"))
+    sizes = written(first.groupBy("gram").agg(F.count("*").alias("contexts")).where("contexts > 1"), "repeat-sizes")
+    mixed = written(first.join(sizes, "gram").select("gram", *DOC, "low", "shape", "contexts"), "repeat-mixed")
     ids = written(mixed.select(*DOC).distinct(), "repeat-ids")
     found = written(join_checked(texts, ids, DOC, "left_semi"), "repeat-texts")
 
     def asked(part):
-        wanted = mixed.where(part).groupBy(*DOC).agg(F.collect_list(F.struct(F.xxhash64("gram", "side", "h").alias("gram"), "low", "high")).alias("asked"))  # bounded by the text
+        wanted = mixed.where(part).groupBy(*DOC).agg(F.collect_list(F.struct("gram", "low", "shape")).alias("asked"))  # bounded by the text
         return found.join(wanted, DOC).select("doc_id", "text", "version", "asked")
 
-    contexts = asked(F.col("contexts") <= CONTEXTS).mapInArrow(_context_bytes, "doc_id long, version int, gram long, low int, bytes binary")
+    contexts = asked(F.col("contexts") <= CONTEXTS).mapInArrow(_context_bytes, "doc_id long, version int, gram long, low int, bytes binary, at int")
     compared = contexts.repartition("gram").sortWithinPartitions("gram").mapInArrow(_compared, SPANS)
     windows = written(asked(F.col("contexts") > CONTEXTS).mapInArrow(_window_hashes, "doc_id long, version int, gram long, hash binary, low int"), "repeat-windows")
     head = written(windows.groupBy("gram", "hash").agg(F.min(F.struct(*DOC, "low")).alias("at"), F.count("*").alias("n")).where("n > 1").select("gram", "hash", "at"), "repeat-heads")
