@@ -1,4 +1,5 @@
 import numpy as np
+import pyarrow as pa
 
 from velocube.llm import neardup
 from velocube.llm.components import components
@@ -138,3 +139,49 @@ def test_parity_bounds_the_difference():
         words = neardup.parity(np.concatenate([a, b]), np.repeat([0, 1], [len(a), len(b)]), 2).view(np.uint64)
         differ = int(np.bitwise_count(words[0] ^ words[1]).sum())
         assert 0 < differ <= len(np.setxor1d(a, b))
+
+
+def test_a_worker_gives_back_other_operators_tables(spark):
+    """Python workers are reused: tables of words left by one operator don't stay beside the next one's arrays."""
+    import public_tokenizers
+
+    from velocube.llm import common, pieces
+
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    docs = spark.createDataFrame([(1, "one two three"), (2, "four five six seven")], "doc_id long, text string").coalesce(1)
+
+    def left(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([len(common._LOADED)])], names=["n"])
+
+    spark.conf.set("spark.sql.shuffle.partitions", "1")
+    try:
+        assert pieces.encoded(docs, model).count() == 2
+        assert neardup.signatures(docs, 5).count() == 2
+        assert {r["n"] for r in docs.mapInArrow(left, "n long").collect()} == {0}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+
+
+def test_shingles_work_in_little_memory():
+    """The arrays of a part of text, and the tables of powers, take some ten times its bytes."""
+    import tracemalloc
+
+    from velocube.llm import common
+
+    common._TABLES.clear()
+    text = np.frombuffer(b"word other " * (neardup.PART // 11), np.uint8)
+    tracemalloc.start()
+    try:
+        common.word_hashes(text, np.array([0, len(text)]))
+        assert tracemalloc.get_traced_memory()[1] < 32 << 20
+    finally:
+        tracemalloc.stop()
+
+
+def test_hashes_of_words_longer_than_a_block():
+    from velocube.llm import common
+
+    word = b"ab" * (3 * common._BLOCK)
+    h, ends = common.word_hashes(np.frombuffer(b"x " + word + b" y " + word, np.uint8), np.array([0, 2 * len(word) + 5]))
+    assert h[1] == h[3] and len(set(h.tolist())) == 3 and ends.tolist() == [0, 4]

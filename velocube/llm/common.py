@@ -4,6 +4,7 @@ from __future__ import annotations
 import uuid
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -97,6 +98,24 @@ def parts_of(batches, limit: int = 4 << 20, column: int = 1):
             at = stop
 
 
+_LOADED: dict = {}
+
+
+def loaded(key, make):
+    """make(), kept for the Python worker's next tasks; workers are reused and keep one operator's models and tables at a time."""
+    if key not in _LOADED:
+        unload()
+        _LOADED[key] = make()
+    return _LOADED[key]
+
+
+def unload() -> None:
+    """Give back what earlier work left in this Python worker."""
+    if _LOADED:
+        _LOADED.clear()
+        pa.default_memory_pool().release_unused()
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """Finaliser of a 64-bit hash (uint64 in, uint64 out)."""
     x = x ^ (x >> np.uint64(33))
@@ -113,7 +132,7 @@ _LOWERED[65:91] += 32
 _BYTE_VALUE = mix64(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 _BASE = np.uint64(0xD6E8FEB86659FD93)
 _INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
-_BLOCK = 1 << 20
+_BLOCK = 1 << 18
 
 
 def powers(base: np.uint64, n: int) -> np.ndarray:

@@ -33,12 +33,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from velocube.llm.common import bytes_of, join_checked, mix64, parts_of, with_bytes, word_hashes, written
+from velocube.llm.common import bytes_of, join_checked, mix64, parts_of, unload, with_bytes, word_hashes, written
 from velocube.llm.components import components
 
 BUCKETS, ROWS = 128, 4
 BANDS = BUCKETS // ROWS
 MANTISSA = 10
+#: Bytes of text that a task works on at once: arrays of 64-bit integers over its words stay small.
+PART = 1 << 20
 #: Share of unequal registers that look equal, times 2**MANTISSA, for sets of equal size.
 COLLISIONS = 0.169919487159739
 _SALTS = mix64(np.arange(1, 17, dtype=np.uint64) * np.uint64(0xA24BAED4963EE407))
@@ -124,7 +126,8 @@ def estimate(a: np.ndarray, b: np.ndarray, na: np.ndarray, nb: np.ndarray) -> np
 def signatures(docs: DataFrame, k: int) -> DataFrame:
     """doc_id, n (set size), fp (fingerprint of the set), regs, bands of every row with a doc_id."""
     def run(batches):
-        for batch in parts_of(batches):
+        unload()
+        for batch in parts_of(batches, PART):
             rows = batch.num_rows
             data, offsets = bytes_of(batch.column(1))
             h, row = distinct_shingles(data, offsets, k)
@@ -187,7 +190,8 @@ def parity(h: np.ndarray, row: np.ndarray, rows: int) -> np.ndarray:
 def shingle_sets(docs: DataFrame, ids: DataFrame, k: int) -> DataFrame:
     """(id, set, parity words) of the documents whose doc_id is among ids; written."""
     def run(batches):
-        for batch in parts_of(batches):
+        unload()
+        for batch in parts_of(batches, PART):
             data, offsets = bytes_of(batch.column(1))
             h, row = distinct_shingles(data, offsets, k)
             ends = np.searchsorted(row, np.arange(batch.num_rows + 1)).astype(np.int32)

@@ -22,7 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from velocube.llm.common import parts_of, with_bytes
+from velocube.llm.common import loaded, parts_of, with_bytes
 
 SPACE = "▁"
 #: Cuts that a worker remembers, and the longest one worth it.
@@ -271,14 +271,9 @@ def _utf8(data: bytes) -> str:
     return "".join(out)
 
 
-_LOADED: dict[str, Pieces] = {}
-
-
 def load(path: str) -> Pieces:
     """The model of a file, once a worker."""
-    if path not in _LOADED:
-        _LOADED[path] = Pieces(path)
-    return _LOADED[path]
+    return loaded(("pieces", path), lambda: Pieces(path))
 
 
 def digests(docs: DataFrame, path: str) -> DataFrame:

@@ -18,12 +18,11 @@ take no part; a document with several labels counts with each.
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from velocube.llm.common import bytes_of, documents, parts_of, with_bytes
+from velocube.llm.common import bytes_of, documents, parts_of, unload, with_bytes
 
 #: Labelled documents of each class that training may see.
 PER_CLASS = 1500
@@ -217,6 +216,7 @@ def score(docs: DataFrame, model: dict) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)  # some 30 KB, whatever the data
 
     def run(batches):
+        unload()
         model = shared.value
         for batch in parts_of(batches):
             data, offsets = bytes_of(batch.column(1))
@@ -229,14 +229,11 @@ def keep(docs: DataFrame, model: dict, least: float = 0.7) -> DataFrame:
     """The rows with a score of at least ``least``, all columns as they were."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    @F.pandas_udf("boolean")
-    def good(text):
-        rows, out, at = [t or b"" for t in text], [], 0
-        while at < len(rows):  # some MB at a time
-            offsets = np.concatenate([[0], np.cumsum([len(r) for r in rows[at:]])]).astype(np.int64)
-            n = max(1, int(np.searchsorted(offsets, 4 << 20, side="right")) - 1)
-            out.append(scores(shared.value, np.frombuffer(b"".join(rows[at:at + n]), np.uint8), offsets[:n + 1]) >= least)
-            at += n
-        return pd.Series(np.concatenate(out) if out else np.zeros(0, bool))
-
-    return docs.where(good(F.col("text").cast("string").cast("binary")))
+    @F.arrow_udf("boolean")
+    def good(text: pa.Array) -> pa.Array:
+        unload()
+        some = pa.RecordBatch.from_arrays([text], names=["text"])
+        parts = [scores(shared.value, *bytes_of(part.column(0))) >= least for part in parts_of([some], column=0)]  # some MB at a time
+        return pa.array(np.concatenate(parts) if parts else np.zeros(0, bool))
+
+    return docs.where(good(F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary")))

@@ -35,7 +35,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from velocube.llm.common import documents, fresh_path, parts_of, written
+from velocube.llm.common import documents, fresh_path, loaded, parts_of, written
 
 TOKENS, FREQUENT, RULES = 1 << 20, 8, 4096  # RULES: of one round
 END_ID = 1
@@ -132,13 +132,8 @@ class Words:
         return got
 
 
-_LOADED: dict[str, Words] = {}
-
-
 def load(path: str) -> Words:
-    if path not in _LOADED:
-        _LOADED[path] = Words(path)
-    return _LOADED[path]
+    return loaded(("words", path), lambda: Words(path))
 
 
 def compress(ids: np.ndarray, last: np.ndarray, base: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -21,7 +21,7 @@ import re
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from velocube.llm.common import parts_of, with_bytes
+from velocube.llm.common import loaded, parts_of, with_bytes
 
 SPACE = "▁"
 UNKNOWN = 10.0  # a fixed value of the tokenizer: the penalty of unknown characters
@@ -104,13 +104,8 @@ class Counter:
         return n, total
 
 
-_LOADED: dict[str, Counter] = {}
-
-
 def load(path: str) -> Counter:
-    if path not in _LOADED:
-        _LOADED[path] = Counter(vocabulary(path))
-    return _LOADED[path]
+    return loaded(("unigram", path), lambda: Counter(vocabulary(path)))
 
 
 def counts(docs: DataFrame, path: str) -> DataFrame:
