@@ -108,6 +108,22 @@ def test_grammar_compresses():
     assert tokenfiles.expand(symbols, rules, 100).tolist() == ids.tolist()
 
 
+def test_grammar_rounds_sort_only_what_may_be_frequent(monkeypatch):
+    """Rounds after the first count again only pairs that were frequent or have changed; none that is frequent is left."""
+    rng = np.random.default_rng(3)
+    ids = np.concatenate([rng.integers(0, 40000, 20000), np.tile(rng.integers(0, 40000, 300), 20)]).astype("<u4")
+    last = np.zeros(len(ids), bool)
+    last[np.r_[99:len(ids):100, len(ids) - 1]] = True
+    sorted_, sort = [], np.sort
+    monkeypatch.setattr(np, "sort", lambda x, *a, **k: (sorted_.append(len(x)), sort(x, *a, **k))[1])
+    symbols, ends, rules = tokenfiles.compress(ids, last, 40000)
+    monkeypatch.undo()
+    assert tokenfiles.expand(symbols, rules, 40000).tolist() == ids.tolist()
+    assert max(sorted_[1:]) < len(ids) / 2
+    pairs = Counter(zip(symbols[:-1][~ends[:-1]].tolist(), symbols[1:][~ends[:-1]].tolist()))
+    assert max(n for (a, b), n in pairs.items() if a != b) < tokenfiles.FREQUENT
+
+
 def test_files(spark, odd, odd_rows, empty, monkeypatch):
     path = tokenfiles.new_path(spark)
     tokenfiles.write(odd, WORDS, path)

@@ -38,6 +38,7 @@ from pyspark.sql import functions as F
 from velocube.llm.common import documents, fresh_path, loaded, parts_of, written
 
 TOKENS, FREQUENT, RULES = 1 << 20, 8, 4096  # RULES: of one round
+SLOTS = 20
 END_ID = 1
 PART = 16 << 20
 REMEMBERED, LONGEST = 400_000, 64
@@ -136,9 +137,19 @@ def load(path: str) -> Words:
     return loaded(("words", path), lambda: Words(path))
 
 
+def _slot(key: np.ndarray) -> np.ndarray:
+    """Places of pairs in a table of 2**SLOTS."""
+    return (key.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - SLOTS)).astype(np.int64)
+
+
 def compress(ids: np.ndarray, last: np.ndarray, base: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Symbols, whether each ends a document, and the rules (pairs) of ids; last: the documents' last ids."""
+    """Symbols, whether each ends a document, and the rules (pairs) of ids; last: the documents' last ids.
+
+    A pair without a new symbol gets no more frequent, so what is rare in a round is not counted again: live marks the
+    places of pairs that were frequent or have changed since (or look so, by a table over their hashes).
+    """
     symbols, last = ids.astype(np.int32), last.copy()
+    live, table = np.ones(len(symbols), bool), np.zeros(1 << SLOTS, bool)
     rules: list[np.ndarray] = []
     size = base
     while True:
@@ -147,10 +158,12 @@ def compress(ids: np.ndarray, last: np.ndarray, base: int) -> tuple[np.ndarray,
         if len(equal):  # a run pairs from its left end: every other place
             heads = np.concatenate([[True], equal[1:] != equal[:-1] + 1])
             free[equal[(equal - np.maximum.accumulate(np.where(heads, equal, 0))) % 2 == 1]] = False
-        shift, kind = (16, np.uint32) if size <= 1 << 16 else (32, np.int64)  # short keys sort twice as fast
-        key = left.astype(kind) << kind(shift)
-        key |= right.astype(kind)
-        met = np.sort(key[free])
+            live[equal] = True  # which places of a run are free may change
+        shift, kind = (16, np.uint32) if size <= 1 << 16 else (32, np.uint64)  # short keys sort twice as fast
+        place = np.flatnonzero(free & live[:-1])
+        key = left[place].astype(kind) << kind(shift)
+        key |= right[place].astype(kind)
+        met = np.sort(key)
         if not len(met):
             break
         heads = np.flatnonzero(np.concatenate([[True], met[1:] != met[:-1]]))
@@ -175,20 +188,25 @@ def compress(ids: np.ndarray, last: np.ndarray, base: int) -> tuple[np.ndarray,
                 break
         if not chosen:
             break
+        table[:] = False
+        table[_slot(named)] = True
+        live[:-1] = False
+        live[place] = table[_slot(key)]
         named = np.sort(np.array(chosen, kind))
         role = np.frombuffer(roles, np.int8)
-        of = role[symbols]
-        free &= (of[:-1] == 1) & (of[1:] == 2) | (of[:-1] == 3) & (left == right)
-        at = np.flatnonzero(free)
-        pair = key[at]
+        first, second = role[left[place]], role[right[place]]
+        may = np.flatnonzero((first == 1) & (second == 2) | (first == 3) & (left[place] == right[place]))
+        pair = key[may]
         rule = np.minimum(np.searchsorted(named, pair), len(named) - 1)
         hit = named[rule] == pair
-        at, rule = at[hit], rule[hit]
+        at, rule = place[may[hit]], rule[hit]
         symbols[at] = size + rule
         last[at] |= last[at + 1]
+        live[at] = True
+        live[np.maximum(at - 1, 0)] = True
         keep = np.ones(len(symbols), bool)
         keep[at + 1] = False
-        symbols, last = symbols[keep], last[keep]
+        symbols, last, live = symbols[keep], last[keep], live[keep]
         named = named.astype(np.int64)
         rules.append(np.stack([named >> shift, named & (1 << shift) - 1], axis=1))
         size += len(named)
