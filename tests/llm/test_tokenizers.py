@@ -99,6 +99,60 @@ def test_words_known_before(monkeypatch):
     assert [len(x) for x in encoder.encode(["", " ", "\n", "a\nb"])[:3]] == [0, 0, 0] and encoder.encode([]) == []
 
 
+def test_words_are_cut_from_all_signs_and_encoded_together(monkeypatch):
+    """A word and the ASCII signs that end it are looked up apart; new words of letters take one call of the library."""
+    encoder, calls = tokenfiles.Words(WORDS), []
+    model = encoder.model
+
+    class Counted:
+        def encode(self, text, **more):
+            calls.append(text)
+            return model.encode(text, **more)
+
+    encoder.model = Counted()
+    text = "".join(f"plain{sign * n} " for sign in "!\"#$%&'()*+,-./:;=?@[\\]^_`{}~" for n in (1, 3)) + "Été%%% ÀÉ&* the house. ß## a<|endoftext|> b|> c<# <|x%% it's!! we'll'' n't' x's's& "
+    for _ in range(2):
+        assert np.frombuffer(encoder.encode([text])[0], "<u4").tolist() == HF.encode(text, add_special_tokens=False).ids
+    assert len(calls) == 1
+    assert {"plain", "###", "'", "~", "Été", "%%%"} <= set(encoder.known) and not any(k.startswith("plain") and k != "plain" for k in encoder.known)
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.tuples(st.text(st.sampled_from("aZéÀsßtd'"), max_size=4), st.text(st.sampled_from("!#$%&'*+-/=@[\\]^_`{}~<|>.,"), max_size=3)), max_size=8))
+def test_words_with_any_signs(words):
+    for text in (" ".join(a + b for a, b in words), "\n".join(a + b for a, b in words) + " "):
+        got = np.frombuffer(tokenfiles.load(WORDS).encode([text])[0], "<u4").tolist()
+        assert got == HF.encode(text, add_special_tokens=False).ids
+
+
+@pytest.mark.parametrize("slots", [1, 4])
+def test_grammar_does_not_depend_on_the_table(monkeypatch, slots):
+    """Pairs that share a place in the table get the rules and symbols that they get with a place each."""
+    rng = np.random.default_rng(11)
+    ids = np.concatenate([rng.integers(0, 30, 4000), np.tile(rng.integers(0, 500, 200), 30), np.full(500, 7)]).astype("<u4")
+    last = np.zeros(len(ids), bool)
+    last[np.r_[70:len(ids):71, len(ids) - 1]] = True
+    for base in (500, 70_000):  # short and long keys
+        wanted = tokenfiles.compress(ids, last, base)
+        monkeypatch.setattr(tokenfiles, "SLOTS", slots)
+        found = tokenfiles.compress(ids, last, base)
+        monkeypatch.undo()
+        assert all((a == b).all() for a, b in zip(wanted, found, strict=True))
+        assert (tokenfiles.expand(wanted[0], wanted[2], base) == ids).all()
+
+
+def test_expanding_inserts_nothing(monkeypatch):
+    """Ids are written to their places, level by level; no round copies what is done."""
+    ids = np.tile(np.arange(50), 400)
+    last = np.zeros(len(ids), bool)
+    last[-1] = True
+    symbols, _, rules = tokenfiles.compress(ids, last, 100)
+    monkeypatch.setattr(np, "insert", None)
+    assert tokenfiles.expand(symbols, rules, 100).tolist() == ids.tolist()
+    assert tokenfiles.expand(symbols, rules, 100, tokenfiles.rule_lengths(rules, 100)).tolist() == ids.tolist()
+    assert tokenfiles.expand(symbols[:0], rules, 100).tolist() == []
+
+
 def test_grammar_compresses():
     ids = np.tile(np.arange(50, dtype="<u4"), 200)
     last = np.zeros(len(ids), bool)

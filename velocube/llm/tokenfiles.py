@@ -15,8 +15,8 @@ never overlap (a symbol is only a left part, only a right part, or paired with i
 rule spans two documents, so any document or range of ids is decoded alone.
 
 Encoding works on the distinct words of some MB of text (cut at blanks and line ends, which the tokenizer's pre-tokenizer
-drops and never crosses, and between a Latin letter and the signs that end its word, where it cuts too) and keeps
-a bounded table of those met last.
+drops and never crosses, and between a Latin letter and the ASCII signs that end its word, where it cuts too) and keeps
+a bounded table of those met last.  New words that are letters alone go to the library's model some thousand at a time.
 
 Defined results: one row per input row; null and empty texts are the end id alone; rows with a null doc_id come
 first; rows with equal doc_id follow in the order of a hash of their texts; an empty table gives an empty dataset and
@@ -37,14 +37,15 @@ from pyspark.sql import functions as F
 
 from velocube.llm.common import documents, fresh_path, loaded, parts_of, written
 
-TOKENS, FREQUENT, RULES = 1 << 20, 8, 4096  # RULES: of one round
+TOKENS, FREQUENT, RULES = 1 << 20, 8, 4096  # RULES: of one round, 2**15 at most
 SLOTS = 20
 END_ID = 1
 PART = 16 << 20
 REMEMBERED, LONGEST = 400_000, 64
 #: Latin letters below U+0100, which no normalization changes but for their case; a letter and the signs that end its word.
 _LATIN = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff"
-LETTERS, CUT = f"^[{_LATIN}]+$", f"([{_LATIN}])([.,;:!?]+) "
+#: Signs are all of ASCII but those that special tokens are written with.
+LETTERS, CUT = f"^[{_LATIN}]+$", f"([{_LATIN}])([!-/:;=?@\\[-`{{}}~]+) "
 BLOCK = "shard int, block int, doc_ids array<long>, n_tokens binary, n_symbols binary, base int, rules binary, lengths binary, low binary, high binary"
 
 
@@ -63,9 +64,11 @@ class Words:
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = Tokenizer(self.tokenizer.model)  # without its normalizer and pre-tokenizer, for words that need neither
+        self.model.pre_tokenizer = pre_tokenizers.Split(" ", "removed")
         self.size = self.tokenizer.get_vocab_size()
         self.known: dict[str, bytes] = {}
         self.before: dict[str, bytes] = {}
@@ -102,7 +105,7 @@ class Words:
 
     def _ids(self, column: pa.Array) -> list[bytes]:
         """Ids of each of some different words."""
-        words = column.to_pylist()
+        words = column.to_numpy(zero_copy_only=False).tolist()
         got = list(map(self.known.get, words))
         fresh = [k for k, x in enumerate(got) if x is None]
         new = []
@@ -111,18 +114,22 @@ class Words:
                 new.append(k)
             else:
                 got[k] = x
-        some = column.take(pa.array(new, pa.int64()))
-        letters = pc.match_substring_regex(some, LETTERS).to_pylist()
-        tokenize = self.tokenizer.model.tokenize
-        plain = [k for k, x in zip(new, letters) if x]  # a single run of letters: straight to the library's model
+        new = np.array(new, np.int64)
+        letters = pc.match_substring_regex(column.take(pa.array(new)), LETTERS).to_numpy(zero_copy_only=False).astype(bool)
+        plain = new[letters].tolist()  # a single run of letters: straight to the library's model, many at a time
         for at in range(0, len(plain), 4096):
             part = plain[at:at + 4096]
-            found = [tokenize(w if w.isascii() else w.encode().decode("latin-1").translate(_NAMES)) for w in (words[k].lower() for k in part)]
-            raw = array("I", [t.id for tokens in found for t in tokens]).tobytes()
+            joined = " ".join([words[k] for k in part]).lower()
+            if not joined.isascii():
+                joined = " ".join([w if w.isascii() else w.encode().decode("latin-1").translate(_NAMES) for w in joined.split(" ")])
+            found = self.model.encode(joined, add_special_tokens=False)
+            raw = array("I", found.ids).tobytes()
+            ends = 4 * np.cumsum(np.bincount(np.array(found.word_ids, np.int64), minlength=len(part)))
             end = 0
-            for k, tokens in zip(part, found):
-                got[k] = raw[end:(end := end + 4 * len(tokens))]
-        others = [k for k, x in zip(new, letters) if not x]
+            for k, stop in zip(part, ends.tolist()):
+                got[k] = raw[end:stop]
+                end = stop
+        others = new[~letters].tolist()
         for at in range(0, len(others), 4096):
             part = others[at:at + 4096]
             for k, e in zip(part, self.tokenizer.encode_batch_fast([words[k] for k in part], add_special_tokens=False)):
@@ -139,6 +146,8 @@ def load(path: str) -> Words:
 
 def _slot(key: np.ndarray) -> np.ndarray:
     """Places of pairs in a table of 2**SLOTS."""
+    if key.dtype == np.uint32:
+        return key * np.uint32(0x9E3779B1) >> np.uint32(32 - SLOTS)
     return (key.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - SLOTS)).astype(np.int64)
 
 
@@ -149,7 +158,7 @@ def compress(ids: np.ndarray, last: np.ndarray, base: int) -> tuple[np.ndarray,
     places of pairs that were frequent or have changed since (or look so, by a table over their hashes).
     """
     symbols, last = ids.astype(np.int32), last.copy()
-    live, table = np.ones(len(symbols), bool), np.zeros(1 << SLOTS, bool)
+    live, table = np.ones(len(symbols), bool), np.zeros(1 << SLOTS, np.int16)
     rules: list[np.ndarray] = []
     size = base
     while True:
@@ -172,8 +181,8 @@ def compress(ids: np.ndarray, last: np.ndarray, base: int) -> tuple[np.ndarray,
         named, count = met[heads[often]], count[often]
         order = np.argsort(-count, kind="stable")[:4 * RULES]
         roles, chosen = bytearray(size), []  # 1: left part, 2: right part, 3: both parts of one pair
-        for k in named[order].tolist():
-            a, b = k >> shift, k & (1 << shift) - 1
+        best = named[order]
+        for k, a, b in zip(best.tolist(), (best >> kind(shift)).tolist(), (best & kind((1 << shift) - 1)).tolist()):
             x, y = roles[a], roles[b]
             if a == b:
                 if x:
@@ -188,16 +197,17 @@ def compress(ids: np.ndarray, last: np.ndarray, base: int) -> tuple[np.ndarray,
                 break
         if not chosen:
             break
-        table[:] = False
-        table[_slot(named)] = True
-        live[:-1] = False
-        live[place] = table[_slot(key)]
+        table[:] = -2  # rare pairs; -1: frequent ones, from 0 on: those that become rules
+        table[_slot(named)] = -1
         named = np.sort(np.array(chosen, kind))
-        role = np.frombuffer(roles, np.int8)
-        first, second = role[left[place]], role[right[place]]
-        may = np.flatnonzero((first == 1) & (second == 2) | (first == 3) & (left[place] == right[place]))
-        pair = key[may]
-        rule = np.minimum(np.searchsorted(named, pair), len(named) - 1)
+        table[_slot(named)] = np.arange(len(named))
+        rule = table[_slot(key)]
+        live[:-1] = False
+        live[place] = rule > -2
+        may = np.flatnonzero(rule >= 0)
+        pair, rule = key[may], rule[may].astype(np.int64)
+        other = np.flatnonzero(named[rule] != pair)  # pairs that share a place with a rule's
+        rule[other] = np.minimum(np.searchsorted(named, pair[other]), len(named) - 1)
         hit = named[rule] == pair
         at, rule = place[may[hit]], rule[hit]
         symbols[at] = size + rule
@@ -206,7 +216,8 @@ def compress(ids: np.ndarray, last: np.ndarray, base: int) -> tuple[np.ndarray,
         live[np.maximum(at - 1, 0)] = True
         keep = np.ones(len(symbols), bool)
         keep[at + 1] = False
-        symbols, last, live = symbols[keep], last[keep], live[keep]
+        keep = np.flatnonzero(keep)
+        symbols, last, live = (x.take(keep, mode="clip") for x in (symbols, last, live))
         named = named.astype(np.int64)
         rules.append(np.stack([named >> shift, named & (1 << shift) - 1], axis=1))
         size += len(named)
@@ -225,16 +236,22 @@ def rule_lengths(rules: np.ndarray, base: int) -> np.ndarray:
     return out[base:]
 
 
-def expand(symbols: np.ndarray, rules: np.ndarray, base: int) -> np.ndarray:
-    """The ids of symbols."""
+def expand(symbols: np.ndarray, rules: np.ndarray, base: int, lengths: np.ndarray | None = None) -> np.ndarray:
+    """The ids of symbols; lengths: of the rules (rule_lengths), if known.
+
+    Lengths tell where each symbol's ids begin, so every round writes and follows only what is not yet an id.
+    """
+    lengths = rule_lengths(rules, base) if lengths is None else lengths
+    sizes = np.concatenate([np.ones(base, np.int64), lengths])
     symbols, rules = symbols.astype(np.int32), rules.astype(np.int32)
-    while True:
-        at = np.flatnonzero(symbols >= base)
-        if not len(at):
-            return symbols.astype(np.int64)
-        pair = rules[symbols[at] - base]
-        symbols[at] = pair[:, 0]
-        symbols = np.insert(symbols, at + 1, pair[:, 1])
+    ends = np.cumsum(sizes[symbols])
+    at, out = ends - sizes[symbols], np.empty(ends[-1] if len(ends) else 0, np.int32)
+    while len(symbols):
+        out[at] = symbols  # a rule's own symbol gives way to its left part's in the next round
+        deep = np.flatnonzero(symbols >= base)
+        pair, at = rules[symbols[deep] - base], at[deep]
+        symbols, at = np.concatenate([pair[:, 0], pair[:, 1]]), np.concatenate([at, at + sizes[pair[:, 0]]])
+    return out.astype(np.int64)
 
 
 def with_ends(flat: np.ndarray, counts: np.ndarray, end_id: int) -> np.ndarray:
@@ -273,10 +290,10 @@ class Block:
         self.first = np.concatenate([[0], np.cumsum(np.frombuffer(row["n_symbols"], "<u4").astype(np.int64))])
 
     def all(self) -> np.ndarray:
-        return expand(self.symbols, self.rules, self.base)
+        return expand(self.symbols, self.rules, self.base, self.lengths)
 
     def document(self, k: int) -> np.ndarray:
-        return expand(self.symbols[self.first[k]:self.first[k + 1]], self.rules, self.base)
+        return expand(self.symbols[self.first[k]:self.first[k + 1]], self.rules, self.base, self.lengths)
 
     def range(self, start: int, stop: int) -> np.ndarray:
         """Ids start..stop-1 of the block; only the symbols that cover them are expanded."""
@@ -286,7 +303,7 @@ class Block:
         ends = np.cumsum(size)
         a, b = np.searchsorted(ends, start, side="right"), np.searchsorted(ends, stop, side="left") + 1
         skip = start - (ends[a] - size[a]) if a < len(ends) else 0
-        return expand(self.symbols[a:b], self.rules, self.base)[skip:skip + stop - start]
+        return expand(self.symbols[a:b], self.rules, self.base, self.lengths)[skip:skip + stop - start]
 
 
 def write(docs: DataFrame, tokenizer: str, path: str, end_id: int = END_ID) -> None:
